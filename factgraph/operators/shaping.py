@@ -42,3 +42,21 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], spread_by:
 def digest_number(col: Column) -> Column:
     """First 60 bits of a SHA-256 as a number, to be summed over a set of rows."""
     return F.conv(F.substring(F.sha2(col, 256), 1, 15), 16, 10).cast("decimal(38,0)")
+
+
+# A key with more rows than this is joined apart from the others.
+HOT_ROWS = 1_000_000
+
+
+def join_hot_apart(
+    rows: DataFrame, keyed: DataFrame, on: Sequence[str], weight: str, threshold: int = HOT_ROWS
+) -> DataFrame:
+    """Inner join of many rows to one row per key, where some keys hold very many rows.
+
+    ``weight`` is the number of ``rows`` behind a key of ``keyed``. Keys above the
+    threshold number at most ``count(rows) / threshold`` and are broadcast, so their
+    rows never meet in one task; all other keys take the shuffled join.
+    """
+    hot = F.broadcast(keyed.filter(F.col(weight) > threshold))
+    cold = rows.join(hot.select(*on), list(on), "left_anti").join(keyed.filter(F.col(weight) <= threshold), list(on))
+    return rows.join(hot, list(on)).unionByName(cold)
