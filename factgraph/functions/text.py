@@ -117,14 +117,14 @@ def inline_terms(col: Column | str) -> Column:
     return F.filter(F.transform(F.split(_c(col), ","), compact_ws), lambda t: t != "")
 
 
-# Fence lines that carry no content.
+# Line ends, and fence lines that carry no content.
+LINE_BREAKS = r"\r\n|[\n\r\x0B\x0C\x1C\x1D\x1E\x{85}\x{2028}\x{2029}]"
 FENCES = ["```", "```bash", "```sh", "```shell", "```zsh"]
 
 
 def text_lines(col: Column | str) -> Column:
     """Compacted lines without blanks, fences, table rows and rule-only lines."""
-    breaks = r"\r\n|[\n\r\x0B\x0C\x1C\x1D\x1E\x{85}\x{2028}\x{2029}]"
-    lines = F.transform(F.split(_c(col), breaks), compact_ws)
+    lines = F.transform(F.split(_c(col), LINE_BREAKS), compact_ws)
     return F.filter(lines, lambda s: ~(s.isin(FENCES) | s.rlike(r"^\|(.*\|)?$") | s.rlike("^[-|: ]*$")))
 
 

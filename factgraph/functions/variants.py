@@ -1,4 +1,7 @@
-"""Shape-tolerant reads of VARIANT values, and the walk over nested documents."""
+"""Shape-tolerant reads of VARIANT values, and the walk over nested documents.
+
+The readers take and give SQL text expressions, see ``sqlexpr``.
+"""
 
 from __future__ import annotations
 
@@ -8,116 +11,160 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from factgraph.functions.text import trim_ws
+from factgraph.functions import sqlexpr as S
+from factgraph.functions.classify import CLI_FIRST_WORD_RE, COMMAND_RE, PATH_RE, ROUTE_RE, VERB_RE
+from factgraph.functions.sqlexpr import Sql
+from factgraph.functions.text import FENCES, LINE_BREAKS, WS
+
+
+def trim_ws(value: Sql) -> Sql:
+    return S.regexp_replace(value, f"^{WS}+|{WS}+$", "")
+
+
+def compact_ws(value: Sql) -> Sql:
+    return S.trim(S.regexp_replace(value, f"{WS}+", " "))
+
+
+def text_lines(value: Sql) -> Sql:
+    lines = S.transform(S.split(value, LINE_BREAKS), compact_ws)
+    return S.filter(lines, lambda s: ~(s.isin(FENCES) | s.rlike(r"^\|(.*\|)?$") | s.rlike("^[-|: ]*$")))
+
+
+def inline_terms(value: Sql) -> Sql:
+    return S.filter(S.transform(S.split(value, ","), compact_ws), lambda t: t != "")
+
+
+def is_path(value: Sql) -> Sql:
+    return trim_ws(value).rlike(PATH_RE)
+
+
+def is_command(value: Sql) -> Sql:
+    return trim_ws(value).rlike(COMMAND_RE)
+
+
+def is_cli_line(value: Sql) -> Sql:
+    line = trim_ws(value)
+    return line.rlike(COMMAND_RE) | (~line.rlike(VERB_RE) & line.rlike(CLI_FIRST_WORD_RE))
+
+
+def is_route(value: Sql) -> Sql:
+    return trim_ws(value).rlike(ROUTE_RE)
+
+
+def path_or_concept(value: Sql) -> Sql:
+    return S.when(is_path(value), "path").otherwise("concept")
+
 
+def command_or(value: Sql, other: str) -> Sql:
+    return S.when(is_command(value), "command").otherwise(other)
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
+def let(value: Sql, body: Callable[[Sql], Sql]) -> Sql:
     """Evaluate ``value`` once and use it several times inside ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return S.get(S.transform(S.array(value), body), S.lit(0))
 
 
 def _path(key: str) -> str:
     return f"$['{key}']"
 
 
-def kind_of(v: Column) -> Column:
+def kind_of(v: Sql) -> Sql:
     """``OBJECT``, ``ARRAY``, ``STRING``, ``VOID`` or the number and flag types."""
-    return F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)
+    return S.regexp_extract(S.schema_of_variant(v), "^[A-Z]+", 0)
 
 
-def is_object(v: Column) -> Column:
-    return F.coalesce(F.startswith(F.schema_of_variant(v), F.lit("OBJECT")), F.lit(False))
+def is_object(v: Sql) -> Sql:
+    return S.coalesce(S.startswith(S.schema_of_variant(v), S.lit("OBJECT")), S.lit(False))
 
 
-def is_array(v: Column) -> Column:
-    return F.coalesce(F.startswith(F.schema_of_variant(v), F.lit("ARRAY")), F.lit(False))
+def is_array(v: Sql) -> Sql:
+    return S.coalesce(S.startswith(S.schema_of_variant(v), S.lit("ARRAY")), S.lit(False))
 
 
-def is_text(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v) == "STRING", F.lit(False))
+def is_text(v: Sql) -> Sql:
+    return S.coalesce(S.schema_of_variant(v) == "STRING", S.lit(False))
 
 
-def whole_text(v: Column) -> Column:
+def whole_text(v: Sql) -> Sql:
     """The value itself when it is text, trimmed; else the empty string."""
-    return F.when(is_text(v), trim_ws(F.try_variant_get(v, "$", "string"))).otherwise(F.lit(""))
+    return S.when(is_text(v), trim_ws(S.try_variant_get(v, "$", "string"))).otherwise(S.lit(""))
 
 
-def sub(v: Column, key: str) -> Column:
-    return F.try_variant_get(v, _path(key), "variant")
+def sub(v: Sql, key: str) -> Sql:
+    return S.try_variant_get(v, _path(key), "variant")
 
 
-def text(v: Column, key: str) -> Column:
+def text(v: Sql, key: str) -> Sql:
     """Trimmed text of a field; anything but text gives the empty string."""
-    return F.when(is_text(sub(v, key)), trim_ws(F.try_variant_get(v, _path(key), "string"))).otherwise(F.lit(""))
+    return S.when(is_text(sub(v, key)), trim_ws(S.try_variant_get(v, _path(key), "string"))).otherwise(S.lit(""))
 
 
-def first_text(v: Column, *keys: str) -> Column:
+def first_text(v: Sql, *keys: str) -> Sql:
     """First non-blank text among the fields."""
-    return F.coalesce(*[F.nullif(text(v, k), F.lit("")) for k in keys], F.lit(""))
+    return S.coalesce(*[S.nullif(text(v, k), S.lit("")) for k in keys], S.lit(""))
 
 
-def scalar_text(v: Column) -> Column:
+def scalar_text(v: Sql) -> Sql:
     """Text, number or flag as text; flags are written with a capital."""
-    kind = kind_of(v)
-    raw = trim_ws(F.try_variant_get(v, "$", "string"))
-    return (
-        F.when(kind == "BOOLEAN", F.initcap(raw))
-        .when(kind.isin("OBJECT", "ARRAY", "VOID", "") | kind.isNull(), F.lit(""))
-        .otherwise(raw)
+    raw = trim_ws(S.try_variant_get(v, "$", "string"))
+    return let(
+        kind_of(v),
+        lambda kind: S.when(S.coalesce(kind, "").isin("OBJECT", "ARRAY", "VOID", ""), "")
+        .when(kind == "BOOLEAN", S.initcap(raw))
+        .otherwise(raw),
     )
 
 
-def elements(v: Column) -> Column:
+def elements(v: Sql) -> Sql:
     """Elements of a list, an empty list otherwise."""
-    empty = F.array().cast("array<variant>")
-    return F.when(is_array(v), F.try_variant_get(v, "$", "array<variant>")).otherwise(empty)
+    empty = S.array().cast("array<variant>")
+    return S.when(is_array(v), S.try_variant_get(v, "$", "array<variant>")).otherwise(empty)
 
 
-def objects(v: Column) -> Column:
+def objects(v: Sql) -> Sql:
     """Mapping elements of a list."""
-    return F.filter(elements(v), is_object)
+    return S.filter(elements(v), is_object)
 
 
-def list_or_single(v: Column) -> Column:
+def list_or_single(v: Sql) -> Sql:
     """The list, or the value as its only element."""
-    return F.when(is_array(v), F.try_variant_get(v, "$", "array<variant>")).otherwise(F.array(v))
+    return S.when(is_array(v), S.try_variant_get(v, "$", "array<variant>")).otherwise(S.array(v))
 
 
-def texts(v: Column) -> Column:
+def texts(v: Sql) -> Sql:
     """Non-blank texts of a list, trimmed."""
-    return F.filter(F.transform(elements(v), whole_text), lambda t: t != "")
+    return S.filter(S.transform(elements(v), whole_text), lambda t: t != "")
 
 
-def sorted_entries(v: Column) -> Column:
+def sorted_entries(v: Sql) -> Sql:
     """``array<struct<key, value>>`` of a mapping in key order, empty otherwise."""
-    pairs = F.when(is_object(v), F.try_variant_get(v, "$", "map<string,variant>"))
+    pairs = S.when(is_object(v), S.try_variant_get(v, "$", "map<string,variant>"))
     ordered = let(
         pairs,
-        lambda m: F.transform(
-            F.array_sort(F.map_keys(m)), lambda k: F.struct(k.alias("key"), F.element_at(m, k).alias("value"))
+        lambda m: S.transform(
+            S.array_sort(S.map_keys(m)), lambda k: S.struct(k.alias("key"), S.element_at(m, k).alias("value"))
         ),
     )
-    return F.coalesce(ordered, F.array().cast("array<struct<key:string,value:variant>>"))
+    return S.coalesce(ordered, S.array().cast("array<struct<key:string,value:variant>>"))
 
 
-def text_list(v: Column, preferred: Sequence[str]) -> Column:
+def text_list(v: Sql, preferred: Sequence[str]) -> Sql:
     """Texts, and of objects the first non-blank preferred field, else the first text field."""
 
-    def one(e: Column) -> Column:
-        any_text = F.get(
-            F.filter(F.transform(sorted_entries(e), lambda p: whole_text(p["value"])), lambda t: t != ""), F.lit(0)
+    def one(e: Sql) -> Sql:
+        any_text = S.get(
+            S.filter(S.transform(sorted_entries(e), lambda p: whole_text(p["value"])), lambda t: t != ""), S.lit(0)
         )
-        return F.coalesce(F.nullif(whole_text(e), F.lit("")), F.nullif(first_text(e, *preferred), F.lit("")), any_text)
+        return S.coalesce(S.nullif(whole_text(e), S.lit("")), S.nullif(first_text(e, *preferred), S.lit("")), any_text)
 
-    return F.array_compact(F.transform(elements(v), one))
+    return S.array_compact(S.transform(elements(v), one))
 
 
-def unknown_fields(v: Column, known: Sequence[str]) -> Column:
+def unknown_fields(v: Sql, known: Sequence[str]) -> Sql:
     """Fields outside ``known`` as a key-sorted map of JSON texts."""
-    odd = F.filter(sorted_entries(v), lambda p: ~p["key"].isin(list(known)))
-    return F.map_from_entries(
-        F.transform(odd, lambda p: F.struct(p["key"].alias("key"), F.to_json(p["value"]).alias("value")))
+    odd = S.filter(sorted_entries(v), lambda p: ~p["key"].isin(list(known)))
+    return S.map_from_entries(
+        S.transform(odd, lambda p: S.struct(p["key"].alias("key"), S.to_json(p["value"]).alias("value")))
     )
 
 
