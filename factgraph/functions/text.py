@@ -185,8 +185,8 @@ HTTPS_REPO = (
 )
 SSH_REPO = r"""(?i)git@github\.com:([A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+?)(?:\.git)?(?:\s|$|")"""
 # Fixed pattern: a whole address naming exactly one repository.
-STRICT_URL = r"^https?://github\.com/([^/\s]+)/([^/\s]+?)(?:\.git)?/?$"
-FULL_NAME = r"^[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+$"
+STRICT_URL = r"^https?://github\.com/([^/]+)/([^/]+?)(?:\.git)?/?$"
+FULL_NAME = r"^[^/]+/[^/]+$"
 
 
 def mentioned_full_names(col: Column | str) -> Column:

@@ -49,9 +49,9 @@ _TEMPLATE = """{
 }"""
 
 
-def filled(spark, sf, template):
-    """Part rows with the template's marks replaced."""
-    out = F.lit(template)
+def fill(template):
+    """The template, a text or a text column, with the part row's values in place of its marks."""
+    out = F.lit(template) if isinstance(template, str) else template
     marks = [
         ("@module", F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("src/"), "p_type", F.lit(".py"))).otherwise(F.col("p_name"))),
         ("@odd", F.when(F.col("p_size") % 5 == 0, F.lit("")).otherwise(F.col("p_name"))),
@@ -62,15 +62,21 @@ def filled(spark, sf, template):
         ("@brand", F.col("p_brand")),
         ("@type", F.col("p_type")),
         ("@size", F.col("p_size").cast("string")),
+        ("@key", F.col("p_partkey").cast("string")),
     ]
     for mark, value in marks:
         out = F.replace(out, F.lit(mark), value)
+    return out
+
+
+def filled(spark, sf, template):
+    """One document per part."""
     return b.table(spark, sf, "part").select(
         F.concat(F.lit("repo::p"), "p_partkey").alias("node_id"),
         F.concat(F.lit("shard"), F.col("p_partkey") % 3).alias("shard"),
         F.concat(F.lit("deep/p"), "p_partkey", F.lit(".yaml")).alias("path"),
         F.lit("2024-01-01").alias("as_of"),
-        F.parse_json(out).alias("body"),
+        F.parse_json(fill(template)).alias("body"),
     )
 
 
