@@ -18,7 +18,7 @@ IGNORED_DIRS = [
 def yaml_documents(spark: SparkSession, folder: str, kind: str = "document", pattern: str = "*.yaml") -> DataFrame:
     """One row per file: ``kind, path, file, body VARIANT, error, sha256``.
 
-    Files are split over tasks by Spark; a file that does not parse, or whose top level
+    Files are split over tasks by Spark, which passes over files of no bytes; a file that does not parse, or whose top level
     is no mapping, becomes a row with ``error`` and a null body. Dates written without
     quotes turn into a one-key object, so that they read as missing text later on.
     """
