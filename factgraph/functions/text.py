@@ -73,21 +73,18 @@ def term_variants(term: str, aliases: Sequence[str] = ()) -> list[tuple[str, str
     return out
 
 
-def matches_term(term: str, texts: Sequence[Column | str], aliases: Sequence[str] = ()) -> Column:
+def matches_term(term: str, texts: Sequence[tuple[Column, Column]], aliases: Sequence[str] = ()) -> Column:
     """True when any text holds any variant of ``term`` literally or normalised.
 
-    An empty term matches everything, a term of punctuation only matches nothing.
+    ``texts`` are pairs of folded and normalised columns, so that many terms share the
+    work on a text. An empty term matches everything, one of punctuation only nothing.
     """
     if not term:
         return F.lit(True)
-    tests: list[Column] = []
-    for literal, normal in term_variants(term, aliases):
-        for text in texts:
-            tests.append(F.contains(casefold(text), F.lit(literal)))
-            tests.append(F.contains(norm_term(text), F.lit(normal)))
     out = F.lit(False)
-    for test in tests:
-        out = out | F.coalesce(test, F.lit(False))
+    for literal, normal in term_variants(term, aliases):
+        for folded, normalised in texts:
+            out = out | F.contains(folded, F.lit(literal)) | F.contains(normalised, F.lit(normal))
     return out
 
 

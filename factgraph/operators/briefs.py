@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factgraph.functions.text import casefold, fraction, matches_term, py_casefold, py_norm_term, trim_ws
+from factgraph.functions.text import casefold, fraction, matches_term, norm_term, py_casefold, py_norm_term, trim_ws
 from factgraph.operators.lookup import in_category, pattern_scope
 from factgraph.operators.shaping import first_n, listed
 from factgraph.session import BROADCAST_ROW_LIMIT
@@ -45,6 +45,19 @@ def _bounded(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROW_LIMIT else df
 
 
+def _folded(rows: DataFrame, *texts: str) -> DataFrame:
+    """Rows with the folded and the normalised form of each text, empty when missing."""
+    forms = {}
+    for t in texts:
+        filled = F.coalesce(t, F.lit(""))
+        forms |= {f"folded_{t}": casefold(filled), f"normal_{t}": norm_term(filled)}
+    return rows.withColumns(forms)
+
+
+def _pairs(*texts: str) -> list[tuple[Column, Column]]:
+    return [(F.col(f"folded_{t}"), F.col(f"normal_{t}")) for t in texts]
+
+
 def scope_repo_count(facts: DataFrame, repos: DataFrame, predicate: str, category: str | None = None) -> DataFrame:
     """Distinct records with a fact of the predicate; a value filter never applies here."""
     scope = pattern_scope(facts, repos, predicate, category)
@@ -139,10 +152,10 @@ def failure_brief(
         .distinct()
     )
     numbered = [
-        F.when(matches_term(t, ["object_value", "note"], TERM_ALIASES.get(py_norm_term(t), ())), F.lit(i))
+        F.when(matches_term(t, _pairs("object_value", "note"), TERM_ALIASES.get(py_norm_term(t), ())), F.lit(i))
         for i, t in enumerate(terms)
     ]
-    hits = rows.withColumn("term_no", F.explode(F.array_compact(F.array(*numbered))))
+    hits = _folded(rows, "object_value", "note").withColumn("term_no", F.explode(F.array(*numbered))).filter("term_no IS NOT NULL")
     counts = (
         hits.select("term_no", "object_value", "node_id").distinct().groupBy("term_no", "object_value")
         .agg(F.count("*").alias("repo_count"))
@@ -230,10 +243,10 @@ def riskcheck(
         .distinct()
     )
     tests = [
-        F.when((F.col("predicate") == SIGNAL_PREDICATES[kind]) & matches_term(term, ["object_value"]), F.lit(i))
+        F.when((F.col("predicate") == SIGNAL_PREDICATES[kind]) & matches_term(term, _pairs("object_value")), F.lit(i))
         for i, (kind, term) in enumerate(asked)
     ]
-    hits = rows.withColumn("pos", F.explode(F.array_compact(F.array(*tests))))
+    hits = _folded(rows, "object_value").withColumn("pos", F.explode(F.array(*tests))).filter("pos IS NOT NULL")
     per_repo = hits.groupBy("pos", "node_id", "name", "full_name").agg(F.min("object_value").alias("first_value"))
     counts = per_repo.groupBy("pos").agg(F.count("*").alias("matched_repo_count"))
     examples = listed(

@@ -34,7 +34,7 @@ def rule_findings(df: DataFrame, rules: Sequence[Rule], keep: Sequence[str]) ->
         F.when(condition, F.struct(F.lit(severity).alias("severity"), F.lit(reason).alias("reason"), detail.alias("detail")))
         for reason, severity, condition, detail in rules
     ]
-    return df.select(*keep, F.explode(F.array_compact(F.array(*hits))).alias("f")).select(*keep, "f.*")
+    return df.select(*keep, F.explode(F.array(*hits)).alias("f")).filter("f IS NOT NULL").select(*keep, "f.*")
 
 
 def blocking(reason: str, condition: Column, detail: Column | str = "") -> Rule:

@@ -126,8 +126,8 @@ def facts(spark: SparkSession, sf: str, predicates: Sequence[str] = tuple(FACT_T
         F.concat(F.lit("file"), F.col("l_suppkey") % 10).alias("source_file"),
         F.col("l_linenumber").alias("start_line"),
         position.alias("position"),
-        F.explode(F.array_compact(F.array(*options))).alias("f"),
-    )
+        F.explode(F.array(*options)).alias("f"),
+    ).filter("f IS NOT NULL")
     fact_id = F.concat(
         F.lit("fact::"),
         F.substring(F.sha2(F.concat_ws("|", "f.predicate", "node_id", "position"), 256), 1, 24),
