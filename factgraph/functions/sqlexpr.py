@@ -121,6 +121,11 @@ def _text(value) -> str:
     return repr(value)
 
 
+def literal(value) -> str:
+    """A Python value as SQL literal text."""
+    return _text(value)
+
+
 def col(name: str) -> Sql:
     return Sql(name)
 

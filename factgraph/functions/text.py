@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from factgraph.functions.sqlexpr import literal
+
 # Every character Python's str.strip() and \s treat as whitespace.
 WS = r"[\s\x0B\x{1C}-\x{1F}\x{85}\p{Z}]"
 
@@ -73,19 +75,21 @@ def term_variants(term: str, aliases: Sequence[str] = ()) -> list[tuple[str, str
     return out
 
 
-def matches_term(term: str, texts: Sequence[tuple[Column, Column]], aliases: Sequence[str] = ()) -> Column:
-    """True when any text holds any variant of ``term`` literally or normalised.
+def matches_term(term: str, texts: Sequence[tuple[str, str]], aliases: Sequence[str] = ()) -> str:
+    """SQL condition: any text holds any variant of ``term`` literally or normalised.
 
-    ``texts`` are pairs of folded and normalised columns, so that many terms share the
+    ``texts`` are names of folded and normalised columns, so that many terms share the
     work on a text. An empty term matches everything, one of punctuation only nothing.
     """
     if not term:
-        return F.lit(True)
-    out = F.lit(False)
-    for literal, normal in term_variants(term, aliases):
-        for folded, normalised in texts:
-            out = out | F.contains(folded, F.lit(literal)) | F.contains(normalised, F.lit(normal))
-    return out
+        return "true"
+    tests = [
+        f"contains({column}, {literal(form)})"
+        for variant in term_variants(term, aliases)
+        for pair in texts
+        for column, form in zip(pair, variant, strict=True)
+    ]
+    return "(" + (" OR ".join(tests) or "false") + ")"
 
 
 def compact_ws(col: Column | str) -> Column:

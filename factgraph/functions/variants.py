@@ -34,21 +34,23 @@ def inline_terms(value: Sql) -> Sql:
     return S.filter(S.transform(S.split(value, ","), compact_ws), lambda t: t != "")
 
 
+# The tests below take trimmed text, which is what the readers and line splitters give.
+
+
 def is_path(value: Sql) -> Sql:
-    return trim_ws(value).rlike(PATH_RE)
+    return value.rlike(PATH_RE)
 
 
 def is_command(value: Sql) -> Sql:
-    return trim_ws(value).rlike(COMMAND_RE)
+    return value.rlike(COMMAND_RE)
 
 
 def is_cli_line(value: Sql) -> Sql:
-    line = trim_ws(value)
-    return line.rlike(COMMAND_RE) | (~line.rlike(VERB_RE) & line.rlike(CLI_FIRST_WORD_RE))
+    return value.rlike(COMMAND_RE) | (~value.rlike(VERB_RE) & value.rlike(CLI_FIRST_WORD_RE))
 
 
 def is_route(value: Sql) -> Sql:
-    return trim_ws(value).rlike(ROUTE_RE)
+    return value.rlike(ROUTE_RE)
 
 
 def path_or_concept(value: Sql) -> Sql:

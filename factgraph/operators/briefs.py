@@ -54,8 +54,13 @@ def _folded(rows: DataFrame, *texts: str) -> DataFrame:
     return rows.withColumns(forms)
 
 
-def _pairs(*texts: str) -> list[tuple[Column, Column]]:
-    return [(F.col(f"folded_{t}"), F.col(f"normal_{t}")) for t in texts]
+def _pairs(*texts: str) -> list[tuple[str, str]]:
+    return [(f"folded_{t}", f"normal_{t}") for t in texts]
+
+
+def _numbers(conditions: Sequence[str]) -> Column:
+    """One row per condition that holds, with its number; other conditions give null rows."""
+    return F.expr("explode(array(" + ", ".join(f"CASE WHEN {c} THEN {i} END" for i, c in enumerate(conditions)) + "))")
 
 
 def scope_repo_count(facts: DataFrame, repos: DataFrame, predicate: str, category: str | None = None) -> DataFrame:
@@ -151,11 +156,8 @@ def failure_brief(
         .select("node_id", "name", "full_name", "object_value", "note")
         .distinct()
     )
-    numbered = [
-        F.when(matches_term(t, _pairs("object_value", "note"), TERM_ALIASES.get(py_norm_term(t), ())), F.lit(i))
-        for i, t in enumerate(terms)
-    ]
-    hits = _folded(rows, "object_value", "note").withColumn("term_no", F.explode(F.array(*numbered))).filter("term_no IS NOT NULL")
+    tests = [matches_term(t, _pairs("object_value", "note"), TERM_ALIASES.get(py_norm_term(t), ())) for t in terms]
+    hits = _folded(rows, "object_value", "note").withColumn("term_no", _numbers(tests)).filter("term_no IS NOT NULL")
     counts = (
         hits.select("term_no", "object_value", "node_id").distinct().groupBy("term_no", "object_value")
         .agg(F.count("*").alias("repo_count"))
@@ -242,11 +244,8 @@ def riskcheck(
         .select("predicate", "node_id", "name", "full_name", "object_value")
         .distinct()
     )
-    tests = [
-        F.when((F.col("predicate") == SIGNAL_PREDICATES[kind]) & matches_term(term, _pairs("object_value")), F.lit(i))
-        for i, (kind, term) in enumerate(asked)
-    ]
-    hits = _folded(rows, "object_value").withColumn("pos", F.explode(F.array(*tests))).filter("pos IS NOT NULL")
+    tests = [f"predicate = '{SIGNAL_PREDICATES[kind]}' AND {matches_term(term, _pairs('object_value'))}" for kind, term in asked]
+    hits = _folded(rows, "object_value").withColumn("pos", _numbers(tests)).filter("pos IS NOT NULL")
     per_repo = hits.groupBy("pos", "node_id", "name", "full_name").agg(F.min("object_value").alias("first_value"))
     counts = per_repo.groupBy("pos").agg(F.count("*").alias("matched_repo_count"))
     examples = listed(
