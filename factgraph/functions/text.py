@@ -139,17 +139,17 @@ AS_OF_PATTERN = (
 
 
 def parse_as_of(col: Column | str) -> Column:
-    """Date or datetime text to a UTC instant; bad text gives null."""
+    """Date or datetime text to an instant, read as UTC without a zone; bad text gives null."""
     text = trim_ws(col)
-    return F.when(
-        text.rlike(AS_OF_PATTERN),
-        F.try_to_timestamp(F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2")),
-    )
+    timed = F.regexp_replace(text, r"([T ]\d{2}:\d{2})(Z|[+-].*)?$", "$1:00$2")
+    zoned = F.regexp_replace(F.regexp_replace(timed, r"([+-]\d{2})(\d{2})$", "$1:$2"), r"([T ][0-9:.]+)$", "$1Z")
+    whole = F.when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z"))).otherwise(zoned)
+    return F.when(text.rlike(AS_OF_PATTERN), F.try_to_timestamp(whole))
 
 
 def iso_seconds(ts: Column) -> Column:
-    """``yyyy-MM-ddTHH:mm:ssZ``."""
-    return F.date_format(F.date_trunc("second", ts), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """``yyyy-MM-ddTHH:mm:ssZ`` in UTC, whatever zone the session shows times in."""
+    return F.date_format(F.to_utc_timestamp(ts, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
 # --- numbers ----------------------------------------------------------------------

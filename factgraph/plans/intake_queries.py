@@ -155,7 +155,8 @@ SELECT pos, norm FROM named WHERE norm NOT IN (SELECT 'user' || c_custkey || '/c
 def candidate_stream(spark, sf):
     """Events as a stream of candidates, admitted against a catalog made of the customers."""
     schema = b.table(spark, sf, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    # A pattern, because the table may be one file or a folder of files.
+    events = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*")
     candidates = events.select(
         F.col("event_id").alias("pos"),
         F.concat(F.lit("https://github.com/user"), "user_id", F.lit("/"), "event_type").alias("url"),

@@ -218,9 +218,10 @@ def entrypoint_scores(spark, sf):
 @query(
     "requirement_packages",
     """
-SELECT DISTINCT 'r' || l_suppkey AS repo, 'requirements-' || lower(p_type) || '.txt' AS path,
-  lower(p_type) || '; pytest; ' || replace(p_name, ' ', '-') AS packages
-FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber = 7""",
+SELECT 'r' || l_suppkey AS repo, 'requirements-' || lower(p_type) || '.txt' AS path,
+  lower(p_type) || '; pytest; ' || min(replace(p_name, ' ', '-')) AS packages
+FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber = 7
+GROUP BY l_suppkey, p_type""",
 )
 def requirement_packages(spark, sf):
     files = trees(spark, sf).filter("path LIKE 'requirements%'")
