@@ -94,3 +94,51 @@ def text_windows(docs: DataFrame, keep: Sequence[str], per_doc: int, width: int)
     )
     rows = docs.filter(size > 0).select(*keep, "text", F.explode(starts).alias("_at"))
     return rows.select(*keep, F.substring("text", F.col("_at"), F.lit(width)).alias("text"))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, n: int) -> DataFrame:
+    """``doc_id, label, text`` of at most ``n`` learnable rows per label value.
+
+    The rows are chosen from ``labels`` alone; their ids, at most ``n`` per value of a 0/1
+    label, are sent to the scan of ``docs``, so no text is shuffled. Labels that
+    contradict each other for one id teach nothing.
+    """
+    known = labels.filter(F.col(label).isin(0, 1) & learn).groupBy("doc_id").agg(
+        F.min(label).alias("label"), F.max(label).alias("_most")
+    )
+    ids = sample_ids(known.filter("label = _most").select("doc_id", "label"), ["label"], n)
+    return docs.select("doc_id", "text").filter(F.length("text") > 0).join(F.broadcast(ids), "doc_id")
+
+
+def label_share(labels: DataFrame, label: str, learn: Column) -> float | None:
+    """Share of label 1 among all learnable rows; None without rows."""
+    return labels.filter(F.col(label).isin(0, 1) & learn).agg(F.avg(label)).first()[0]
+
+
+def key_type(docs: DataFrame) -> str:
+    return docs.schema["doc_id"].dataType.simpleString()
+
+
+def logistic(features, labels, weights, ridge: float = 1e-4):
+    """Weights and bias of a ridge logistic regression by damped Newton steps."""
+    import numpy as np
+
+    x = np.c_[features, np.ones(len(features))]
+    w = np.zeros(x.shape[1])
+    damp = np.r_[np.full(x.shape[1] - 1, ridge), 1e-6]
+    weights = weights / weights.sum()
+
+    def loss(w):
+        return weights @ np.logaddexp(0, -(x @ w) * (2 * labels - 1)) + damp @ (w * w) / 2
+
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        slope = x.T @ (weights * (p - labels)) + damp * w
+        step = np.linalg.solve((x * (weights * p * (1 - p))[:, None]).T @ x + np.diag(damp), slope)
+        size, now = 1.0, loss(w)
+        while loss(w - size * step) > now and size > 1e-6:
+            size /= 2
+        w = w - size * step
+        if np.abs(size * step).max() < 1e-8:
+            break
+    return w

@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factgraph.llm import host_rules, token_counts, token_store
-from factgraph.llm.common import table
+from factgraph.llm import byte_cnn_language, compression_quality, host_rules, pu_toxicity, token_counts, token_store
+from factgraph.llm.common import fold, table
 from factgraph.llm.registry import CHECKS, QUERIES
 from factgraph.session import shared_dir
 
@@ -58,6 +58,30 @@ def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_compression_quality")
+def op6_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = compression_quality.fit(docs, labels, fold("doc_id", 4) != 2)
+    rows = compression_quality.scores(docs, model)
+    return rows.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    network = byte_cnn_language.fit(docs, fold("doc_id", 5) != 0)
+    rows = byte_cnn_language.languages(docs, network)
+    return rows.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = pu_toxicity.fit(docs, labels, fold("doc_id", 5) != 0)
+    rows = pu_toxicity.scores(docs, model)
+    return rows.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 @query("op8_token_files")
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_dir(spark).rstrip('/')}/factgraph-llm/store-{uuid.uuid4().hex}"
