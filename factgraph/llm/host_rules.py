@@ -90,23 +90,18 @@ def host_rates(judged: DataFrame) -> DataFrame:
     hosts = hosts.withColumn("rate", F.col("failed") / F.col("n"))
     total, n = F.sum("failed"), F.sum("n")
     squares = F.sum(F.col("failed") * F.col("rate"))
-    prior = hosts.agg((total / n).alias("p"), (squares / n).alias("q")).select(
-        "p", F.greatest(F.col("q") - F.col("p") * F.col("p"), F.lit(0.0)).alias("v")
-    )
-    weight = F.when(F.col("v") <= 1e-12, F.lit(MOST_WEIGHT)).otherwise(F.col("p") * (1 - F.col("p")) / F.col("v") - 1)
-    prior = prior.select("p", F.least(F.greatest(weight, F.lit(LEAST_WEIGHT)), F.lit(MOST_WEIGHT)).alias("s"))
-    one = F.lit(1).alias("_one")
-    joined = hosts.select("*", one).join(F.broadcast(prior.select("*", one)), "_one").drop("_one")
-    return joined.select(
-        "host", "n", "failed", "rate", ((F.col("failed") + F.col("p") * F.col("s")) / (F.col("n") + F.col("s"))).alias("shrunk")
-    )
+    row = hosts.agg((total / n).alias("p"), (squares / n).alias("q")).first()
+    p, v = row.p or 0.0, max((row.q or 0.0) - (row.p or 0.0) ** 2, 0.0)
+    weight = MOST_WEIGHT if v <= 1e-12 else min(max(p * (1 - p) / v - 1, LEAST_WEIGHT), MOST_WEIGHT)
+    return hosts.withColumn("shrunk", (F.col("failed") + p * weight) / (F.col("n") + weight))
 
 
 def host_rules(docs: DataFrame, host: Column | str = "source", max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
     """``doc_id, host``, the measures, ``base_failed``, the host's ``shrunk`` rate and ``kept``.
 
     The measures are staged once; only they and the host's name are shuffled, and a hot
-    host costs one counter per task. The prior is one row.
+    host costs one counter per task. The prior is two
+    numbers, read on the driver.
     """
     judged = staged(measures(docs, host).withColumn("base_failed", base_failed()))
     rates = host_rates(judged).select(F.col("host").alias("_host"), "shrunk")
