@@ -7,7 +7,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factgraph.llm import byte_cnn_language, compression_quality, host_rules, pu_toxicity, token_counts, token_store
+from factgraph.llm import (
+    byte_cnn_language,
+    compression_quality,
+    decontaminate,
+    host_rules,
+    pu_toxicity,
+    substring_dedup,
+    token_counts,
+    token_store,
+)
 from factgraph.llm.common import fold, table
 from factgraph.llm.registry import CHECKS, QUERIES
 from factgraph.session import shared_dir
@@ -23,6 +32,59 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query(
+    "op1_benchmark_decontamination",
+    """
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS ws FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark),
+p AS (SELECT item_id, ws, least(len(ws), 10) AS k, unnest(range(1, greatest(len(ws) - 8, 2))) AS i FROM b WHERE len(ws) > 0),
+w AS (SELECT DISTINCT item_id, k, array_to_string(ws[i:i + k - 1], ' ') AS win FROM p),
+k AS (SELECT DISTINCT k FROM w),
+s AS (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM d, k WHERE len(ws) >= k),
+g AS (SELECT doc_id, k, i, array_to_string(ws[i:i + k - 1], ' ') AS win FROM s),
+h AS (SELECT doc_id, k, i, item_id FROM g JOIN w USING (k, win)),
+c AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS pos FROM h) GROUP BY doc_id),
+i AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN i USING (doc_id)
+""",
+)
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.drop("text_hash")
+
+
+@query(
+    "op3_substring_dedup",
+    """
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS ws FROM documents),
+w AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM d WHERE len(ws) >= 50),
+h AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS h FROM w),
+f AS (SELECT h, min(doc_id) AS a FROM h GROUP BY h HAVING min(doc_id) < max(doc_id)),
+g AS (SELECT doc_id, i FROM h JOIN f USING (h) WHERE a < doc_id),
+x AS (SELECT doc_id, list(DISTINCT pos) AS gone FROM (SELECT doc_id, unnest(range(i, i + 50)) AS pos FROM g) GROUP BY doc_id),
+v AS (SELECT d.doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM d JOIN x USING (doc_id)),
+q AS (SELECT doc_id, unnest(gone) AS pos FROM x),
+k AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS kept, count(*) AS n_kept
+  FROM v ANTI JOIN q USING (doc_id, pos) GROUP BY doc_id)
+SELECT d.doc_id, len(ws) AS n_words, CASE WHEN x.doc_id IS NULL THEN 0 ELSE len(ws) - coalesce(n_kept, 0) END AS n_removed,
+  sha256(CASE WHEN x.doc_id IS NULL THEN array_to_string(ws, ' ') ELSE coalesce(kept, '') END) AS kept_sha256
+FROM d LEFT JOIN x USING (doc_id) LEFT JOIN k USING (doc_id)
+""",
+)
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.report(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op5_host_rules",
     """
