@@ -12,6 +12,7 @@ from factgraph.llm import (
     compression_quality,
     decontaminate,
     host_rules,
+    near_dedup,
     pu_toxicity,
     substring_dedup,
     token_counts,
@@ -61,6 +62,29 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return rows.drop("text_hash")
 
 
+@query(
+    "op2_near_dedup",
+    """
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS ws FROM documents),
+g AS (SELECT doc_id, least(len(ws), 5) AS k, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM d WHERE len(ws) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + k - 1], ' ') AS sh FROM g),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a AS doc_id, min(b) AS m FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id,
+  d.doc_id = least(d.doc_id, coalesce(m, d.doc_id)) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+""",
+)
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 @query(
     "op3_substring_dedup",
     """
