@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ def staged(df: DataFrame, *partition_by: str) -> DataFrame:
 
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose texts hold about ``limit`` bytes; one longer text stands alone."""
-    sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
     start = held = 0
     for i, size in enumerate(sizes):
         if i > start and held + size > limit:
@@ -54,8 +55,6 @@ def map_slices(
     """``work`` over Arrow slices of ``df``; ``setup``, when given, builds it once per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute  # noqa: F401
-
         step = setup() if setup else work
         for batch in batches:
             for part in slices(batch):

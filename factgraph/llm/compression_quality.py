@@ -62,6 +62,16 @@ class Model:
         return score
 
 
+def _dictionary(samples: list[bytes]) -> bytes:
+    """A trained dictionary, or the end of the samples themselves when they are too few."""
+    import zstandard
+
+    try:
+        return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(samples)[-DICTIONARY_BYTES:]
+
+
 def _sizes(good: bytes, bad: bytes) -> Callable[[str | None], tuple[float, float, float] | None]:
     """The normalised sizes of one whole text under both dictionaries."""
     import zstandard
@@ -90,7 +100,6 @@ def _sizes(good: bytes, bad: bytes) -> Callable[[str | None], tuple[float, float
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality") -> Model:
     """Learn from the label rows that ``learn`` allows."""
     import numpy as np
-    import zstandard
 
     share = label_share(labels, label, learn)
     empty = Model(b"", b"", [], [], [], 0.5 if share is None else float(share))
@@ -100,14 +109,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality
         "part", F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(2))
     )
     windows = text_windows(sample.filter("part = 0"), ["label"], WINDOWS, WINDOW).collect()
-    try:
-        good, bad = (
-            zstandard.train_dictionary(
-                DICTIONARY_BYTES, sorted(r.text.encode("utf-8", "surrogatepass") for r in windows if r.label == v)
-            ).as_bytes()
-            for v in (1, 0)
-        )
-    except zstandard.ZstdError:  # too few examples
+    good, bad = (_dictionary(sorted(r.text.encode("utf-8", "surrogatepass") for r in windows if r.label == v)) for v in (1, 0))
+    if not good or not bad:
         return empty
     del windows
 

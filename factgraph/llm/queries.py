@@ -14,6 +14,7 @@ from factgraph.llm import (
     host_rules,
     near_dedup,
     pu_toxicity,
+    sampled_encoding,
     substring_dedup,
     token_counts,
     token_store,
@@ -109,6 +110,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.report(table(spark, sf_dir, "documents"))
 
 
+@query("op4_sampled_encoding")
+def op4_sampled_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampled_encoding.segmentations(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 @query(
     "op5_host_rules",
     """

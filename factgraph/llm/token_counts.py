@@ -17,6 +17,7 @@ import re
 from functools import partial
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -130,7 +131,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = 4096) ->
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             counts = [counter.count(t) for t in batch.column("text").to_pylist()]
-            sizes = pa.compute.binary_length(batch.column("text")).fill_null(0).cast(pa.int64())
+            sizes = pc.binary_length(batch.column("text")).fill_null(0).cast(pa.int64())
             return record(doc_id=batch.column("doc_id"), n_bytes=sizes, n_tokens=pa.array(counts, pa.int64()))
 
         return work
