@@ -101,13 +101,6 @@ def rtrim_ws(col: Column | str) -> Column:
     return F.regexp_replace(_c(col), f"{WS}+$", "")
 
 
-def truncate_text(col: Column | str, size: int = 280) -> Column:
-    """Compact, then cut to ``size`` characters including a final ``...``."""
-    text = compact_ws(col)
-    cut = F.concat(rtrim_ws(F.substring(text, 1, size - 3)), F.lit("..."))
-    return F.when(F.length(text) <= size, text).otherwise(cut)
-
-
 def join_notes(*parts: Column) -> Column:
     """``; `` between the non-blank parts, each trimmed."""
     return F.array_join(F.array_compact(F.array(*[non_blank(p) for p in parts])), "; ")

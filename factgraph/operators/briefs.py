@@ -22,7 +22,6 @@ TERM_ALIASES = {
 }
 # Limits of the briefs.
 RELIABLE_SCOPE = 5
-NOTE_CHARS = 120
 EXAMPLES = 3
 NOTES = 2
 ESTABLISHED_COUNT, ESTABLISHED_FRACTION = 2, 0.20
@@ -144,9 +143,12 @@ def failure_brief(
     category: str,
     terms: Sequence[str] = ("",),
     limit: int = 10,
+    note_chars: int | None = None,
 ) -> DataFrame:
     """Failure modes of a category per term, all terms in one job.
 
+    Notes differ when their whole texts do; ``note_chars`` shortens what is shown.
+
     A term matches value or note, in any known wording. Every row is tested against
     the given terms inside a projection, so no term × row join is planned.
     """
@@ -173,9 +175,12 @@ def failure_brief(
         first_n(records, key, ["name", "node_id"], EXAMPLES).withColumn("shown", _display()),
         key, "shown", "example_repos",
     )
-    cut = shown.filter("note <> ''").withColumn("cut", F.substring(trim_ws("note"), 1, NOTE_CHARS))
+    cut = shown.filter("note <> ''").withColumn("cut", trim_ws("note"))
     firsts = cut.groupBy(*key, "cut").agg(F.min(F.struct("name", "node_id", "note")).alias("first"))
-    notes = listed(first_n(firsts, key, ["first", "cut"], NOTES), key, "cut", "evidence_notes")
+    chosen = first_n(firsts, key, ["first", "cut"], NOTES)
+    if note_chars is not None:
+        chosen = chosen.withColumn("cut", F.substring("cut", 1, note_chars))
+    notes = listed(chosen, key, "cut", "evidence_notes")
 
     scope = scope_repo_count(facts, repos, "has_failure_mode", category).scalar()
     term = F.element_at(F.array(*[F.lit(t) for t in terms]), F.col("term_no") + 1)

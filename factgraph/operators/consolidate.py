@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factgraph.functions.text import truncate_text
+from factgraph.functions.text import compact_ws
 from factgraph.operators.shaping import HOT_ROWS, digest_number, first_row, join_hot_apart
 from factgraph.session import cut_lineage
 
@@ -224,7 +224,7 @@ def normalized_evidence(evidence: Column, source_file: Column, kinds: list[str])
             text(e["kind"]).alias("kind"),
             text(e["ref"]).alias("ref"),
             file.alias("source_file"),
-            F.nullif(truncate_text(F.coalesce(e["excerpt"], F.lit(""))), F.lit("")).alias("excerpt"),
+            F.nullif(compact_ws(F.coalesce(e["excerpt"], F.lit(""))), F.lit("")).alias("excerpt"),
             line(e["start_line"]).alias("start_line"),
             line(e["end_line"]).alias("end_line"),
         )

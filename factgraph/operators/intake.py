@@ -25,11 +25,14 @@ def catalog_names(catalog: DataFrame) -> DataFrame:
     Author and name make the full name; a strict address is the fallback.
     """
     url, author, name = (F.coalesce(trim_ws(c), F.lit("")) for c in ("url", "author", "repo_name"))
-    from_url = full_name_of_url(F.col("url"))
+    # One column per step, so that the patterns of an address run once per row.
+    from_url = F.col("_from_url")
     given = F.when((author != "") & (name != ""), F.concat(author, F.lit("/"), name)).otherwise(from_url)
-    full = F.when(given.rlike(FULL_NAME), given).otherwise(from_url)
+    full = F.col("full_name")
     problem = F.when(url == "", "missing_url").when(~F.coalesce(full.rlike(FULL_NAME), F.lit(False)), "invalid_full_name")
-    return catalog.select("*", full.alias("full_name"), F.lower(full).alias("norm"), problem.alias("problem"))
+    rows = catalog.withColumn("_from_url", full_name_of_url(F.col("url"))).withColumn("_given", given)
+    rows = rows.withColumn("full_name", F.when(F.col("_given").rlike(FULL_NAME), F.col("_given")).otherwise(from_url))
+    return rows.withColumn("norm", F.lower(full)).withColumn("problem", problem).drop("_from_url", "_given")
 
 
 def canonical_names(repos: DataFrame) -> DataFrame:

@@ -102,9 +102,9 @@ FRAMEWORK_CONFIGS = [
     "remix.config.ts", "svelte.config.js", "svelte.config.ts", "vite.config.js", "vite.config.ts",
 ]
 
-# Budgets.
-SCANNED_FILES, SCANNED_BYTES = 400, 128_000
+# Lengths of lists.
 ENTRYPOINTS, MIN_LIST = 8, 8
+EXTERNAL, INTERNAL = 20, 16
 
 
 def _in(words: Sequence[str]) -> str:
@@ -658,11 +658,11 @@ def is_dev_dependency(name: Column) -> Column:
     return F.lower(name).rlike("|".join(DEV_HINTS))
 
 
-def external_packages(files: DataFrame, manifests: DataFrame, entries: DataFrame, groups: Groups, budgets: DataFrame) -> DataFrame:
-    """Packages named by the most telling manifests, weighted by their order: ``repo, package, weight, rank``.
+def external_packages(files: DataFrame, manifests: DataFrame, entries: DataFrame, groups: Groups, most: int | None = EXTERNAL) -> DataFrame:
+    """Packages named by manifests, weighted by their order: ``repo, package, weight, rank``.
 
-    The budgets are four manifests and twelve packages for a complex repository, else
-    eight and twenty.
+    Every manifest is read; the most telling one weighs 8, the eighth and all after it
+    weigh 1. ``most`` is the length of the list (``None`` lists all).
     """
     first = F.split_part("path", F.lit("/"), F.lit(1))
     entry_roots = entries.groupBy("repo", first.alias("head")).agg(F.count("*").alias("entry_hits"))
@@ -679,10 +679,10 @@ def external_packages(files: DataFrame, manifests: DataFrame, entries: DataFrame
         F.lit(12) + orientation_score(False) + 5 * F.coalesce("entry_hits", F.lit(0)) + 2 * F.coalesce("group_hits", F.lit(0))
         + F.when(main, 2).otherwise(0)
     )
-    ranked = first_n(placed.withColumn("worth", worth), ["repo"], [F.desc("worth"), "manifest"], 8, "place").join(budgets, "repo")
-    used = ranked.filter("place <= manifest_budget").select(
-        "repo", F.col("manifest").alias("path"), F.expr("greatest(manifest_budget - place + 1, 1)").alias("weight")
-    )
+    # The first eight are told apart; the others need no order among themselves.
+    named = placed.select("repo", F.col("manifest").alias("path"), worth.alias("worth"))
+    leading = first_n(named, ["repo"], [F.desc("worth"), "path"], 8, "place").select("repo", "path", "place")
+    used = named.join(leading, ["repo", "path"], "left").select("repo", "path", F.expr("greatest(9 - coalesce(place, 9), 1)").alias("weight"))
     read = used.join(files.select("repo", "path", "content"), ["repo", "path"])
     read = path_features(read).withColumn("json", F.try_parse_json(F.when(F.col("name") == "package.json", F.col("content"))))
     is_toml = F.col("name").isin("pyproject.toml", "Cargo.toml")
@@ -698,26 +698,14 @@ def external_packages(files: DataFrame, manifests: DataFrame, entries: DataFrame
     )
     packages = read.select("repo", "weight", F.explode(names).alias("package")).filter(~is_dev_dependency(F.col("package")))
     weighted = packages.groupBy("repo", "package").agg(F.sum("weight").alias("weight"))
-    top = first_n(weighted, ["repo"], [F.desc("weight"), "package"], 20, "rank").join(budgets.select("repo", "external_budget"), "repo")
-    return top.filter("rank <= external_budget").select("repo", "package", "weight", "rank")
-
-
-def profile_budgets(files: DataFrame, manifests: DataFrame, roots: DataFrame, langs: DataFrame) -> DataFrame:
-    """Budgets per repository; complex ones get smaller budgets per list."""
+    return _ranked(weighted, "weight", "package", most)
 
-    def size(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy("repo").agg(F.count("*").alias(name))
 
-    rows = files.select("repo").distinct()
-    for df, name in ((langs, "l"), (manifests, "m"), (roots, "r")):
-        rows = rows.join(size(df, name), "repo", "left")
-    complex_ = (F.coalesce("l", F.lit(0)) >= 3) | (F.coalesce("m", F.lit(0)) >= 10) | (F.coalesce("r", F.lit(0)) >= 6)
-    return rows.select(
-        "repo",
-        F.when(complex_, 4).otherwise(8).alias("manifest_budget"),
-        F.when(complex_, 12).otherwise(20).alias("external_budget"),
-        F.when(complex_, 10).otherwise(16).alias("internal_budget"),
-    )
+def _ranked(rows: DataFrame, by: str, name: str, most: int | None) -> DataFrame:
+    order = [F.desc(by), name]
+    if most is None:
+        return rows.withColumn("rank", F.row_number().over(Window.partitionBy("repo").orderBy(*order)))
+    return first_n(rows, ["repo"], order, most, "rank")
 
 
 # Fixed patterns: import statements per language.
@@ -726,13 +714,13 @@ JS_IMPORT = r"""(?m)(?:import\s+.+?\s+from\s+|import\s*['"]|require\()\s*['"]([^
 GO_IMPORT = r'"([^"\n]+)"'
 
 
-def internal_imports(files: DataFrame, roots: DataFrame, max_files: int | None = SCANNED_FILES) -> DataFrame:
+def internal_imports(files: DataFrame, roots: DataFrame, max_files: int | None = None, max_bytes: int | None = None) -> DataFrame:
     """How often source files import modules below the package roots: ``repo, module, imports``.
 
-    Files above 128 kB are left out; ``max_files`` is the scan budget per repository in
-    walk order (``None`` scans all).
+    All files are scanned whole, unless ``max_files`` (in walk order, per repository) or
+    ``max_bytes`` (per file) say less.
     """
-    rows = path_features(files.filter(F.col("size") <= SCANNED_BYTES)).filter(is_source())
+    rows = path_features(files if max_bytes is None else files.filter(F.col("size") <= max_bytes)).filter(is_source())
     if max_files is not None:
         rows = first_n(rows.withColumn("walk", walk_key()), ["repo"], ["walk"], max_files)
     found = (
@@ -764,10 +752,9 @@ def collapsed_module(name: str, lang: str) -> Column:
     )
 
 
-def internal_modules(imports: DataFrame, budgets: DataFrame) -> DataFrame:
-    """Most imported own modules within the budget."""
-    top = first_n(imports, ["repo"], [F.desc("imports"), "module"], 16, "rank").join(budgets.select("repo", "internal_budget"), "repo")
-    return top.filter("rank <= internal_budget").drop("internal_budget")
+def internal_modules(imports: DataFrame, most: int | None = INTERNAL) -> DataFrame:
+    """Most imported own modules (``None`` lists all)."""
+    return _ranked(imports, "imports", "module", most)
 
 
 # --- orientation hints ------------------------------------------------------------
@@ -785,15 +772,18 @@ def _first_paths(groups: Groups, n: int) -> DataFrame:
     return listed.join(groups.groups.select("repo", "name", F.col("rank").alias("g"), "confidence"), ["repo", "name"])
 
 
-def first_reads(entries: DataFrame, groups: Groups, signals: Signals) -> DataFrame:
-    """Six paths to read first: entrypoints, charts, then leading groups.
+def first_reads(
+    entries: DataFrame, groups: Groups, signals: Signals, most: int = 6, broad_entries: int = 6, broad_groups: int = 5
+) -> DataFrame:
+    """``most`` paths to read first: entrypoints, charts, then leading groups.
 
-    A broad repository (six entrypoints, five groups) ranks its groups anew, stops the
-    groups at five paths and fills up with further entrypoints.
+    The order of this report depends on the shape of a repository: a broad one
+    (``broad_entries`` entrypoints and ``broad_groups`` groups) ranks its groups anew,
+    leaves the last place to them and fills up with further entrypoints.
     """
     sizes = entries.groupBy("repo").agg(F.count("*").alias("e")).join(
         groups.groups.groupBy("repo").agg(F.count("*").alias("g")), "repo", "full_outer"
-    ).select("repo", (F.coalesce("e", F.lit(0)) >= 6).alias("many"), (F.coalesce("g", F.lit(0)) >= 5).alias("wide"))
+    ).select("repo", (F.coalesce("e", F.lit(0)) >= broad_entries).alias("many"), (F.coalesce("g", F.lit(0)) >= broad_groups).alias("wide"))
     broad = sizes.select("repo", (F.col("many") & F.col("wide")).alias("broad"))
 
     firsts = path_features(groups.groups.select("repo", F.col("name").alias("group"), "first_path", "rank", "confidence"), "first_path")
@@ -812,34 +802,35 @@ def first_reads(entries: DataFrame, groups: Groups, signals: Signals) -> DataFra
         place.alias("turn"), F.lit(0).alias("sub"),
     )
     by_chart = chart_roots(signals.manifests).join(broad, "repo").select("repo", "path", "broad", F.lit(1).alias("stage"), F.col("rank").alias("turn"), F.lit(0).alias("sub"))
-    members = _first_paths(groups, 6).join(broad, "repo").join(leading, ["repo", "name"], "left")
+    members = _first_paths(groups, most).join(broad, "repo").join(leading, ["repo", "name"], "left")
     turn = F.when(F.col("broad"), F.col("broad_turn")).otherwise(F.when(F.col("g") <= 3, F.col("g")))
     by_group = members.select("repo", "path", "broad", F.lit(2).alias("stage"), turn.alias("turn"), "sub").filter("turn IS NOT NULL")
     rows = cut_lineage(by_entry.filter("stage IS NOT NULL").unionByName(by_chart).unionByName(by_group))
-    # The groups of a broad repository stop once five paths are listed.
-    early = _take(rows.filter("broad AND stage < 3"), 5).join(broad.filter("broad"), "repo").select("repo", "path", F.lit(0).alias("stage"), F.col("rank").alias("turn"), F.lit(0).alias("sub"))
+    # The groups of a broad repository stop one path early.
+    early = _take(rows.filter("broad AND stage < 3"), most - 1).join(broad.filter("broad"), "repo").select("repo", "path", F.lit(0).alias("stage"), F.col("rank").alias("turn"), F.lit(0).alias("sub"))
     late = rows.filter("broad AND stage = 3").select("repo", "path", "stage", "turn", "sub")
     plain = rows.filter("NOT broad").select("repo", "path", "stage", "turn", "sub")
-    return _take(early.unionByName(late).unionByName(plain), 6)
+    return _take(early.unionByName(late).unionByName(plain), most)
 
 
-def chart_roots(manifests: DataFrame) -> DataFrame:
-    """First two chart directories in walk order."""
+def chart_roots(manifests: DataFrame, most: int = 2) -> DataFrame:
+    """First ``most`` chart directories in walk order."""
     charts = path_features(manifests.filter("kind = 'helm_chart_manifest'").select("repo", "path", "walk"))
-    return first_n(charts, ["repo"], ["walk"], 2, "rank").select("repo", F.col("parent").alias("path"), "rank")
+    return first_n(charts, ["repo"], ["walk"], most, "rank").select("repo", F.col("parent").alias("path"), "rank")
 
 
-def runtime_surfaces(files: DataFrame, entries: DataFrame, groups: Groups, signals: Signals) -> DataFrame:
-    """Six runtime surfaces: entrypoints, charts, large runtime groups, then configuration."""
+def runtime_surfaces(files: DataFrame, entries: DataFrame, groups: Groups, signals: Signals, most: int = 6, per_kind: int = 4) -> DataFrame:
+    """``most`` runtime surfaces: entrypoints, charts, large runtime groups, then
+    configuration, ``per_kind`` of the first and the last."""
     started = entries.select("repo").distinct().withColumn("started", F.lit(True))
     charts = chart_roots(signals.manifests)
     charted = charts.select("repo").distinct().withColumn("charted", F.lit(True))
     state = files.select("repo").distinct().join(started, "repo", "left").join(charted, "repo", "left").na.fill(False)
     state = state.select("repo", "started", (~F.col("started") & F.col("charted")).alias("charts_only"))
 
-    by_entry = entries.filter("rank <= 4").select("repo", "path", F.lit(0).alias("stage"), F.col("rank").alias("turn"), F.lit(0).alias("sub"))
+    by_entry = entries.filter(F.col("rank") <= per_kind).select("repo", "path", F.lit(0).alias("stage"), F.col("rank").alias("turn"), F.lit(0).alias("sub"))
     by_chart = charts.select("repo", "path", F.lit(1).alias("stage"), F.col("rank").alias("turn"), F.lit(0).alias("sub"))
-    of_charts = _first_paths(groups, 6).filter("g <= 6").join(state.filter("charts_only"), "repo", "left_semi").select(
+    of_charts = _first_paths(groups, most).filter(F.col("g") <= most).join(state.filter("charts_only"), "repo", "left_semi").select(
         "repo", "path", F.lit(2).alias("stage"), F.col("g").alias("turn"), "sub"
     )
     leading = path_features(groups.groups.filter("rank <= 3").select("repo", F.col("first_path").alias("path"), "rank"))
@@ -851,16 +842,16 @@ def runtime_surfaces(files: DataFrame, entries: DataFrame, groups: Groups, signa
     )
     rows = path_features(signals.configs).join(state.filter("NOT charts_only"), "repo")
     wanted = F.col("kind").isin("runtime_config", "env_example") | (~F.col("started") & F.col("kind").isin("framework_config", "typescript_config"))
-    preferred = first_n(rows.filter(wanted).withColumn("fit", orientation_score(True)), ["repo"], [F.desc("fit"), "path"], 4, "turn")
+    preferred = first_n(rows.filter(wanted).withColumn("fit", orientation_score(True)), ["repo"], [F.desc("fit"), "path"], per_kind, "turn")
     spare = rows.filter("kind NOT IN ('ci_workflow', 'docs_config')").join(preferred.select("repo").distinct(), "repo", "left_anti")
-    fallback = first_n(spare, ["repo"], ["walk"], 4, "turn")
+    fallback = first_n(spare, ["repo"], ["walk"], per_kind, "turn")
     by_config = preferred.select("repo", "path", "turn").unionByName(fallback.select("repo", "path", "turn"))
     by_config = by_config.select("repo", "path", F.lit(3).alias("stage"), "turn", F.lit(0).alias("sub"))
     every = by_entry.unionByName(by_chart).unionByName(of_charts).unionByName(by_group).unionByName(by_config)
-    return _take(every, 6)
+    return _take(every, most)
 
 
-def limitations(files: DataFrame, entries: DataFrame, dependencies: DataFrame) -> DataFrame:
+def limitations(files: DataFrame, entries: DataFrame, dependencies: DataFrame, max_files: int | None = None) -> DataFrame:
     """Remarks on what a profile leaves open: ``repo, limitation, rank``."""
     scanned = source_files(files).groupBy("repo").agg(F.count("*").alias("sources"))
     weak = entries.groupBy("repo").agg(F.bool_or(F.col("confidence") == "medium").alias("weak"))
@@ -872,7 +863,9 @@ def limitations(files: DataFrame, entries: DataFrame, dependencies: DataFrame) -
             F.lit("no behavioral, failure-mode, or cross-repo claims are emitted"),
             F.when(F.col("weak"), "some entrypoints come from filename or manifest heuristics"),
             F.when(F.col("known").isNull(), "dependency and import hints were omitted where cheap signals were weak"),
-            F.when(F.col("sources") >= SCANNED_FILES, "import scanning was capped to keep the pre-pass cheap and deterministic"),
+            F.when(F.col("sources") > max_files, "import scanning was capped to keep the pre-pass cheap and deterministic")
+            if max_files is not None
+            else F.lit(None).cast("string"),
         )
     )
     return state.select("repo", F.posexplode(remarks).alias("rank", "limitation"))
@@ -898,22 +891,21 @@ class Profile:
     limitations: DataFrame
 
 
-def profile_trees(files: DataFrame, max_files: int | None = SCANNED_FILES) -> Profile:
+def profile_trees(files: DataFrame, max_files: int | None = None) -> Profile:
     """Profile of every repository in ``files``."""
     signals = tree_signals(files)
     langs = cut_lineage(languages(files, signals.manifests))
     roots = package_roots(files, signals)
     entries = entrypoints(files, signals)
     groups = module_groups(files, roots, signals)
-    budgets = cut_lineage(profile_budgets(files, signals.manifests, roots.roots, langs))
-    external = cut_lineage(external_packages(files, signals.manifests, entries, groups, budgets))
-    internal = cut_lineage(internal_modules(internal_imports(files, roots.roots, max_files), budgets))
+    external = cut_lineage(external_packages(files, signals.manifests, entries, groups))
+    internal = cut_lineage(internal_modules(internal_imports(files, roots.roots, max_files)))
     known = external.select("repo").unionByName(internal.select("repo"))
     return Profile(
         signals.manifests, signals.configs, langs, roots, entries, groups, external, internal,
         first_reads(entries, groups, signals),
         runtime_surfaces(files, entries, groups, signals),
-        limitations(files, entries, known),
+        limitations(files, entries, known, max_files),
     )
 
 

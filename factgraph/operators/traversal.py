@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from factgraph.operators.shaping import salted_join
 from factgraph.session import BROADCAST_ROW_LIMIT, cut_lineage
 
-MAX_HOPS = 3
+DEFAULT_HOPS = 3
 
 
 @dataclass(frozen=True)
@@ -46,7 +46,7 @@ def _steps(edges: DataFrame, relation: str | None, direction: str) -> DataFrame:
 
 
 def traverse(
-    starts: DataFrame, edges: DataFrame, hops: int = MAX_HOPS, relation: str | None = None, direction: str = "both"
+    starts: DataFrame, edges: DataFrame, hops: int = DEFAULT_HOPS, relation: str | None = None, direction: str = "both"
 ) -> Traversal:
     """Level-by-level walk from many starts at once.
 
@@ -54,10 +54,10 @@ def traverse(
     earlier, so an edge may show up again in a later hop; within a hop it counts once,
     with the smallest note. A frontier is checkpointed, counted, and broadcast only
     when small; a larger one is joined with salted keys, as a hub may hold a large
-    share of all edges.
+    share of all edges. The walk ends early when a frontier is empty.
     """
-    if not 1 <= hops <= MAX_HOPS:
-        raise ValueError(f"hops must be 1 to {MAX_HOPS}")
+    if hops < 1:
+        raise ValueError("hops must be at least 1")
     steps = _steps(edges, relation, direction)
     frontier = cut_lineage(
         starts.select("start_id", F.col("start_id").alias("node_id"), F.lit(0).alias("hop")).distinct()

@@ -13,11 +13,11 @@ from factgraph.plans.registry import query
 
 
 def candidates(spark, sf):
-    """Order lines as derived facts; returned lines of some size as drafts."""
+    """Order lines as derived facts; returned lines as drafts."""
     draft = F.col("l_returnflag") == "R"
     tool = F.col("p_brand") == "Brand#7"
     lines = (
-        b.table(spark, sf, "lineitem").filter(~draft | (F.col("l_quantity") >= 30))
+        b.table(spark, sf, "lineitem")
         .join(b.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(b.table(spark, sf, "part").select("p_partkey", "p_name", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
     )
@@ -74,8 +74,7 @@ cands AS (
            || lpad(l_suppkey::VARCHAR, 10, '0') || strftime(l_shipdate, '%Y%m%d')
            || lpad(CAST(round(l_extendedprice * 100) AS BIGINT)::VARCHAR, 14, '0')
            || lpad(CAST(l_quantity AS INT)::VARCHAR, 4, '0') AS pos
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-  WHERE l_returnflag <> 'R' OR l_quantity >= 30),
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
 keyed AS (
   SELECT *, CASE WHEN object_kind = 'external_tool' THEN object_node_id ELSE object_value END AS okey,
          concat_ws('~', node_id, object_kind, okey) AS ckey, concat_ws('~', ckey, note, as_of, mode) AS mkey FROM cands),

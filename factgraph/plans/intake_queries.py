@@ -251,15 +251,32 @@ def ingestion_gates(spark, sf):
     return intake.ingestion_gates(manifest_rows(spark, sf))
 
 
-@query(
-    "ingested_records",
-    """SELECT 'repo::owner' || p_size || '/p' || p_partkey AS node_id, p_brand AS category FROM part
-WHERE NOT EXISTS (SELECT * FROM part WHERE p_partkey < 0)""",
-)
+RECORDS_SQL = """
+SELECT 'repo::' || full_name AS node_id, name, full_name, source, 'repos/knowledge/repos/' || name || '.yaml' AS source_file, as_of,
+category, summary, core_concepts, key_entry_points, build_run, extras, fallback_fields FROM rows WHERE errors = ''"""
+
+
+def record_columns(records):
+    def shown(name):
+        return F.array_join(F.transform(F.map_entries(name), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "; ").alias(name)
+
+    return joined(records.withColumn("fallback_fields", F.col("refresh.fallback_fields")), "core_concepts", "key_entry_points", "fallback_fields").select(
+        "node_id", "name", "full_name", "source", "source_file", "as_of", "category", "summary", "core_concepts", "key_entry_points",
+        shown("build_run"), shown("extras"), "fallback_fields",
+    )
+
+
+@query("ingested_records", MANIFEST_SQL + RECORDS_SQL)
 def ingested_records(spark, sf):
-    """The rows without a fault pass as a whole; see ``ingestion_blockers`` for a blocked load."""
-    rows = manifest_rows(spark, sf).withColumn("errors", F.array().cast("array<string>"))
-    return intake.load_all_or_nothing(rows).select("node_id", "category")
+    """A load of the rows without a fault: nothing blocks, and all of them come in."""
+    rows = manifest_rows(spark, sf).filter(F.size("errors") == 0)
+    return record_columns(intake.load_all_or_nothing(rows))
+
+
+@query("blocked_ingest", MANIFEST_SQL + RECORDS_SQL + " AND NOT EXISTS (SELECT * FROM rows WHERE errors <> '')")
+def blocked_ingest(spark, sf):
+    """A load of all rows: a single faulty one holds everything back."""
+    return record_columns(intake.load_all_or_nothing(manifest_rows(spark, sf)))
 
 
 @query(

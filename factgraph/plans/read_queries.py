@@ -344,7 +344,7 @@ examples AS (
   SELECT term_no, object_value, string_agg(coalesce(nullif(full_name, ''), name), '; ' ORDER BY rn) AS example_repos
   FROM ranked WHERE rn <= 3 GROUP BY 1, 2),
 cuts AS (
-  SELECT term_no, object_value, substr(trim(note), 1, 120) AS cut, min((name, node_id, note)) AS first
+  SELECT term_no, object_value, trim(note) AS cut, min((name, node_id, note)) AS first
   FROM hits WHERE note <> '' GROUP BY 1, 2, 3),
 cutrank AS (SELECT *, row_number() OVER (PARTITION BY term_no, object_value ORDER BY first, cut) AS rn FROM cuts),
 notes AS (

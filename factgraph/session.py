@@ -41,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     local = os.path.join(tempfile.gettempdir(), "factgraph-checkpoints")
     spark.conf.set("spark.checkpoint.dir", local)

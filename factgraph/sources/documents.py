@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,20 +18,58 @@ IGNORED_DIRS = [
 ]
 
 
+def listed_paths(files: DataFrame) -> DataFrame:
+    """``path`` of every file a scan was planned over, files of no bytes included.
+
+    Spark's readers pass over empty files, but its file index, which the driver holds for
+    any scan, lists them.
+    """
+    paths = [unquote(p) for p in files.inputFiles()]
+    rows = [(re.sub("^file:///", "file:/", p),) for p in paths]
+    spark = files.sparkSession
+    return spark.createDataFrame(rows, "path string") if rows else files.select("path").limit(0)
+
+
+def binary_files(spark: SparkSession, folder: str, **options: str) -> DataFrame:
+    """``path, length, content`` of the files of a folder; empty ones have content of no bytes.
+
+    As in all of Spark, names that begin with ``_`` or ``.`` are hidden.
+    """
+    files = spark.read.format("binaryFile").options(**options).load(folder).select("path", "length", "content")
+    empty = listed_paths(files).join(files.select("path"), "path", "left_anti")
+    return files.unionByName(empty.select("path", F.lit(0).cast("long").alias("length"), F.lit(b"").alias("content")))
+
+
+def plain_value(value, above: tuple = ()):
+    """A parsed YAML value in JSON's terms: text keys at every level, dates as one-key
+    objects, numbers that JSON lacks as text. An anchor that holds itself is an error."""
+    import datetime
+
+    if isinstance(value, (dict, list, set, tuple)):
+        if any(value is v for v in above):
+            raise ValueError("an anchor contains itself")
+        inner = (*above, value)
+        if isinstance(value, dict):
+            return {str(k): plain_value(v, inner) for k, v in value.items()}
+        return [plain_value(v, inner) for v in value]
+    if isinstance(value, (datetime.date, datetime.datetime)):
+        return {"date": value.isoformat()}
+    if isinstance(value, float) and (value != value or value in (float("inf"), float("-inf"))):
+        return str(value)
+    return value if value is None or isinstance(value, (bool, int, float, str)) else str(value)
+
+
 def yaml_documents(spark: SparkSession, folder: str, kind: str = "document", pattern: str = "*.yaml") -> DataFrame:
     """One row per file: ``kind, path, file, body VARIANT, error, sha256``.
 
-    Files are split over tasks by Spark, which passes over files of no bytes; a file that does not parse, or whose top level
-    is no mapping, becomes a row with ``error`` and a null body. Dates written without
-    quotes turn into a one-key object, so that they read as missing text later on.
+    Files are split over tasks by Spark. A file that does not parse, whose top level is no
+    mapping, or that is too large for a VARIANT becomes a row with ``error`` and a null
+    body; an empty file is an empty mapping. Dates written without quotes turn into a
+    one-key object, so that they read as missing text later on.
     """
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-        .select("path", "content", F.sha2("content", 256).alias("sha256"))
-    )
+    files = binary_files(spark, folder, pathGlobFilter=pattern).select("path", "content", F.sha2("content", 256).alias("sha256"))
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import datetime
         import json
 
         import pandas
@@ -36,22 +77,16 @@ def yaml_documents(spark: SparkSession, folder: str, kind: str = "document", pat
 
         loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
 
-        def plain(value):
-            if isinstance(value, (datetime.date, datetime.datetime)):
-                return {"date": value.isoformat()}
-            return str(value)
-
         def one(content):
             try:
                 value = yaml.load(bytes(content).decode("utf-8"), Loader=loader)  # noqa: S506 (a safe loader)
+                if value is None:
+                    return "{}", None
+                if not isinstance(value, dict):
+                    return None, "invalid_payload_shape"
+                return json.dumps(plain_value(value), ensure_ascii=False, allow_nan=False), None
             except Exception as exc:
                 return None, f"parse_error: {exc}"
-            if value is None:
-                return "{}", None
-            if not isinstance(value, dict):
-                return None, "invalid_payload_shape"
-            text = json.dumps({str(k): v for k, v in value.items()}, default=plain, ensure_ascii=False, allow_nan=False)
-            return text, None
 
         for batch in batches:
             parsed = [one(c) for c in batch["content"]]
@@ -69,8 +104,8 @@ def yaml_documents(spark: SparkSession, folder: str, kind: str = "document", pat
         F.lit(kind).alias("kind"),
         "path",
         F.element_at(F.split("path", "/"), -1).alias("file"),
-        F.parse_json("json").alias("body"),
-        "error",
+        F.try_parse_json("json").alias("body"),
+        F.coalesce("error", F.when(F.col("json").isNotNull() & F.try_parse_json("json").isNull(), "parse_error: no variant")).alias("error"),
         "sha256",
     )
 
@@ -134,21 +169,61 @@ def manifest(documents: DataFrame) -> DataFrame:
     return entries(head, "repos", ("path", "default_shard", "default_as_of"))
 
 
+def _store(root: str):
+    """File system and base path of a folder, by address or local path."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (fs.LocalFileSystem(), root.rstrip("/"))
+
+
 def repo_files(spark: SparkSession, root: str, repo_depth: int = 1, with_content: bool = True) -> DataFrame:
     """Source-tree listing ``repo, path, size, content``, ignored directories left out.
 
-    ``root`` holds one directory per repository, ``repo_depth`` levels deep.
+    ``root`` holds one directory per repository, ``repo_depth`` levels deep. Spark's readers
+    pass over empty files and names that begin with ``_`` or ``.``, so tasks list and read
+    the tree themselves: one repository is listed by one task, files are read by all.
+    Bytes that are no UTF-8 are left out of ``content``.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    tail = F.split(F.element_at(F.split("path", "/" + root.strip("/").split("/")[-1] + "/", 2), 2), "/")
-    inner = F.slice(tail, repo_depth + 1, F.lit(1 << 20))
-    rows = files.select(
-        F.array_join(F.slice(tail, 1, repo_depth), "/").alias("repo"),
-        F.array_join(inner, "/").alias("path"),
-        F.col("length").alias("size"),
-        (F.decode("content", "utf-8") if with_content else F.lit(None).cast("string")).alias("content"),
-    )
-    return prune_tree(rows)
+    from pyarrow import fs
+
+    store, base = _store(root)
+    level = [base]
+    for _ in range(repo_depth):
+        found = [f for d in level for f in store.get_file_info(fs.FileSelector(d))]
+        level = sorted(f.path for f in found if f.type == fs.FileType.Directory)
+    repos = spark.createDataFrame([(d[len(base) :].strip("/"), d) for d in level], "repo string, dir string")
+    repos = repos.repartition(max(1, min(len(level), spark.sparkContext.defaultParallelism * 4)), "repo")
+
+    def listing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, _ = _store(root)
+        for row in (r for batch in batches for r in batch.to_pylist()):
+            waiting = [row["dir"]]
+            while waiting:
+                here = store.get_file_info(fs.FileSelector(waiting.pop()))
+                waiting += [f.path for f in here if f.type == fs.FileType.Directory and f.base_name not in IGNORED_DIRS]
+                files = [f for f in here if f.type == fs.FileType.File]
+                if files:
+                    inner = [f.path[len(row["dir"]) :].strip("/") for f in files]
+                    yield pa.RecordBatch.from_pydict(
+                        {"repo": [row["repo"]] * len(files), "path": inner, "size": [f.size for f in files], "at": [f.path for f in files]}
+                    )
+
+    rows = prune_tree(repos.mapInArrow(listing, "repo string, path string, size long, at string"))
+    if not with_content:
+        return rows.select("repo", "path", "size", F.lit(None).cast("string").alias("content"))
+
+    def reading(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, _ = _store(root)
+        for batch in batches:
+            for row in batch.to_pylist():
+                with store.open_input_stream(row.pop("at")) as source:
+                    row["content"] = source.read().decode("utf-8", "ignore")
+                yield pa.RecordBatch.from_pylist([row])
+
+    dealt = rows.repartition("repo", "path")
+    return dealt.mapInArrow(reading, "repo string, path string, size long, content string")
 
 
 def prune_tree(files: DataFrame) -> DataFrame:

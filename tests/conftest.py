@@ -22,6 +22,8 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": "4",
+            # Plans name all pushed filters.
+            "spark.sql.maxMetadataStringLength": "4000",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
