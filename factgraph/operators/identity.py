@@ -274,3 +274,39 @@ def malformed_identity(records: DataFrame, expected_shard: str = "repos") -> Dat
         )
     )
     return records.select("repo", fields.alias("malformed")).filter(F.size("malformed") > 0)
+
+
+# --- links between documents ------------------------------------------------------
+
+
+def link_stems(deep: DataFrame, shallow: DataFrame) -> DataFrame:
+    """Deep documents with the shallow one of the same shard and folded stem.
+
+    Both hold ``shard, stem, file``; of shallow documents that fold alike the last file
+    counts. ``problem`` says ``unlinked`` where there is none.
+    """
+    token = norm_token("stem").alias("token")
+    last = shallow.groupBy("shard", token).agg(F.max("file").alias("shallow_file"))
+    rows = deep.select("shard", token, F.col("file").alias("deep_file")).join(last, ["shard", "token"], "left")
+    return rows.withColumn("problem", F.when(F.col("shallow_file").isNull(), "unlinked")).drop("token")
+
+
+def profile_names(requests: DataFrame, manifest: DataFrame, canonical: DataFrame) -> DataFrame:
+    """``full_name, file_stem, node_id`` of profiles to be written.
+
+    The stem comes from the manifest (``full_name, file_stem``), else from the canonical
+    record (``full_name, file_stem, node_id``), else from the name; the id from the
+    record, else from the name. Of rows with one name the last in text order counts.
+    """
+
+    def last(df: DataFrame, **columns: str) -> DataFrame:
+        return df.filter(F.col("full_name").isNotNull()).groupBy("full_name").agg(*[F.max(c).alias(n) for n, c in columns.items()])
+
+    rows = requests.select("full_name").join(last(manifest, given="file_stem"), "full_name", "left")
+    rows = rows.join(last(canonical, known="file_stem", known_id="node_id"), "full_name", "left")
+    owner, name = (F.lower(F.split_part("full_name", F.lit("/"), F.lit(i))) for i in (1, 2))
+    return rows.select(
+        "full_name",
+        F.coalesce(F.nullif("given", F.lit("")), F.nullif("known", F.lit("")), F.concat(owner, F.lit("__"), name)).alias("file_stem"),
+        F.coalesce(F.nullif("known_id", F.lit("")), F.concat(F.lit("repo::"), "full_name")).alias("node_id"),
+    )

@@ -459,3 +459,70 @@ def malformed_identity(spark, sf):
         path.alias("source_file"), F.lit("2024-01-01").alias("as_of"),
     )
     return joined(identity.malformed_identity(records), "malformed")
+
+
+# --- links and contracts ----------------------------------------------------------
+
+
+@query(
+    "stem_links",
+    """
+WITH shallow AS (
+  SELECT 's' || c_nationkey AS shard, regexp_replace(lower(c_name), '[^a-z0-9]', '', 'g') AS token, max('shallow/' || c_name) AS shallow_file
+  FROM customer WHERE c_mktsegment <> 'BUILDING' GROUP BY 1, 2)
+SELECT 's' || c_nationkey AS shard, 'deep/' || c_custkey AS deep_file, shallow_file, CASE WHEN shallow_file IS NULL THEN 'unlinked' END AS problem
+FROM customer LEFT JOIN shallow ON shard = 's' || c_nationkey AND token = regexp_replace(lower(replace(c_name, '#', '_')), '[^a-z0-9]', '', 'g')""",
+)
+def stem_links(spark, sf):
+    """Customers as documents; those of one segment have no shallow one."""
+    people = b.table(spark, sf, "customer").withColumn("shard", F.concat(F.lit("s"), "c_nationkey"))
+    shallow = people.filter("c_mktsegment <> 'BUILDING'").select(
+        "shard", F.col("c_name").alias("stem"), F.concat(F.lit("shallow/"), "c_name").alias("file")
+    )
+    deep = people.select("shard", F.replace("c_name", F.lit("#"), F.lit("_")).alias("stem"), F.concat(F.lit("deep/"), "c_custkey").alias("file"))
+    return identity.link_stems(deep, shallow)
+
+
+@query(
+    "profile_names",
+    """
+SELECT 'Own' || p_size || '/P' || p_partkey AS full_name,
+  CASE WHEN p_partkey % 3 = 0 THEN p_brand WHEN p_partkey % 2 = 0 THEN p_type ELSE 'own' || p_size || '__p' || p_partkey END AS file_stem,
+  CASE WHEN p_partkey % 4 = 0 THEN 'node' || p_partkey ELSE 'repo::Own' || p_size || '/P' || p_partkey END AS node_id FROM part""",
+)
+def profile_names(spark, sf):
+    key = F.col("p_partkey")
+    parts = b.table(spark, sf, "part").withColumn("full_name", F.concat(F.lit("Own"), "p_size", F.lit("/P"), "p_partkey"))
+    manifest = parts.select("full_name", F.when(key % 3 == 0, F.col("p_brand")).otherwise("").alias("file_stem"))
+    canonical = parts.filter(key % 2 == 0).select(
+        "full_name", F.col("p_type").alias("file_stem"), F.when(key % 4 == 0, F.concat(F.lit("node"), "p_partkey")).alias("node_id")
+    )
+    return identity.profile_names(parts, manifest, canonical)
+
+
+@query(
+    "contract_findings",
+    """
+WITH a AS (SELECT r_name AS artifact, r_regionkey FROM region),
+w AS (SELECT unnest(['AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST', 'NOWHERE']) AS artifact)
+SELECT w.artifact, CASE WHEN a.artifact IS NULL THEN 'missing' WHEN r_regionkey = 1 THEN 'no_mapping' ELSE 'no_version' END AS finding
+FROM w LEFT JOIN a ON a.artifact = w.artifact WHERE a.artifact IS NULL OR r_regionkey IN (1, 2)""",
+)
+def contract_findings(spark, sf):
+    """Regions as contract artefacts, each with a fault of its own or none."""
+    key = F.col("r_regionkey")
+    artifacts = b.table(spark, sf, "region").select(
+        F.col("r_name").alias("artifact"), (key != 1).alias("is_mapping"), F.when(key == 2, " ").otherwise("1.0").alias("version")
+    )
+    return setdiff.contract_findings(artifacts, ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST", "NOWHERE"])
+
+
+@query(
+    "contract_versions",
+    """SELECT '*' AS artifact, 'version_mismatch' AS finding FROM (SELECT count(DISTINCT n_regionkey) AS n FROM nation) WHERE n > 1""",
+)
+def contract_versions(spark, sf):
+    """Nations as sound artefacts whose versions differ."""
+    nations = b.table(spark, sf, "nation")
+    artifacts = nations.select(F.col("n_name").alias("artifact"), F.lit(True).alias("is_mapping"), F.col("n_regionkey").cast("string").alias("version"))
+    return setdiff.contract_findings(artifacts, [r[0] for r in nations.select("n_name").collect()])
