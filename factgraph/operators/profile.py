@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from factgraph.operators.aggregates import subtree_counts
 from factgraph.operators.identity import toml_json
 from factgraph.operators.shaping import first_n, first_row
-from factgraph.session import cut_lineage
+from factgraph.session import cut_lineage, staged
 
 # File name → manifest kind.
 MANIFEST_KINDS = {
@@ -892,7 +892,8 @@ class Profile:
 
 
 def profile_trees(files: DataFrame, max_files: int | None = None) -> Profile:
-    """Profile of every repository in ``files``."""
+    """Profile of every repository in ``files``, which is staged once and read by column."""
+    files = staged(files)
     signals = tree_signals(files)
     langs = cut_lineage(languages(files, signals.manifests))
     roots = package_roots(files, signals)

@@ -16,6 +16,7 @@ from factgraph.operators.profile import (
 )
 from factgraph.plans import bindings as b
 from factgraph.plans.registry import query
+from factgraph.session import staged
 
 # --- trees ------------------------------------------------------------------------
 
@@ -238,7 +239,7 @@ imports AS (
 SELECT repo, module, count(*) AS imports FROM imports GROUP BY 1, 2""",
 )
 def import_counts(spark, sf):
-    files = trees(spark, sf)
+    files = staged(trees(spark, sf))
     roots = profile.package_roots(files, profile.tree_signals(files)).roots
     return profile.internal_imports(files, roots, max_files=None)
 
@@ -248,19 +249,19 @@ def import_counts(spark, sf):
 
 @query("package_roots")
 def package_roots(spark, sf):
-    files = trees(spark, sf)
+    files = staged(trees(spark, sf))
     return profile.package_roots(files, profile.tree_signals(files)).roots
 
 
 @query("tree_entrypoints")
 def tree_entrypoints(spark, sf):
-    files = trees(spark, sf)
+    files = staged(trees(spark, sf))
     return profile.entrypoints(files, profile.tree_signals(files))
 
 
 @query("module_groups")
 def module_groups(spark, sf):
-    files = trees(spark, sf)
+    files = staged(trees(spark, sf))
     signals = profile.tree_signals(files)
     return profile.module_groups(files, profile.package_roots(files, signals), signals).groups
 
@@ -287,9 +288,11 @@ def tree_runtime_surfaces(spark, sf):
 SELECT repo, count(*) AS total_files_seen, count(*) FILTER (WHERE n NOT IN (3, 7)) AS source_files_seen FROM files GROUP BY 1""",
 )
 def tree_summary(spark, sf):
-    files = trees(spark, sf)
-    empty = files.select("repo").limit(0)
-    return profile.batch_summary(files, empty, empty).select("repo", "total_files_seen", "source_files_seen")
+    files = staged(trees(spark, sf))
+    signals = profile.tree_signals(files)
+    roots = profile.package_roots(files, signals)
+    groups = profile.module_groups(files, roots, signals)
+    return profile.batch_summary(files, roots.roots, groups.groups).select("repo", "total_files_seen", "source_files_seen")
 
 
 # --- references -------------------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +58,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def staged(df: DataFrame, *partition_by: str) -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and read it again.
+
+    Lineage ends there, as with a checkpoint, and later reads prune columns.
+    """
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/factgraph-staged/{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Hint a broadcast only when ``df`` holds at most ``limit`` rows.
 
