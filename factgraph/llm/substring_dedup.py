@@ -1,15 +1,14 @@
 """Repeated spans of fifty words, found on a compacted De Bruijn graph of tokens.
 
-Token k-mers of ten words are the edges of the graph. Of every 50-word window the
+Token k-mers of sixteen words are the edges of the graph. Of every 50-word window the
 smallest k-mer by hash, the leftmost among equals, is its edge, so equal windows hang on
-equal edges at equal places. Consecutive windows on one edge form a path. Paths that
-never branch are equal as a whole wherever they stand: Spark groups paths by content,
-which compacts all their copies into one row with the coordinates of the first. An edge
-that stands in one document only ends there. For the others a join on the compacted
-paths says which copies are later than the first; those go as a whole. Only the first
-copy of each path is opened, at its source coordinates, into its windows, since single
-windows may stand in smaller documents on another path; a grouping of those windows
-verifies them one by one.
+equal edges at equal places. Consecutive windows on one edge form a path. A join keeps
+the edges that stand in several documents. Paths that never branch are equal as a whole
+wherever they stand: Spark groups paths by content, which compacts all their copies into
+one row with the coordinates of the first, and copies in later documents go as a whole.
+Where an edge branches into several paths, the first copy of each is opened at its source
+coordinates into its windows, since single windows may stand in smaller documents on
+another path; a grouping of those windows verifies them one by one.
 
 Nothing is limited: a hot path costs one row per task before the shuffle, a join on it is
 split by AQE, and all windows of a hot edge spread by their own hashes.
@@ -36,7 +35,7 @@ from pyspark.sql import functions as F
 from factgraph.llm.common import map_slices, record, slices, staged
 
 WINDOW = 50
-EDGE = 10
+EDGE = 16
 BASE = 0x9E3779B97F4A7C15
 
 
@@ -127,20 +126,24 @@ def paths(docs: DataFrame) -> DataFrame:
 def removals(docs: DataFrame) -> DataFrame:
     """``__id, __key, __runs``: per document the windows to remove, as places and bit masks.
 
-    ``docs`` must carry ``__hash``. One frame, so that Spark reuses the exchange of
-    ``docs`` in the caller's own join on the same columns.
+    ``docs`` must carry ``__hash``. All its columns pass the step that opens paths, so that
+    Spark uses one exchange of ``docs`` here and in the caller's own join.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = staged(paths(docs.drop("__hash")))
+    shared = found.groupBy("edge").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("edge")
+    near = staged(found.join(staged(shared), "edge"))
     compact = staged(
-        found.groupBy("edge", "path", "n").agg(F.min(F.struct("doc_id", "__hash", "at")).alias("source"), F.max("doc_id").alias("last"))
+        near.groupBy("edge", "path", "n").agg(F.min(F.struct("doc_id", "__hash", "at")).alias("source"), F.max("doc_id").alias("last"))
     )
-    shared = compact.groupBy("edge").agg(F.min("source.doc_id").alias("a"), F.max("last").alias("b")).filter("a < b").select("edge")
-    live = staged(compact.join(shared, "edge", "left_semi"))
+    # An edge whose paths all begin in one document has nothing to look up.
+    branching = compact.groupBy("edge").agg(F.min("source.doc_id").alias("a"), F.max("source.doc_id").alias("b")).filter("a < b").select("edge")
 
     # First copies are opened at their source coordinates.
-    opened = live.groupBy(F.col("source.doc_id").alias("__id"), F.col("source.__hash").alias("__key")).agg(
-        F.collect_list(F.struct(F.col("source.at").alias("at"), "n", "edge", "path")).alias("__open")
+    opened = staged(
+        compact.join(staged(branching), "edge").groupBy(F.col("source.doc_id").alias("__id"), F.col("source.__hash").alias("__key")).agg(
+            F.collect_list(F.struct(F.col("source.at").alias("at"), "n", "edge", "path")).alias("__open")
+        )
     )
     at_source = docs.join(opened, (docs["doc_id"] == opened["__id"]) & (docs["__hash"] == opened["__key"]), "left")
 
@@ -167,16 +170,17 @@ def removals(docs: DataFrame) -> DataFrame:
                     yield record(**{c: pa.array(np.concatenate(v), types.get(c, pa.int64())) for c, v in out.items()})
 
     schema = f"doc_id {kind}, edge long, path long, n int, i int, window long"
-    every = staged(at_source.select("doc_id", "text", "__open").mapInArrow(open_paths, schema))
+    every = at_source.select(*docs.columns, "__open").mapInArrow(open_paths, schema)
     owners = every.groupBy("edge", "window").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).filter("owner < last")
     masks = (
         every.join(owners.drop("last"), ["edge", "window"]).filter("owner < doc_id")
         .groupBy("edge", "path", "n").agg(F.bit_or(F.expr("shiftleft(1L, i)")).alias("mask"))
     )
-    known = live.select("edge", "path", "n", F.col("source.doc_id").alias("first"), "last").join(masks, ["edge", "path", "n"], "left")
-    known = known.filter("first < last or mask is not null")
+    first = compact.select("edge", "path", "n", F.col("source.doc_id").alias("first"), "last")
+    known = first.join(masks, ["edge", "path", "n"], "left").filter("first < last or mask is not null")
     whole = F.expr("shiftleft(1L, n) - 1")
-    gone = found.join(known, ["edge", "path", "n"]).select(
+    # Dealt anew, so that AQE can split a hot path in this join.
+    gone = near.join(known.hint("rebalance"), ["edge", "path", "n"]).select(
         F.col("doc_id").alias("__id"), F.col("__hash").alias("__key"),
         F.struct("at", F.when(F.col("doc_id") > F.col("first"), whole).otherwise(F.col("mask")).alias("mask")).alias("run"),
     ).filter("run.mask is not null")
