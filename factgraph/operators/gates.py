@@ -68,16 +68,32 @@ def _in(col: str, values: Sequence[str]) -> Column:
 
 
 def repo_rules() -> list[Rule]:
-    """Required texts and lists of a record, and the language rule."""
+    """Required texts and lists of a record, forms of name and address, and the language rule."""
     texts = ["node_id", "full_name", "html_url", "name", "category", "summary", "as_of"]
     rules = [blocking("missing_" + c, is_blank(c)) for c in texts]
     for c in ("core_concepts", "key_entry_points", "build_run"):
         rules.append(blocking("empty_" + c, F.coalesce(F.size(c), F.lit(0)) <= 0))
+    rules.append(blocking("invalid_full_name", ~is_blank("full_name") & ~F.col("full_name").rlike("^[^/]+/[^/]+$"), _quoted("invalid full_name", "full_name")))
+    rules.append(blocking("invalid_html_url", ~is_blank("html_url") & ~F.col("html_url").rlike("^https://"), _quoted("invalid html_url", "html_url")))
     spoken = F.coalesce(F.col("build_run").getItem("language"), F.lit("")) == ""
     rules.append(blocking("missing_language", spoken & (F.coalesce("category", F.lit("")) != "documentation")))
     return rules
 
 
+# Sources and shards of the contract.
+SOURCES = ["repos", "remote_metadata", "remote_api", "compiled_master"]
+SHARDS = ["repos", "merged"]
+
+
+def provenance_rules() -> list[Rule]:
+    """Source and shard vocabulary and the file of a record with ``source, shard, source_file``."""
+    return [
+        blocking("invalid_source", ~_in("source", SOURCES), _quoted("invalid source", "source")),
+        blocking("invalid_shard", ~_in("shard", SHARDS), _quoted("invalid shard", "shard")),
+        blocking("missing_source_file", is_blank("source_file")),
+    ]
+
+
 def node_rules() -> list[Rule]:
     return [
         blocking("missing_node_id", is_blank("node_id")),

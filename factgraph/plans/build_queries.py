@@ -560,18 +560,66 @@ def fact_findings(spark, sf):
 SELECT node_id, 'blocking' AS severity, 'missing_full_name' AS reason, '' AS detail FROM repos WHERE full_name IS NULL
 UNION ALL SELECT node_id, 'blocking', 'missing_summary', '' FROM repos WHERE summary = ''
 UNION ALL SELECT node_id, 'blocking', 'empty_core_concepts', '' FROM repos WHERE ordinal % 4 = 0
-UNION ALL SELECT node_id, 'blocking', 'missing_language', '' FROM repos WHERE ordinal % 6 = 1""",
+UNION ALL SELECT node_id, 'blocking', 'missing_language', '' FROM repos WHERE ordinal % 6 = 1
+UNION ALL SELECT node_id, 'blocking', 'invalid_full_name', 'invalid full_name '''  || full_name || '/x''' FROM repos WHERE ordinal % 7 = 1 AND full_name IS NOT NULL
+UNION ALL SELECT node_id, 'blocking', 'invalid_html_url', 'invalid html_url ''ftp://example.org/' || name || '''' FROM repos WHERE ordinal % 5 = 0
+UNION ALL SELECT node_id, 'blocking', 'invalid_source', 'invalid source ''odd''' FROM repos WHERE ordinal % 4 = 1
+UNION ALL SELECT node_id, 'blocking', 'invalid_shard', 'invalid shard ''' || shard || '''' FROM repos WHERE ordinal % 3 = 2
+UNION ALL SELECT node_id, 'blocking', 'missing_source_file', '' FROM repos WHERE ordinal % 6 = 0""",
 )
 def repo_findings(spark, sf):
     n = F.col("ordinal")
     rows = b.repos(spark, sf).select(
         "*",
-        F.concat(F.lit("https://example.org/"), "name").alias("html_url"),
+        F.concat(F.when(n % 5 == 0, "ftp").otherwise("https"), F.lit("://example.org/"), "name").alias("html_url"),
+        F.when(n % 4 == 1, "odd").otherwise("repos").alias("source"),
+        F.when(n % 6 == 0, " ").otherwise("a.yaml").alias("source_file"),
         F.when(n % 4 != 0, F.array("name")).otherwise(F.array().cast("array<string>")).alias("core_concepts"),
         F.array("category").alias("key_entry_points"),
         F.create_map(F.when(n % 6 == 1, "tool").otherwise("language"), F.lit("sql")).alias("build_run"),
     )
-    return gates.rule_findings(rows, gates.repo_rules(), ["node_id"])
+    rows = rows.withColumn("full_name", F.when(n % 7 == 1, F.concat("full_name", F.lit("/x"))).otherwise(F.col("full_name")))
+    rows = rows.withColumn("shard", F.when(n % 3 == 0, "merged").when(n % 3 == 1, "repos").otherwise(F.col("shard")))
+    return gates.rule_findings(rows, [*gates.repo_rules(), *gates.provenance_rules()], ["node_id"])
+
+
+@query(
+    "node_findings",
+    b.with_views(b.NODES_SQL)
+    + """
+SELECT node_id, 'blocking' AS severity, 'unknown_kind' AS reason, 'unknown kind ''place''' AS detail FROM nodes WHERE label = 'ASIA'
+UNION ALL SELECT node_id, 'blocking', 'missing_repo_ref', '' FROM nodes WHERE kind = 'repo' AND label LIKE 'Order %1'
+UNION ALL SELECT node_id, 'blocking', 'missing_external_ref', '' FROM nodes WHERE kind = 'concept'
+UNION ALL SELECT node_id, 'blocking', 'missing_label', '' FROM nodes WHERE label = 'EUROPE'""",
+)
+def node_findings(spark, sf):
+    """Graph nodes with faults of several kinds against the node contract."""
+    label, kind = F.col("label"), F.col("kind")
+    nodes = b.nodes(spark, sf).select(
+        "node_id",
+        F.when(label == "ASIA", "place").otherwise(kind).alias("kind"),
+        F.when(label != "EUROPE", label).alias("label"),
+        F.when((kind == "repo") & ~label.like("Order %1"), F.col("node_id")).alias("repo_ref"),
+        F.when(kind != "concept", "r").alias("external_ref"),
+    )
+    return gates.rule_findings(nodes, gates.node_rules(), ["node_id"])
+
+
+@query(
+    "edge_findings",
+    b.with_views(b.EDGES_SQL)
+    + """
+SELECT shard, source_edge_index, 'blocking' AS severity, 'invalid_relation' AS reason, 'invalid relation ''placed_by''' AS detail
+FROM edges WHERE relation = 'placed_by'
+UNION ALL SELECT shard, source_edge_index, 'blocking', 'invalid_dst_kind', 'invalid dst_kind ''region''' FROM edges WHERE shard = 'nation'
+UNION ALL SELECT shard, source_edge_index, 'blocking', 'missing_as_of', '' FROM edges WHERE shard = 'customer'""",
+)
+def edge_findings(spark, sf):
+    """Graph edges with faults of several kinds against the edge contract."""
+    edges = b.edges(spark, sf)
+    edges = edges.withColumn("as_of", F.when(F.col("shard") != "customer", F.col("as_of")))
+    edges = edges.withColumn("dst_kind", F.when(F.col("shard") == "nation", "region").otherwise(F.col("dst_kind")))
+    return gates.rule_findings(edges, gates.edge_rules(["located_in", "part_of"]), ["shard", "source_edge_index"])
 
 
 @query(
