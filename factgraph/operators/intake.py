@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factgraph.functions import sqlexpr as S
-from factgraph.functions.text import FULL_NAME, full_name_of_url, parse_as_of, percentage, slug, trim_ws
+from factgraph.functions.text import FULL_NAME, full_name_of_url, is_blank, parse_as_of, percentage, slug, trim_ws
 from factgraph.functions.variants import objects, sorted_entries, sub, text, texts, unknown_fields
 from factgraph.operators.aggregates import duplicate_keys
 from factgraph.operators.setdiff import row_text
@@ -282,11 +284,16 @@ def ingestion_gates(rows: DataFrame) -> DataFrame:
     def faulty(message: str) -> Column:
         return F.count_if(F.array_contains("errors", message)) == 0
 
+    good = F.size("errors") == 0
+    texts = ["full_name", "name", "html_url", "source", "category", "summary"]
+    lists = ["core_concepts", "key_entry_points", "build_run"]
+    filled = reduce(and_, [*[~is_blank(c) for c in texts], *[F.coalesce(F.size(c), F.lit(0)) > 0 for c in lists]])
     wide = rows.agg(
         (F.count("*") > 0).alias("manifest_entries_present"),
         (F.count_if(F.size("errors") > 0) == 0).alias("manifest_entries_all_valid"),
         faulty("source is not allowed").alias("source_values_allowed"),
         faulty("target_shard is not allowed").alias("shard_values_valid"),
+        (F.count_if(good & filled) == F.greatest(F.count_if(good), F.lit(1))).alias("required_field_coverage_100pct"),
     ).select("*", (twice == 0).alias("duplicate_node_ids_zero"), (files == 0).alias("duplicate_files_zero"))
     names = wide.columns
     whole = wide.withColumn("blocking_mismatches_zero", F.forall(F.array(*names), lambda x: x))

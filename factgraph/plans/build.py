@@ -85,6 +85,10 @@ def build_read_model(
             "unmapped_relations_empty": (edges, F.count_if("unmapped") == 0),
             "unknown_repo_refs_zero": (gates.unknown_repo_refs(edges, repos), gates.none_left()),
             "duplicate_repo_node_ids_zero": (aggregates.duplicate_keys(repos, ["node_id"]), gates.none_left()),
+            "stale_records_zero": (gates.stale_records(repos, "repo", ["node_id"]), gates.none_left()),
+            "external_policy_first_class": (gates.edge_policy_findings(edges, graph["nodes"], "first_class"), gates.none_left()),
+            "external_policy_label_only": (gates.edge_policy_findings(edges, graph["nodes"], "label_only"), gates.none_left()),
+            "edge_coverage": (gates.rule_findings(edges, gates.edge_rules(), ["src_id", "dst_id"]), gates.none_left()),
             "duplicate_fact_ids_zero": (aggregates.duplicate_keys(facts, ["fact_id"]), gates.none_left()),
             "structured_lists_kept": (records.structured_fidelity(graph["documents"].filter("error IS NULL"), repos), F.bool_and("passed")),
             "facts_with_evidence": (facts, F.count_if(F.col("evidence_count") == 0) == 0),

@@ -243,8 +243,8 @@ def ingestion_metrics(spark, sf):
 @query(
     "ingestion_gates",
     """SELECT unnest(['manifest_entries_present', 'manifest_entries_all_valid', 'source_values_allowed', 'shard_values_valid',
-'duplicate_node_ids_zero', 'duplicate_files_zero', 'blocking_mismatches_zero']) AS gate,
-unnest([count(*) > 0, count(*) FILTER (WHERE p_partkey % 10 = 0 OR p_partkey % 11 = 0) = 0, true, true, true, true,
+'required_field_coverage_100pct', 'duplicate_node_ids_zero', 'duplicate_files_zero', 'blocking_mismatches_zero']) AS gate,
+unnest([count(*) > 0, count(*) FILTER (WHERE p_partkey % 10 = 0 OR p_partkey % 11 = 0) = 0, true, true, true, true, true,
 count(*) FILTER (WHERE p_partkey % 10 = 0 OR p_partkey % 11 = 0) = 0]) AS passed FROM part""",
 )
 def ingestion_gates(spark, sf):
