@@ -9,9 +9,11 @@ change a slot. Signatures are cut into bands; texts that share a band are candid
 Texts with equal sets are one class from the start. In a bucket every class is compared
 with one leader, the one that shares most buckets with others, so a group of thousands of
 near copies costs one comparison per copy. Where a bucket still holds several components
-afterwards, its classes of different components are compared with each other, unless
-their sizes or their distances to the leader (Jaccard distance is a metric) exclude a
-link. Nothing is left out, so the links found give the components that all links would.
+afterwards, its classes of different components are compared with each other, unless a
+bound excludes a link: their sizes; their distances to the leader (Jaccard distance is a
+metric); or what they can share at most, which is the smaller of their shares of the
+leader's set and the smaller of their other elements that some further class has too.
+Nothing is left out, so the links found give the components that all links would.
 
 Links are reduced to a forest by a union-find in every task and joined by alternating
 star contraction; links never meet on the driver.
@@ -31,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factgraph.llm.common import key_type, map_slices, record, slices, staged
+from factgraph.session import broadcast_if_small
 
 SHINGLE = 5
 BANDS, ROWS = 30, 5
@@ -125,13 +128,17 @@ def signed(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``a, b, same, both``: sizes of the intersection and the union of the whole sets.
+    """``a, b, same, both, own``: sizes of the intersection and the union of the whole sets,
+    and the elements of ``a`` that ``b`` lacks.
 
-    Texts travel, not sets; one exchange of ``docs`` serves both sides. Rows of one leader
-    ``b`` come one after the other where they meet in a task, so its set is made once.
+    Texts of the documents in ``pairs`` travel, not sets; one exchange of them serves both
+    sides. Rows of one leader ``b`` come one after the other where they meet in a task, so
+    its set is made once.
     """
     kind = key_type(docs)
-    texts = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text")
+    ids = staged(pairs.select(F.explode(F.array("a", "b")).alias("__id")).distinct())
+    texts = docs.select("doc_id", "text")
+    texts = texts.join(broadcast_if_small(ids), texts["doc_id"] == ids["__id"], "left_semi")
     one = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text")), "a")
     two = one.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
 
@@ -141,16 +148,19 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int = SHINGLE) -> DataFram
         last, held = None, None
         for whole in batches:
             for batch in slices(whole):
-                same, both = [], []
+                same, both, rest = [], [], []
                 for b, text, text_b in zip(*(batch.column(c).to_pylist() for c in ("b", "text", "text_b")), strict=True):
                     if last is None or last != (b, text_b):
                         last, held = (b, text_b), shingles(text_b, size)
                     own = shingles(text, size)
-                    n = len(np.intersect1d(own, held, assume_unique=True))
-                    same.append(n), both.append(len(own) + len(held) - n)
-                yield record(a=batch.column("a"), b=batch.column("b"), same=pa.array(same, pa.int64()), both=pa.array(both, pa.int64()))
+                    lacks = np.setdiff1d(own, held, assume_unique=True)
+                    same.append(len(own) - len(lacks)), both.append(len(held) + len(lacks)), rest.append(lacks.view(np.int64))
+                yield record(
+                    a=batch.column("a"), b=batch.column("b"), same=pa.array(same, pa.int64()), both=pa.array(both, pa.int64()),
+                    own=pa.array(rest, pa.list_(pa.int64())),
+                )
 
-    return two.select("a", "b", "text", "text_b").mapInArrow(run, f"a {kind}, b {kind}, same long, both long")
+    return two.select("a", "b", "text", "text_b").mapInArrow(run, f"a {kind}, b {kind}, same long, both long, own array<long>")
 
 
 def forest(links: DataFrame) -> DataFrame:
@@ -235,7 +245,7 @@ def near_duplicates(docs: DataFrame, percent: int = LEAST_PERCENT, size: int = S
         return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
     first = led.filter((F.col("rep") != F.col("leader")) & sizes_fit("n", "leader_n"))
-    first = first.select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct()
+    first = staged(first.select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct())
     found = staged(verified(first, docs, size))
     link = 100 * F.col("same") >= percent * F.col("both")
     links = found.filter(link).select("a", "b")
@@ -246,9 +256,22 @@ def near_duplicates(docs: DataFrame, percent: int = LEAST_PERCENT, size: int = S
         "band", "key", "rep", "n", "leader", F.coalesce("component", "rep").alias("component")
     )
     open_ = joined.groupBy("band", "key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("band", "key")
-    far = found.select(F.col("a").alias("rep"), F.col("b").alias("leader"), (1 - F.col("same") / F.col("both")).alias("far"))
-    rest = staged(joined.join(open_, ["band", "key"], "left_semi").join(far, ["rep", "leader"], "left"))
-    left, right = (rest.select("band", "key", *[F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "component", "far", "leader")]) for s in "ab")
+    rest = staged(joined.join(open_, ["band", "key"], "left_semi"))
+    # What a class has beside its leader's elements, less what it shares with no other
+    # class of that leader, is all that two of them can share beside the leader's.
+    near = found.join(rest.select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct(), ["a", "b"])
+    alone = near.select("a", "b", F.explode("own").alias("element")).groupBy("b", "element").agg(F.min("a").alias("a"), F.count(F.lit(1)).alias("n"))
+    alone = alone.filter("n = 1").groupBy("a", "b").agg(F.count(F.lit(1)).alias("alone"))
+    known = staged(
+        near.join(alone, ["a", "b"], "left").select(
+            F.col("a").alias("rep"), F.col("b").alias("leader"), "same",
+            (F.size("own") - F.coalesce("alone", F.lit(0))).alias("spare"), (1 - F.col("same") / F.col("both")).alias("far"),
+        )
+    )
+    rest = rest.join(known, ["rep", "leader"], "left")
+    columns = ("rep", "n", "component", "far", "same", "spare", "leader")
+    left, right = (rest.select("band", "key", *[F.col(c).alias(f"{c}_{s}") for c in columns]) for s in "ab")
+    most = F.least("same_a", "same_b") + F.least("spare_a", "spare_b")
     pairs = left.join(right, ["band", "key"]).filter(
         (F.col("rep_a") < F.col("rep_b"))
         & (F.col("component_a") != F.col("component_b"))
@@ -256,6 +279,7 @@ def near_duplicates(docs: DataFrame, percent: int = LEAST_PERCENT, size: int = S
         & (F.col("rep_a") != F.col("leader_a"))
         & (F.col("rep_b") != F.col("leader_a"))
         & F.coalesce(F.abs(F.col("far_a") - F.col("far_b")) <= 1 - percent / 100 + 1e-9, F.lit(True))
+        & F.coalesce(100 * most >= percent * (F.col("n_a") + F.col("n_b") - most), F.lit(True))
     )
     pairs = pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
     more = staged(verified(staged(pairs), docs, size)).filter(link).select("a", "b")
