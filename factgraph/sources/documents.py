@@ -170,10 +170,12 @@ def manifest(documents: DataFrame) -> DataFrame:
 
 
 def _store(root: str):
-    """File system and base path of a folder, by address or local path."""
+    """File system and base path of a folder, by address or local path (as Spark writes it, unquoted)."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (fs.LocalFileSystem(), root.rstrip("/"))
+    if "://" in root and not root.startswith("file:"):
+        return fs.FileSystem.from_uri(root)
+    return fs.LocalFileSystem(), re.sub("^file:/+", "/", root).rstrip("/")
 
 
 def repo_files(spark: SparkSession, root: str, repo_depth: int = 1, with_content: bool = True) -> DataFrame:
