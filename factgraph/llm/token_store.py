@@ -17,6 +17,8 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,8 +34,11 @@ SAMPLE_DOCUMENTS, SAMPLE_IDS, DICTIONARY_BYTES = 2000, 2048, 64 << 10
 LEVEL = 3
 # A block closes at so many documents or payload bytes.
 BLOCK_DOCUMENTS, BLOCK_BYTES = 1000, 4 << 20
-# Words remembered per task; beyond, the memory is emptied and filled again.
-REMEMBERED = 600_000
+# Chunks remembered per task, and twice as many words; beyond, the memory is emptied.
+REMEMBERED = 220_000
+
+# Single marks that a chunk may end with.
+MARKS = b".,;:!?"
 
 # The split of the tokenizer file whose parts may be encoded one by one.
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -76,8 +81,10 @@ class WordEncoder:
         self.plain = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
         self.parts = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿ]+|[0-9]|[^a-z0-9à-öø-ÿ]+")
         self.model = self.tokenizer.model
+        if hasattr(self.model, "_resize_cache"):
+            self.model._resize_cache(0)  # words are remembered here
         self.chunks: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
         self.remembered = remembered
         kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
         extra = iter(range(256, 512))
@@ -92,34 +99,47 @@ class WordEncoder:
         if not self.by_word:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         chunks = text.encode("utf-8", "surrogatepass").split()
+        known = self.chunks
         try:
-            return b"".join(map(self.chunks.__getitem__, chunks))
+            return b"".join(map(known.__getitem__, chunks))
         except KeyError:
-            if len(self.chunks) > self.remembered:
-                self.chunks.clear()
-            if len(self.words) > self.remembered:
+            if len(known) > self.remembered:
+                known.clear()
+            if len(self.words) > 2 * self.remembered:
                 self.words.clear()
-            known = self.chunks
-            for c in chunks:
-                if c not in known:
-                    known[c] = self._chunk(c.decode("utf-8", "surrogatepass"))
+            words = self.words
+            for c in set(chunks).difference(known):
+                # Most chunks are ASCII letters, perhaps with one mark behind.
+                if c.isalpha():
+                    w = c.lower()
+                    known[c] = words.get(w) or self._word(w)
+                elif c[:-1].isalpha() and c[-1] in MARKS:
+                    w = c[:-1].lower()
+                    known[c] = (words.get(w) or self._word(w)) + (words.get(c[-1:]) or self._word(c[-1:]))
+                else:
+                    known[c] = self._chunk(c)
             return b"".join(map(known.__getitem__, chunks))
 
-    def _chunk(self, chunk: str) -> bytes:
-        import numpy as np
-
-        if self.plain.fullmatch(chunk) and not any(s in chunk for s in self.special):
-            return b"".join([self.words.get(w) or self._word(w) for w in self.parts.findall(chunk.lower())])
-        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _word(self, word: str) -> bytes:
-        import numpy as np
-
-        mapped = word if word.isascii() else "".join([self.alphabet[b] for b in word.encode()])
-        ids = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
-        self.words[word] = ids
+    def _chunk(self, chunk: bytes) -> bytes:
+        text = chunk.decode("utf-8", "surrogatepass")
+        if self.plain.fullmatch(text) and not any(s in text for s in self.special):
+            words = self.words
+            parts = [w.encode() for w in self.parts.findall(text.lower())]
+            return b"".join([words.get(w) or self._word(w) for w in parts])
+        return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _word(self, word: bytes) -> bytes:
+        mapped = word.decode() if word.isascii() else "".join([self.alphabet[b] for b in word])
+        ids = self.words[word] = self._bytes([t.id for t in self.model.tokenize(mapped)])
         return ids
 
+    @staticmethod
+    def _bytes(ids: list[int]) -> bytes:
+        found = array("I", ids)
+        if sys.byteorder == "big":
+            found.byteswap()
+        return found.tobytes()
+
 
 def _id_type(path: str) -> str:
     from tokenizers import Tokenizer
@@ -132,8 +152,9 @@ def train_dictionary(docs: DataFrame, path: str, kind: str) -> bytes:
     import numpy as np
     import zstandard
 
-    sample = docs.filter(F.length("text") > 0).select("text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCUMENTS)
-    sample = sample.select(F.substring("text", 1, 8 * SAMPLE_IDS).alias("text"))
+    filled = docs.filter(F.length("text") > 0)
+    ids = filled.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCUMENTS).distinct()
+    sample = filled.join(F.broadcast(ids), "doc_id").select(F.substring("text", 1, 8 * SAMPLE_IDS).alias("text"))
 
     def setup():
         encoder = WordEncoder(path)
