@@ -136,7 +136,7 @@ def fit(docs: DataFrame, learn: Column, language: str = "lang") -> Network | Non
     values = [r.lang for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()]
     if not values:
         return None
-    ids = sample_ids(known.filter(F.col("lang").isin(values)), ["lang"], SAMPLE_PER_LANGUAGE).distinct()
+    ids = sample_ids(known.filter(F.col("lang").isin(values)), "lang", SAMPLE_PER_LANGUAGE).distinct()
     texts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
     rows = sorted((r.lang, r.text) for r in text_windows(texts, ["lang"], WINDOWS, LENGTH).collect())
     languages = sorted({r[0] for r in rows})

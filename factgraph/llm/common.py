@@ -1,8 +1,7 @@
-"""Steps that several operators share: folds, Arrow batches, staged tables, bounded samples."""
+"""Steps that several operators share: folds, Arrow batches, bounded samples."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -10,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factgraph.session import shared_dir
+from factgraph.session import staged  # noqa: F401 (operators take it from here)
 
 # Bytes of text that a task holds at once, whatever the size of an Arrow batch.
 SLICE_BYTES = 4 << 20
@@ -25,17 +24,6 @@ def fold(key: Column | str, folds: int) -> Column:
     return F.crc32(F.col(key).cast("string") if isinstance(key, str) else key.cast("string")) % folds
 
 
-def staged(df: DataFrame, *partition_by: str) -> DataFrame:
-    """Write ``df`` as Parquet below the shared folder and read it again.
-
-    Lineage ends there: lost executors do not bring back earlier steps, and later reads
-    prune columns.
-    """
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/factgraph-llm/{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch whose texts hold about ``limit`` bytes; one longer text stands alone."""
     sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
@@ -49,6 +37,30 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         yield batch.slice(start)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers are kept for later tasks."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def frugal(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``work`` for ``mapInArrow``, giving its memory back when a task ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def map_slices(
     df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, setup: Callable[[], Callable] | None = None
 ) -> DataFrame:

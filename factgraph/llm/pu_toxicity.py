@@ -110,7 +110,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic")
         return nothing
     toxic = labels.filter((F.col(label) == 1) & learn).select("doc_id", F.lit(1).alias("part")).distinct()
     other = docs.filter(learn & (F.length("text") > 0)).select("doc_id", F.lit(0).alias("part"))
-    ids = sample_ids(toxic, ["part"], POSITIVE).unionByName(sample_ids(other, ["part"], UNLABELLED).distinct())
+    ids = sample_ids(toxic, "part", POSITIVE).unionByName(sample_ids(other, "part", UNLABELLED).distinct())
     sample = docs.select("doc_id", "text").filter(F.length("text") > 0).join(F.broadcast(ids), "doc_id")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
