@@ -1,7 +1,7 @@
 """Quality by compression: a text that good examples help to compress is good.
 
 Two zstandard dictionaries are trained, one on windows of good and one on windows of bad
-labelled texts. A whole text is compressed in pieces under both; the difference of the
+labelled texts, less the lines that stand in both. A whole text is compressed in pieces under both; the difference of the
 two sizes, normalised by the text's length and by the sizes themselves, and the mean
 size, normalised by length, go through a logistic calibration fitted on other labelled
 texts than those behind the dictionaries.
@@ -109,7 +109,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality
         "part", F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(2))
     )
     windows = text_windows(sample.filter("part = 0"), ["label"], WINDOWS, WINDOW).collect()
-    good, bad = (_dictionary(sorted(r.text.encode("utf-8", "surrogatepass") for r in windows if r.label == v)) for v in (1, 0))
+    # A line that both kinds share says nothing, but would help only one dictionary.
+    lines = [[r.text.encode("utf-8", "surrogatepass").split(b"\n") for r in windows if r.label == v] for v in (1, 0)]
+    common = set.intersection(*({line for own in kind for line in own} for kind in lines))
+    good, bad = (_dictionary(sorted(b"\n".join(line for line in own if line not in common) for own in kind)) for kind in lines)
     if not good or not bad:
         return empty
     del windows
