@@ -74,22 +74,28 @@ def map_slices(
                 if out.num_rows:
                     yield out
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(frugal(run), schema)
 
 
 def record(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns)
 
 
-def sample_ids(rows: DataFrame, keys: Sequence[str], n: int, seed: int = 0) -> DataFrame:
-    """``n`` rows per group of ``keys`` in the order of a hash of ``doc_id``.
+def sample_ids(rows: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
+    """``n`` rows per value of ``key`` in the order of a hash of ``doc_id``.
 
-    A bounded sample for fitting only: Spark keeps ``n`` rows per group in every task
-    before the shuffle.
+    A bounded sample for fitting only; ``key`` is a label of few values. The counts per
+    value give the share of hashes that holds about ``1.5 n`` rows, so no more than that
+    meet in the task that ranks a value.
     """
     from factgraph.operators.shaping import first_n
 
-    return first_n(rows, keys, [F.xxhash64(F.lit(seed), "doc_id"), "doc_id"], n, "_rank").drop("_rank")
+    whole = 1 << 40
+    order = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(whole))
+    near = F.lit(False)
+    for value, count in rows.groupBy(key).count().collect():
+        near = near | (F.col(key).eqNullSafe(F.lit(value)) & (order <= min(whole, whole * 3 * n // (2 * count))))
+    return first_n(rows.filter(near), [key], [order, "doc_id"], n, "_rank").drop("_rank")
 
 
 def text_windows(docs: DataFrame, keep: Sequence[str], per_doc: int, width: int) -> DataFrame:
@@ -117,7 +123,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     known = labels.filter(F.col(label).isin(0, 1) & learn).groupBy("doc_id").agg(
         F.min(label).alias("label"), F.max(label).alias("_most")
     )
-    ids = sample_ids(known.filter("label = _most").select("doc_id", "label"), ["label"], n)
+    ids = sample_ids(known.filter("label = _most").select("doc_id", "label"), "label", n)
     return docs.select("doc_id", "text").filter(F.length("text") > 0).join(F.broadcast(ids), "doc_id")
 
 
