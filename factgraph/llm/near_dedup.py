@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factgraph.llm.common import key_type, map_slices, record, slices, staged
+from factgraph.llm.common import frugal, key_type, map_slices, record, slices, staged
 from factgraph.session import broadcast_if_small
 
 SHINGLE = 5
@@ -160,7 +160,7 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int = SHINGLE) -> DataFram
                     own=pa.array(rest, pa.list_(pa.int64())),
                 )
 
-    return two.select("a", "b", "text", "text_b").mapInArrow(run, f"a {kind}, b {kind}, same long, both long, own array<long>")
+    return two.select("a", "b", "text", "text_b").mapInArrow(frugal(run), f"a {kind}, b {kind}, same long, both long, own array<long>")
 
 
 def forest(links: DataFrame) -> DataFrame:
@@ -191,7 +191,7 @@ def forest(links: DataFrame) -> DataFrame:
             yield record(a=pa.array([r[0] for r in rows], kind), b=pa.array([r[1] for r in rows], kind))
 
     kind = links.schema["a"].dataType.simpleString()
-    return links.select("a", "b").mapInArrow(run, f"a {kind}, b {kind}")
+    return links.select("a", "b").mapInArrow(frugal(run), f"a {kind}, b {kind}")
 
 
 def _sum(edges: DataFrame):
@@ -232,14 +232,15 @@ def near_duplicates(docs: DataFrame, percent: int = LEAST_PERCENT, size: int = S
     )
     each = classes.select("rep", "n", F.posexplode("bands").alias("band", "key"))
     shared = each.groupBy("band", "key").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
-    members = staged(each.join(shared, ["band", "key"]))
+    # Sides made by a grouping are dealt anew, so that AQE can split a hot bucket in the join.
+    members = staged(each.join(shared.hint("rebalance"), ["band", "key"]))
     weight = members.groupBy("rep").agg(F.sum("held").alias("weight"))
     leaders = (
         members.join(weight, "rep").groupBy("band", "key")
         .agg(F.max_by(F.struct("rep", "n"), F.struct("weight", (-F.col("rep")).alias("r"))).alias("top"))
         .select("band", "key", F.col("top.rep").alias("leader"), F.col("top.n").alias("leader_n"))
     )
-    led = staged(members.drop("held").join(leaders, ["band", "key"]))
+    led = staged(members.drop("held").join(leaders.hint("rebalance"), ["band", "key"]))
 
     def sizes_fit(a: str, b: str):
         return 100 * F.least(a, b) >= percent * F.greatest(a, b)
@@ -256,7 +257,7 @@ def near_duplicates(docs: DataFrame, percent: int = LEAST_PERCENT, size: int = S
         "band", "key", "rep", "n", "leader", F.coalesce("component", "rep").alias("component")
     )
     open_ = joined.groupBy("band", "key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("band", "key")
-    rest = staged(joined.join(open_, ["band", "key"], "left_semi"))
+    rest = staged(joined.join(open_.hint("rebalance"), ["band", "key"], "left_semi"))
     # What a class has beside its leader's elements, less what it shares with no other
     # class of that leader, is all that two of them can share beside the leader's.
     near = found.join(rest.select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct(), ["a", "b"])

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factgraph.llm.common import map_slices, record, slices, staged
+from factgraph.llm.common import frugal, map_slices, record, slices, staged
 
 WINDOW = 50
 EDGE = 16
@@ -170,16 +170,16 @@ def removals(docs: DataFrame) -> DataFrame:
                     yield record(**{c: pa.array(np.concatenate(v), types.get(c, pa.int64())) for c, v in out.items()})
 
     schema = f"doc_id {kind}, edge long, path long, n int, i int, window long"
-    every = at_source.select(*docs.columns, "__open").mapInArrow(open_paths, schema)
+    every = at_source.select(*docs.columns, "__open").mapInArrow(frugal(open_paths), schema)
     owners = every.groupBy("edge", "window").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).filter("owner < last")
     masks = (
-        every.join(owners.drop("last"), ["edge", "window"]).filter("owner < doc_id")
+        every.join(owners.drop("last").hint("rebalance"), ["edge", "window"]).filter("owner < doc_id")
         .groupBy("edge", "path", "n").agg(F.bit_or(F.expr("shiftleft(1L, i)")).alias("mask"))
     )
     first = compact.select("edge", "path", "n", F.col("source.doc_id").alias("first"), "last")
     known = first.join(masks, ["edge", "path", "n"], "left").filter("first < last or mask is not null")
     whole = F.expr("shiftleft(1L, n) - 1")
-    # Dealt anew, so that AQE can split a hot path in this join.
+    # Dealt anew, as the owners above, so that AQE can split a hot key in these joins.
     gone = near.join(known.hint("rebalance"), ["edge", "path", "n"]).select(
         F.col("doc_id").alias("__id"), F.col("__hash").alias("__key"),
         F.struct("at", F.when(F.col("doc_id") > F.col("first"), whole).otherwise(F.col("mask")).alias("mask")).alias("run"),
