@@ -12,7 +12,8 @@ near copies costs one comparison per copy. Where a bucket still holds several co
 afterwards, its classes of different components are compared with each other, unless a
 bound excludes a link: their sizes; their distances to the leader (Jaccard distance is a
 metric); or what they can share at most, which is the smaller of their shares of the
-leader's set and the smaller of their other elements that some further class has too.
+leader's set and the smaller of their other elements that some further class has too. For
+these bounds all classes of such a bucket are compared with the leader, whatever their size.
 Nothing is left out, so the links found give the components that all links would.
 
 Links are reduced to a forest by a union-find in every task and joined by alternating
@@ -259,8 +260,11 @@ def near_duplicates(docs: DataFrame, percent: int = LEAST_PERCENT, size: int = S
     open_ = joined.groupBy("band", "key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("band", "key")
     rest = staged(joined.join(open_.hint("rebalance"), ["band", "key"], "left_semi"))
     # What a class has beside its leader's elements, less what it shares with no other
-    # class of that leader, is all that two of them can share beside the leader's.
-    near = found.join(rest.select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct(), ["a", "b"])
+    # class of that leader, is all that two of them can share beside the leader's. That
+    # holds when all of them are compared with the leader, those of other sizes too.
+    to_leader = staged(rest.filter("rep != leader").select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct())
+    unfit = staged(to_leader.join(found.select("a", "b"), ["a", "b"], "left_anti"))
+    near = found.join(to_leader, ["a", "b"]).unionByName(staged(verified(unfit, docs, size)))
     alone = near.select("a", "b", F.explode("own").alias("element")).groupBy("b", "element").agg(F.min("a").alias("a"), F.count(F.lit(1)).alias("n"))
     alone = alone.filter("n = 1").groupBy("a", "b").agg(F.count(F.lit(1)).alias("alone"))
     known = staged(
@@ -272,7 +276,9 @@ def near_duplicates(docs: DataFrame, percent: int = LEAST_PERCENT, size: int = S
     rest = rest.join(known, ["rep", "leader"], "left")
     columns = ("rep", "n", "component", "far", "same", "spare", "leader")
     left, right = (rest.select("band", "key", *[F.col(c).alias(f"{c}_{s}") for c in columns]) for s in "ab")
-    most = F.least("same_a", "same_b") + F.least("spare_a", "spare_b")
+    # F.least passes over nulls; a bound needs both sides.
+    both_known = F.col("same_a").isNotNull() & F.col("same_b").isNotNull()
+    most = F.when(both_known, F.least("same_a", "same_b") + F.least("spare_a", "spare_b"))
     pairs = left.join(right, ["band", "key"]).filter(
         (F.col("rep_a") < F.col("rep_b"))
         & (F.col("component_a") != F.col("component_b"))

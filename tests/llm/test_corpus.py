@@ -125,6 +125,16 @@ def test_a_bucket_with_several_components_is_compared_in_full(spark, monkeypatch
     assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(df, 85).collect()} == want
 
 
+def test_classes_whose_sizes_do_not_fit_their_leader_keep_their_links(spark, monkeypatch):
+    """One bucket of 84, 86 and 100 shingles: the third is too large for the leader, not for the second."""
+    monkeypatch.setattr(near_dedup, "band_keys", lambda s: s[:, :1] * 0)
+    second = [f"w{i}" for i in range(90)]
+    texts = [[*second[:74], *(f"x{i}" for i in range(14))], second, [*second, *(f"y{i}" for i in range(14))]]
+    assert [len(near_dedup.shingles(" ".join(t))) for t in texts] == [84, 86, 100]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(df, 85).collect()} == {0: 0, 1: 1, 2: 1}
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(200)] + [(500, 400), (400, 500), (450, 500)], "a long, b long").repartition(7)
     got = {r.node: r.component for r in near_dedup.components(links).collect()}
