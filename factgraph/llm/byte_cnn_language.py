@@ -4,7 +4,9 @@ Bytes are embedded, filters of several widths run over fixed-length windows, the
 answer of each filter in a window goes to a softmax over the learned languages. A whole
 text is cut into windows; their log probabilities, weighted by the bytes they hold, are
 averaged. The network is trained in numpy on a bounded sample: at most
-``SAMPLE_PER_LANGUAGE`` documents per language, ``WINDOWS`` windows of each.
+``SAMPLE_PER_LANGUAGE`` documents per language, ``WINDOWS`` windows of each. Every language
+of the table is learnt, however rare; beyond ``MANY_LANGUAGES`` the documents per language
+grow fewer, down to one, and the training steps more in proportion.
 
 Defined cases: a null text, an empty one and one without a letter are ``und`` with score
 0; so is every text when nothing can be learnt; rows with null text or language teach
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 from factgraph.llm.common import key_type, map_slices, record, sample_ids, text_windows
 
-SAMPLE_PER_LANGUAGE, MOST_LANGUAGES, WINDOWS = 800, 256, 3
+SAMPLE_PER_LANGUAGE, MANY_LANGUAGES, WINDOWS = 800, 256, 3
 WIDTHS, FILTERS, EMBED = (2, 3, 4), 12, 6
 LENGTH, STEPS, BATCH, RATE = 256, 900, 48, 0.01
 UNKNOWN = "und"
@@ -82,7 +84,8 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: i
     first = {k: np.zeros_like(getattr(net, k)) for k in names}
     second = {k: np.zeros_like(getattr(net, k)) for k in names}
     wide = max(WIDTHS)
-    for step in range(1, STEPS + 1):
+    steps = STEPS * max(len(languages), MANY_LANGUAGES) // MANY_LANGUAGES
+    for step in range(1, steps + 1):
         pick = rng.integers(0, len(windows), BATCH)
         x, y = windows[pick], labels[pick]
         cells = net.columns(x)
@@ -114,7 +117,7 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], seed: i
             g = grad[k].astype(np.float32)
             first[k] = 0.9 * first[k] + 0.1 * g
             second[k] = 0.999 * second[k] + 0.001 * g * g
-            move = RATE * (1 - step / STEPS) * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
+            move = RATE * (1 - step / steps) * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
             setattr(net, k, (getattr(net, k) - move).astype(np.float32))
         net.filters *= mask
     return net
@@ -131,17 +134,19 @@ def cut(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(docs: DataFrame, learn: Column, language: str = "lang") -> Network | None:
-    """Learn from a bounded sample of rows that ``learn`` allows."""
+    """Learn every language from a bounded sample of rows that ``learn`` allows."""
     known = docs.filter(learn & F.col(language).isNotNull() & (F.length("text") > 0)).select("doc_id", F.col(language).alias("lang"))
-    values = [r.lang for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()]
-    if not values:
+    n = known.select("lang").distinct().count()
+    if not n:
         return None
-    ids = sample_ids(known.filter(F.col("lang").isin(values)), "lang", SAMPLE_PER_LANGUAGE).distinct()
+    each = max(1, SAMPLE_PER_LANGUAGE * MANY_LANGUAGES // max(n, MANY_LANGUAGES))
+    ids = sample_ids(known, "lang", each).distinct()
     texts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
     rows = sorted((r.lang, r.text) for r in text_windows(texts, ["lang"], WINDOWS, LENGTH).collect())
     languages = sorted({r[0] for r in rows})
     windows = np.concatenate([cut(t.encode("utf-8", "surrogatepass")[:LENGTH])[0] for _, t in rows])
-    return train(windows, np.array([languages.index(v) for v, _ in rows]), languages)
+    place = {v: i for i, v in enumerate(languages)}
+    return train(windows, np.array([place[v] for v, _ in rows]), languages)
 
 
 def languages(docs: DataFrame, network: Network | None) -> DataFrame:

@@ -13,6 +13,8 @@ from factgraph.session import staged  # noqa: F401 (operators take it from here)
 
 # Bytes of text that a task holds at once, whatever the size of an Arrow batch.
 SLICE_BYTES = 4 << 20
+# Values of a key that one expression tells apart; the counts of more are joined.
+FEW_VALUES = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,16 +86,22 @@ def record(**columns) -> pa.RecordBatch:
 def sample_ids(rows: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
     """``n`` rows per value of ``key`` in the order of a hash of ``doc_id``.
 
-    A bounded sample for fitting only; ``key`` is a label of few values. The counts per
-    value give the share of hashes that holds about ``1.5 n`` rows, so no more than that
+    A bounded sample for fitting only; ``key`` is a label, whose values the driver can
+    hold. The counts per value give the share of hashes that holds about ``1.5 n`` rows, so no more than that
     meet in the task that ranks a value.
     """
     from factgraph.operators.shaping import first_n
 
     whole = 1 << 40
     order = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(whole))
+    counts = rows.groupBy(key).count()
+    found = counts.limit(FEW_VALUES + 1).collect()
+    if len(found) > FEW_VALUES:
+        limits = counts.select(F.col(key).alias("_value"), F.least(F.lit(whole), (whole * 3 * n / (F.col("count") * 2)).cast("long")).alias("_limit"))
+        near = rows.join(F.broadcast(limits), F.col(key).eqNullSafe(F.col("_value"))).filter(order <= F.col("_limit")).select(*rows.columns)
+        return first_n(near, [key], [order, "doc_id"], n, "_rank").drop("_rank")
     near = F.lit(False)
-    for value, count in rows.groupBy(key).count().collect():
+    for value, count in found:
         near = near | (F.col(key).eqNullSafe(F.lit(value)) & (order <= min(whole, whole * 3 * n // (2 * count))))
     return first_n(rows.filter(near), [key], [order, "doc_id"], n, "_rank").drop("_rank")
 

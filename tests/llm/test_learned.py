@@ -88,6 +88,16 @@ def test_languages_on_held_out_rows(spark, large, odd):
     assert {r.lang_pred for r in byte_cnn_language.languages(odd, nothing).collect()} == {"und"}
 
 
+def test_every_language_is_learnt(spark, monkeypatch):
+    """300 languages; 256 of them have two documents, the others one."""
+    monkeypatch.setattr(byte_cnn_language, "STEPS", 1)
+    rows = [(i, f"text {i}", f"l{i % 300}") for i in range(556)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    network = byte_cnn_language.fit(docs, F.lit(True))
+    assert network.languages == sorted({r[2] for r in rows}) and network.out.shape[1] == 300
+    assert byte_cnn_language.languages(docs, network).filter("score > 0").count() == len(rows)
+
+
 def paths(sampler: Sampler, text: str) -> dict[tuple[int, ...], float]:
     """All segmentations with their log probabilities, from piece weights alone."""
     v = sampler.lattices.vocabulary
