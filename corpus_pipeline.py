@@ -38,7 +38,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled segmentations of every whole text: ``doc_id, sample, n_pieces, log_prob,
-    perturbed, log_inclusion, ids_crc32, ids``."""
+    perturbed, log_inclusion, ids_crc32, decoded_crc32, decodes, ids``."""
     return sampled_encoding.segmentations(docs)
 
 

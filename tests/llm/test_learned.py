@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pytest
@@ -168,3 +169,12 @@ def test_samples_depend_on_the_key_alone(spark, odd):
     assert all(r.decoded == texts[r.doc_id] for r in got)
     library = Sampler(model_path(sampled_encoding.MODEL))
     assert library.sample([2], [""])[0][0][:3] == (0.0, pytest.approx(library.sample([2], [""])[0][0][1]), 0.0)
+
+
+def test_segmentations_are_decoded_where_they_are_drawn(spark, odd, monkeypatch):
+    texts = {i: (t or "").replace("▁", " ") for i, t in ODD}
+    got = sampled_encoding.segmentations(odd, with_ids=False).collect()
+    assert {r.doc_id for r in got} == set(texts)
+    assert all(r.decodes and r.decoded_crc32 == zlib.crc32(texts[r.doc_id].encode()) for r in got)
+    monkeypatch.setattr(sampled_encoding, "decode", lambda text_of, pieces: "other")
+    assert not any(r.decodes for r in sampled_encoding.segmentations(odd, with_ids=False).collect())
