@@ -525,4 +525,33 @@ def contract_versions(spark, sf):
     """Nations as sound artefacts whose versions differ."""
     nations = b.table(spark, sf, "nation")
     artifacts = nations.select(F.col("n_name").alias("artifact"), F.lit(True).alias("is_mapping"), F.col("n_regionkey").cast("string").alias("version"))
-    return setdiff.contract_findings(artifacts, [r[0] for r in nations.select("n_name").collect()])
+    return setdiff.contract_findings(artifacts, artifacts)
+
+
+@query(
+    "part_contract_findings",
+    """
+WITH a AS (SELECT 'part' || p_partkey AS artifact, p_size FROM part),
+w AS (SELECT 'part' || (2 * p_partkey) AS artifact FROM part)
+SELECT w.artifact, CASE WHEN a.artifact IS NULL THEN 'missing' WHEN p_size % 10 = 1 THEN 'no_mapping' ELSE 'no_version' END AS finding
+FROM w LEFT JOIN a ON a.artifact = w.artifact WHERE a.artifact IS NULL OR p_size % 10 IN (1, 2)""",
+)
+def part_contract_findings(spark, sf):
+    """Parts as contract artefacts; those of every even number up to twice the count are required."""
+    parts, kind = b.table(spark, sf, "part"), F.col("p_size") % 10
+    artifacts = parts.select(
+        F.concat(F.lit("part"), "p_partkey").alias("artifact"), (kind != 1).alias("is_mapping"), F.when(kind == 2, " ").otherwise("1.0").alias("version")
+    )
+    return setdiff.contract_findings(artifacts, parts.select(F.concat(F.lit("part"), F.col("p_partkey") * 2).alias("artifact")))
+
+
+@query(
+    "order_contract_versions",
+    """SELECT '*' AS artifact, 'version_mismatch' AS finding FROM (SELECT count(DISTINCT o_orderstatus) AS n FROM orders) WHERE n > 1""",
+)
+def order_contract_versions(spark, sf):
+    """Orders as sound artefacts whose versions differ."""
+    artifacts = b.table(spark, sf, "orders").select(
+        F.concat(F.lit("order"), "o_orderkey").alias("artifact"), F.lit(True).alias("is_mapping"), F.col("o_orderstatus").alias("version")
+    )
+    return setdiff.contract_findings(artifacts, artifacts)

@@ -70,3 +70,9 @@ def test_links_and_contracts(spark):
     assert findings("a", "c", "d", "e") == {("c", "no_mapping"), ("d", "no_version"), ("e", "missing")}
     other = artifacts.unionByName(spark.createDataFrame([("z", True, "2")], artifacts.schema))
     assert [tuple(r) for r in setdiff.contract_findings(other, ["a", "z"]).collect()] == [("*", "version_mismatch")]
+
+
+def test_required_contracts_come_as_a_table(spark):
+    artifacts = spark.createDataFrame([("a", True, "1"), ("b", False, "1")], "artifact string, is_mapping boolean, version string")
+    required = spark.createDataFrame([("a",), ("b",), ("c",)], "artifact string")
+    assert {tuple(r) for r in setdiff.contract_findings(artifacts, required).collect()} == {("b", "no_mapping"), ("c", "missing")}
