@@ -7,6 +7,14 @@ library once per task and remembered, and one running sum over a text holds the
 every prefix that ends at a cut. A prefix that ends inside a chunk adds the count of that
 part. Truncation and budgets are read from the sums; no text is encoded again.
 
+Counts inside a chunk are made at the first question for them and remembered by chunk. The
+tokens of a prefix less its last token are the tokens of a shorter prefix, as merges beside
+a token never depend on what follows it, so the count is that prefix's plus one. The last
+token is the only piece that ends there and stays apart from the token before it; the
+library is asked once per pair of pieces. What is encoded again is thus such pairs only,
+and time and memory grow with the length of the chunk. Models with other pieces than plain
+ones and bytes have the prefixes of a chunk encoded, a bounded number of characters at once.
+
 Defined cases: a null text counts as empty and has no tokens; very long texts are taken
 whole; repeated rows count one by one; an empty table gives an empty result.
 """
@@ -26,6 +34,8 @@ from factgraph.llm.common import map_slices, record
 MODEL = "piece_bpe_32k.model"
 # Chunks remembered per task; beyond, the memory is emptied and filled again.
 REMEMBERED = 400_000
+# Characters of prefixes encoded at once.
+AT_ONCE = 1 << 20
 
 CHUNK = re.compile(r" *[^ \n]+|\n| +")
 
@@ -49,6 +59,14 @@ class PrefixCounter:
         self.cuts = plain and self.model.decode(self.model.encode(probe)) == probe
         self.known: dict[str, int] = {}
         self.remembered = remembered
+        special = [i for i in range(len(pieces)) if self.model.is_byte(i) or self.model.is_control(i) or self.model.is_unknown(i)]
+        self.plain = {p.replace("▁", " ") for p in set(pieces) - {pieces[i] for i in special}}
+        self.widest = max(map(len, self.plain), default=1)
+        merged = all(self.model.get_score(i) == int(self.model.get_score(i)) <= 0 for i in range(len(pieces)))
+        self.by_pairs = self.cuts and merged and any(map(self.model.is_byte, special)) and not any(map(self.model.is_unused, range(len(pieces))))
+        self.apart: dict[tuple[str, str], bool] = {}
+        self.inside: dict[str, list[int]] = {}
+        self.held = 0
 
     def chunks(self, text: str) -> list[str]:
         """The text with the model's leading space, cut where no piece crosses."""
@@ -88,7 +106,7 @@ class PrefixCounter:
         """Token counts of ``text[:1]``, ``text[:2]`` and so on to the whole text."""
         text = text or ""
         if not self.cuts:
-            return [len(i) for i in self.model.encode([text[: i + 1] for i in range(len(text))], num_threads=1)]
+            return [len(self.model.encode(text[: i + 1], num_threads=1)) for i in range(len(text))]
         counts, before = [], 0
         for chunk, total in zip(self.chunks(text), self.sums(text).tolist() if text else [], strict=True):
             counts += [before + c for c in self._inside(chunk)]
@@ -96,26 +114,73 @@ class PrefixCounter:
         return counts[1:]  # the first is the model's leading space
 
     def _inside(self, chunk: str) -> list[int]:
-        parts = [chunk[: i + 1] for i in range(len(chunk))]
-        self._learn(parts)
-        return [self.known[p] for p in parts]
+        """Token counts of ``chunk[:1]``, ``chunk[:2]`` and so on, remembered by chunk."""
+        if chunk not in self.inside:
+            if self.held > self.remembered:
+                self.inside.clear()
+                self.held = 0
+            self.inside[chunk] = self._by_pairs(chunk) if self.by_pairs else self._by_parts(chunk)
+            self.held += len(chunk)
+        return self.inside[chunk]
+
+    def _by_parts(self, chunk: str) -> list[int]:
+        counts: list[int] = []
+        while len(counts) < len(chunk):
+            at = len(counts)
+            parts = ["\n" + chunk[: i + 1] for i in range(at, min(len(chunk), at + max(1, AT_ONCE // (at + 1)), at + 256))]
+            counts += [len(i) - 2 for i in self.model.encode(parts, num_threads=1)]
+        return counts
+
+    def _by_pairs(self, chunk: str) -> list[int]:
+        last, counts = [""], [0]  # by the end of a prefix: its last token, its count
+        for end in range(1, len(chunk) + 1):
+            for size in range(min(self.widest, end), 0, -1):
+                piece = chunk[end - size : end]
+                if piece in self.plain:
+                    if self._apart(last[end - size], piece):
+                        last.append(piece), counts.append(counts[end - size] + 1)
+                        break
+                elif size == 1:  # bytes, which nothing merges with
+                    last.append(""), counts.append(counts[end - 1] + len(piece.encode("utf-8", "surrogatepass")))
+            if len(counts) != end + 1:
+                return self._by_parts(chunk)
+        return counts[1:]
+
+    def _apart(self, before: str, piece: str) -> bool:
+        """Whether the library keeps two pieces as they are when one follows the other."""
+        found = self.apart.get((before, piece))
+        if found is None:
+            if len(self.apart) > self.remembered:
+                self.apart.clear()
+            got = [p.replace("▁", " ") for p in self.model.encode("\n" + before + piece, out_type=str)[2:]]
+            found = self.apart[(before, piece)] = got == ([before, piece] if before else [piece])
+        return found
 
     def longest(self, text: str | None, budget: int) -> int:
         """Code points of the longest prefix with at most ``budget`` tokens."""
+        return self.within(text, budget)[1]
+
+    def within(self, text: str | None, budget: int) -> tuple[int, int]:
+        """Tokens of the whole text, and code points of its longest prefix within ``budget``."""
         import numpy as np
 
         text = text or ""
-        if not text or budget <= 0:
-            return 0
+        if not text:
+            return 0, 0
         if not self.cuts:
-            return max([0, *(i + 1 for i, c in enumerate(self.prefixes(text)) if c <= budget)])
+            total = self.count(text)
+            if budget <= 0 or total <= budget:
+                return total, len(text) if budget > 0 else 0
+            return total, max([0, *(i + 1 for i, c in enumerate(self.prefixes(text)) if c <= budget)])
         chunks, sums = self.chunks(text), self.sums(text)
+        total = int(sums[-1])
+        if budget <= 0 or total <= budget:
+            return total, len(text) if budget > 0 else 0
         at = int(np.searchsorted(sums, budget, side="right"))
         done = sum(map(len, chunks[:at]))
-        if at < len(chunks):
-            before = int(sums[at - 1]) if at else 0
-            done += max([0, *(i + 1 for i, c in enumerate(self._inside(chunks[at])) if before + c <= budget)])
-        return max(0, done - 1)
+        before = int(sums[at - 1]) if at else 0
+        done += max([0, *(i + 1 for i, c in enumerate(self._inside(chunks[at])) if before + c <= budget)])
+        return total, max(0, done - 1)
 
 
 def _key_type(docs: DataFrame) -> str:
@@ -123,20 +188,24 @@ def _key_type(docs: DataFrame) -> str:
 
 
 def token_counts(docs: DataFrame, path: str | None = None, limit: int = 4096) -> DataFrame:
-    """``doc_id, n_bytes, n_tokens, over_limit`` of every whole text, read from its last prefix."""
+    """``doc_id, n_bytes, n_tokens, limit_chars, over_limit`` of every whole text, read from its
+    prefixes; ``limit_chars`` are the code points of the longest one within ``limit`` tokens."""
     path = path or model_path(MODEL)
 
     def setup():
         counter = PrefixCounter(path)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            counts = [counter.count(t) for t in batch.column("text").to_pylist()]
+            found = [counter.within(t, limit) for t in batch.column("text").to_pylist()]
             sizes = pc.binary_length(batch.column("text")).fill_null(0).cast(pa.int64())
-            return record(doc_id=batch.column("doc_id"), n_bytes=sizes, n_tokens=pa.array(counts, pa.int64()))
+            return record(
+                doc_id=batch.column("doc_id"), n_bytes=sizes, n_tokens=pa.array([f[0] for f in found], pa.int64()),
+                limit_chars=pa.array([f[1] for f in found], pa.int64()),
+            )
 
         return work
 
-    rows = map_slices(docs.select("doc_id", "text"), None, f"doc_id {_key_type(docs)}, n_bytes long, n_tokens long", setup)
+    rows = map_slices(docs.select("doc_id", "text"), None, f"doc_id {_key_type(docs)}, n_bytes long, n_tokens long, limit_chars long", setup)
     return rows.withColumn("over_limit", F.col("n_tokens") > limit)
 
 

@@ -42,6 +42,24 @@ def test_forgetting_changes_no_count():
         assert counter.count(text) == len(counter.model.encode(text or ""))
 
 
+def test_prefixes_of_a_long_chunk_are_not_encoded(monkeypatch):
+    counter = PrefixCounter(token_counts.model_path(token_counts.MODEL))
+    for text in ("x1y" * 100, "naïve日本é" * 30, " " * 70, "theirselves" * 20):
+        assert counter.prefixes(text) == [len(counter.model.encode(text[: i + 1])) for i in range(len(text))]
+    given = []
+    encode = counter.model.encode
+    monkeypatch.setattr(counter.model, "encode", lambda x, **more: given.extend([x] if isinstance(x, str) else x) or encode(x, **more))
+    assert counter.prefixes("x1y" * 2000)[-1] == len(encode("x1y" * 2000))
+    assert sum(len(x) for x in given) < 20_000
+
+
+def test_limit_chars_equal_the_library(spark, docs):
+    model = PrefixCounter(token_counts.model_path(token_counts.MODEL)).model
+    for r in token_counts.token_counts(docs.filter("length(text) < 100 and doc_id is not null"), limit=4).collect():
+        text = TEXTS[r.doc_id]
+        assert r.limit_chars == max(i for i in range(len(text) + 1) if len(model.encode(text[:i])) <= 4)
+
+
 def test_token_counts_rows(spark, docs):
     got = {r.doc_id: r for r in token_counts.token_counts(docs).collect()}
     model = PrefixCounter(token_counts.model_path(token_counts.MODEL)).model
