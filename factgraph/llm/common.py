@@ -79,6 +79,40 @@ def map_slices(
     return df.mapInArrow(frugal(run), schema)
 
 
+class Memory:
+    """Results by key, remembered up to so many bytes; emptied and filled again beyond.
+
+    ``known`` is a plain dict, so that callers map its ``__getitem__`` over many keys. Keys
+    longer than ``longest`` stay only until ``forget_long``.
+    """
+
+    # What a key and its result take besides their own bytes.
+    EACH = 160
+
+    def __init__(self, most_bytes: int, longest: int = 1024):
+        self.known: dict = {}
+        self.most_bytes, self.longest, self.held = most_bytes, longest, 0
+        self.long: list = []
+
+    def make_room(self) -> None:
+        if self.held > self.most_bytes:
+            self.known.clear()
+            self.held = 0
+
+    def keep(self, key, value, size: int) -> None:
+        """``size``: bytes of the result."""
+        self.known[key] = value
+        if len(key) > self.longest:
+            self.long.append(key)
+        else:
+            self.held += len(key) + size + self.EACH
+
+    def forget_long(self) -> None:
+        for key in self.long:
+            self.known.pop(key, None)
+        self.long.clear()
+
+
 def record(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns)
 

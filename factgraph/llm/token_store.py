@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factgraph.llm.common import map_slices, record, staged
+from factgraph.llm.common import Memory, map_slices, record, staged
 
 MODEL = "word_bpe_49k.json"
 END_ID = 1
@@ -34,8 +34,8 @@ SAMPLE_DOCUMENTS, SAMPLE_IDS, DICTIONARY_BYTES = 2000, 2048, 64 << 10
 LEVEL = 3
 # A block closes at so many documents or payload bytes.
 BLOCK_DOCUMENTS, BLOCK_BYTES = 1000, 4 << 20
-# Chunks remembered per task, and twice as many words; beyond, the memory is emptied.
-REMEMBERED = 220_000
+# Bytes of chunks, and as many of words, that a task remembers; beyond, the memory is emptied.
+REMEMBERED = 80 << 20
 
 # Single marks that a chunk may end with.
 MARKS = b".,;:!?"
@@ -78,14 +78,13 @@ class WordEncoder:
         )
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.by_word = self.by_word and not any(re.search(r"\s", s) or t["lstrip"] or t["rstrip"] for s, t in zip(self.special, spec["added_tokens"], strict=True))
-        self.plain = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-        self.parts = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿ]+|[0-9]|[^a-z0-9à-öø-ÿ]+")
+        # Letters of Latin-1 whose lower case stays there; the rest goes to the library.
+        letters = "".join(c for c in map(chr, range(256)) if c.isalpha() and c not in "ªµº")
+        small = "".join(c for c in letters if c == c.lower())
+        self.plain = re.compile(f"[!-~{letters}]+")
+        self.parts = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{small}]+|[0-9]|[^0-9{small}]+")
         self.model = self.tokenizer.model
-        if hasattr(self.model, "_resize_cache"):
-            self.model._resize_cache(0)  # words are remembered here
-        self.chunks: dict[bytes, bytes] = {}
-        self.words: dict[bytes, bytes] = {}
-        self.remembered = remembered
+        self.chunks, self.words = Memory(remembered), Memory(remembered)
         kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
         extra = iter(range(256, 512))
         # The byte-level alphabet: printable bytes stand for themselves, others follow from 256.
@@ -99,38 +98,41 @@ class WordEncoder:
         if not self.by_word:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         chunks = text.encode("utf-8", "surrogatepass").split()
-        known = self.chunks
+        known = self.chunks.known
         try:
             return b"".join(map(known.__getitem__, chunks))
         except KeyError:
-            if len(known) > self.remembered:
-                known.clear()
-            if len(self.words) > 2 * self.remembered:
-                self.words.clear()
-            words = self.words
+            self.chunks.make_room()
+            self.words.make_room()
+            words, keep = self.words.known, self.chunks.keep
             for c in set(chunks).difference(known):
                 # Most chunks are ASCII letters, perhaps with one mark behind.
                 if c.isalpha():
                     w = c.lower()
-                    known[c] = words.get(w) or self._word(w)
+                    ids = words.get(w) or self._word(w)
                 elif c[:-1].isalpha() and c[-1] in MARKS:
                     w = c[:-1].lower()
-                    known[c] = (words.get(w) or self._word(w)) + (words.get(c[-1:]) or self._word(c[-1:]))
+                    ids = (words.get(w) or self._word(w)) + (words.get(c[-1:]) or self._word(c[-1:]))
                 else:
-                    known[c] = self._chunk(c)
-            return b"".join(map(known.__getitem__, chunks))
+                    ids = self._chunk(c)
+                keep(c, ids, len(ids))
+            found = b"".join(map(known.__getitem__, chunks))
+            self.chunks.forget_long()
+            self.words.forget_long()
+            return found
 
     def _chunk(self, chunk: bytes) -> bytes:
         text = chunk.decode("utf-8", "surrogatepass")
         if self.plain.fullmatch(text) and not any(s in text for s in self.special):
-            words = self.words
+            words = self.words.known
             parts = [w.encode() for w in self.parts.findall(text.lower())]
             return b"".join([words.get(w) or self._word(w) for w in parts])
         return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _word(self, word: bytes) -> bytes:
         mapped = word.decode() if word.isascii() else "".join([self.alphabet[b] for b in word])
-        ids = self.words[word] = self._bytes([t.id for t in self.model.tokenize(mapped)])
+        ids = self._bytes([t.id for t in self.model.tokenize(mapped)])
+        self.words.keep(word, ids, len(ids))
         return ids
 
     @staticmethod

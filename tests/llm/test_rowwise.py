@@ -83,6 +83,29 @@ def test_word_encoder_equals_the_library(remembered):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want
 
 
+def test_words_of_all_latin_letters_equal_the_library():
+    encoder = WordEncoder(token_store.model_path(token_store.MODEL))
+    marks = [chr(c) for c in range(256)]
+    some = [*"aZ09'.st", *"ßÀÿ×÷ªµ¼²»", "\xa0", "\xad", "\x85"]
+    texts = [a + b for a in marks for b in marks] + [a + b + c for a in some for b in marks for c in some] + ["straße", "Straßen's", "GROẞ", "ß"]
+    for at in range(0, len(texts), 200):
+        text = " x ".join(texts[at : at + 200])
+        want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want
+    for text in texts[-2000:]:
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_stored_ids_of_a_whole_table_equal_the_library(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    folder = token_store.write_store(docs, str(tmp_path / "s"))
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    library = WordEncoder(token_store.model_path(token_store.MODEL)).tokenizer
+    assert any("ß" in (t or "") for t in texts.values())
+    for r in token_store.read_store(spark, folder).collect():
+        assert list(r.ids) == [*library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids, 1]
+
+
 def test_store_round_trip(spark, docs, tmp_path):
     folder = token_store.write_store(docs, str(tmp_path / "s"))
     rows = sorted(token_store.read_store(spark, folder).collect(), key=lambda r: r.start)
