@@ -11,11 +11,14 @@ from factgraph.llm import (
     byte_cnn_language,
     compression_quality,
     decontaminate,
+    fill_in_middle,
     host_rules,
     near_dedup,
     pu_toxicity,
+    rank_bpe,
     sampled_encoding,
     substring_dedup,
+    token_alignment,
     token_counts,
     token_store,
 )
@@ -184,3 +187,42 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_counts")
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.link_report(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op12_fill_in_middle",
+    """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS ls,
+    sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+h AS (
+  SELECT doc_id, t, ls, len(ls) AS n, ('0x' || h[1:8])::BIGINT % (len(ls) + 1) AS c1, ('0x' || h[9:16])::BIGINT % (len(ls) + 1) AS c2,
+    ('0x' || h[17:24])::BIGINT % 100 AS r, ('0x' || h[25:32])::BIGINT % 100 AS s FROM d),
+f AS (
+  SELECT doc_id, t, n, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r >= 100 THEN 'plain'
+    WHEN s < 50 THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(ls[1:least(c1, c2)], '') AS p, array_to_string(ls[least(c1, c2) + 1:greatest(c1, c2)], '') AS m,
+    array_to_string(ls[greatest(c1, c2) + 1:n], '') AS s FROM h)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM f
+""",
+)
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_in_middle.filled(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restored("output", "form"), 256).alias("restored_sha256"),
+    )
+
+
+@query("op13_rank_bpe")
+def op13_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = rank_bpe.round_trip(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
