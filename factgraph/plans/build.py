@@ -72,9 +72,8 @@ def build_read_model(
     """All tables and gates; publish them with ``snapshots.publish`` when the gates hold."""
     graph = build_graph(spark, record_dir, edge_dir, mapping_dir, shard)
     repos, edges = graph["repos"], graph["edges"]
-    narratives = documents.yaml_documents(spark, narrative_dir, "narrative").withColumn("shard", F.lit(shard))
-    drafts = documents.yaml_documents(spark, draft_dir, "draft").withColumn("shard", F.lit(shard))
-    result, findings = build_facts(narratives, drafts, repos)
+    texts = documents.narrative_and_drafts(spark, narrative_dir, draft_dir).withColumn("shard", F.lit(shard))
+    result, findings = build_facts(texts.filter("kind = 'narrative'"), texts.filter("kind = 'draft'"), repos)
     findings, facts = cut_lineage(findings), cut_lineage(result.facts)
     blocking = findings.filter("severity = 'blocking'")
     checks = gates.gate_results(

@@ -7,10 +7,11 @@ from collections.abc import Iterator
 from urllib.parse import unquote
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from factgraph.sources import filescan
+
 # Directories never listed in a source tree.
 IGNORED_DIRS = [
     ".git", ".hg", ".svn", "__pycache__", ".mypy_cache", ".pytest_cache", ".ruff_cache", ".tox", ".venv", "venv",
@@ -19,23 +20,29 @@ IGNORED_DIRS = [
 
 
 def listed_paths(files: DataFrame) -> DataFrame:
-    """``path`` of every file a scan was planned over, files of no bytes included.
-
-    Spark's readers pass over empty files, but its file index, which the driver holds for
-    any scan, lists them.
-    """
+    """``path`` of every file a scan was planned over, files of no bytes included; only for
+    stores that Spark alone can open, see ``binary_files``."""
     paths = [unquote(p) for p in files.inputFiles()]
     rows = [(re.sub("^file:///", "file:/", p),) for p in paths]
     spark = files.sparkSession
     return spark.createDataFrame(rows, "path string") if rows else files.select("path").limit(0)
 
 
-def binary_files(spark: SparkSession, folder: str, **options: str) -> DataFrame:
-    """``path, length, content`` of the files of a folder; empty ones have content of no bytes.
+def binary_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+    """``path, length, content`` of the files of a folder (or of a pattern of folders) whose
+    names fit ``pattern``; empty ones have content of no bytes.
 
-    As in all of Spark, names that begin with ``_`` or ``.`` are hidden.
+    As in all of Spark, names that begin with ``_`` or ``.`` are hidden. Tasks list and read
+    the folders themselves (``filescan``). Where only Spark's readers reach a store, they
+    read it, and its empty files come from the index that the driver holds for that read.
     """
-    files = spark.read.format("binaryFile").options(**options).load(folder).select("path", "length", "content")
+    if filescan.scheme_of(folder) in filescan.SCHEMES:
+        base, below = filescan.split_pattern(folder)
+        listed = filescan.list_files(spark, base, below, pattern, deep=False, hidden=False)
+        rows = filescan.read_files(spark, base, listed)
+        local = filescan.scheme_of(folder) == "file"
+        return rows.select(F.concat(F.lit("file:" if local else ""), "path").alias("path"), F.col("size").alias("length"), "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path", "length", "content")
     empty = listed_paths(files).join(files.select("path"), "path", "left_anti")
     return files.unionByName(empty.select("path", F.lit(0).cast("long").alias("length"), F.lit(b"").alias("content")))
 
@@ -67,7 +74,7 @@ def yaml_documents(spark: SparkSession, folder: str, kind: str = "document", pat
     body; an empty file is an empty mapping. Dates written without quotes turn into a
     one-key object, so that they read as missing text later on.
     """
-    files = binary_files(spark, folder, pathGlobFilter=pattern).select("path", "content", F.sha2("content", 256).alias("sha256"))
+    files = binary_files(spark, folder, pattern).select("path", "content", F.sha2("content", 256).alias("sha256"))
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import json
@@ -131,11 +138,21 @@ def field(col: Column | str, path: str, kind: str = "string") -> Column:
     return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(col, path, "string"))
 
 
+def entry_findings(documents: DataFrame, key: str) -> DataFrame:
+    """``path, idx, reason``: entries of a list that are no mappings, and documents where the
+    key holds no list at all (``idx`` null)."""
+    odd = entries(documents, key).filter("NOT is_mapping").select("path", F.col("idx").cast("int").alias("idx"), F.lit("entry_no_mapping").alias("reason"))
+    value = F.schema_of_variant(F.try_variant_get("body", f"$.{key}", "variant"))
+    other = documents.filter(value.isNotNull() & ~F.startswith(value, F.lit("ARRAY")) & (value != "VOID"))
+    return odd.unionByName(other.select("path", F.lit(None).cast("int").alias("idx"), F.lit("no_list").alias("reason")))
+
+
 def edge_entries(documents: DataFrame, shard: Column | str) -> DataFrame:
     """Edge rows with their source index from documents that hold an ``edges`` list."""
     rows = entries(documents.withColumn("shard", F.col(shard) if isinstance(shard, str) else shard), "edges", ("shard", "path"))
     text = {c: field("entry", f"$.{c}") for c in ("src_id", "dst_id", "dst_kind", "relation", "type", "note", "as_of")}
     return rows.filter("is_mapping").select(
+        "path",
         F.coalesce(field("entry", "$.provenance.shard"), "shard").alias("shard"),
         F.coalesce(field("entry", "$.provenance.source_edge_index", "int"), "idx").alias("source_edge_index"),
         *[c.alias(n) for n, c in text.items()],
@@ -169,63 +186,37 @@ def manifest(documents: DataFrame) -> DataFrame:
     return entries(head, "repos", ("path", "default_shard", "default_as_of"))
 
 
-def _store(root: str):
-    """File system and base path of a folder, by address or local path (as Spark writes it, unquoted)."""
-    from pyarrow import fs
-
-    if "://" in root and not root.startswith("file:"):
-        return fs.FileSystem.from_uri(root)
-    return fs.LocalFileSystem(), re.sub("^file:/+", "/", root).rstrip("/")
-
-
-def repo_files(spark: SparkSession, root: str, repo_depth: int = 1, with_content: bool = True) -> DataFrame:
+def repo_files(spark: SparkSession, root: str, repo_depth: int = 1, with_content: bool = True, **sizes: int) -> DataFrame:
     """Source-tree listing ``repo, path, size, content``, ignored directories left out.
 
-    ``root`` holds one directory per repository, ``repo_depth`` levels deep. Spark's readers
-    pass over empty files and names that begin with ``_`` or ``.``, so tasks list and read
-    the tree themselves: one repository is listed by one task, files are read by all.
-    Bytes that are no UTF-8 are left out of ``content``.
+    ``root`` holds one directory per repository, ``repo_depth`` levels deep; it is taken as
+    it is, without patterns. Tasks list the trees, empty and hidden-looking files included,
+    and read them in runs of about equal bytes, so that one large repository is split as
+    well. Bytes that are no UTF-8 are left out of ``content``. ``sizes`` go to
+    ``filescan.plan_scan``.
     """
-    from pyarrow import fs
-
-    store, base = _store(root)
-    level = [base]
-    for _ in range(repo_depth):
-        found = [f for d in level for f in store.get_file_info(fs.FileSelector(d))]
-        level = sorted(f.path for f in found if f.type == fs.FileType.Directory)
-    repos = spark.createDataFrame([(d[len(base) :].strip("/"), d) for d in level], "repo string, dir string")
-    repos = repos.repartition(max(1, min(len(level), spark.sparkContext.defaultParallelism * 4)), "repo")
-
-    def listing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        store, _ = _store(root)
-        for row in (r for batch in batches for r in batch.to_pylist()):
-            waiting = [row["dir"]]
-            while waiting:
-                here = store.get_file_info(fs.FileSelector(waiting.pop()))
-                waiting += [f.path for f in here if f.type == fs.FileType.Directory and f.base_name not in IGNORED_DIRS]
-                files = [f for f in here if f.type == fs.FileType.File]
-                if files:
-                    inner = [f.path[len(row["dir"]) :].strip("/") for f in files]
-                    yield pa.RecordBatch.from_pydict(
-                        {"repo": [row["repo"]] * len(files), "path": inner, "size": [f.size for f in files], "at": [f.path for f in files]}
-                    )
-
-    rows = prune_tree(repos.mapInArrow(listing, "repo string, path string, size long, at string"))
+    listed = filescan.list_files(spark, root, ["*"] * repo_depth, ignored=IGNORED_DIRS)
+    _, base = filescan.open_store(root)
+    inner = F.split(F.substr("path", F.lit(len(base.rstrip("/")) + 2)), "/")
+    repo = F.array_join(F.slice(inner, 1, repo_depth), "/")
+    path = F.array_join(F.slice(inner, F.lit(repo_depth + 1), F.size(inner) - repo_depth), "/")
+    kept = prune_tree(listed.select(F.col("path").alias("at"), "size", path.alias("path")))
     if not with_content:
-        return rows.select("repo", "path", "size", F.lit(None).cast("string").alias("content"))
+        rows = listed.select(repo.alias("repo"), path.alias("path"), "size", F.lit(None).cast("string").alias("content"))
+        return prune_tree(rows)
+    rows = filescan.read_files(spark, root, kept.select(F.col("at").alias("path"), "size"), **sizes)
+    return rows.select(repo.alias("repo"), path.alias("path"), "size", valid_text("content").alias("content"))
+
+
+def _readable(values: pd.Series) -> pd.Series:
+    return values.map(lambda v: None if v is None else bytes(v).decode("utf-8", "ignore"))
 
-    def reading(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, _ = _store(root)
-        for batch in batches:
-            for row in batch.to_pylist():
-                with store.open_input_stream(row.pop("at")) as source:
-                    row["content"] = source.read().decode("utf-8", "ignore")
-                yield pa.RecordBatch.from_pylist([row])
 
-    dealt = rows.repartition("repo", "path")
-    return dealt.mapInArrow(reading, "repo string, path string, size long, content string")
+def valid_text(content: str) -> Column:
+    """Bytes as text; what is no UTF-8 is left out. Only content with such bytes goes to Python."""
+    text = F.col(content).cast("string")
+    odd = F.when(~F.is_valid_utf8(text), F.col(content))
+    return F.coalesce(F.try_validate_utf8(text), F.pandas_udf(_readable, "string")(odd))
 
 
 def prune_tree(files: DataFrame) -> DataFrame:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from factgraph.operators import identity, profile, setdiff
-from factgraph.sources import documents
+from factgraph.sources import documents, filescan
+from pyspark.sql import functions as F
 
 
 def test_trees_keep_every_file(spark, tmp_path):
@@ -76,3 +77,46 @@ def test_required_contracts_come_as_a_table(spark):
     artifacts = spark.createDataFrame([("a", True, "1"), ("b", False, "1")], "artifact string, is_mapping boolean, version string")
     required = spark.createDataFrame([("a",), ("b",), ("c",)], "artifact string")
     assert {tuple(r) for r in setdiff.contract_findings(artifacts, required).collect()} == {("b", "no_mapping"), ("c", "missing")}
+
+
+def test_scans_split_one_tree_by_bytes(spark, tmp_path):
+    for i in range(40):
+        at = tmp_path / "t" / "big" / f"d{i % 3}"
+        at.mkdir(parents=True, exist_ok=True)
+        (at / f"f{i}.bin").write_bytes(bytes([i]) * (3000 if i == 7 else 100))
+    listed = filescan.list_files(spark, str(tmp_path / "t"), ["*"])
+    assert listed.count() == 40
+    rows = filescan.read_files(spark, str(tmp_path / "t"), listed, target=500, opening=10)
+    parts = rows.select("path", "size", F.spark_partition_id().alias("part"), F.length("content").alias("n")).collect()
+    assert len(parts) == 40 and all(r["size"] == r["n"] for r in parts)
+    by_part = {}
+    for r in parts:
+        by_part.setdefault(r.part, []).append(r)
+    assert len(by_part) >= 10  # one repository, many partitions
+    assert all(sum(r["size"] for r in part) <= 1100 or len(part) <= 5 for part in by_part.values())
+    spans = sorted((min(r.path for r in p), max(r.path for r in p)) for p in by_part.values())
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:], strict=False))  # runs of paths
+    assert rows.filter("path IS NULL").count() == 0
+    few = documents.repo_files(spark, str(tmp_path / "t"), target=500, opening=10)
+    assert few.select("repo").distinct().collect()[0][0] == "big" and few.count() == 40
+
+
+def test_scans_of_nothing_and_of_patterns(spark, tmp_path):
+    for name in ("a1/x/p.yaml", "a2/x/q.yaml", "b1/x/r.yaml", "a1/y/s.yaml", "a1/x/deep/t.yaml", "a2/x/_no.yaml", "a2/.x/n.yaml", "a2/x/u.txt"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("k: 1")
+
+    def names(folder, pattern="*.yaml"):
+        return sorted(r.path.rsplit("/", 1)[1] for r in documents.binary_files(spark, folder, pattern).collect())
+
+    assert names(f"{tmp_path}/a*/x") == ["p.yaml", "q.yaml"]
+    assert names(f"file:{tmp_path}/{{a1,b?}}/*") == ["p.yaml", "r.yaml", "s.yaml"]
+    assert names(f"{tmp_path}/a2/x", "[pu]*") == ["u.txt"]
+    assert names(f"{tmp_path}/nowhere") == [] and documents.repo_files(spark, str(tmp_path / "none")).count() == 0
+    assert filescan.split_pattern("hdfs://n/a/b*/c") == ("hdfs://n/a", ["b*", "c"])
+
+
+def test_entries_that_are_no_mapping_are_reported(spark):
+    rows = spark.sql("""SELECT * FROM VALUES ('a', parse_json('{"edges": [{"src_id": "x"}, "no", 3]}')), ('b', parse_json('{"edges": "text"}')),
+        ('c', parse_json('{"edges": null}')), ('d', parse_json('{}')) AS t(path, body)""")
+    assert {tuple(r) for r in documents.entry_findings(rows, "edges").collect()} == {("a", 1, "entry_no_mapping"), ("a", 2, "entry_no_mapping"), ("b", None, "no_list")}
