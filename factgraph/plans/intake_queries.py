@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from factgraph.operators import identity, intake, setdiff
@@ -9,7 +11,8 @@ from factgraph.plans import bindings as b
 from factgraph.plans.document_queries import fill
 from factgraph.plans.read_queries import joined
 from factgraph.plans.registry import query
-from factgraph.streaming.admission import admit_stream
+from factgraph.session import shared_dir
+from factgraph.streaming.admission import admit_stream, candidate_files
 
 # --- catalog and queue ------------------------------------------------------------
 
@@ -170,6 +173,34 @@ def candidate_stream(spark, sf):
     return admit_stream(candidates, known).select("pos", "norm")
 
 
+@query(
+    "candidate_batches",
+    """
+WITH named AS (
+  SELECT min(event_id) AS pos, CASE WHEN event_id % 3 = 0 THEN 'team/hot' ELSE 'user' || user_id % 1000 || '/' || event_type END AS norm
+  FROM events GROUP BY 2)
+SELECT pos, norm FROM named WHERE norm NOT IN (SELECT 'user' || c_custkey || '/view' FROM customer)""",
+)
+def candidate_batches(spark, sf):
+    """The same admission over six batches and a repeated one; a third of all rows name one repository."""
+    events = b.table(spark, sf, "events")
+    name = F.when(F.col("event_id") % 3 == 0, "Team/hot").otherwise(F.concat(F.lit("user"), F.col("user_id") % 1000, F.lit("/"), "event_type"))
+    rows = events.select(F.col("event_id").alias("pos"), F.concat(F.lit("https://github.com/"), name).alias("url"))
+    most = rows.agg(F.coalesce(F.max("pos"), F.lit(0)).alias("m")).head()["m"]
+    folder = f"{shared_dir(spark).rstrip('/')}/factgraph-inbox/{uuid.uuid4().hex}"
+    for k in [0, 1, 2, 3, 4, 5, 2]:
+        place = F.floor(F.col("pos") * 6 / (most + 1))
+        rows.filter(place == k).repartition(4).write.mode("append").json(folder)
+    stream = candidate_files(spark, folder, "pos long, url string", files_per_batch=4)
+    known = b.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("row_index"),
+        F.concat(F.lit("https://github.com/USER"), "c_custkey", F.lit("/view")).alias("url"),
+        *[F.lit(None).cast("string").alias(c) for c in ("author", "repo_name", "category", "local_path")],
+        F.lit(False).alias("needs_review"),
+    )
+    return admit_stream(stream, known).select("pos", "norm")
+
+
 # --- manifest ---------------------------------------------------------------------
 
 _ENTRY = """{"repo": "Owner@size/P@key", "name": "", "summary": "@odd", "core_concepts": ["@name", " "], "key_entry_points": [],

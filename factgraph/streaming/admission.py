@@ -1,43 +1,103 @@
-"""Streaming candidate admission."""
+"""Streaming candidate admission with keyed state.
+
+State is one flag per repository name, kept by Spark in RocksDB and in the query's
+checkpoint. The catalog is its initial state, read once when the stream begins; a batch then
+looks up its own names only, so its cost does not grow with the catalog or with what came
+before. Rows of one name are cut to the first of every Arrow batch before the shuffle, so a
+name that holds a large share of the candidates sends few rows.
+"""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from factgraph.operators.intake import admit_candidates
+from factgraph.functions.text import full_name_of_url
+from factgraph.operators.intake import catalog_names
 from factgraph.session import shared_dir
 
+# Fixed value: Spark's state store on RocksDB, which states of any size need.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+class FirstOfName(StatefulProcessor):
+    """The first candidate of every name that has not been seen."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "known boolean")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.seen.update((True,))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        known, best = self.seen.exists(), None
+        for frame in rows:
+            if known:
+                continue
+            first = frame.nsmallest(1, "pos")
+            if best is None or first["pos"].iloc[0] < best["pos"].iloc[0]:
+                best = first
+        if best is not None:
+            self.seen.update((True,))
+            yield best
+
+    def close(self) -> None:
+        pass
+
+
+def first_of_batch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The first row of each name in each Arrow batch."""
+    for frame in frames:
+        yield frame.sort_values("pos").drop_duplicates("norm")
+
+
+def admitted_stream(candidates: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Streaming frame ``(pos, url, ..., full_name, norm)`` of admitted candidates: the first of
+    each strict name that neither the catalog nor an earlier batch holds. Candidates without
+    ``pos`` or name are left out."""
+    named = candidates.withColumn("full_name", full_name_of_url(F.col("url"))).filter("full_name <> '' AND pos IS NOT NULL")
+    named = named.withColumn("norm", F.lower("full_name"))
+    known = catalog_names(catalog).filter("norm <> ''").select("norm").distinct()
+    few = named.mapInPandas(first_of_batch, named.schema)
+    return few.groupBy("norm").transformWithStateInPandas(
+        FirstOfName(), named.schema, "Append", "None", initialState=known.groupBy("norm")
+    )
+
 
 def admit_stream(candidates: DataFrame, catalog: DataFrame, folder: str | None = None) -> DataFrame:
     """Drain a stream of candidates into the admitted table and return that table.
 
-    ``candidates`` is a streaming frame ``(pos, url, ...)``. Every micro-batch keeps the
-    candidates that neither the catalog nor an earlier batch holds. What was admitted is
-    the only state, and it lies in the sink: a batch writes its own folder, so a batch
-    that is run again after a lost executor replaces its rows and nothing else.
+    ``candidates`` is a streaming frame ``(pos, url, ...)``. A later call with the same
+    ``folder`` goes on where the last one ended: its state, its place in the source and the
+    log of the sink lie there, so a batch that runs again after a lost executor adds nothing.
+    The catalog of the first call counts; names added to it later are not known.
     """
     spark = candidates.sparkSession
     folder = folder or f"{shared_dir(spark)}/admission-{uuid.uuid4().hex}"
-    columns = [*candidates.columns, "full_name", "norm"]
-
-    def admit(batch: DataFrame, batch_id: int) -> None:
-        fresh = admit_candidates(batch, catalog)
-        if batch_id > 0:
-            earlier = batch.sparkSession.read.parquet(f"{folder}/admitted").filter(F.col("batch") < batch_id)
-            fresh = fresh.join(earlier.select("norm"), "norm", "left_anti")
-        fresh.select(columns).write.mode("overwrite").parquet(f"{folder}/admitted/batch={batch_id}")
-
-    query = (
-        candidates.writeStream.foreachBatch(admit)
-        .option("checkpointLocation", f"{folder}/progress")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.parquet(f"{folder}/admitted").select(columns)
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        rows = admitted_stream(candidates, catalog)
+        query = (
+            rows.writeStream.format("parquet").outputMode("append")
+            .option("path", f"{folder}/admitted")
+            .option("checkpointLocation", f"{folder}/progress")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    finally:
+        if before is None:
+            spark.conf.unset(PROVIDER)
+        else:
+            spark.conf.set(PROVIDER, before)
+    return spark.read.schema(rows.schema).parquet(f"{folder}/admitted")
 
 
 def candidate_files(spark: SparkSession, folder: str, schema: str, files_per_batch: int = 1000) -> DataFrame:

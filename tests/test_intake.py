@@ -130,3 +130,18 @@ def test_stream_admits_each_name_once(spark, tmp_path):
     stream = candidate_files(spark, str(inbox), schema, files_per_batch=1)
     admitted = admit_stream(stream, catalog, str(tmp_path / "out"))
     assert sorted(r["norm"] for r in admitted.collect()) == ["o/a", "o/b", "o/c", "o/d"]
+
+    # The stream goes on where it ended: what came before is known, the catalog is not read again.
+    late = [json.dumps({"pos": 50, "url": address + "E"}), json.dumps({"pos": 49, "url": address + "e"}), json.dumps({"pos": 51, "url": address + "a"})]
+    (inbox / "3.json").write_text("\n".join(late * 3))
+    again = admit_stream(candidate_files(spark, str(inbox), schema, files_per_batch=1), catalog.limit(0), str(tmp_path / "out"))
+    rows = sorted((r["norm"], r["pos"]) for r in again.collect())
+    assert [n for n, _ in rows] == ["o/a", "o/b", "o/c", "o/d", "o/e"] and ("o/e", 49) in rows
+
+
+def test_stream_of_nothing(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    (inbox / "0.json").write_text('{"pos": null, "url": "https://github.com/o/a"}\n{"pos": 1, "url": null}\n')
+    catalog = spark.createDataFrame([], "row_index int, url string, author string, repo_name string, category string, local_path string, needs_review boolean")
+    assert admit_stream(candidate_files(spark, str(inbox), "pos bigint, url string"), catalog).count() == 0
