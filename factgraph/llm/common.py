@@ -64,14 +64,15 @@ def frugal(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]])
 
 
 def map_slices(
-    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, setup: Callable[[], Callable] | None = None
-) -> DataFrame:
+    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, setup: Callable[[], Callable] | None = None,
+    limit: int = SLICE_BYTES,
+) -> DataFrame:
     """``work`` over Arrow slices of ``df``; ``setup``, when given, builds it once per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = setup() if setup else work
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=limit):
                 out = step(part)
                 if out.num_rows:
                     yield out
@@ -80,9 +81,11 @@ def map_slices(
 
 
 class Memory:
-    """Results by key, remembered up to so many bytes; emptied and filled again beyond.
+    """Results by key, remembered up to so many bytes in two generations.
 
-    ``known`` is a plain dict, so that callers map its ``__getitem__`` over many keys. Keys
+    ``known`` is a plain dict, so that callers map its ``__getitem__`` over many keys; take
+    it anew after ``make_room``. When half of the bytes are used, what is known becomes the
+    older generation, and what is asked for again comes back from there (``recall``). Keys
     longer than ``longest`` stay only until ``forget_long``.
     """
 
@@ -91,13 +94,21 @@ class Memory:
 
     def __init__(self, most_bytes: int, longest: int = 1024):
         self.known: dict = {}
+        self.older: dict = {}
         self.most_bytes, self.longest, self.held = most_bytes, longest, 0
         self.long: list = []
 
-    def make_room(self) -> None:
-        if self.held > self.most_bytes:
-            self.known.clear()
-            self.held = 0
+    def make_room(self) -> dict:
+        if 2 * self.held > self.most_bytes:
+            self.older, self.known, self.held = self.known, {}, 0
+        return self.known
+
+    def recall(self, key):
+        """The result from the older generation, if it is there."""
+        value = self.older.get(key)
+        if value is not None:
+            self.keep(key, value, len(value))
+        return value
 
     def keep(self, key, value, size: int) -> None:
         """``size``: bytes of the result."""

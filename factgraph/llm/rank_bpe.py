@@ -1,15 +1,15 @@
 """Byte-level BPE over a contiguous array of ranks, and back to text.
 
-A text is cut into words as the tokenizer file says. A word is held as the boundaries of its
-parts, at first one byte each, beside the ranks of adjacent parts. The smallest rank is found
-by a scan, the boundary inside that pair goes, and the ranks of its neighbours are looked up
-anew, until no adjacent parts merge. Words beyond ``SHORT`` bytes, where scans would cost the
-square of the length, take the same steps over a heap and links.
+A text is cut into words as the tokenizer file says. A word is held as its parts, at first
+one byte each, beside the ranks of adjacent parts. The smallest rank is found by a scan, the
+boundary inside that pair goes, and the ranks of its neighbours are looked up anew, until no
+adjacent parts merge. Short words take these steps together, one row each of the same
+arrays; longer ones alone; and those beyond ``LONG`` bytes, where scans would cost the square
+of the length, over a heap and links.
 
-White space tells where words can start, so a text is cut there first, and each distinct
-chunk between is encoded once per task while remembered (bounded by bytes). Chunks of ASCII
-are split by the file's pattern, others by the library's own splitter, whose tables of
-letters are what counts.
+Each distinct word is encoded once per Python worker while remembered (bounded by bytes).
+Texts of Latin-1 are split by the file's pattern; others are cut at white space, and each
+distinct chunk is split by the library's own splitter, whose tables of letters count.
 
 Defined cases: a null text counts as empty and has no tokens; special strings inside texts
 are special tokens, or plain text with ``plain_specials``; very long texts and words are
@@ -24,23 +24,32 @@ import json
 import re
 import sys
 from array import array
+from collections.abc import Sequence
+from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from factgraph.llm.common import Memory, key_type, map_slices, record
 
 MODEL = "byte_bpe_50k.json"
-# Bytes of chunks, and as many of words, that a task remembers.
-REMEMBERED = 80 << 20
-# Words of more bytes are merged over a heap.
-SHORT = 400
-
-# White space of the pattern below, and the pattern for ASCII.
+# Bytes of words that a worker remembers, and of chunks beyond Latin-1.
+REMEMBERED, CHUNKS_REMEMBERED = 128 << 20, 32 << 20
+# Bytes of text encoded at once.
+SLICE_BYTES = 1 << 20
+# Words of at most so many bytes are merged together; words of more than ``LONG`` over a heap.
+SHORT, LONG = 24, 400
+# Short words merged at once.
+TOGETHER = 4096
+
+# White space of the file's pattern, and that pattern for Latin-1.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
+LATIN = re.compile("[\x00-\xff]*")
+_S, _L, _N = "\t-\r \x85\xa0", "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
+LATIN_WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 
 
 def model_path(name: str = MODEL) -> str:
@@ -94,46 +103,107 @@ class RankBpe:
         self.bytes = [b""] * (max([*self.ids.values(), *self.specials.values()], default=-1) + 1)
         for token, i in [*self.ids.items(), *((t.encode(), i) for t, i in self.specials.items())]:
             self.bytes[i] = token
-        self.chunks, self.words = Memory(remembered), Memory(remembered)
+        self.words, self.chunks = Memory(remembered), Memory(min(remembered, CHUNKS_REMEMBERED))
+        # The same ranks by the ids of both parts, for many words at once.
+        one = np.array([self.ids.get(bytes([b]), -1) for b in range(256)], np.int64)
+        self.one, self.width = one, len(self.bytes)
+        pairs = [(self.ids[t[: self.cut[r]]] * self.width + self.ids[t[self.cut[r] :]], r, self.ids[t]) for t, r in self.ranks.items()]
+        found = np.array(sorted(pairs) or [(-1, self.never, -1)], np.int64)
+        self.pairs, self.pair_ranks = found[:, 0].copy(), found[:, 1].astype(np.int32)
+        self.made = np.full(self.never + 1, -1, np.int64)
+        self.made[found[:, 1]] = found[:, 2]
 
     def encode(self, text: str | None) -> bytes:
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: Sequence[str | None]) -> list[bytes]:
+        """The ids of each text; words that no text had before are merged together."""
+        plans = [self._parts(t) for t in texts]
+        known = self.words.make_room()
+        missing = set().union(*[words for plan in plans for words in plan if isinstance(words, list)]).difference(known)
+        self._learn([w for w in missing if self.words.recall(w) is None])
+        get = known.__getitem__
+        out = [b"".join([p if isinstance(p, bytes) else b"".join(map(get, p)) for p in plan]) for plan in plans]
+        self.words.forget_long()
+        return out
+
+    def _parts(self, text: str | None) -> list[list[str] | bytes]:
+        """Words of a text, and the ids of special strings between them."""
         if not text:
-            return b""
+            return []
         if self.special is None or not any(s in text for s in self.specials):
-            return self._plain(text)
+            return [self._split(text)]
         parts = self.special.split(text)
-        return b"".join(self._packed([self.specials[p]]) if i % 2 else self._plain(p) for i, p in enumerate(parts))
+        return [self._packed([self.specials[p]]) if i % 2 else self._split(p) for i, p in enumerate(parts)]
 
-    def _plain(self, text: str) -> bytes:
+    def _split(self, text: str) -> list[str]:
+        if text.isascii() or LATIN.fullmatch(text):
+            return LATIN_WORD.findall(text)
         chunks = CHUNK.findall(text)
-        known = self.chunks.known
-        try:
-            return b"".join(map(known.__getitem__, chunks))
-        except KeyError:
-            self.chunks.make_room()
-            self.words.make_room()
-            for chunk in set(chunks).difference(known):
-                ids = self._chunk(chunk)
-                self.chunks.keep(chunk, ids, len(ids))
-            found = b"".join(map(known.__getitem__, chunks))
-            self.chunks.forget_long()
-            self.words.forget_long()
-            return found
-
-    def _chunk(self, chunk: str) -> bytes:
-        if chunk.isascii():
-            words = ASCII_WORD.findall(chunk)
-        else:
-            words = [chunk[a:b] for _, (a, b) in self.splitter.pre_tokenize_str(chunk)]
-        known = self.words.known
-        return b"".join([known.get(w) or self._word(w) for w in words])
-
-    def _word(self, word: str) -> bytes:
-        raw = word.encode("utf-8", "surrogatepass")
-        bounds = self._scanned(raw) if len(raw) <= SHORT else self._heaped(raw)
-        ids = self._packed([self.ids[raw[a:b]] for a, b in zip(bounds, bounds[1:], strict=False)])
-        self.words.keep(word, ids, len(ids))
-        return ids
+        known = self.chunks.make_room()
+        for chunk in set(chunks).difference(known):
+            if self.chunks.recall(chunk) is None:
+                words = LATIN_WORD.findall(chunk) if chunk.isascii() else [chunk[a:b] for _, (a, b) in self.splitter.pre_tokenize_str(chunk)]
+                self.chunks.keep(chunk, words, 2 * len(chunk))
+        found = [w for c in chunks for w in known[c]]
+        self.chunks.forget_long()
+        return found
+
+    def _learn(self, words: list[str]) -> None:
+        short: list[tuple[str, bytes]] = []
+        for word in words:
+            raw = word.encode("utf-8", "surrogatepass")
+            if len(raw) <= SHORT:
+                short.append((word, raw))
+                continue
+            bounds = self._scanned(raw) if len(raw) <= LONG else self._heaped(raw)
+            ids = self._packed([self.ids[raw[a:b]] for a, b in zip(bounds, bounds[1:], strict=False)])
+            self.words.keep(word, ids, len(ids))
+        short.sort(key=lambda w: len(w[1]))
+        for at in range(0, len(short), TOGETHER):
+            some = short[at : at + TOGETHER]
+            for (word, _), ids in zip(some, self._scanned_together([raw for _, raw in some]), strict=True):
+                self.words.keep(word, ids, len(ids))
+
+    def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left * self.width + right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where((self.pairs[at] == key) & (right >= 0), self.pair_ranks[at], self.never)
+
+    def _scanned_together(self, raws: list[bytes]) -> list[bytes]:
+        """As ``_scanned``, a row per word: its parts (-1 behind the last) and their ranks."""
+        sizes = np.fromiter(map(len, raws), np.int64, len(raws))
+        width = int(sizes.max())
+        letters = np.frombuffer(b"".join([r.ljust(width, b"\0") for r in raws]), np.uint8).reshape(len(raws), width)
+        parts = np.where(np.arange(width) < sizes[:, None], self.one[letters], -1)
+        parts = np.concatenate([parts, np.full((len(raws), 1), -1)], axis=1)
+        ranks = self._ranks_of(parts[:, :-1], parts[:, 1:])
+        out: list[bytes] = [b""] * len(raws)
+        rows, columns = np.arange(len(raws)), np.arange(width)
+        while len(rows):
+            each = np.arange(len(rows))
+            at = ranks.argmin(axis=1)
+            least = ranks[each, at]
+            done = np.flatnonzero(least == self.never)
+            if len(done):
+                counts = (parts[done] >= 0).sum(axis=1)
+                flat = parts[done].astype("<u4")
+                for row, ids, n in zip(rows[done].tolist(), flat, counts.tolist(), strict=True):
+                    out[row] = ids[:n].tobytes()
+                go = np.flatnonzero(least != self.never)
+                rows, parts, ranks, at, least = rows[go], parts[go], ranks[go], at[go], least[go]
+                each = np.arange(len(rows))
+                if not len(rows):
+                    break
+            # Delete the boundary inside the pair: all behind it moves up by one.
+            behind = columns >= at[:, None]
+            ranks = np.where(behind, np.concatenate([ranks[:, 1:], np.full((len(rows), 1), self.never, ranks.dtype)], axis=1), ranks)
+            parts[:, 1:width] = np.where(behind[:, : width - 1], parts[:, 2:], parts[:, 1:width])
+            parts[each, at] = self.made[least]
+            ranks[each, at] = self._ranks_of(parts[each, at], parts[each, at + 1])
+            first = np.maximum(at - 1, 0)
+            ranks[each, first] = np.where(at > 0, self._ranks_of(parts[each, first], parts[each, at]), ranks[each, first])
+        return out
 
     def _rank(self, raw: bytes, a: int, b: int, c: int) -> int:
         """Rank of the merge of ``raw[a:b]`` and ``raw[b:c]``."""
@@ -208,18 +278,22 @@ class RankBpe:
         return self.spelled(ids).decode("utf-8", "replace")
 
 
+@lru_cache(maxsize=2)
+def coder_of(path: str, plain_specials: bool = False) -> RankBpe:
+    """One per Python worker, which Spark keeps for later tasks, with what it remembers."""
+    return RankBpe(path, plain_specials)
+
+
 def round_trip(docs: DataFrame, path: str | None = None, plain_specials: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded`` of every whole text; ``ids`` are little-endian
     unsigned 32-bit integers, ``decoded`` is read from them."""
-    import numpy as np
-
     path = path or model_path()
 
     def setup():
-        coder = RankBpe(path, plain_specials)
+        coder = coder_of(path, plain_specials)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ids = [coder.encode(t) for t in batch.column("text").to_pylist()]
+            ids = coder.encode_all(batch.column("text").to_pylist())
             return record(
                 doc_id=batch.column("doc_id"),
                 n_tokens=pa.array([len(i) // 4 for i in ids], pa.int64()),
@@ -229,25 +303,23 @@ def round_trip(docs: DataFrame, path: str | None = None, plain_specials: bool =
 
         return work
 
-    return map_slices(docs.select("doc_id", "text"), None, f"doc_id {key_type(docs)}, n_tokens long, ids binary, decoded string", setup)
+    return map_slices(docs.select("doc_id", "text"), None, f"doc_id {key_type(docs)}, n_tokens long, ids binary, decoded string", setup, SLICE_BYTES)
 
 
 def encoded(docs: DataFrame, path: str | None = None, plain_specials: bool = False) -> DataFrame:
     """``doc_id, ids``: the ids of every whole text as a list."""
-    import numpy as np
-
     path = path or model_path()
 
     def setup():
-        coder = RankBpe(path, plain_specials)
+        coder = coder_of(path, plain_specials)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ids = [np.frombuffer(coder.encode(t), "<u4").astype(np.int64) for t in batch.column("text").to_pylist()]
+            ids = [np.frombuffer(i, "<u4").astype(np.int64) for i in coder.encode_all(batch.column("text").to_pylist())]
             return record(doc_id=batch.column("doc_id"), ids=pa.array(ids, pa.list_(pa.int64())))
 
         return work
 
-    return map_slices(docs.select("doc_id", "text"), None, f"doc_id {key_type(docs)}, ids array<long>", setup)
+    return map_slices(docs.select("doc_id", "text"), None, f"doc_id {key_type(docs)}, ids array<long>", setup, SLICE_BYTES)
 
 
 def decoded(rows: DataFrame, path: str | None = None) -> DataFrame:
@@ -255,7 +327,7 @@ def decoded(rows: DataFrame, path: str | None = None) -> DataFrame:
     path = path or model_path()
 
     def setup():
-        coder = RankBpe(path)
+        coder = coder_of(path)
 
         def work(batches):
             for batch in batches:

@@ -22,7 +22,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,11 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factgraph.llm.common import Memory, frugal, key_type, map_slices, record, slices, staged
-from factgraph.llm.rank_bpe import RankBpe, model_path
+from factgraph.llm.rank_bpe import coder_of, model_path
 
 MODEL_A, MODEL_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 # Bytes of chunks that a task remembers on side B.
-REMEMBERED = 80 << 20
+REMEMBERED = 128 << 20
+# Bytes of text aligned at once.
+SLICE_BYTES = 1 << 20
 # Runs that no piece of the model crosses: its pieces hold a space at their start only.
 CHUNK = re.compile(r" *[^ \n]+|\n| +")
 BYTE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -57,50 +62,61 @@ class PieceIds:
         self.cuts = not any("▁" in p.lstrip("▁") or "\n" in p for p in pieces) and self.model.decode(self.model.encode(probe)) == probe
         self.chunks = Memory(remembered)
 
+    def encode_all(self, texts: list[str]) -> list[bytes | None]:
+        """Ids of each text as little-endian unsigned 32-bit integers; None if they spell
+        something else than a space and the text."""
+        if not self.cuts:
+            found = self.model.encode(texts, num_threads=1)
+            return [self._packed(i) if self._spelled(i) == (" " + t).encode("utf-8", "surrogatepass") else None for t, i in zip(texts, found, strict=True)]
+        lists = [CHUNK.findall(" " + t) for t in texts]
+        known = self.chunks.make_room()
+        missing = [c for c in set().union(*lists).difference(known) if self.chunks.recall(c) is None]
+        odd = set()
+        # The model puts a space before a text; the line break keeps it away from the chunk.
+        for chunk, ids in zip(missing, self.model.encode(["\n" + c for c in missing], num_threads=1), strict=True):
+            packed = self._packed(ids[2:])
+            self.chunks.keep(chunk, packed, len(packed))
+            if self._spelled(ids[2:]) != chunk.encode("utf-8", "surrogatepass"):
+                odd.add(chunk)
+        get = known.__getitem__
+        out = [None if odd and not odd.isdisjoint(chunks) else b"".join(map(get, chunks)) for chunks in lists]
+        for chunk in odd:  # found odd again when it comes again
+            known.pop(chunk, None)
+        self.chunks.forget_long()
+        return out
+
     @staticmethod
     def _packed(ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
+        return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
 
-    def encode(self, text: str) -> bytes:
-        if not self.cuts:
-            return self._packed(self.model.encode(text, num_threads=1))
-        chunks = CHUNK.findall(" " + text.replace("▁", " "))
-        known = self.chunks.known
-        try:
-            return b"".join(map(known.__getitem__, chunks))
-        except KeyError:
-            self.chunks.make_room()
-            missing = list(set(chunks).difference(known))
-            # The model puts a space before a text; the line break keeps it away from the chunk.
-            for chunk, ids in zip(missing, self.model.encode(["\n" + c for c in missing], num_threads=1), strict=True):
-                packed = self._packed(ids[2:])
-                self.chunks.keep(chunk, packed, len(packed))
-            found = b"".join(map(known.__getitem__, chunks))
-            self.chunks.forget_long()
-            return found
+    def _spelled(self, ids: list[int]) -> bytes:
+        return b"".join([self.bytes[i] for i in ids])
+
+
+@lru_cache(maxsize=2)
+def pieces_of(path: str) -> PieceIds:
+    """One per Python worker, which Spark keeps for later tasks, with what it remembers."""
+    return PieceIds(path)
 
 
 class Sides:
     """Both tokenizers, and the tokens of a slice of texts as one table per side."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.a, self.b = RankBpe(path_a, plain_specials=True), PieceIds(path_b)
+        self.a, self.b = coder_of(path_a, plain_specials=True), pieces_of(path_b)
         self.size_a, self.size_b = (np.array([len(t) for t in side.bytes], np.int64) for side in (self.a, self.b))
 
-    def _ids(self, text: str | None) -> tuple[bytes, bytes]:
-        if not text:
-            return b"", b""
-        whole = (" " + text).encode("utf-8", "surrogatepass")
-        found = self.a.encode(" " + text), self.b.encode(text)
-        for ids, side in zip(found, (self.a, self.b), strict=True):
-            if b"".join(map(side.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist())) != whole:
-                return b"", b""
-        return found
+    def _ids(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
+        filled = [t or "" for t in texts]
+        found_b = self.b.encode_all(filled)
+        # The words of side A are cut out of the text's bytes and so spell it.
+        found_a = self.a.encode_all([" " + t if t and b is not None else None for t, b in zip(filled, found_b, strict=True)])
+        return [(a, b) if t and b is not None else (b"", b"") for t, a, b in zip(filled, found_a, found_b, strict=True)]
 
     def tokens(self, texts: list[str | None]) -> tuple[pd.DataFrame, pd.DataFrame]:
         """``doc, id, start, end`` per token; ``doc`` is the place in the slice, and bytes are
         counted over the whole slice, so that starts ascend."""
-        found = [self._ids(t) for t in texts]
+        found = self._ids(texts)
         frames = []
         for side, sizes in enumerate((self.size_a, self.size_b)):
             ids = np.frombuffer(b"".join([f[side] for f in found]), "<u4").astype(np.int64)
@@ -120,8 +136,10 @@ def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
     from_a = pd.merge_asof(a, b, on="start", by="doc")
     from_b = pd.merge_asof(b, a, on="start", by="doc")
     new = b["start"].to_numpy() != a["start"].to_numpy()[from_b["a"].to_numpy(np.int64)] if len(b) else np.zeros(0, bool)
-    both = pd.concat([from_a[["doc", "a", "b"]], from_b.loc[new, ["doc", "a", "b"]]]).astype(np.int64)
-    return both.sort_values(["a", "b"], ignore_index=True)
+    # Both parts are in order already, so a stable sort merges them.
+    doc, in_a, in_b = (np.concatenate([from_a[c].to_numpy(np.int64), from_b[c].to_numpy(np.int64)[new]]) for c in ("doc", "a", "b"))
+    order = np.argsort(in_a << 32 | in_b, kind="stable")
+    return pd.DataFrame({"doc": doc[order], "a": in_a[order], "b": in_b[order]})
 
 
 class Aligned:
@@ -143,24 +161,31 @@ class Aligned:
         """One number per link for its pair of ids."""
         return self.a["id"].to_numpy()[self.link_a] << 32 | self.b["id"].to_numpy()[self.link_b]
 
-    def spelled_groups(self) -> list[str]:
+    def spelled_groups(self) -> list[bytes]:
         """Per text ``a1,a2|b1;a3|b2``: the ids of each group."""
         n_a, n_b = len(self.a), len(self.b)
         if not n_a:
-            return [""] * self.n
+            return [b""] * self.n
         # A group ends with a link; its tokens of A come first, then those of B.
-        group_a = np.searchsorted(self.link_a, np.arange(n_a))
-        group_b = np.searchsorted(self.link_b, np.arange(n_b))
-        at_a = np.arange(n_a) + np.searchsorted(group_b, group_a)
-        at_b = np.arange(n_b) + np.searchsorted(group_a, group_b, side="right")
-        ids, marks = np.empty(n_a + n_b, np.int64), np.zeros(n_a + n_b, np.int64)
+        ends_a, ends_b = np.zeros(n_a, np.int64), np.zeros(n_b, np.int64)
+        ends_a[self.link_a], ends_b[self.link_b] = 1, 1
+        at_a = np.arange(n_a) + np.concatenate([[0], self.link_b + 1])[np.cumsum(ends_a) - ends_a]
+        at_b = np.arange(n_b) + (self.link_a + 1)[np.cumsum(ends_b) - ends_b]
+        ids, marks = np.empty(n_a + n_b, np.int64), np.full(n_a + n_b, ord(","), np.uint8)
         ids[at_a], ids[at_b] = self.a["id"].to_numpy(), self.b["id"].to_numpy()
-        marks[at_a[self.link_a]], marks[at_b[self.link_b]] = 1, 2
-        numbers = [str(i) + m for i in range(int(ids.max()) + 1) for m in ",|;"]
-        parts = list(map(numbers.__getitem__, (3 * ids + marks).tolist()))
-        sizes = self.counts(self.a["doc"]) + self.counts(self.b["doc"])
-        ends = np.cumsum(sizes).tolist()
-        return ["".join(parts[e - s : e])[:-1] for s, e in zip(sizes.tolist(), ends, strict=True)]
+        marks[at_a[self.link_a]], marks[at_b[self.link_b]] = ord("|"), ord(";")
+        # Decimal digits and the mark behind them, written place by place.
+        digits = 1 + sum((ids >= 10**k).astype(np.int64) for k in range(1, len(str(int(ids.max())))))
+        ends = np.cumsum(digits + 1)
+        spelled = np.empty(int(ends[-1]), np.uint8)
+        spelled[ends - 1] = marks
+        for k in range(int(digits.max())):
+            has = digits > k
+            spelled[ends[has] - 2 - k] = 48 + ids[has] // 10**k % 10
+        last = np.cumsum(self.counts(self.a["doc"]) + self.counts(self.b["doc"]))
+        cuts = np.concatenate([[0], ends])[last].tolist()
+        whole = spelled.tobytes()
+        return [whole[s : max(s, e - 1)] for s, e in zip([0, *cuts], cuts, strict=False)]
 
 
 def alignments(docs: DataFrame, path_a: str | None = None, path_b: str | None = None) -> DataFrame:
@@ -189,7 +214,7 @@ def alignments(docs: DataFrame, path_a: str | None = None, path_b: str | None =
         return work
 
     pair = "array<struct<a:long,b:long>>"
-    return map_slices(docs.select("doc_id", "text"), None, f"doc_id {key_type(docs)}, a array<long>, b array<long>, overlaps {pair}, groups {pair}", setup)
+    return map_slices(docs.select("doc_id", "text"), None, f"doc_id {key_type(docs)}, a array<long>, b array<long>, overlaps {pair}, groups {pair}", setup, SLICE_BYTES)
 
 
 def _blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -206,7 +231,7 @@ def _blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
         sides, part, number = Sides(path_a, path_b), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for rows in slices(batch):
+            for rows in slices(batch, limit=SLICE_BYTES):
                 found = Aligned(sides, rows.column("text").to_pylist())
                 pairs, links, counts = np.unique(found.keys(), return_inverse=True, return_counts=True)
                 longs = pa.list_(pa.int64())
@@ -216,7 +241,7 @@ def _blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                     n_a=pa.array([found.counts(found.a["doc"])], longs),
                     n_b=pa.array([found.counts(found.b["doc"])], longs),
                     n_links=pa.array([found.counts(found.links["doc"])], longs),
-                    groups_sha256=pa.array([[hashlib.sha256(g.encode()).hexdigest() if g else "" for g in found.spelled_groups()]], pa.list_(pa.string())),
+                    groups_sha256=pa.array([[hashlib.sha256(g).hexdigest() if g else "" for g in found.spelled_groups()]], pa.list_(pa.string())),
                     pairs=pa.array([pairs], longs),
                     counts=pa.array([counts], longs),
                     links=pa.array([links.astype("<u4").tobytes()], pa.binary()),

@@ -102,10 +102,11 @@ class WordEncoder:
         try:
             return b"".join(map(known.__getitem__, chunks))
         except KeyError:
-            self.chunks.make_room()
-            self.words.make_room()
-            words, keep = self.words.known, self.chunks.keep
+            known, words = self.chunks.make_room(), self.words.make_room()
+            keep, recall = self.chunks.keep, self.chunks.recall
             for c in set(chunks).difference(known):
+                if recall(c) is not None:
+                    continue
                 # Most chunks are ASCII letters, perhaps with one mark behind.
                 if c.isalpha():
                     w = c.lower()
@@ -130,6 +131,9 @@ class WordEncoder:
         return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _word(self, word: bytes) -> bytes:
+        ids = self.words.recall(word)
+        if ids is not None:
+            return ids
         mapped = word.decode() if word.isascii() else "".join([self.alphabet[b] for b in word])
         ids = self._bytes([t.id for t in self.model.tokenize(mapped)])
         self.words.keep(word, ids, len(ids))
