@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -172,47 +171,81 @@ def unknown_fields(v: Sql, known: Sequence[str]) -> Sql:
 
 NODE = (
     "array<struct<ref:string,keys:array<string>,lists:int,at_index:boolean,named_above:boolean,"
-    "text:string,fields:map<string,string>>>"
+    "text:string,fields:map<string,string>,rest:variant>>"
 )
 
 
-def _walker():
-    """The walk as a function without module references, so that tasks need nothing but pandas."""
+def _node(ref, keys, lists, at_index, named_above, text=None, fields=None, rest=None) -> Sql:
+    parts = {
+        "ref": ref, "keys": keys, "lists": lists, "at_index": at_index, "named_above": named_above,
+        "text": S.lit(None).cast("string") if text is None else text,
+        "fields": S.lit(None).cast("map<string,string>") if fields is None else fields,
+        "rest": S.lit(None).cast("variant") if rest is None else rest,
+    }
+    return S.struct(*[S.lit(v).alias(k) if not isinstance(v, Sql) else v.alias(k) for k, v in parts.items()])
 
-    def walk(documents: pd.Series, bases: pd.Series) -> pd.Series:
-        import json
 
-        import pandas
+def opened(nodes: Sql) -> Sql:
+    """One level further down: every node with a ``rest`` gives way to what the rest says, a
+    mapping and the values below it in key order, the elements of a list, or a text."""
 
-        def nodes(document, base):
-            # Depth first over mappings (keys in order) and lists, without recursion limits.
-            out, stack = [], [(json.loads(document), base, (), 0, False, False)]
-            while stack:
-                value, ref, keys, lists, at_index, named = stack.pop()
-                if isinstance(value, str):
-                    if value.strip():
-                        out.append((ref, list(keys), lists, at_index, named, value.strip(), None))
-                elif isinstance(value, list):
-                    for i in range(len(value) - 1, -1, -1):
-                        stack.append((value[i], f"{ref}[{i}]", keys, lists + 1, True, named))
-                elif isinstance(value, dict):
-                    fields = {k: v.strip() for k, v in value.items() if isinstance(v, str) and v.strip()}
-                    out.append((ref, list(keys), lists, at_index, named, None, fields))
-                    below = named or "name" in fields
-                    for k in sorted(value, reverse=True):
-                        stack.append((value[k], f"{ref}.{k}", (*keys, k), lists, False, below))
-            names = ("ref", "keys", "lists", "at_index", "named_above", "text", "fields")
-            return [dict(zip(names, row, strict=True)) for row in out]
+    def mapping(n: Sql) -> Sql:
+        def at_entries(entries: Sql) -> Sql:
+            told = S.filter(
+                S.transform(entries, lambda p: S.struct(p["key"].alias("key"), whole_text(p["value"]).alias("value"))),
+                lambda p: p["value"] != "",
+            )
+            named = n["named_above"] | (S.size(S.filter(told, lambda p: p["key"] == "name")) > 0)
 
-        return pandas.Series([None if d is None else nodes(d, b) for d, b in zip(documents, bases, strict=True)])
+            def child(p: Sql) -> Sql:
+                ref = S.concat(n["ref"], S.lit("."), p["key"])
+                return _node(ref, S.concat(n["keys"], S.array(p["key"])), n["lists"], False, named, rest=p["value"])
 
-    return walk
+            own = _node(n["ref"], n["keys"], n["lists"], n["at_index"], n["named_above"], fields=S.map_from_entries(told))
+            return S.concat(S.array(own), S.transform(entries, child))
 
+        return let(sorted_entries(n["rest"]), at_entries)
 
-def document_nodes(document: Column, base: Column) -> Column:
-    """Text and mapping nodes of a JSON text, depth first, with their paths.
+    def listed(n: Sql) -> Sql:
+        def child(e: Sql, i: Sql) -> Sql:
+            ref = S.concat(n["ref"], S.lit("["), i.cast("string"), S.lit("]"))
+            return _node(ref, n["keys"], n["lists"] + 1, True, n["named_above"], rest=e)
 
-    The one Python step of extraction: depth is unbounded, which column expressions
-    cannot follow. It runs in Arrow batches and passes nulls through.
+        return S.transform(elements(n["rest"]), child)
+
+    def said(n: Sql) -> Sql:
+        node = _node(n["ref"], n["keys"], n["lists"], n["at_index"], n["named_above"], text=whole_text(n["rest"]))
+        return S.filter(S.array(node), lambda t: t["text"] != "")
+
+    def one(n: Sql) -> Sql:
+        return (
+            S.when(n["rest"].isNull(), S.array(n)).when(is_object(n["rest"]), mapping(n)).when(is_array(n["rest"]), listed(n))
+            .otherwise(said(n)).cast(NODE)
+        )
+
+    return S.flatten(S.transform(nodes, one))
+
+
+def depth_of(value: Column) -> Column:
+    """How deep mappings and lists nest in a VARIANT; 0 for a text."""
+    bare = F.regexp_replace(F.regexp_replace(F.to_json(value), r"\\.", ""), '"[^"]*"', "")
+    marks = F.regexp_extract_all(bare, F.lit(r"[\[\]{}]"), F.lit(0))
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(acc: Column, mark: Column) -> Column:
+        now = acc["now"] + F.when(mark.isin("[", "{"), 1).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most"))
+
+    return F.aggregate(marks, start, step, lambda acc: acc["most"])
+
+
+def walked(value: Sql, base: Sql, depth: int) -> list[Callable[[Sql], Sql]]:
+    """Steps from a VARIANT to its text and mapping nodes, depth first, with their paths.
+
+    The first takes nothing, each further one the result of the one before; after them all,
+    values that nest ``depth`` deep are opened. JVM expressions only: a walk of any depth is
+    a number of equal steps, and ``depth_of`` tells how many.
     """
-    return F.pandas_udf(_walker(), NODE)(document, base)
+    root = S.array(_node(base, S.array().cast("array<string>"), 0, False, False, rest=value)).cast(NODE)
+    start = S.filter(root, lambda n: n["rest"].isNotNull())
+    return [lambda _: start, *[opened] * (depth + 1)]
