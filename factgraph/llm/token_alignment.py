@@ -38,9 +38,9 @@ from factgraph.llm.rank_bpe import coder_of, model_path
 
 MODEL_A, MODEL_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 # Bytes of chunks that a task remembers on side B.
-REMEMBERED = 128 << 20
+REMEMBERED = 64 << 20
 # Bytes of text aligned at once.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 512 << 10
 # Runs that no piece of the model crosses: its pieces hold a space at their start only.
 CHUNK = re.compile(r" *[^ \n]+|\n| +")
 BYTE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -226,26 +226,30 @@ def _blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         "groups_sha256 array<string>, pairs array<long>, counts array<long>, links binary"
     )
 
+    longs = pa.list_(pa.int64())
+
+    def block(sides: Sides, rows: pa.RecordBatch, name: str) -> pa.RecordBatch:
+        found = Aligned(sides, rows.column("text").to_pylist())
+        pairs, links, counts = np.unique(found.keys(), return_inverse=True, return_counts=True)
+        return record(
+            block=pa.array([name]),
+            doc_ids=pa.ListArray.from_arrays(pa.array([0, rows.num_rows], pa.int32()), rows.column("doc_id")),
+            n_a=pa.array([found.counts(found.a["doc"])], longs),
+            n_b=pa.array([found.counts(found.b["doc"])], longs),
+            n_links=pa.array([found.counts(found.links["doc"])], longs),
+            groups_sha256=pa.array([[hashlib.sha256(g).hexdigest() if g else "" for g in found.spelled_groups()]], pa.list_(pa.string())),
+            pairs=pa.array([pairs], longs),
+            counts=pa.array([counts], longs),
+            links=pa.array([links.astype("<u4").tobytes()], pa.binary()),
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         sides, part, number = Sides(path_a, path_b), TaskContext.get().partitionId(), 0
         for batch in batches:
             for rows in slices(batch, limit=SLICE_BYTES):
-                found = Aligned(sides, rows.column("text").to_pylist())
-                pairs, links, counts = np.unique(found.keys(), return_inverse=True, return_counts=True)
-                longs = pa.list_(pa.int64())
-                yield record(
-                    block=pa.array([f"{part}-{number}"]),
-                    doc_ids=pa.ListArray.from_arrays(pa.array([0, rows.num_rows], pa.int32()), rows.column("doc_id")),
-                    n_a=pa.array([found.counts(found.a["doc"])], longs),
-                    n_b=pa.array([found.counts(found.b["doc"])], longs),
-                    n_links=pa.array([found.counts(found.links["doc"])], longs),
-                    groups_sha256=pa.array([[hashlib.sha256(g).hexdigest() if g else "" for g in found.spelled_groups()]], pa.list_(pa.string())),
-                    pairs=pa.array([pairs], longs),
-                    counts=pa.array([counts], longs),
-                    links=pa.array([links.astype("<u4").tobytes()], pa.binary()),
-                )
+                yield block(sides, rows, f"{part}-{number}")
                 number += 1
 
     return docs.select("doc_id", "text").mapInArrow(frugal(run), schema)
