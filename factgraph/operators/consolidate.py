@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factgraph.functions.text import compact_ws
 from factgraph.operators.shaping import HOT_ROWS, digest_number, first_row, join_hot_apart
-from factgraph.session import cut_lineage
+from factgraph.session import staged
 
 SEP = "\x1f"
 NODE_KINDS = ["repo", "external_tool"]
@@ -46,7 +46,8 @@ def with_keys(candidates: DataFrame) -> DataFrame:
     """Add ``merge_key`` (content without section and evidence) and ``collision_key``."""
     collision = F.concat_ws(SEP, _text("node_id", "fact_type", "predicate", "object_kind"), object_key())
     merge = F.concat_ws(SEP, collision, _text("note"), confidence_text(), _text("as_of", "extraction_mode"))
-    return candidates.withColumn("merge_key", F.sha2(merge, 256)).withColumn("collision_key", F.sha2(collision, 256))
+    keyed = candidates.withColumn("merge_key", F.unhex(F.sha2(merge, 256))).withColumn("collision_key", F.unhex(F.sha2(collision, 256)))
+    return keyed.withColumn("draft", F.col("extraction_mode").eqNullSafe(F.lit("draft")))
 
 
 def evidence_rows(rows: DataFrame, key: str) -> DataFrame:
@@ -76,70 +77,90 @@ class Consolidated:
     ledger: DataFrame
 
 
-def merge_derived(derived: DataFrame) -> DataFrame:
-    """One row per merge key: the earliest candidate, with the number of copies."""
-    payload = F.struct("pos", *CONTENT, "collision_key")
-    merged = derived.groupBy("merge_key").agg(F.min(payload).alias("f"), F.count("*").alias("copies"))
-    return merged.select("merge_key", "copies", "f.*")
+def placed(keyed: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Candidates with what their keys hold: ``first`` and ``copies`` of the merge key,
+    ``last_first`` (the last of the derived firsts), ``first_draft`` and ``last_draft`` of the
+    collision key.
+
+    One exchange on the collision key and one sort give all of them, as a merge key lies within
+    one collision key. Collision keys with over ``hot_rows`` candidates are cut apart: their
+    counts are combined before they are exchanged, and joined back by merge key.
+    """
+    hot = staged(keyed.groupBy("collision_key").agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows).select("collision_key"))
+    of_key = {
+        "last_first": F.max(F.when(~F.col("draft"), F.col("first"))),
+        "first_draft": F.min(F.when(F.col("draft"), F.col("first"))),
+        "last_draft": F.max(F.when(F.col("draft"), F.col("last"))),
+    }
+
+    def scanned(rows: DataFrame) -> DataFrame:
+        same = Window.partitionBy("collision_key", "draft", "merge_key")
+        key = Window.partitionBy("collision_key")
+        counted = rows.repartition("collision_key").select(
+            "*", F.min("pos").over(same).alias("first"), F.max("pos").over(same).alias("last"), F.count("*").over(same).alias("copies")
+        )
+        return counted.select("*", *[c.over(key).alias(n) for n, c in of_key.items()]).drop("last")
+
+    if hot.isEmpty():
+        return scanned(keyed)
+    # Keys above the threshold number at most the rows over it.
+    hot = F.broadcast(hot)
+    busy = keyed.join(hot, "collision_key", "left_semi")
+    merged = staged(busy.groupBy("collision_key", "draft", "merge_key").agg(F.min("pos").alias("first"), F.max("pos").alias("last"), F.count("*").alias("copies")))
+    per_key = F.broadcast(merged.groupBy("collision_key").agg(*[c.alias(n) for n, c in of_key.items()]))
+    joined = join_hot_apart(busy, merged.select("merge_key", "first", "copies"), ["merge_key"], "copies", hot_rows)
+    cold = scanned(keyed.join(hot, "collision_key", "left_anti"))
+    return cold.unionByName(joined.join(per_key, "collision_key"))
+
+
+def judged(candidates: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Every candidate with its fate: ``alive`` (its evidence counts), ``is_fact`` (it stands for
+    its key) and ``reason`` (why it stands in the ledger), written once.
+
+    Of derived rows with one merge key the earliest stands for all. A draft takes the place of
+    the last of them with its collision key; of several drafts the last stays.
+    """
+    rows = placed(staged(with_keys(candidates)), hot_rows)
+    draft, pos = F.col("draft"), F.col("pos")
+    replaced = F.col("last_draft").isNotNull() & (F.col("first") == F.col("last_first"))
+    alive = F.when(draft, pos == F.col("last_draft")).otherwise(~replaced)
+    reason = (
+        F.when(~draft & (pos > F.col("first")), "duplicate_derived_merged")
+        .when(draft & (F.col("last_first").isNotNull() | (pos > F.col("first_draft"))), "draft_precedence_override")
+    )
+    rows = rows.withColumn("alive", alive).withColumn("is_fact", F.col("alive") & (draft | (pos == F.col("first"))))
+    rows = rows.withColumn("copies", F.when(draft, F.lit(1).cast("bigint")).otherwise(F.col("copies"))).withColumn("reason", reason)
+    return staged(rows.select("merge_key", "pos", *CONTENT, "evidence", "copies", "alive", "is_fact", "reason"))
 
 
 def consolidate(candidates: DataFrame, hot_rows: int = HOT_ROWS) -> Consolidated:
     """Merge equal derived facts, let drafts override, assign ids.
 
-    A draft takes the place of the last derived fact with its collision key (earlier
-    ones stay); of several drafts with one key the last stays. A further merge of the
-    result is not needed: derived rows are unique by merge key, drafts by collision
-    key, and the extraction mode keeps the two apart. The keyed candidates are read
-    several times below, so they are checkpointed instead of extracted anew.
+    The candidates are exchanged once (``placed``) and written once with their fate
+    (``judged``); facts, evidence and ledger read their own columns and rows of that table.
+    A further merge of the result is not needed: derived rows are unique by merge key,
+    drafts by collision key, and the extraction mode keeps the two apart.
     """
-    keyed = cut_lineage(with_keys(candidates))
-    derived = keyed.filter("extraction_mode <> 'draft'")
-    drafts = keyed.filter("extraction_mode = 'draft'")
-
-    merged = merge_derived(derived)
-    slots = merged.groupBy("collision_key").agg(F.max(F.struct("pos", "merge_key")).alias("last"))
-    draft_keys = drafts.groupBy("collision_key").agg(F.count("*").alias("drafts"), F.min("pos").alias("first_draft"))
-    replaced = slots.join(draft_keys.select("collision_key"), "collision_key").select("last.merge_key")
-    survivors = merged.join(replaced, "merge_key", "left_anti")
-    winners = first_row(drafts, ["collision_key"], [F.desc("pos")])
-
-    items = evidence_rows(derived, "merge_key").join(survivors.select("merge_key"), "merge_key", "left_semi")
-    items = items.unionByName(evidence_rows(winners, "merge_key"))
+    rows = judged(candidates, hot_rows)
+    items = evidence_rows(rows.filter("alive"), "merge_key")
     proof = items.groupBy("merge_key").agg(
         F.count("*").alias("evidence_count"), F.sum(digest_number(evidence_text())).alias("evidence_digest")
     )
-    rows = survivors.select("merge_key", "copies", *CONTENT).unionByName(
-        winners.select("merge_key", F.lit(1).cast("bigint").alias("copies"), *CONTENT)
-    )
     facts = (
-        rows.join(proof, "merge_key", "left")
+        rows.filter("is_fact").select("merge_key", "copies", *CONTENT)
+        .join(proof, "merge_key", "left")
         .withColumn("evidence_count", F.coalesce("evidence_count", F.lit(0).cast("bigint")))
         .withColumn("evidence_digest", F.coalesce("evidence_digest", F.lit(0).cast("decimal(38,0)")))
         .withColumn("fact_id", fact_id())
-    )
+    )
     evidence = join_hot_apart(
         items, facts.select("merge_key", "fact_id", "evidence_count"), ["merge_key"], "evidence_count", hot_rows
     ).drop("merge_key", "evidence_count")
+    summary = ["node_id", "source_file", "fact_type", "predicate", "object_kind", object_key().alias("object"), "pos"]
     return Consolidated(
         facts.select("fact_id", *CONTENT, "copies", "evidence_count", "evidence_digest"),
         evidence,
-        _ledger(derived, drafts, merged, slots, draft_keys, hot_rows),
-    )
-
-
-def _ledger(
-    derived: DataFrame, drafts: DataFrame, merged: DataFrame, slots: DataFrame, draft_keys: DataFrame, hot_rows: int
-) -> DataFrame:
-    """One row per candidate that was merged away or that overrode an earlier one."""
-    summary = ["node_id", "source_file", "fact_type", "predicate", "object_kind", object_key().alias("object"), "pos"]
-    doubled = merged.filter("copies > 1").select("merge_key", F.col("pos").alias("kept_pos"), "copies")
-    copies = join_hot_apart(derived, doubled, ["merge_key"], "copies", hot_rows).filter("pos > kept_pos")
-    taken = draft_keys.join(slots.select("collision_key", F.lit(True).alias("derived")), "collision_key", "left")
-    overrides = join_hot_apart(drafts, taken, ["collision_key"], "drafts", hot_rows).filter(
-        F.col("derived").isNotNull() | (F.col("pos") > F.col("first_draft"))
-    )
-    return copies.select(F.lit("duplicate_derived_merged").alias("reason"), *summary).unionByName(
-        overrides.select(F.lit("draft_precedence_override").alias("reason"), *summary)
+        rows.filter("reason IS NOT NULL").select("reason", *summary),
     )
 
 
@@ -191,10 +212,14 @@ def repo_counters(candidates: DataFrame, result: Consolidated, rejected: DataFra
 
 
 def best_confidence(facts: DataFrame, keys: tuple[str, ...] = ("source_file", "predicate", "object_value")) -> DataFrame:
-    """Highest confidence per key, the earliest on ties; rows without predicate or value stay."""
+    """Highest confidence per key, the earliest on ties; rows without predicate or value stay.
+
+    Rows that stay anyway take their place as a key of their own, so one pass ranks all.
+    """
     whole = F.col("predicate").isNotNull() & F.col("object_value").isNotNull()
     order = [F.desc(F.coalesce("confidence", F.lit(0.0))), "pos"]
-    return first_row(facts.filter(whole), keys, order).unionByName(facts.filter(~whole))
+    marked = facts.withColumn("_own", F.when(~whole, F.col("pos")))
+    return first_row(marked, [*keys, "_own"], order).drop("_own")
 
 
 def best_confidence_report(facts: DataFrame, kept: DataFrame) -> DataFrame:
