@@ -20,6 +20,7 @@ import re
 import sys
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -147,6 +148,12 @@ class WordEncoder:
         return found.tobytes()
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> WordEncoder:
+    """One per Python worker, which Spark keeps for later tasks, with what it remembers."""
+    return WordEncoder(path)
+
+
 def _id_type(path: str) -> str:
     from tokenizers import Tokenizer
 
@@ -163,7 +170,7 @@ def train_dictionary(docs: DataFrame, path: str, kind: str) -> bytes:
     sample = filled.join(F.broadcast(ids), "doc_id").select(F.substring("text", 1, 8 * SAMPLE_IDS).alias("text"))
 
     def setup():
-        encoder = WordEncoder(path)
+        encoder = encoder_of(path)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             ids = [encoder.encode(t)[: 4 * SAMPLE_IDS] for t in batch.column("text").to_pylist()]
@@ -193,7 +200,7 @@ def frames(docs: DataFrame, path: str, data: bytes, kind: str, end_id: int) -> D
         import numpy as np
         import zstandard
 
-        encoder = WordEncoder(path)
+        encoder = encoder_of(path)
         end = np.array([end_id], "<u4").tobytes()
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(data), write_checksum=False)
 
