@@ -28,17 +28,6 @@ def listed(df: DataFrame, keys: Sequence[str], value: str, name: str, rank: str
     return df.groupBy(*keys).agg(F.transform(pairs, lambda p: p["v"]).alias(name))
 
 
-def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], spread_by: Sequence[str], salts: int = 8) -> DataFrame:
-    """Inner join that spreads every key of ``big`` over ``salts`` partitions.
-
-    ``small`` is repeated once per salt; use it when one key may hold a large share of
-    ``big`` and ``small`` is too large to broadcast.
-    """
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return big.withColumn("_salt", salt).join(copies, [*on, "_salt"]).drop("_salt")
-
-
 def digest_number(col: Column) -> Column:
     """First 60 bits of a SHA-256 as a number, to be summed over a set of rows."""
     return F.conv(F.substring(F.sha2(col, 256), 1, 15), 16, 10).cast("decimal(38,0)")

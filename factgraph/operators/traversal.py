@@ -8,8 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factgraph.operators.shaping import salted_join
-from factgraph.session import BROADCAST_ROW_LIMIT, cut_lineage
+from factgraph.session import BROADCAST_ROW_LIMIT, staged
 
 DEFAULT_HOPS = 3
 
@@ -45,41 +44,67 @@ def _steps(edges: DataFrame, relation: str | None, direction: str) -> DataFrame:
     )
 
 
+# A node with more edges than this is a hub; its edges are dealt to one task per so many.
+HUB_ROWS = 1_000_000
+# Hubs are broadcast, so the limit above rises until there can be no more of them than this.
+MOST_HUBS = 100_000
+
+
+def adjacency(edges: DataFrame, relation: str | None, direction: str, hub_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The steps of all edges, written once, and the hubs among the nodes they leave with the
+    number of parts their edges are dealt into."""
+    steps = staged(_steps(edges, relation, direction))
+    limit = max(hub_rows, steps.count() // MOST_HUBS)
+    degrees = steps.groupBy("node_id").agg(F.count("*").alias("n")).filter(F.col("n") > limit)
+    return steps, staged(degrees.select("node_id", F.ceil(F.col("n") / limit).cast("int").alias("parts")))
+
+
+def dealt_join(steps: DataFrame, front: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Steps at the nodes of a frontier; those of a hub meet it in as many parts as its degree asks for."""
+    hubs = F.broadcast(hubs)
+    part = F.pmod(F.xxhash64("src_id", "dst_id", "relation", "note"), F.col("parts"))
+    left = steps.join(hubs, "node_id", "left").withColumn("part", F.coalesce(part, F.lit(0).cast("bigint"))).drop("parts")
+    parts = F.sequence(F.lit(0).cast("bigint"), F.coalesce("parts", F.lit(1)).cast("bigint") - 1)
+    right = front.join(hubs, "node_id", "left").select("start_id", "node_id", F.explode(parts).alias("part"))
+    return left.join(right, ["node_id", "part"])
+
+
 def traverse(
-    starts: DataFrame, edges: DataFrame, hops: int = DEFAULT_HOPS, relation: str | None = None, direction: str = "both"
-) -> Traversal:
+    starts: DataFrame, edges: DataFrame, hops: int = DEFAULT_HOPS, relation: str | None = None, direction: str = "both",
+    hub_rows: int = HUB_ROWS, broadcast_rows: int = BROADCAST_ROW_LIMIT,
+) -> Traversal:
     """Level-by-level walk from many starts at once.
 
     ``starts(start_id)``. Each hop takes the edges at the nodes first reached one hop
     earlier, so an edge may show up again in a later hop; within a hop it counts once,
-    with the smallest note. A frontier is checkpointed, counted, and broadcast only
-    when small; a larger one is joined with salted keys, as a hub may hold a large
-    share of all edges. The walk ends early when a frontier is empty.
+    with the smallest note. The steps are written once and read once per hop; what a hop
+    touches is written, and gives both its edges and the next frontier. A frontier is counted
+    and broadcast only when small; a larger one meets hubs in parts, which their degrees
+    size. The walk ends early when a frontier is empty.
     """
     if hops < 1:
         raise ValueError("hops must be at least 1")
-    steps = _steps(edges, relation, direction)
-    frontier = cut_lineage(
-        starts.select("start_id", F.col("start_id").alias("node_id"), F.lit(0).alias("hop")).distinct()
-    )
+    steps, hubs = adjacency(edges, relation, direction, hub_rows)
+    frontier = staged(starts.select("start_id", F.col("start_id").alias("node_id"), F.lit(0).alias("hop")).distinct())
     levels, walked = [frontier], []
     for hop in range(1, hops + 1):
-        size = frontier.limit(BROADCAST_ROW_LIMIT + 1).count()
+        size = frontier.limit(broadcast_rows + 1).count()
         if size == 0:
             break
         front = frontier.select("start_id", "node_id")
-        if size <= BROADCAST_ROW_LIMIT:
-            touched = steps.join(F.broadcast(front), "node_id")
-        else:
-            touched = salted_join(steps, front, ["node_id"], ["src_id", "dst_id", "relation"])
-        walked.append(
-            touched.groupBy("start_id", F.lit(hop).alias("hop"), "src_id", "dst_id", "relation").agg(
-                F.min("note").alias("note")
+        met = steps.join(F.broadcast(front), "node_id") if size <= broadcast_rows else dealt_join(steps, front, hubs)
+        touched = staged(
+            met.groupBy("start_id", F.lit(hop).alias("hop"), "src_id", "dst_id", "relation").agg(
+                F.min("note").alias("note"),
+                F.bool_or(F.col("neighbor") == F.col("dst_id")).alias("to_dst"),
+                F.bool_or(F.col("neighbor") == F.col("src_id")).alias("to_src"),
             )
         )
+        walked.append(touched.drop("to_dst", "to_src"))
         seen = reduce(DataFrame.unionByName, levels).select("start_id", F.col("node_id"))
-        frontier = cut_lineage(
-            touched.select("start_id", F.col("neighbor").alias("node_id"))
+        ends = F.array_compact(F.array(F.when(F.col("to_dst"), F.col("dst_id")), F.when(F.col("to_src"), F.col("src_id"))))
+        frontier = staged(
+            touched.select("start_id", F.explode(ends).alias("node_id"))
             .distinct()
             .join(seen, ["start_id", "node_id"], "left_anti")
             .withColumn("hop", F.lit(hop))

@@ -203,3 +203,21 @@ def test_walk_equals_brute_force(spark, monkeypatch, salted):
     assert [(h, *layers["n1", h]) for h in sorted(k[1] for k in layers if k[0] == "n1")] == want_layers
     assert layers["lonely", 1] == (0, 0) and ("lonely", 2) not in layers
     assert sorted(r["node_id"] for r in walk.reached.filter("start_id = 'n1' AND hop > 0").collect()) == want_nodes
+
+
+def test_walks_over_hubs_equal_walks_by_broadcast(spark):
+    rows = [("hub", f"n{i}", "uses", f"note {i % 3}") for i in range(700)] + [(f"n{i}", f"m{i % 50}", "uses", None) for i in range(700)]
+    rows += [("m1", "m1", "self", "s"), ("m2", "hub", "back", "b"), ("hub", "n1", "uses", "a")]
+    edges = spark.createDataFrame(rows, "src_id string, dst_id string, relation string, note string")
+    starts = spark.createDataFrame([("hub",), ("n5",), ("nowhere",)], "start_id string")
+
+    def outcome(**limits):
+        walk = traversal.traverse(starts, edges, 3, **limits)
+        return [sorted(map(repr, df.collect())) for df in (walk.reached.select("start_id", "node_id", "hop"), walk.edges.select("start_id", "hop", "src_id", "dst_id", "relation", "note"), walk.layers)]
+
+    assert outcome(hub_rows=30, broadcast_rows=0) == outcome()
+    steps, hubs = traversal.adjacency(edges, None, "both", 30)
+    assert {r.node_id: r.parts for r in hubs.collect()} == {"hub": 24}  # 702 steps leave the hub
+    front = spark.createDataFrame([("s", "hub"), ("s", "n5")], "start_id string, node_id string")
+    parts = traversal.dealt_join(steps, front, hubs).filter("node_id = 'hub'").groupBy("part").count().collect()
+    assert len(parts) > 8 and max(r["count"] for r in parts) < 200
