@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factgraph.functions import sqlexpr as S
@@ -60,11 +60,16 @@ def compile_records(documents: DataFrame) -> DataFrame:
     return rows.withColumn("errors", F.array_compact(F.array(*errors))).withColumn("source", F.lit("compiled_master"))
 
 
-def structured_fidelity(documents: DataFrame, records: DataFrame) -> DataFrame:
-    """Documents with mappings in their lists against records that kept them."""
+def has_mappings() -> Column:
+    """Whether a document's lists hold mappings, which ``structured`` of its record must keep."""
     body = S.col("body")
     lists = S.concat(objects(sub(body, "core_concepts")), objects(sub(body, "key_entry_points")))
-    given = documents.agg(F.count_if((S.size(lists) > 0).column()).alias("n")).scalar()
+    return (S.size(lists) > 0).column()
+
+
+def structured_fidelity(documents: DataFrame, records: DataFrame) -> DataFrame:
+    """Documents with mappings in their lists against records that kept them."""
+    given = documents.agg(F.count_if(has_mappings()).alias("n")).scalar()
     return records.agg(F.count_if(F.size("structured") > 0).alias("preserved")).select(
         given.alias("given"), "preserved", (given == F.col("preserved")).alias("passed")
     )
