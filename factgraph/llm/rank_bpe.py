@@ -27,6 +27,7 @@ from array import array
 from collections.abc import Sequence
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from factgraph.llm.common import Memory, key_type, map_slices, record
 
 MODEL = "byte_bpe_50k.json"
 # Bytes of words that a worker remembers, and of chunks beyond Latin-1.
-REMEMBERED, CHUNKS_REMEMBERED = 64 << 20, 16 << 20
+REMEMBERED, CHUNKS_REMEMBERED = 96 << 20, 16 << 20
 # Bytes of text encoded at once.
 SLICE_BYTES = 1 << 20
 # Words of at most so many bytes are merged together; words of more than ``LONG`` over a heap.
@@ -120,7 +121,8 @@ class RankBpe:
         """The ids of each text; words that no text had before are merged together."""
         plans = [self._parts(t) for t in texts]
         known = self.words.make_room()
-        missing = set().union(*[words for plan in plans for words in plan if isinstance(words, list)]).difference(known)
+        every = chain.from_iterable(words for plan in plans for words in plan if isinstance(words, list))
+        missing = set(filterfalse(known.__contains__, every))
         self._learn([w for w in missing if self.words.recall(w) is None])
         get = known.__getitem__
         out = [b"".join([p if isinstance(p, bytes) else b"".join(map(get, p)) for p in plan]) for plan in plans]

@@ -26,6 +26,7 @@ import sys
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, filterfalse
 
 import numpy as np
 import pandas as pd
@@ -38,9 +39,11 @@ from factgraph.llm.rank_bpe import coder_of, model_path
 
 MODEL_A, MODEL_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 # Bytes of chunks that a task remembers on side B.
-REMEMBERED = 64 << 20
+REMEMBERED = 96 << 20
 # Bytes of text aligned at once.
 SLICE_BYTES = 512 << 10
+# Pairs of slices whose counts are broadcast at most, at 17 bytes each.
+SENT_PAIRS = 1 << 20
 # Runs that no piece of the model crosses: its pieces hold a space at their start only.
 CHUNK = re.compile(r" *[^ \n]+|\n| +")
 BYTE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -70,7 +73,8 @@ class PieceIds:
             return [self._packed(i) if self._spelled(i) == (" " + t).encode("utf-8", "surrogatepass") else None for t, i in zip(texts, found, strict=True)]
         lists = [CHUNK.findall(" " + t) for t in texts]
         known = self.chunks.make_room()
-        missing = [c for c in set().union(*lists).difference(known) if self.chunks.recall(c) is None]
+        new = set(filterfalse(known.__contains__, chain.from_iterable(lists)))
+        missing = [c for c in new if self.chunks.recall(c) is None]
         odd = set()
         # The model puts a space before a text; the line break keeps it away from the chunk.
         for chunk, ids in zip(missing, self.model.encode(["\n" + c for c in missing], num_threads=1), strict=True):
@@ -240,7 +244,8 @@ def _blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             groups_sha256=pa.array([[hashlib.sha256(g).hexdigest() if g else "" for g in found.spelled_groups()]], pa.list_(pa.string())),
             pairs=pa.array([pairs], longs),
             counts=pa.array([counts], longs),
-            links=pa.array([links.astype("<u4").tobytes()], pa.binary()),
+            # Two bytes per link where the slice has few pairs, else four.
+            links=pa.array([links.astype("<u2" if len(pairs) <= 1 << 16 else "<u4").tobytes()], pa.binary()),
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,14 +280,17 @@ def link_report(docs: DataFrame, path_a: str | None = None, path_b: str | None =
     blocks = staged(_blocks(docs, path_a, path_b))
     known = pair_counts(blocks, sentencepiece.SentencePieceProcessor(model_file=path_b).vocab_size())
     wanted = blocks.select("block", F.explode("pairs").alias("pair"))
-    found = (
+    found = staged(
         wanted.join(known, "pair")
         .groupBy("block")
         # The distinct pairs of one slice, as many as its tokens at most.
         .agg(F.collect_list(F.struct("pair", "n", "best")).alias("found"))
         .select("block", F.transform("found", lambda f: f["pair"]).alias("pair"), F.transform("found", lambda f: f["n"]).alias("n"), F.transform("found", lambda f: f["best"]).alias("best"))
     )
-    rows = blocks.drop("pairs", "counts").join(found, "block", "left")
+    # The counts of all slices are sent to the slices' tasks when they are few, as counted here;
+    # else slices and counts meet by shuffle.
+    entries = found.agg(F.coalesce(F.sum(F.size("pair")), F.lit(0)).alias("n")).head()["n"]
+    rows = blocks.drop("pairs", "counts").join(F.broadcast(found) if entries <= SENT_PAIRS else found, "block", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -292,7 +300,7 @@ def link_report(docs: DataFrame, path_a: str | None = None, path_b: str | None =
                 best, total = np.zeros(len(n_links), np.int64), np.zeros(len(n_links), np.int64)
                 if values["pair"].is_valid:
                     order = np.argsort(values["pair"].values.to_numpy())
-                    links = np.frombuffer(values["links"].as_py(), "<u4")
+                    links = np.frombuffer(values["links"].as_py(), "<u2" if len(order) <= 1 << 16 else "<u4")
                     doc = np.repeat(np.arange(len(n_links)), n_links)
                     n = values["n"].values.to_numpy()[order][links]
                     np.add.at(total, doc, n)
