@@ -144,6 +144,26 @@ def test_all_paths_come_out_when_there_are_few():
     assert all(f[2] == 0.0 for f in found)
 
 
+def test_no_path_is_lost_at_the_default_weights():
+    """Every text with up to 400 segmentations gives all of them, however unlikely some are."""
+    sampler = Sampler(model_path(sampled_encoding.MODEL), samples=450)
+    rng = np.random.default_rng(4)
+    texts = ["tee", "exs", "hello", "the", " a", "日a", "a\nb", "é!", "zz z", "x"]
+    texts += ["".join(rng.choice(list("abcdeinorst"), rng.integers(2, 7))) for _ in range(250)]
+    checked = 0
+    for key, text in enumerate(texts):
+        want = paths(sampler, text)
+        if len(want) > 400:
+            continue
+        found = sampler.sample([key], [text])[0]
+        ids = [tuple(f[3].tolist()) for f in found]
+        assert set(ids) == set(want) and len(ids) == len(want), text
+        assert all(f[2] == 0.0 for f in found)
+        assert all(f[0] == pytest.approx(want[p], abs=1e-9) for p, f in zip(ids, found, strict=True))
+        checked += 1
+    assert checked > 200
+
+
 def test_samples_follow_the_probabilities():
     """First draws follow the distribution; second draws follow it without the first."""
     sampler = Sampler(model_path(sampled_encoding.MODEL), samples=2, alpha=0.25)
