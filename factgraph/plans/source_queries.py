@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from factgraph.operators import keypaths
 from factgraph.plans import bindings as b
 from factgraph.plans.registry import query
 from factgraph.session import shared_dir
@@ -149,3 +150,54 @@ def edge_scan(spark, sf):
     odd = documents.entry_findings(docs, "edges")
     none = [F.lit(None).cast("string").alias(c) for c in ("shard", "src_id", "dst_id", "relation")]
     return rows.unionByName(odd.select(file.alias("file"), F.col("idx").alias("source_edge_index"), *none, F.col("reason").alias("finding")))
+
+
+# --- keys of documents ----------------------------------------------------------------
+
+
+def keyed_documents(spark, sf):
+    """One document per part: older names at the top and below, sections by the part's size."""
+    text = F.concat(
+        F.lit('{"name": "'), "p_name", F.lit('", "size": '), F.col("p_size").cast("string"),
+        F.when(F.col("p_size") % 4 == 0, F.concat(F.lit(', "repo_id": "'), "p_brand", F.lit('"'))).otherwise(""),
+        F.when(F.col("p_size") % 5 == 0, F.lit(', "troubleshooting": [{"repo": {"full_name": null}}, "x"]')).otherwise(""),
+        F.when(F.col("p_size") % 7 == 0, F.lit(', "nested": {"failure_modes": {"a": [[{"b": true}]]}}')).otherwise(""),
+        F.lit("}"),
+    )
+    return b.table(spark, sf, "part").select(F.concat(F.lit("p"), "p_partkey").alias("path"), F.parse_json(text).alias("body"))
+
+
+_KEYED_SQL = """
+k AS (
+  SELECT 'p' || p_partkey AS path, p_size, 'name' AS key_path, 'name' AS key, 1 AS depth, 'STRING' AS kind FROM part
+  UNION ALL SELECT 'p' || p_partkey, p_size, 'size', 'size', 1, 'BIGINT' FROM part
+  UNION ALL SELECT 'p' || p_partkey, p_size, 'repo_id', 'repo_id', 1, 'STRING' FROM part WHERE p_size % 4 = 0
+  UNION ALL SELECT 'p' || p_partkey, p_size, x[1], x[2], x[3]::INT, x[4] FROM part,
+    (SELECT unnest([['troubleshooting', 'troubleshooting', '1', 'ARRAY'], ['troubleshooting[].repo', 'repo', '2', 'OBJECT'],
+      ['troubleshooting[].repo.full_name', 'full_name', '3', 'VOID']]) AS x) WHERE p_size % 5 = 0
+  UNION ALL SELECT 'p' || p_partkey, p_size, x[1], x[2], x[3]::INT, x[4] FROM part,
+    (SELECT unnest([['nested', 'nested', '1', 'OBJECT'], ['nested.failure_modes', 'failure_modes', '2', 'OBJECT'],
+      ['nested.failure_modes.a', 'a', '3', 'ARRAY'], ['nested.failure_modes.a[][].b', 'b', '4', 'BOOLEAN']]) AS x) WHERE p_size % 7 = 0)"""
+
+
+@query("document_keys", "WITH " + _KEYED_SQL + " SELECT path, key_path, key, depth, kind FROM k")
+def document_keys(spark, sf):
+    """Every key of every document with its path and type."""
+    return keypaths.key_paths(keyed_documents(spark, sf))
+
+
+@query(
+    "key_rule_findings",
+    "WITH "
+    + _KEYED_SQL
+    + """
+SELECT path, 'legacy_key' AS rule, key_path, 'blocking' AS severity FROM k WHERE key IN ('full_name', 'repo', 'repo_id') AND depth = 1
+UNION ALL SELECT path, 'forbidden_section', key_path, 'blocking' FROM k
+  WHERE key IN ('common_tasks', 'failure_modes', 'implementation_patterns', 'risk_assessment', 'troubleshooting') AND depth = 1
+UNION ALL SELECT path, 'anywhere', key_path, 'warning' FROM k WHERE key IN ('full_name', 'failure_modes')""",
+)
+def key_rule_findings(spark, sf):
+    """Older names and forbidden sections at the top, and two keys forbidden at any depth."""
+    own = spark.createDataFrame([("anywhere", "full_name", None, "warning"), ("anywhere", "failure_modes", None, "warning")], "rule string, key string, deepest int, severity string")
+    keys = keypaths.key_paths(keyed_documents(spark, sf))
+    return keypaths.key_findings(keys, keypaths.key_rules(spark).unionByName(own))
