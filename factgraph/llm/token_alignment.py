@@ -42,8 +42,6 @@ MODEL_A, MODEL_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 REMEMBERED = 96 << 20
 # Bytes of text aligned at once.
 SLICE_BYTES = 512 << 10
-# Pairs of slices whose counts are broadcast at most, at 17 bytes each.
-SENT_PAIRS = 1 << 20
 # Runs that no piece of the model crosses: its pieces hold a space at their start only.
 CHUNK = re.compile(r" *[^ \n]+|\n| +")
 BYTE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -280,17 +278,14 @@ def link_report(docs: DataFrame, path_a: str | None = None, path_b: str | None =
     blocks = staged(_blocks(docs, path_a, path_b))
     known = pair_counts(blocks, sentencepiece.SentencePieceProcessor(model_file=path_b).vocab_size())
     wanted = blocks.select("block", F.explode("pairs").alias("pair"))
-    found = staged(
+    found = (
         wanted.join(known, "pair")
         .groupBy("block")
         # The distinct pairs of one slice, as many as its tokens at most.
         .agg(F.collect_list(F.struct("pair", "n", "best")).alias("found"))
         .select("block", F.transform("found", lambda f: f["pair"]).alias("pair"), F.transform("found", lambda f: f["n"]).alias("n"), F.transform("found", lambda f: f["best"]).alias("best"))
     )
-    # The counts of all slices are sent to the slices' tasks when they are few, as counted here;
-    # else slices and counts meet by shuffle.
-    entries = found.agg(F.coalesce(F.sum(F.size("pair")), F.lit(0)).alias("n")).head()["n"]
-    rows = blocks.drop("pairs", "counts").join(F.broadcast(found) if entries <= SENT_PAIRS else found, "block", "left")
+    rows = blocks.drop("pairs", "counts").join(found, "block", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -240,8 +240,6 @@ def test_overlaps_and_groups_equal_brute_force(docs, libraries):
         assert [tuple(p) for p in r.groups] == ends
 
 
-@pytest.mark.parametrize("sent", [0, 1 << 20])
-def test_slices_do_not_change_the_counts(docs, libraries, monkeypatch, sent):
-    monkeypatch.setattr(token_alignment, "SENT_PAIRS", sent)
+def test_slices_do_not_change_the_counts(docs, libraries):
     many = docs.repartition(3)
     check_report(token_alignment.link_report(many).collect(), [(r.doc_id, r.text) for r in docs.collect()], libraries)
