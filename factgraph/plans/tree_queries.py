@@ -8,6 +8,7 @@ from factgraph.operators import aggregates, gates, profile
 from factgraph.operators.profile import (
     BOUNDARY,
     CONFIG_KINDS,
+    EXTERNAL,
     LANGUAGES,
     MANIFEST_KINDS,
     NOISE,
@@ -247,26 +248,118 @@ def import_counts(spark, sf):
 # --- whole profiles ---------------------------------------------------------------
 
 
-@query("package_roots")
+# The folders of the seven kinds of file that may be roots, each with its best reason.
+ROOTS_SQL = (
+    "WITH "
+    + TREE_SQL
+    + """,
+cand AS (
+  SELECT repo, 'packages/' || string_split(path, '/')[2] AS path, 12 AS bonus FROM files WHERE n = 3
+  UNION ALL SELECT repo, '.', 12 FROM files WHERE n = 7
+  UNION ALL SELECT repo, string_split(path, '/')[1], 6 FROM files WHERE n IN (1, 2, 3, 6)),
+best AS (SELECT repo, path, max(bonus) AS bonus FROM cand GROUP BY 1, 2),
+"""
+    + features_sql("best")
+    + f""",
+scored AS (SELECT repo, path, CASE WHEN path = '.' THEN 18 ELSE bonus + {orientation_sql(False)} END AS score FROM feat),
+caps AS (SELECT repo, greatest(8, 8 + count(*) FILTER (WHERE path LIKE 'packages/%')) AS cap FROM best GROUP BY 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY repo ORDER BY score DESC, path) AS rank FROM scored),
+bare AS (SELECT DISTINCT repo FROM files WHERE repo NOT IN (SELECT repo FROM best)),
+roots AS (
+  SELECT repo, path, score, rank FROM ranked JOIN caps USING (repo) WHERE rank <= cap UNION ALL SELECT repo, '.', 0, 1 FROM bare)"""
+)
+
+
+@query("package_roots", ROOTS_SQL + " SELECT repo, path, score, rank FROM roots")
 def package_roots(spark, sf):
     files = staged(trees(spark, sf))
     return profile.package_roots(files, profile.tree_signals(files)).roots
 
 
-@query("tree_entrypoints")
+@query(
+    "tree_entrypoints",
+    "WITH " + TREE_SQL
+    + """,
+sizes AS (SELECT repo, array_to_string(string_split(path, '/')[:-2], '/') AS dir, count(*) AS below FROM files
+          WHERE n NOT IN (3, 7) GROUP BY 1, 2),
+scored AS (
+  SELECT repo, path, CASE n WHEN 1 THEN 'app_entry' ELSE 'cli_entry' END AS kind,
+    CASE n WHEN 1 THEN 'filename heuristic' ELSE 'cmd main convention' END AS note,
+    CASE n WHEN 1 THEN 7 + 1 ELSE 12 + 4 + 1 - (CASE WHEN below <= 2 THEN 4 ELSE 0 END) END
+      + CASE WHEN below >= 3 THEN least(below, 18) // 2 ELSE 0 END AS score
+  FROM files JOIN sizes USING (repo) WHERE n IN (1, 2) AND dir = array_to_string(string_split(path, '/')[:-2], '/'))
+SELECT repo, path, kind, note, score, CASE WHEN score >= 6 THEN 'high' ELSE 'medium' END AS confidence,
+  row_number() OVER (PARTITION BY repo ORDER BY score DESC, path) AS rank
+FROM scored WHERE score >= 4 QUALIFY rank <= 8""",
+)
 def tree_entrypoints(spark, sf):
     files = staged(trees(spark, sf))
     return profile.entrypoints(files, profile.tree_signals(files))
 
 
-@query("module_groups")
+def _named(sql, mark):
+    """The same tables under names of their own."""
+    return sql.replace("feat0", mark + "0").replace("feat ", mark + " ")
+
+
+GROUPS_SQL = (
+    ROOTS_SQL
+    + """,
+dirs AS (
+  SELECT repo, CASE WHEN n IN (1, 2, 6) THEN array_to_string(string_split(path, '/')[1:2], '/') ELSE string_split(path, '/')[1] END AS path, count(*) AS files
+  FROM files WHERE n NOT IN (3, 7) GROUP BY 1, 2),
+places AS (
+  SELECT repo, path, 0 AS origin, 10 AS worth FROM roots WHERE path <> '.'
+  UNION ALL SELECT repo, path, 1, files FROM dirs WHERE files >= 2 AND path <> 'tests'),
+"""
+    + _named(features_sql("places"), "placed")
+    + f""",
+members AS (SELECT repo, path, origin, translate(name, '-.', '__') AS name, worth + {orientation_sql(False)} AS score FROM placed),
+merged AS (
+  SELECT repo, name, max(score) AS score, min(path) AS first_path, count(DISTINCT path) AS path_count, min(origin) AS origin FROM members GROUP BY 1, 2),
+room AS (SELECT repo, greatest(8, count(*)) AS cap FROM roots GROUP BY 1),
+chosen AS (
+  SELECT repo, name, score, first_path, path_count,
+    CASE WHEN path_count > 1 THEN 'merged related package roots with the same module label'
+      WHEN origin = 0 THEN 'package root or workspace module boundary' ELSE 'directory grouping with repeated source files' END AS rationale,
+    CASE WHEN path_count > 1 THEN 'high' ELSE 'medium' END AS confidence,
+    row_number() OVER (PARTITION BY repo ORDER BY score DESC, name) AS rank
+  FROM merged),
+groups AS (SELECT chosen.* FROM chosen JOIN room USING (repo) WHERE rank <= cap
+  UNION ALL SELECT repo, 'repo_root', 0, '.', 1, 'fallback structural grouping from package root', 'medium', 1 FROM roots
+  WHERE rank = 1 AND repo NOT IN (SELECT repo FROM merged))"""
+)
+
+
+@query("module_groups", GROUPS_SQL + " SELECT repo, name, score, first_path, path_count, rationale, confidence, rank FROM groups")
 def module_groups(spark, sf):
     files = staged(trees(spark, sf))
     signals = profile.tree_signals(files)
     return profile.module_groups(files, profile.package_roots(files, signals), signals).groups
 
 
-@query("tree_external_packages")
+@query(
+    "tree_external_packages",
+    GROUPS_SQL
+    + """,
+texts AS (
+  SELECT 'r' || l_suppkey AS repo, l_linenumber AS n, min(lower(p_type)) AS kind, min(replace(p_name, ' ', '-')) AS slug,
+    CASE l_linenumber WHEN 3 THEN 'packages/' || replace(p_name, ' ', '-') || '/package.json' ELSE 'requirements-' || lower(p_type) || '.txt' END AS path
+  FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber IN (3, 7) GROUP BY 1, 2, path),
+lists AS (SELECT *, CASE n WHEN 3 THEN 'packages/' || string_split(path, '/')[2] ELSE '.' END AS dir FROM texts),
+"""
+    + _named(features_sql("lists", "dir"), "listed")
+    + f""",
+hits AS (
+  SELECT repo, count(*) AS hits FROM groups JOIN (SELECT DISTINCT repo, name, path FROM members) USING (repo, name)
+  WHERE rank <= 4 AND string_split(path, '/')[1] = 'packages' GROUP BY 1),
+worth AS (
+  SELECT listed.*, 12 + {orientation_sql(False)} + CASE n WHEN 3 THEN 2 + 2 * coalesce(hits, 0) ELSE 0 END AS worth FROM listed LEFT JOIN hits USING (repo)),
+weighed AS (SELECT repo, n, kind, slug, greatest(9 - row_number() OVER (PARTITION BY repo ORDER BY worth DESC, path), 1) AS weight FROM worth),
+packs AS (SELECT repo, kind AS package, weight FROM weighed UNION ALL SELECT repo, slug, weight FROM weighed WHERE n = 7)
+SELECT repo, package, sum(weight)::BIGINT AS weight, row_number() OVER (PARTITION BY repo ORDER BY sum(weight) DESC, package) AS rank
+FROM packs GROUP BY repo, package QUALIFY rank <= {EXTERNAL}""",
+)
 def tree_external_packages(spark, sf):
     return profile.profile_trees(trees(spark, sf)).external
 
