@@ -130,13 +130,7 @@ def build_read_model(
         }
     )
     checks = watch.results(spark, staged(keyed))
-    flat = {
-        "repos": repos.select("node_id", "name", "full_name", "html_url", "category", "shard", "summary", "source"),
-        "nodes": graph["nodes"].select("node_id", "kind", "label"),
-        "edges": edges.select("src_id", "dst_id", "dst_kind", "relation", "note", "as_of"),
-        "facts": facts.select("fact_id", "node_id", "fact_type", "predicate", "object_kind", "object_value", "object_node_id",
-                              "confidence", "note", "as_of", "source_file", "source_section"),
-    }
+    flat = flat_graph(graph) | {"facts": facts.select(*FACT_COLUMNS)}
     return Build({n: snapshots.with_raw(df) for n, df in flat.items()}, result.evidence, findings, checks)
 
 
@@ -146,3 +140,48 @@ def rebuild_gate(first: Build, second: Build) -> DataFrame:
     return missing_and_extra(pair[0], pair[1], ["table", "rows", "digest"]).agg((F.count("*") == 0).alias("passed")).select(
         F.lit("hash_stable").alias("gate"), "passed"
     )
+
+
+@dataclass(frozen=True)
+class Model:
+    """The four tables and where they come from: ``snapshot`` or ``documents``."""
+
+    tables: dict[str, DataFrame]
+    mode: str
+
+
+def open_model(
+    spark: SparkSession, root: str | None = None, record_dir: str | None = None, edge_dir: str | None = None,
+    mapping_dir: str | None = None, facts_dir: str | None = None, shard: str = "repos",
+) -> Model:
+    """One way to the same four tables (A10): the published snapshot below ``root`` if there is
+    one, else record, edge and mapping documents.
+
+    Facts are optional with documents: without ``facts_dir``, which holds what
+    ``snapshots.write_facts_by_repo`` wrote, the table has its columns and no rows, and every
+    lookup answers as over a model without facts.
+    """
+    if root is not None and snapshots.current_snapshot(spark, root) is not None:
+        return Model({t: snapshots.read_table(spark, root, t) for t in snapshots.TABLES}, "snapshot")
+    if not (record_dir and edge_dir and mapping_dir):
+        raise FileNotFoundError("neither a published snapshot nor document folders")
+    graph = build_graph(spark, record_dir, edge_dir, mapping_dir, shard)
+    tables = flat_graph(graph)
+    columns = ", ".join(f"{c} {'double' if c == 'confidence' else 'string'}" for c in FACT_COLUMNS)
+    tables["facts"] = spark.createDataFrame([], columns) if facts_dir is None else spark.read.parquet(facts_dir)
+    return Model({n: snapshots.with_raw(tables[n]) for n in snapshots.TABLES}, "documents")
+
+
+FACT_COLUMNS = [
+    "fact_id", "node_id", "fact_type", "predicate", "object_kind", "object_value", "object_node_id", "confidence", "note", "as_of",
+    "source_file", "source_section",
+]
+
+
+def flat_graph(graph: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Records, nodes and edges with the columns that are published."""
+    return {
+        "repos": graph["repos"].select("node_id", "name", "full_name", "html_url", "category", "shard", "summary", "source"),
+        "nodes": graph["nodes"].select("node_id", "kind", "label"),
+        "edges": graph["edges"].select("src_id", "dst_id", "dst_kind", "relation", "note", "as_of"),
+    }

@@ -201,3 +201,36 @@ def key_rule_findings(spark, sf):
     own = spark.createDataFrame([("anywhere", "full_name", None, "warning"), ("anywhere", "failure_modes", None, "warning")], "rule string, key string, deepest int, severity string")
     keys = keypaths.key_paths(keyed_documents(spark, sf))
     return keypaths.key_findings(keys, keypaths.key_rules(spark).unionByName(own))
+
+
+# --- manifests and vocabularies -----------------------------------------------------
+
+
+@query(
+    "manifest_scan",
+    """
+SELECT 'm' || p_partkey || '.yaml' AS file, 'manifest' AS what, i AS idx, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE lower(p_type) END AS default_shard,
+  CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE '2025-01-01' END AS default_as_of, i < 2 AS is_mapping, CASE i WHEN 0 THEN p_name WHEN 1 THEN p_brand END AS name
+FROM part, (SELECT unnest([0, 1, 2]) AS i)
+UNION ALL SELECT NULL, 'enum ' || e, NULL, NULL, NULL, NULL, v FROM (SELECT 'tone' AS e, lower(p_type) AS v FROM part UNION SELECT 'size', 's' || p_size FROM part)""",
+)
+def manifest_scan(spark, sf):
+    """Manifest entries with the defaults of their document, and the values of contract enums."""
+    part = b.table(spark, sf, "part")
+    entry = lambda name: F.to_json(F.struct(F.col(name).alias("name")))
+    head = F.when(F.col("p_partkey") % 3 != 0, F.concat(F.lit('"defaults": {"target_shard": "'), F.lower("p_type"), F.lit('", "as_of": "2025-01-01"}, '))).otherwise("")
+    body = F.concat(F.lit("{"), head, F.lit('"repos": ['), entry("p_name"), F.lit(", "), entry("p_brand"), F.lit(', "text"]}'))
+    enums = F.concat(F.lit('{"tone_enums": ["'), F.lower("p_type"), F.lit('"], "size_enums": ["s'), F.col("p_size"), F.lit('"], "enums_of": ["x"], "tone": "y"}'))
+    key = F.col("p_partkey").cast("string")
+    files = part.select(F.concat(F.lit("manifests/m"), key, F.lit(".yaml")).alias("path"), F.encode(body, "UTF-8").alias("content")).unionByName(
+        part.select(F.concat(F.lit("contracts/c"), key, F.lit(".yaml")).alias("path"), F.encode(enums, "UTF-8").alias("content"))
+    )
+    folder = written(spark, files)
+    rows = documents.manifest(documents.yaml_documents(spark, f"{folder}/manifests"))
+    listed = rows.select(
+        F.element_at(F.split("path", "/"), -1).alias("file"), F.lit("manifest").alias("what"), "idx", "default_shard", "default_as_of", "is_mapping",
+        documents.field("entry", "$.name").alias("name"),
+    )
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("idx", "int"), ("default_shard", "string"), ("default_as_of", "string"), ("is_mapping", "boolean"))]
+    values = documents.contract_enums(documents.yaml_documents(spark, f"{folder}/contracts"))
+    return listed.unionByName(values.select(F.lit(None).cast("string").alias("file"), F.concat(F.lit("enum "), "enum").alias("what"), *none, F.col("value").alias("name")))
