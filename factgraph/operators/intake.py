@@ -13,6 +13,8 @@ from factgraph.functions import sqlexpr as S
 from factgraph.functions.text import FULL_NAME, full_name_of_url, is_blank, parse_as_of, percentage, slug, trim_ws
 from factgraph.functions.variants import objects, sorted_entries, sub, text, texts, unknown_fields
 from factgraph.operators.aggregates import duplicate_keys
+from factgraph.operators.gates import SOURCES
+from factgraph.operators.observed import Watch, none_of
 from factgraph.operators.setdiff import row_text
 from factgraph.operators.shaping import first_row
 from factgraph.session import cut_lineage
@@ -300,6 +302,45 @@ def ingestion_gates(rows: DataFrame) -> DataFrame:
     return whole.unpivot([], [*names, "blocking_mismatches_zero"], "gate", "passed")
 
 
+def ingest(rows: DataFrame, documents: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """One run: the loaded records and its twelve gates (``gate, passed``).
+
+    ``rows`` are normalised manifest rows (``normalize_manifest``), ``documents`` the parsed
+    files they come from. Conditions over rows are observed while the rows, and then the
+    records, are written; only duplicates are counted by queries. Nothing is loaded when a
+    row is invalid or a key occurs twice.
+    """
+    watch = Watch()
+    good = F.size("errors") == 0
+    texts = ["full_name", "name", "html_url", "source", "category", "summary"]
+    lists = ["core_concepts", "key_entry_points", "build_run"]
+    filled = reduce(and_, [*[~is_blank(c) for c in texts], *[F.coalesce(F.size(c), F.lit(0)) > 0 for c in lists]])
+    if documents is None:
+        watch.holds("manifest_parseable", True)
+    else:
+        watch.staged(documents.select("path", "error"), manifest_parseable=none_of(F.col("error").isNotNull()))
+    given = F.try_variant_get("entry", "$.local_cache_dir", "variant").isNotNull()
+    rows = watch.staged(
+        rows,
+        {"entries": F.count("*"), "valid": F.count_if(good), "filled": F.count_if(good & filled)},
+        manifest_entries_all_valid=none_of(~good),
+        source_values_remote_only=none_of(F.array_contains("errors", "source is not allowed")),
+        source_values_within_enum=none_of(~F.col("source").isin(SOURCES)),
+        provenance_shard_values_valid=none_of(F.array_contains("errors", "target_shard is not allowed")),
+        local_cache_dir_null_when_absent=none_of(F.col("local_cache_dir").isNotNull() & ~given),
+    )
+    watch.holds("manifest_entries_present", watch.values["entries"] > 0)
+    watch.holds("required_field_coverage_100pct", watch.values["filled"] == max(watch.values["valid"], 1))
+    blockers = {r["reason"] for r in ingestion_blockers(rows).select("reason").distinct().collect()}  # three reasons at most
+    watch.holds("duplicate_node_ids_zero", "duplicate_node_id" not in blockers)
+    watch.holds("duplicate_repo_file_paths_zero", "duplicate_file" not in blockers)
+    watch.holds("blocking_mismatches_zero", not blockers)
+    records = manifest_records(rows)
+    loaded = watch.staged(records.limit(0) if blockers else records, {"written": F.count("*")})
+    watch.holds("repo_writes_succeeded", watch.values["written"] == (0 if blockers else watch.values["valid"]) == loaded.count())
+    return loaded, watch.results(rows.sparkSession)
+
+
 # --- change tracking --------------------------------------------------------------
 
 

@@ -282,6 +282,27 @@ def ingestion_gates(spark, sf):
     return intake.ingestion_gates(manifest_rows(spark, sf))
 
 
+@query(
+    "ingestion_run",
+    """
+WITH bad AS (SELECT count(*) FILTER (WHERE p_partkey % 10 = 0 OR p_partkey % 11 = 0) AS n, count(*) AS whole FROM part)
+SELECT run, gate, run = 'clean' OR n = 0 OR gate NOT IN ('manifest_entries_all_valid', 'blocking_mismatches_zero') AS passed,
+  CASE WHEN run = 'clean' OR n = 0 THEN whole - n ELSE 0 END AS loaded
+FROM bad, (SELECT unnest(['all', 'clean']) AS run), (SELECT unnest(['manifest_parseable', 'manifest_entries_present', 'manifest_entries_all_valid',
+  'source_values_remote_only', 'source_values_within_enum', 'provenance_shard_values_valid', 'duplicate_node_ids_zero', 'duplicate_repo_file_paths_zero',
+  'local_cache_dir_null_when_absent', 'repo_writes_succeeded', 'required_field_coverage_100pct', 'blocking_mismatches_zero']) AS gate)""",
+)
+def ingestion_run(spark, sf):
+    """The twelve gates of a run over all rows, which is blocked, and over the sound ones."""
+    rows = manifest_rows(spark, sf)
+    out = None
+    for run, some in (("all", rows), ("clean", rows.filter(F.size("errors") == 0))):
+        loaded, gates = intake.ingest(some)
+        one = gates.select(F.lit(run).alias("run"), "gate", "passed", F.lit(loaded.count()).cast("bigint").alias("loaded"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 RECORDS_SQL = """
 SELECT 'repo::' || full_name AS node_id, name, full_name, source, 'repos/knowledge/repos/' || name || '.yaml' AS source_file, as_of,
 category, summary, core_concepts, key_entry_points, build_run, extras, fallback_fields FROM rows WHERE errors = ''"""
