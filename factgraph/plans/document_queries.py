@@ -325,3 +325,49 @@ UNION ALL SELECT 'repo::p' || p_partkey, 'facts[2]', 'invalid_confidence' FROM p
 )
 def draft_findings(spark, sf):
     return judged_drafts(spark, sf).findings.select("node_id", "source_section", "reason")
+
+
+# --- further sections ---------------------------------------------------------------
+
+_FURTHER = """{
+ "key_sections": [{"title": "@name", "summary": "@type", "location": "doc/@brand"}, "@brand", "@NAME"],
+ "content_coverage": {"topics": [{"name": "@name", "depth": "@type", "resources": @size}, {"depth": "no name"}]},
+ "key_files": [{"path": "lib/@lowtype.py", "description": "@name"}, "@brand/main.go"],
+ "core_modules": {"b": {"path": "core/@lowtype", "description": "@name..", "submodules": ["@brand", " "]},
+                  "a": {"path": "core/a", "description": "@type"}, "c": {"description": "no path"}},
+ "supplementary_files": [{"file": "x/@lowtype.md", "type": "@type", "purpose": "@name"}, "skipped"],
+ "primary_language": "@type, @brand",
+ "vpn_protocols": ["@type", ["@brand", "@type"]],
+ "api_protocols": {"name": "@name", "inner": {"name": "hidden"}},
+ "code_patterns": [{"title": "@name", "description": "@type", "file_reference": "@brand.go"}],
+ "cli_commands": {"go": "docker run @brand", "skip": 3},
+ "procedures": [{"task": "@name", "gotchas": ["@type"]}, 7]
+}"""
+
+
+@query(
+    "extract_further_sections",
+    _facts_sql(
+        [
+            ("has_component", "'concept'", "p_name", "p_type", 0.69, "key_sections[0]"),
+            ("has_component", "'concept'", "p_brand", "NULL", 0.69, "key_sections[1]"),
+            ("has_component", "'concept'", "p_name", "'depth: ' || p_type || ', resources: ' || p_size", 0.69, "content_coverage.topics[0]"),
+            ("has_component", "'path'", f"'lib/' || {LOW} || '.py'", "p_name", 0.72, "key_files[0]"),
+            ("has_component", "'path'", "p_brand || '/main.go'", "NULL", 0.72, "key_files[1]"),
+            ("has_component", "'path'", "'core/a'", "p_type", 0.74, "core_modules.a"),
+            ("has_component", "'path'", f"'core/' || {LOW}", "p_name || '. Submodules: ' || p_brand", 0.74, "core_modules.b"),
+            ("has_component", "'path'", f"'x/' || {LOW} || '.md'", "'[' || p_type || '] ' || p_name", 0.72, "supplementary_files[0]"),
+            ("has_component", "'concept'", "p_type", "'primary language'", 0.66, "primary_language.line[0]"),
+            ("has_component", "'concept'", "p_brand", "'primary language'", 0.66, "primary_language.line[0]"),
+            ("uses_protocol", "'protocol'", "p_brand", "NULL", 0.7, "vpn_protocols[0]"),
+            ("uses_protocol", "'protocol'", "p_type", "NULL", 0.7, "vpn_protocols[1]"),
+            ("uses_protocol", "'protocol'", "p_name", "NULL", 0.7, "api_protocols[0]"),
+            ("implements_pattern", "'concept'", "p_name", "'description: ' || p_type || '; location: ' || p_brand || '.go'", 0.8, "code_patterns[0]"),
+            ("supports_task", "'command'", "'docker run ' || p_brand", "'command group: go'", 0.66, "cli_commands.go"),
+            ("supports_task", "'text'", "p_name", "p_type", 0.68, "procedures[0]"),
+        ]
+    ),
+)
+def extract_further_sections(spark, sf):
+    sections = extract.document_sections(filled(spark, sf, _FURTHER))
+    return extract.section_facts(sections).select(SHOWN)
