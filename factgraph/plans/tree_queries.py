@@ -369,7 +369,31 @@ def tree_first_reads(spark, sf):
     return profile.profile_trees(trees(spark, sf)).first_reads
 
 
-@query("tree_runtime_surfaces")
+@query(
+    "tree_runtime_surfaces",
+    GROUPS_SQL
+    + """,
+sizes AS (SELECT repo, array_to_string(string_split(path, '/')[:-2], '/') AS dir, count(*) AS below FROM files
+          WHERE n NOT IN (3, 7) GROUP BY 1, 2),
+starts AS (
+  SELECT repo, path, row_number() OVER (PARTITION BY repo ORDER BY
+    CASE n WHEN 1 THEN 7 + 1 ELSE 12 + 4 + 1 - (CASE WHEN below <= 2 THEN 4 ELSE 0 END) END
+    + CASE WHEN below >= 3 THEN least(below, 18) // 2 ELSE 0 END DESC, path) AS turn
+  FROM files JOIN sizes USING (repo) WHERE n IN (1, 2) AND dir = array_to_string(string_split(path, '/')[:-2], '/')),
+below AS (
+  SELECT repo, array_to_string(string_split(path, '/')[1:i], '/') AS path, count(*) AS files
+  FROM files, (SELECT unnest(range(1, 6)) AS i) WHERE n NOT IN (3, 7) AND i < len(string_split(path, '/')) GROUP BY 1, 2),
+heads AS (SELECT repo, first_path AS path, rank FROM groups WHERE rank <= 3),
+"""
+    + _named(features_sql("heads"), "headed")
+    + f""",
+surfaces AS (
+  SELECT repo, path, 0 AS stage, turn FROM starts WHERE turn <= 4
+  UNION ALL SELECT repo, path, 2, rank FROM headed JOIN below USING (repo, path)
+    WHERE below.files >= 20 AND len(list_filter(tokens, lambda w: w IN {_listed(RUNTIME)})) > 0),
+firsts AS (SELECT repo, path, min(struct_pack(stage := stage, turn := turn)) AS o FROM surfaces GROUP BY 1, 2)
+SELECT repo, path, row_number() OVER (PARTITION BY repo ORDER BY o, path) AS rank FROM firsts QUALIFY rank <= 6""",
+)
 def tree_runtime_surfaces(spark, sf):
     return profile.profile_trees(trees(spark, sf)).surfaces
 
@@ -388,6 +412,23 @@ def tree_summary(spark, sf):
     return profile.batch_summary(files, roots.roots, groups.groups).select("repo", "total_files_seen", "source_files_seen")
 
 
+@query(
+    "profile_summary",
+    GROUPS_SQL
+    + """
+SELECT repo, total_files_seen, source_files_seen, r.n AS roots, coalesce(g.n, 0) AS groups, r.n > 0 AND coalesce(g.n, 0) > 0 AS valid
+FROM (SELECT repo, count(*) AS total_files_seen, count(*) FILTER (WHERE files.n NOT IN (3, 7)) AS source_files_seen FROM files GROUP BY 1)
+JOIN (SELECT repo, count(*) AS n FROM roots GROUP BY 1) r USING (repo) LEFT JOIN (SELECT repo, count(*) AS n FROM groups GROUP BY 1) g USING (repo)""",
+)
+def profile_summary(spark, sf):
+    """All columns of the summary: files, source files, roots, groups, and whether the profile is whole."""
+    files = staged(trees(spark, sf))
+    signals = profile.tree_signals(files)
+    roots = profile.package_roots(files, signals)
+    groups = profile.module_groups(files, roots, signals)
+    return profile.batch_summary(files, roots.roots, groups.groups)
+
+
 # --- references -------------------------------------------------------------------
 
 
