@@ -9,6 +9,7 @@ from factgraph.operators.profile import (
     BOUNDARY,
     CONFIG_KINDS,
     EXTERNAL,
+    GENERIC,
     LANGUAGES,
     MANIFEST_KINDS,
     NOISE,
@@ -364,7 +365,47 @@ def tree_external_packages(spark, sf):
     return profile.profile_trees(trees(spark, sf)).external
 
 
-@query("tree_first_reads")
+@query(
+    "tree_first_reads",
+    GROUPS_SQL
+    + """,
+sizes AS (SELECT repo, array_to_string(string_split(path, '/')[:-2], '/') AS dir, count(*) AS below FROM files
+          WHERE n NOT IN (3, 7) GROUP BY 1, 2),
+starts AS (
+  SELECT repo, path, row_number() OVER (PARTITION BY repo ORDER BY
+    CASE n WHEN 1 THEN 7 + 1 ELSE 12 + 4 + 1 - (CASE WHEN below <= 2 THEN 4 ELSE 0 END) END
+    + CASE WHEN below >= 3 THEN least(below, 18) // 2 ELSE 0 END DESC, path) AS turn
+  FROM files JOIN sizes USING (repo) WHERE n IN (1, 2) AND dir = array_to_string(string_split(path, '/')[:-2], '/') QUALIFY turn <= 8),
+shape AS (
+  SELECT repo, coalesce(e, 0) >= 6 AND coalesce(g, 0) >= 5 AS broad
+  FROM (SELECT repo, count(*) AS e FROM starts GROUP BY 1) FULL JOIN (SELECT repo, count(*) AS g FROM groups GROUP BY 1) USING (repo)),
+pages AS (SELECT repo, count(*) AS pages FROM files WHERE n = 4 GROUP BY 1),
+heads AS (SELECT repo, name AS grp, first_path AS path, confidence, pages FROM groups LEFT JOIN pages USING (repo)),
+"""
+    + _named(features_sql("heads"), "headed")
+    + f""",
+fits AS (
+  SELECT repo, grp, path, {orientation_sql(False)}
+    + CASE WHEN path = 'web' AND pages >= 8 THEN 9 + CASE WHEN pages >= 100 THEN 4 WHEN pages >= 30 THEN 2 ELSE 0 END ELSE 0 END
+    + CASE WHEN n_parts >= 2 THEN 4 ELSE 0 END + CASE WHEN len(list_filter(labels, lambda w: w IN {_listed(GENERIC)})) = 0 THEN 5 ELSE 0 END
+    - 4 * len(list_filter(labels, lambda w: w IN {_listed(GENERIC)})) + CASE WHEN confidence = 'high' THEN 1 ELSE 0 END AS fit FROM headed),
+heading AS (SELECT repo, grp, row_number() OVER (PARTITION BY repo ORDER BY fit DESC, path) AS turn FROM fits QUALIFY turn <= 3),
+inside AS (
+  SELECT repo, name AS grp, path, row_number() OVER (PARTITION BY repo, name ORDER BY path) AS sub FROM (SELECT DISTINCT repo, name, path FROM members) QUALIFY sub <= 6),
+reads AS (
+  SELECT repo, path, broad, CASE WHEN turn <= CASE WHEN broad THEN 2 ELSE 3 END THEN 0 WHEN broad THEN 3 END AS stage, turn, 0 AS sub FROM starts JOIN shape USING (repo)
+  UNION ALL SELECT repo, inside.path, broad, 2, CASE WHEN broad THEN heading.turn WHEN g.rank <= 3 THEN g.rank END, sub
+    FROM inside JOIN (SELECT repo, name AS grp, rank FROM groups) g USING (repo, grp) JOIN shape USING (repo) LEFT JOIN heading USING (repo, grp)),
+early AS (
+  SELECT repo, path, 0 AS stage, row_number() OVER (PARTITION BY repo ORDER BY o, path) AS turn, 0 AS sub
+  FROM (SELECT repo, path, min(struct_pack(stage := stage, turn := turn, sub := sub)) AS o FROM reads WHERE broad AND stage < 3 AND turn IS NOT NULL GROUP BY 1, 2)
+  QUALIFY turn <= 5),
+every AS (
+  SELECT repo, path, min(struct_pack(stage := stage, turn := turn, sub := sub)) AS o
+  FROM (SELECT * FROM early UNION ALL SELECT repo, path, stage, turn, sub FROM reads WHERE stage IS NOT NULL AND turn IS NOT NULL AND (NOT broad OR stage = 3))
+  GROUP BY 1, 2)
+SELECT repo, path, row_number() OVER (PARTITION BY repo ORDER BY o, path) AS rank FROM every QUALIFY rank <= 6""",
+)
 def tree_first_reads(spark, sf):
     return profile.profile_trees(trees(spark, sf)).first_reads
 
