@@ -37,7 +37,7 @@ from factgraph.llm.common import Memory, key_type, map_slices, record
 
 MODEL = "byte_bpe_50k.json"
 # Bytes of words that a worker remembers, and of chunks beyond Latin-1.
-REMEMBERED, CHUNKS_REMEMBERED = 64 << 20, 16 << 20
+REMEMBERED, CHUNKS_REMEMBERED = 80 << 20, 16 << 20
 # Bytes of text encoded at once.
 SLICE_BYTES = 1 << 20
 # Words of at most so many bytes are merged together; words of more than ``LONG`` over a heap.
