@@ -47,3 +47,29 @@ def test_trimming_and_terms(spark):
 @pytest.mark.parametrize(("part", "whole", "want"), [(1, 32, 0.0312), (3, 32, 0.0938), (0, 0, 0.0)])
 def test_fractions_round_half_to_even(spark, part, whole, want):
     assert spark.range(1).select(text.fraction(F.lit(part), F.lit(whole))).head()[0] == want
+
+
+def test_small_files_of_many_rows_are_dealt(spark, tmp_path):
+    """One small file made one task of all extraction, however many documents came of it."""
+    from factgraph.plans import document_queries
+    from factgraph.session import spread
+
+    cols = "id AS p_partkey", "concat('n', id) AS p_name", "'B' AS p_brand", "'T' AS p_type", "CAST(id % 50 AS INT) AS p_size"
+    spark.range(9000).selectExpr(*cols).coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    docs = document_queries.documents(spark, str(tmp_path))
+    sizes = docs.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(sizes) >= 8 and max(r["count"] for r in sizes) <= 2 * 9000 / len(sizes)
+    assert docs.select("node_id").distinct().count() == 9000
+    assert spread(spark.range(0)).count() == 0
+    assert spread(spark.range(9000), 1000).rdd.getNumPartitions() >= 9
+
+
+def test_texts_are_written_once():
+    """Nested first texts doubled the expression at every level."""
+    from factgraph.functions import sqlexpr as S
+    from factgraph.functions.variants import first_text
+    from factgraph.operators.extract import either, labelled
+
+    v = S.col("mark")
+    assert either(either(first_text(v, "a", "b"), S.lit("x")), S.lit("y")).text.count("mark") == 2
+    assert labelled("l", first_text(v, "a")).text.count("mark") == 1
