@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from factgraph.operators import keypaths
 from factgraph.plans import bindings as b
 from factgraph.plans.registry import query
-from factgraph.session import shared_dir
+from factgraph.session import shared_dir, spread, staged
 from factgraph.sources import documents, filescan
 
 
@@ -72,7 +72,7 @@ def yaml_files(spark, sf):
     content = F.concat(F.encode(text, "UTF-8"), F.when(way == 5, F.unhex(F.lit("FF"))).otherwise(F.unhex(F.lit(""))))
     name = F.concat(F.when(way == 7, "_p").otherwise("p"), F.col("p_partkey"), F.lit(".yaml"))
     folder = F.when(F.col("p_size") % 2 == 0, "deep").otherwise("drafts")
-    return b.table(spark, sf, "part").select(F.concat_ws("/", folder, name).alias("path"), content.alias("content"))
+    return spread(b.table(spark, sf, "part")).select(F.concat_ws("/", folder, name).alias("path"), content.alias("content"))
 
 
 @query(
@@ -140,7 +140,8 @@ def edge_scan(spark, sf):
     folder = written(spark, edge_files(spark, sf))
     rules = spark.createDataFrame([("contract/map.yaml", bytearray(MAPPING.encode()))], "path string, content binary")
     filescan.write_files(rules, folder)
-    docs = documents.yaml_documents(spark, f"{folder}/edges")
+    # Edges and both kinds of findings read the parsed documents; files are opened and parsed once.
+    docs = staged(documents.yaml_documents(spark, f"{folder}/edges").select("path", "body"))
     mapping = documents.relation_mapping(documents.yaml_documents(spark, f"{folder}/contract"))
     edges = documents.edge_entries(docs, F.lit("parts"))
     file = F.element_at(F.split("path", "/"), -1)
@@ -164,7 +165,7 @@ def keyed_documents(spark, sf):
         F.when(F.col("p_size") % 7 == 0, F.lit(', "nested": {"failure_modes": {"a": [[{"b": true}]]}}')).otherwise(""),
         F.lit("}"),
     )
-    return b.table(spark, sf, "part").select(F.concat(F.lit("p"), "p_partkey").alias("path"), F.parse_json(text).alias("body"))
+    return spread(b.table(spark, sf, "part")).select(F.concat(F.lit("p"), "p_partkey").alias("path"), F.parse_json(text).alias("body"))
 
 
 _KEYED_SQL = """
@@ -206,6 +207,19 @@ def key_rule_findings(spark, sf):
 # --- manifests and vocabularies -----------------------------------------------------
 
 
+def manifest_files(spark, sf):
+    """A manifest and a contract per part."""
+    part = spread(b.table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"))
+    entry = lambda name: F.to_json(F.struct(F.col(name).alias("name")))
+    head = F.when(F.col("p_partkey") % 3 != 0, F.concat(F.lit('"defaults": {"target_shard": "'), F.lower("p_type"), F.lit('", "as_of": "2025-01-01"}, '))).otherwise("")
+    body = F.concat(F.lit("{"), head, F.lit('"repos": ['), entry("p_name"), F.lit(", "), entry("p_brand"), F.lit(', "text"]}'))
+    enums = F.concat(F.lit('{"tone_enums": ["'), F.lower("p_type"), F.lit('"], "size_enums": ["s'), F.col("p_size"), F.lit('"], "enums_of": ["x"], "tone": "y"}'))
+    key = F.col("p_partkey").cast("string")
+    return part.select(F.concat(F.lit("manifests/m"), key, F.lit(".yaml")).alias("path"), F.encode(body, "UTF-8").alias("content")).unionByName(
+        part.select(F.concat(F.lit("contracts/c"), key, F.lit(".yaml")).alias("path"), F.encode(enums, "UTF-8").alias("content"))
+    )
+
+
 @query(
     "manifest_scan",
     """
@@ -216,16 +230,7 @@ UNION ALL SELECT NULL, 'enum ' || e, NULL, NULL, NULL, NULL, v FROM (SELECT 'ton
 )
 def manifest_scan(spark, sf):
     """Manifest entries with the defaults of their document, and the values of contract enums."""
-    part = b.table(spark, sf, "part")
-    entry = lambda name: F.to_json(F.struct(F.col(name).alias("name")))
-    head = F.when(F.col("p_partkey") % 3 != 0, F.concat(F.lit('"defaults": {"target_shard": "'), F.lower("p_type"), F.lit('", "as_of": "2025-01-01"}, '))).otherwise("")
-    body = F.concat(F.lit("{"), head, F.lit('"repos": ['), entry("p_name"), F.lit(", "), entry("p_brand"), F.lit(', "text"]}'))
-    enums = F.concat(F.lit('{"tone_enums": ["'), F.lower("p_type"), F.lit('"], "size_enums": ["s'), F.col("p_size"), F.lit('"], "enums_of": ["x"], "tone": "y"}'))
-    key = F.col("p_partkey").cast("string")
-    files = part.select(F.concat(F.lit("manifests/m"), key, F.lit(".yaml")).alias("path"), F.encode(body, "UTF-8").alias("content")).unionByName(
-        part.select(F.concat(F.lit("contracts/c"), key, F.lit(".yaml")).alias("path"), F.encode(enums, "UTF-8").alias("content"))
-    )
-    folder = written(spark, files)
+    folder = written(spark, manifest_files(spark, sf))
     rows = documents.manifest(documents.yaml_documents(spark, f"{folder}/manifests"))
     listed = rows.select(
         F.element_at(F.split("path", "/"), -1).alias("file"), F.lit("manifest").alias("what"), "idx", "default_shard", "default_as_of", "is_mapping",

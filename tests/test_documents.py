@@ -120,3 +120,23 @@ def test_entries_that_are_no_mapping_are_reported(spark):
     rows = spark.sql("""SELECT * FROM VALUES ('a', parse_json('{"edges": [{"src_id": "x"}, "no", 3]}')), ('b', parse_json('{"edges": "text"}')),
         ('c', parse_json('{"edges": null}')), ('d', parse_json('{}')) AS t(path, body)""")
     assert {tuple(r) for r in documents.entry_findings(rows, "edges").collect()} == {("a", 1, "entry_no_mapping"), ("a", 2, "entry_no_mapping"), ("b", None, "no_list")}
+
+
+def test_edge_documents_are_parsed_once(spark, sf):
+    """Edges and both kinds of findings each opened and parsed all files."""
+    from factgraph.plans import source_queries
+
+    plan = source_queries.edge_scan(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    # The one that is left parses the contract document.
+    assert plan.count("MapInPandas") == 1
+
+
+def test_files_of_a_small_table_are_written_by_many_tasks(spark, tmp_path):
+    from factgraph.plans import source_queries
+
+    cols = "id AS p_partkey", "concat('n', id) AS p_name", "'B' AS p_brand", "'T' AS p_type", "CAST(id % 50 AS INT) AS p_size"
+    spark.range(9000).selectExpr(*cols).coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    for made, copies in ((source_queries.manifest_files, 2), (source_queries.yaml_files, 1), (source_queries.keyed_documents, 1)):
+        files = made(spark, str(tmp_path))
+        sizes = files.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(sizes) >= 8 * copies and files.select("path").distinct().count() == 9000 * copies
