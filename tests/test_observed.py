@@ -81,3 +81,23 @@ def test_keys_at_any_depth(spark):
     found = {(r.path, r.rule, r.key_path) for r in keypaths.key_findings(keys, keypaths.key_rules(spark)).collect()}
     assert found == {("l", "legacy_key", "[].repo"), ("t", "legacy_key", "repo"), ("t", "forbidden_section", "troubleshooting")}
     assert keypaths.key_paths(docs.limit(0)).count() == 0
+
+
+def test_small_files_need_no_range_each(spark, tmp_path, monkeypatch):
+    """Every file was a range, and keys sampled for each met on the driver."""
+    from pyspark.sql import functions as F
+    from factgraph.sources import snapshots
+
+    monkeypatch.setattr(snapshots, "MOST_RANGES", 4)
+    asked = []
+    dealt = type(spark.range(1)).repartitionByRange
+    monkeypatch.setattr(type(spark.range(1)), "repartitionByRange", lambda self, n, *c: asked.append(n) or dealt(self, n, *c))
+    rows = spark.range(4000).selectExpr("concat('n', id % 900) AS node_id", "id AS v")
+    folder = str(tmp_path / "out")
+    snapshots.sized_write(rows, folder, ["node_id"], 40_000, target=1000, rows=4000)
+    got = spark.read.parquet(folder)
+    files = got.groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count("*").alias("n"), F.min("node_id").alias("low"), F.max("node_id").alias("high")).collect()
+    assert asked == [4] and got.exceptAll(rows).isEmpty() and got.count() == 4000
+    assert 40 <= len(files) <= 44 and max(f.n for f in files) <= 100
+    spans = sorted((f.low, f.high) for f in files)
+    assert all(b[0] >= a[1] for a, b in zip(spans, spans[1:]))
