@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -874,40 +875,69 @@ def limitations(files: DataFrame, entries: DataFrame, dependencies: DataFrame, m
 # --- assembly ---------------------------------------------------------------------
 
 
-@dataclass(frozen=True)
 class Profile:
-    """All tables of a profile, each keyed by ``repo``."""
+    """All tables of a profile, each keyed by ``repo``.
 
-    manifests: DataFrame
-    configs: DataFrame
-    languages: DataFrame
-    roots: Roots
-    entrypoints: DataFrame
-    groups: Groups
-    external: DataFrame
-    internal: DataFrame
-    first_reads: DataFrame
-    surfaces: DataFrame
-    limitations: DataFrame
+    A table is made when it is first asked for, and then once; others read it. A caller who
+    wants one table does not pay for what that table does not rest on.
+    """
+
+    def __init__(self, files: DataFrame, max_files: int | None = None):
+        self.files, self.max_files = staged(files), max_files
+
+    @cached_property
+    def signals(self) -> Signals:
+        return tree_signals(self.files)
+
+    @property
+    def manifests(self) -> DataFrame:
+        return self.signals.manifests
+
+    @property
+    def configs(self) -> DataFrame:
+        return self.signals.configs
+
+    @cached_property
+    def languages(self) -> DataFrame:
+        return cut_lineage(languages(self.files, self.manifests))
+
+    @cached_property
+    def roots(self) -> Roots:
+        return package_roots(self.files, self.signals)
+
+    @cached_property
+    def entrypoints(self) -> DataFrame:
+        return entrypoints(self.files, self.signals)
+
+    @cached_property
+    def groups(self) -> Groups:
+        return module_groups(self.files, self.roots, self.signals)
+
+    @cached_property
+    def external(self) -> DataFrame:
+        return cut_lineage(external_packages(self.files, self.manifests, self.entrypoints, self.groups))
+
+    @cached_property
+    def internal(self) -> DataFrame:
+        return cut_lineage(internal_modules(internal_imports(self.files, self.roots.roots, self.max_files)))
+
+    @cached_property
+    def first_reads(self) -> DataFrame:
+        return first_reads(self.entrypoints, self.groups, self.signals)
+
+    @cached_property
+    def surfaces(self) -> DataFrame:
+        return runtime_surfaces(self.files, self.entrypoints, self.groups, self.signals)
+
+    @cached_property
+    def limitations(self) -> DataFrame:
+        known = self.external.select("repo").unionByName(self.internal.select("repo"))
+        return limitations(self.files, self.entrypoints, known, self.max_files)
 
 
 def profile_trees(files: DataFrame, max_files: int | None = None) -> Profile:
     """Profile of every repository in ``files``, which is staged once and read by column."""
-    files = staged(files)
-    signals = tree_signals(files)
-    langs = cut_lineage(languages(files, signals.manifests))
-    roots = package_roots(files, signals)
-    entries = entrypoints(files, signals)
-    groups = module_groups(files, roots, signals)
-    external = cut_lineage(external_packages(files, signals.manifests, entries, groups))
-    internal = cut_lineage(internal_modules(internal_imports(files, roots.roots, max_files)))
-    known = external.select("repo").unionByName(internal.select("repo"))
-    return Profile(
-        signals.manifests, signals.configs, langs, roots, entries, groups, external, internal,
-        first_reads(entries, groups, signals),
-        runtime_surfaces(files, entries, groups, signals),
-        limitations(files, entries, known, max_files),
-    )
+    return Profile(files, max_files)
 
 
 def batch_summary(files: DataFrame, roots: DataFrame, groups: DataFrame) -> DataFrame:
