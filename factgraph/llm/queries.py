@@ -115,7 +115,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_sampled_encoding")
 def op4_sampled_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampled_encoding.segmentations(table(spark, sf_dir, "documents"), with_ids=False)
+    return sampled_encoding.segmentations(table(spark, sf_dir, "documents"))
 
 
 @query(

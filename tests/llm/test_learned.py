@@ -198,3 +198,14 @@ def test_segmentations_are_decoded_where_they_are_drawn(spark, odd, monkeypatch)
     assert all(r.decodes and r.decoded_crc32 == zlib.crc32(texts[r.doc_id].encode()) for r in got)
     monkeypatch.setattr(sampled_encoding, "decode", lambda text_of, pieces: "other")
     assert not any(r.decodes for r in sampled_encoding.segmentations(odd, with_ids=False).collect())
+
+
+def test_sampled_encoding_query_gives_the_ids(spark, sf):
+    """The query kept sums of the drawn segmentations only, not the segmentations."""
+    from zlib import crc32
+
+    from factgraph.llm import queries
+
+    rows = queries.op4_sampled_encoding(spark, sf).limit(50).collect()
+    assert rows and all(len(r.ids) == r.n_pieces for r in rows)
+    assert all(crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 for r in rows)
