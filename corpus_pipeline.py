@@ -13,6 +13,9 @@ from factgraph.llm.common import fold, staged, table
 
 # Similarity of near duplicates, as a whole percentage.
 SIMILAR_PERCENT = 80
+# The executors of the last stage still hold the memory of the stages before it, so it
+# remembers fewer chunks and works on less text at once than the operator by itself.
+REMEMBERED, SLICE = 80_000, 1 << 17
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +42,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled segmentations of every whole text: ``doc_id, sample, n_pieces, log_prob,
     perturbed, log_inclusion, ids_crc32, decoded_crc32, decodes, ids``."""
-    return sampled_encoding.segmentations(docs)
+    return sampled_encoding.segmentations(docs, remembered=REMEMBERED, limit=SLICE)
 
 
 STAGES = [

@@ -51,10 +51,33 @@ def give_back() -> None:
         trim(0)
 
 
-def frugal(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
-    """``work`` for ``mapInArrow``, giving its memory back when a task ends."""
+# What operators keep in a Python worker between tasks: how to forget it, by operator.
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def keep_between_tasks(owner: str, forget: Callable[[], None]) -> None:
+    """Say that ``owner`` keeps results in this worker, and what drops them."""
+    _kept[owner] = forget
+
+
+def forget_others(owner: str | None = None) -> None:
+    """Drop what operators other than ``owner`` keep in this worker."""
+    others = [name for name in _kept if name != owner]
+    for name in others:
+        _kept.pop(name)()
+    if others:
+        give_back()
+
+
+def frugal(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], owner: str | None = None):
+    """``work`` for ``mapInArrow``, giving its memory back when a task ends.
+
+    A worker serves the tasks of one operator after those of another; what others than
+    ``owner`` keep there is dropped when a task begins.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others(owner)
         try:
             yield from work(batches)
         finally:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from factgraph.llm.common import frugal, key_type, record, slices
+from factgraph.llm.common import frugal, give_back, keep_between_tasks, key_type, record, slices
 from factgraph.llm.token_counts import CHUNK, model_path
 
 MODEL = "piece_bpe_32k.model"
@@ -53,6 +53,7 @@ SLICE = 1 << 19
 # A path whose log probability is nearer to 0 than this has its rest summed up.
 NEAR = 1e-6
 SPACE = 0x2581
+OWNER = "sampled_encoding"
 
 U = np.uint64
 BASE, MASK = 0x9E3779B97F4A7C15, 2**64 - 1
@@ -158,8 +159,8 @@ class Lattices:
         for names, need in ((("start", "degree"), self.nodes + nodes), (("cum", "logp", "next", "piece"), self.edges + edges)):
             for name in names:
                 own = getattr(self, name)
-                if need > len(own):
-                    setattr(self, name, np.concatenate([own, np.zeros(max(need - len(own), len(own) // 2), own.dtype)]))
+                if need > len(own):  # in place: no second copy while it grows
+                    own.resize(max(need, len(own) * 3 // 2), refcheck=False)
 
     def occurrences(self, chunks: list[str]) -> np.ndarray:
         try:
@@ -469,9 +470,13 @@ class Sampler:
 
 
 @lru_cache(maxsize=1)
-def sampler_of(path: str, samples: int, alpha: float, seed: int) -> Sampler:
-    """One per Python worker, which Spark keeps for later tasks, with the lattices it holds."""
-    return Sampler(path, samples, alpha, seed)
+def sampler_of(path: str, samples: int, alpha: float, seed: int, remembered: int = REMEMBERED) -> Sampler:
+    """One per Python worker, which Spark keeps for later tasks, with the lattices it holds
+    until the worker serves another operator."""
+    keep_between_tasks(OWNER, sampler_of.cache_clear)
+    sampler = Sampler(path, samples, alpha, seed, remembered)
+    give_back()  # of the model, only its pieces stay
+    return sampler
 
 
 def _cut_off(mass: float, cap: float, u: float) -> float:
@@ -494,14 +499,18 @@ def decode(text_of: list[bytes], pieces) -> str:
 
 
 def segmentations(
-    docs: DataFrame, samples: int = SAMPLES, path: str | None = None, alpha: float = ALPHA, seed: int = 0, with_ids: bool = True
-) -> DataFrame:
+    docs: DataFrame, samples: int = SAMPLES, path: str | None = None, alpha: float = ALPHA, seed: int = 0, with_ids: bool = True,
+    remembered: int = REMEMBERED, limit: int = SLICE,
+) -> DataFrame:
     """``doc_id, sample, n_pieces, log_prob, perturbed, log_inclusion, ids_crc32, decoded_crc32,
     decodes`` and, unless told not to, ``ids``: up to ``samples`` rows per whole text.
 
     Every segmentation is decoded where it was drawn: ``decoded_crc32`` is of the UTF-8 bytes
     of the decoded text, ``decodes`` says whether that is the text, a null one as an empty one
     and ▁ as a space, which it is to the model.
+
+    ``remembered`` (chunks) and ``limit`` (bytes of text worked on at once) trade memory of a
+    worker for time; the rows do not depend on them.
     """
     path = path or model_path(MODEL)
     kind = key_type(docs)
@@ -509,9 +518,9 @@ def segmentations(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from zlib import crc32
 
-        sampler = sampler_of(path, samples, alpha, seed)
+        sampler = sampler_of(path, samples, alpha, seed, remembered)
         for whole in batches:
-            for batch in slices(whole, limit=SLICE):
+            for batch in slices(whole, limit=limit):
                 texts = batch.column("text").to_pylist()
                 found = sampler.sample(batch.column("doc_id").to_pylist(), texts)
                 rows = [(i, s, *f) for i, own in enumerate(found) for s, f in enumerate(own)]
@@ -540,7 +549,7 @@ def segmentations(
 
     schema = f"doc_id {kind}, sample int, n_pieces long, log_prob double, perturbed double, log_inclusion double, ids_crc32 long"
     schema += ", decoded_crc32 long, decodes boolean"
-    return docs.select("doc_id", "text").mapInArrow(frugal(run), schema + (", ids array<int>" if with_ids else ""))
+    return docs.select("doc_id", "text").mapInArrow(frugal(run, OWNER), schema + (", ids array<int>" if with_ids else ""))
 
 
 def decoded(rows: DataFrame, path: str | None = None, ids: str = "ids") -> DataFrame:

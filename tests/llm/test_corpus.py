@@ -8,7 +8,7 @@ import re
 
 import corpus_pipeline
 import pytest
-from factgraph.llm import compression_quality, decontaminate, near_dedup, sampled_encoding, substring_dedup
+from factgraph.llm import common, compression_quality, decontaminate, near_dedup, sampled_encoding, substring_dedup
 from factgraph.llm.common import fold, table
 from pyspark.sql import functions as F
 
@@ -282,3 +282,23 @@ def test_stages_keep_the_columns(spark, sf):
     documents = table(spark, sf, "documents").withColumn("extra", F.lit(1))
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, documents, sf).schema.names == documents.schema.names
+
+
+def test_a_worker_drops_what_other_operators_kept():
+    dropped = []
+    common.keep_between_tasks("one", lambda: dropped.append("one"))
+    list(common.frugal(iter, "one")(iter([])))
+    assert dropped == []
+    model = sampled_encoding.model_path(sampled_encoding.MODEL)
+    sampled_encoding.sampler_of(model, 2, 0.5, 0)
+    list(common.frugal(iter, sampled_encoding.OWNER)(iter([])))
+    assert dropped == ["one"] and sampled_encoding.sampler_of.cache_info().currsize == 1
+    list(common.frugal(iter)(iter([])))
+    assert sampled_encoding.sampler_of.cache_info().currsize == 0
+
+
+def test_memory_of_a_worker_changes_no_segmentation(spark, docs):
+    some = docs.select("doc_id", "text")
+    plain = sampled_encoding.segmentations(some).collect()
+    little = sampled_encoding.segmentations(some, remembered=50, limit=500).collect()
+    assert len(plain) and sorted(map(str, plain)) == sorted(map(str, little))
