@@ -42,12 +42,24 @@ def confidence_text() -> Column:
     return F.bround(F.coalesce("confidence", F.lit(0.0)) * 1_000_000, 0).cast("bigint").cast("string")
 
 
-def with_keys(candidates: DataFrame) -> DataFrame:
-    """Add ``merge_key`` (content without section and evidence) and ``collision_key``."""
-    collision = F.concat_ws(SEP, _text("node_id", "fact_type", "predicate", "object_kind"), object_key())
-    merge = F.concat_ws(SEP, collision, _text("note"), confidence_text(), _text("as_of", "extraction_mode"))
-    keyed = candidates.withColumn("merge_key", F.unhex(F.sha2(merge, 256))).withColumn("collision_key", F.unhex(F.sha2(collision, 256)))
-    return keyed.withColumn("draft", F.col("extraction_mode").eqNullSafe(F.lit("draft")))
+def key_of(*parts: Column) -> Column:
+    """The first 16 bytes of a SHA-256: short enough to move with every row, and never equal by chance."""
+    return F.unhex(F.substring(F.sha2(F.concat_ws(SEP, *parts), 256), 1, 32))
+
+
+def collision_text() -> list[Column]:
+    return [_text("node_id", "fact_type", "predicate", "object_kind"), object_key()]
+
+
+def with_collision_key(candidates: DataFrame) -> DataFrame:
+    """Add ``collision_key`` (record, type, predicate and object)."""
+    return candidates.withColumn("collision_key", key_of(*collision_text()))
+
+
+def with_merge_key(candidates: DataFrame) -> DataFrame:
+    """Add ``merge_key`` (content without section and evidence) and ``draft``."""
+    key = key_of(*collision_text(), _text("note"), confidence_text(), _text("as_of", "extraction_mode"))
+    return candidates.withColumn("merge_key", key).withColumn("draft", F.col("extraction_mode").eqNullSafe(F.lit("draft")))
 
 
 def evidence_rows(rows: DataFrame, key: str) -> DataFrame:
@@ -55,9 +67,9 @@ def evidence_rows(rows: DataFrame, key: str) -> DataFrame:
     return rows.select(key, F.explode("evidence").alias("e")).select(key, "e.*").distinct()
 
 
-def evidence_text() -> Column:
-    strings = [F.coalesce(F.col(c), F.lit("")) for c in EVIDENCE_FIELDS[:4]]
-    numbers = [F.coalesce(F.col(c), F.lit(0)).cast("string") for c in EVIDENCE_FIELDS[4:]]
+def evidence_text(of: str = "") -> Column:
+    strings = [F.coalesce(F.col(of + c), F.lit("")) for c in EVIDENCE_FIELDS[:4]]
+    numbers = [F.coalesce(F.col(of + c), F.lit(0)).cast("string") for c in EVIDENCE_FIELDS[4:]]
     return F.concat_ws(SEP, *strings, *numbers)
 
 
@@ -77,50 +89,42 @@ class Consolidated:
     ledger: DataFrame
 
 
-def placed(keyed: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Candidates with what their keys hold: ``first`` and ``copies`` of the merge key,
-    ``last_first`` (the last of the derived firsts), ``first_draft`` and ``last_draft`` of the
-    collision key.
+# Keys are counted in so many buckets first; those of full buckets are counted one by one.
+BUCKETS = 1 << 16
+
 
-    One exchange on the collision key and one sort give all of them, as a merge key lies within
-    one collision key. Collision keys with over ``hot_rows`` candidates are cut apart: their
-    counts are combined before they are exchanged, and joined back by merge key.
+def busy_keys(keyed: DataFrame, hot_rows: int) -> DataFrame:
+    """Collision keys with over ``hot_rows`` candidates.
+
+    A bucket of keys holds at least as many rows as each of its keys, so only keys of
+    buckets over the threshold are sent anywhere.
     """
-    hot = staged(keyed.groupBy("collision_key").agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows).select("collision_key"))
-    of_key = {
+    bucket = F.pmod(F.xxhash64("collision_key"), F.lit(BUCKETS))
+    counted = keyed.select("collision_key", bucket.alias("bucket"))
+    full = staged(counted.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows).select("bucket"))
+    if full.isEmpty():
+        return full.select(F.lit(None).cast("binary").alias("collision_key")).limit(0)
+    near = counted.join(F.broadcast(full), "bucket", "left_semi")
+    return staged(near.groupBy("collision_key").agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows).select("collision_key"))
+
+
+def of_key() -> dict[str, Column]:
+    """What a collision key holds: the last of its derived firsts, its first and its last draft."""
+    return {
         "last_first": F.max(F.when(~F.col("draft"), F.col("first"))),
         "first_draft": F.min(F.when(F.col("draft"), F.col("first"))),
         "last_draft": F.max(F.when(F.col("draft"), F.col("last"))),
     }
 
-    def scanned(rows: DataFrame) -> DataFrame:
-        same = Window.partitionBy("collision_key", "draft", "merge_key")
-        key = Window.partitionBy("collision_key")
-        counted = rows.repartition("collision_key").select(
-            "*", F.min("pos").over(same).alias("first"), F.max("pos").over(same).alias("last"), F.count("*").over(same).alias("copies")
-        )
-        return counted.select("*", *[c.over(key).alias(n) for n, c in of_key.items()]).drop("last")
-
-    if hot.isEmpty():
-        return scanned(keyed)
-    # Keys above the threshold number at most the rows over it.
-    hot = F.broadcast(hot)
-    busy = keyed.join(hot, "collision_key", "left_semi")
-    merged = staged(busy.groupBy("collision_key", "draft", "merge_key").agg(F.min("pos").alias("first"), F.max("pos").alias("last"), F.count("*").alias("copies")))
-    per_key = F.broadcast(merged.groupBy("collision_key").agg(*[c.alias(n) for n, c in of_key.items()]))
-    joined = join_hot_apart(busy, merged.select("merge_key", "first", "copies"), ["merge_key"], "copies", hot_rows)
-    cold = scanned(keyed.join(hot, "collision_key", "left_anti"))
-    return cold.unionByName(joined.join(per_key, "collision_key"))
 
-
-def judged(candidates: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Every candidate with its fate: ``alive`` (its evidence counts), ``is_fact`` (it stands for
-    its key) and ``reason`` (why it stands in the ledger), written once.
+def judged(rows: DataFrame) -> DataFrame:
+    """Candidates, with ``first`` and ``copies`` of their merge key and ``of_key`` of their collision
+    key, with their fate: ``alive`` (its evidence counts), ``is_fact`` (it stands for its key) and
+    ``reason`` (why it stands in the ledger).
 
     Of derived rows with one merge key the earliest stands for all. A draft takes the place of
     the last of them with its collision key; of several drafts the last stays.
     """
-    rows = placed(staged(with_keys(candidates)), hot_rows)
     draft, pos = F.col("draft"), F.col("pos")
     replaced = F.col("last_draft").isNotNull() & (F.col("first") == F.col("last_first"))
     alive = F.when(draft, pos == F.col("last_draft")).otherwise(~replaced)
@@ -129,19 +133,51 @@ def judged(candidates: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         .when(draft & (F.col("last_first").isNotNull() | (pos > F.col("first_draft"))), "draft_precedence_override")
     )
     rows = rows.withColumn("alive", alive).withColumn("is_fact", F.col("alive") & (draft | (pos == F.col("first"))))
-    rows = rows.withColumn("copies", F.when(draft, F.lit(1).cast("bigint")).otherwise(F.col("copies"))).withColumn("reason", reason)
-    return staged(rows.select("merge_key", "pos", *CONTENT, "evidence", "copies", "alive", "is_fact", "reason"))
+    return rows.withColumn("copies", F.when(draft, F.lit(1).cast("bigint")).otherwise(F.col("copies"))).withColumn("reason", reason)
 
 
-def consolidate(candidates: DataFrame, hot_rows: int = HOT_ROWS) -> Consolidated:
-    """Merge equal derived facts, let drafts override, assign ids.
+def ledger_rows(rows: DataFrame) -> DataFrame:
+    summary = ["node_id", "source_file", "fact_type", "predicate", "object_kind", object_key().alias("object"), "pos"]
+    return rows.filter("reason IS NOT NULL").select("reason", *summary)
+
 
-    The candidates are exchanged once (``placed``) and written once with their fate
-    (``judged``); facts, evidence and ledger read their own columns and rows of that table.
-    A further merge of the result is not needed: derived rows are unique by merge key,
-    drafts by collision key, and the extraction mode keeps the two apart.
+def consolidated_together(candidates: DataFrame) -> Consolidated:
+    """Consolidation of candidates whose collision keys each fit a task.
+
+    One exchange on the collision key; a merge key and its evidence lie within one collision key, so
+    everything else is windows over that. Each of the three tables is planned by itself and moves
+    its own columns only; merge keys are made after the exchange.
     """
-    rows = judged(candidates, hot_rows)
+    same = Window.partitionBy("collision_key", "draft", "merge_key")
+    key = Window.partitionBy("collision_key")
+    counted = with_merge_key(candidates.repartition("collision_key")).select(
+        "*", F.min("pos").over(same).alias("first"), F.max("pos").over(same).alias("last"), F.count("*").over(same).alias("copies")
+    )
+    rows = judged(counted.select("*", *[c.over(key).alias(n) for n, c in of_key().items()]))
+    items = rows.filter("alive").select("collision_key", "merge_key", "pos", *CONTENT, "copies", "is_fact", F.posexplode_outer("evidence").alias("at", "e"))
+    item = Window.partitionBy("collision_key", "merge_key", *[F.col(f"e.{f}") for f in EVIDENCE_FIELDS]).orderBy("pos", "at")
+    merged = Window.partitionBy("collision_key", "merge_key")
+    items = items.withColumn("new", F.col("at").isNotNull() & (F.row_number().over(item) == 1))
+    items = items.withColumns({
+        "evidence_count": F.sum(F.col("new").cast("bigint")).over(merged),
+        "evidence_digest": F.coalesce(F.sum(F.when(F.col("new"), digest_number(evidence_text("e.")))).over(merged), F.lit(0).cast("decimal(38,0)")),
+    })
+    stands = F.col("is_fact") & (F.coalesce("at", F.lit(0)) == 0)
+    facts = items.filter(stands).withColumn("fact_id", fact_id())
+    evidence = items.withColumn("fact_id", F.max(F.when(stands, fact_id())).over(merged)).filter("new").select("fact_id", "e.*")
+    return Consolidated(facts.select("fact_id", *CONTENT, "copies", "evidence_count", "evidence_digest"), evidence, ledger_rows(rows))
+
+
+def consolidated_apart(candidates: DataFrame, hot_rows: int) -> Consolidated:
+    """Consolidation of candidates whose collision keys may be too large for a task: counts are
+    combined before they are exchanged and joined back by merge key. The candidates are written
+    once with their fate."""
+    keyed = with_merge_key(candidates)
+    merged = staged(keyed.groupBy("collision_key", "draft", "merge_key").agg(F.min("pos").alias("first"), F.max("pos").alias("last"), F.count("*").alias("copies")))
+    # Keys above the threshold number at most the rows over it.
+    per_key = F.broadcast(merged.groupBy("collision_key").agg(*[c.alias(n) for n, c in of_key().items()]))
+    joined = join_hot_apart(keyed, merged.select("merge_key", "first", "copies"), ["merge_key"], "copies", hot_rows)
+    rows = staged(judged(joined.join(per_key, "collision_key")).select("merge_key", "pos", *CONTENT, "evidence", "copies", "alive", "is_fact", "reason"))
     items = evidence_rows(rows.filter("alive"), "merge_key")
     proof = items.groupBy("merge_key").agg(
         F.count("*").alias("evidence_count"), F.sum(digest_number(evidence_text())).alias("evidence_digest")
@@ -156,12 +192,26 @@ def consolidate(candidates: DataFrame, hot_rows: int = HOT_ROWS) -> Consolidated
     evidence = join_hot_apart(
         items, facts.select("merge_key", "fact_id", "evidence_count"), ["merge_key"], "evidence_count", hot_rows
     ).drop("merge_key", "evidence_count")
-    summary = ["node_id", "source_file", "fact_type", "predicate", "object_kind", object_key().alias("object"), "pos"]
-    return Consolidated(
-        facts.select("fact_id", *CONTENT, "copies", "evidence_count", "evidence_digest"),
-        evidence,
-        rows.filter("reason IS NOT NULL").select("reason", *summary),
-    )
+    return Consolidated(facts.select("fact_id", *CONTENT, "copies", "evidence_count", "evidence_digest"), evidence, ledger_rows(rows))
+
+
+def consolidate(candidates: DataFrame, hot_rows: int = HOT_ROWS) -> Consolidated:
+    """Merge equal derived facts, let drafts override, assign ids.
+
+    The candidates are written once as they come. Those of collision keys with over ``hot_rows``
+    are worked on apart (``consolidated_apart``), all others over one exchange
+    (``consolidated_together``). A further merge of the result is not needed: derived rows are
+    unique by merge key, drafts by collision key, and the extraction mode keeps the two apart.
+    """
+    keyed = with_collision_key(staged(candidates.select(*CONTENT, "evidence", "pos")))
+    busy = busy_keys(keyed, hot_rows)
+    if busy.isEmpty():
+        return consolidated_together(keyed)
+    # Keys above the threshold number at most the rows over it.
+    busy = F.broadcast(busy)
+    cold = consolidated_together(keyed.join(busy, "collision_key", "left_anti"))
+    hot = consolidated_apart(keyed.join(busy, "collision_key", "left_semi"), hot_rows)
+    return Consolidated(*(getattr(cold, n).unionByName(getattr(hot, n)) for n in ("facts", "evidence", "ledger")))
 
 
 def consolidation_summary(result: Consolidated) -> DataFrame:

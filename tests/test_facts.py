@@ -218,6 +218,21 @@ def test_consolidation_equals_the_sequential_definition(spark, hot_rows):
     assert outcome(shuffled) == got
 
 
+def test_cold_facts_move_once_and_evidence_without_fields_counts(spark):
+    schema = ", ".join(f"{c} {'double' if c == 'confidence' else 'string'}" for c in consolidate.CONTENT)
+    schema += f", evidence {consolidate.EVIDENCE_ARRAY}, pos string"
+    content = ("repo::kiln", "component", "has_component", "concept", "Zig", None, "n", 0.8, "2024", "f", "s", "derived")
+    item = ("file_line", "line 1", "f", None, 1, None)
+    rows = [(*content, [item, item, None], "1"), (*content, [item, (None,) * 6], "2"), (*content[:6], "other", *content[7:], [], "3")]
+    result = consolidate.consolidate(spark.createDataFrame(rows, schema))
+    for table in (result.facts, result.evidence, result.ledger):
+        assert table._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert sorted((r.note, r.copies, r.evidence_count) for r in result.facts.collect()) == [("n", 2, 2), ("other", 1, 0)]
+    assert sorted(str(r.ref) for r in result.evidence.collect()) == ["None", "line 1"]
+    assert [(r.reason, r.pos) for r in result.ledger.collect()] == [("duplicate_derived_merged", "2")]
+
+
+
 def test_best_confidence_keeps_the_first_of_equals_and_null_keys(spark):
     rows = [
         ("f", "p", "v", 0.5, 0), ("f", "p", "v", 0.9, 1), ("f", "p", "v", 0.9, 2), ("f", "p", None, 0.1, 3),
