@@ -11,7 +11,7 @@ from factgraph.plans import bindings as b
 from factgraph.plans.document_queries import fill
 from factgraph.plans.read_queries import joined
 from factgraph.plans.registry import query
-from factgraph.session import shared_dir
+from factgraph.session import shared_dir, spread
 from factgraph.streaming.admission import admit_stream, candidate_files
 
 # --- catalog and queue ------------------------------------------------------------
@@ -211,8 +211,9 @@ _ENTRY = """{"repo": "Owner@size/P@key", "name": "", "summary": "@odd", "core_co
 
 def manifest_rows(spark, sf):
     late = F.col("p_partkey") % 10 == 0
+    parts = spread(b.table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"))
     return intake.prepared_manifest(
-        b.table(spark, sf, "part").select(
+        parts.select(
             F.col("p_partkey").alias("idx"),
             F.parse_json(fill(_ENTRY)).alias("entry"),
             (F.col("p_partkey") % 11 != 0).alias("is_mapping"),

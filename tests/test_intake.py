@@ -145,3 +145,10 @@ def test_stream_of_nothing(spark, tmp_path):
     (inbox / "0.json").write_text('{"pos": null, "url": "https://github.com/o/a"}\n{"pos": 1, "url": null}\n')
     catalog = spark.createDataFrame([], "row_index int, url string, author string, repo_name string, category string, local_path string, needs_review boolean")
     assert admit_stream(candidate_files(spark, str(inbox), "pos bigint, url string"), catalog).count() == 0
+
+
+def test_manifest_rows_are_dealt_over_tasks(spark):
+    """One task parsed and normalised the rows of the whole table, which is one small file."""
+    from factgraph.plans.intake_queries import manifest_rows
+
+    assert manifest_rows(spark, "/root/testdata/sf0.01").rdd.getNumPartitions() > 1
