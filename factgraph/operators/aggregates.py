@@ -129,12 +129,11 @@ def snapshot_skew(sources: DataFrame, column: str = "generated_at_utc", limit_se
 
 def subtree_counts(files: DataFrame, group: Sequence[str], path: str = "path") -> DataFrame:
     """Files below every directory: each file counts once for every ancestor."""
-    parts = F.split(F.col(path), "/")
-    depth = F.size(parts) - 1
-    ancestors = F.when(
-        depth > 0, F.transform(F.sequence(F.lit(1), depth), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))
-    )
-    return files.select(*group, F.explode(ancestors).alias("dir")).groupBy(*group, "dir").agg(F.count("*").alias("files"))
+    depth = F.size(F.split(F.col(path), "/")) - 1
+    levels = F.when(depth > 0, F.sequence(F.lit(1), depth))
+    rows = files.select(*group, F.col(path).alias("_path"), F.explode(levels).alias("_level"))
+    rows = rows.select(*group, F.expr("substring_index(_path, '/', _level)").alias("dir"))
+    return rows.groupBy(*group, "dir").agg(F.count("*").alias("files"))
 
 
 def flag_counts(df: DataFrame, **flags: Column) -> DataFrame:

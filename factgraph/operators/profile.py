@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from factgraph.operators.aggregates import subtree_counts
 from factgraph.operators.identity import toml_json
 from factgraph.operators.shaping import first_n, first_row
-from factgraph.session import cut_lineage, staged
+from factgraph.session import staged
 
 # File name → manifest kind.
 MANIFEST_KINDS = {
@@ -122,7 +122,7 @@ def _count(array: str, words: Sequence[str]) -> str:
 def path_features(df: DataFrame, path: str = "path") -> DataFrame:
     """Parts, name, ending, words and labels of a path; ``.`` has no parts."""
     clean = F.when(F.col(path) == ".", F.lit("")).otherwise(F.col(path))
-    parts = F.filter(F.split(clean, "/"), lambda p: p != "")
+    parts = F.array_remove(F.split(clean, "/"), "")
     out = df.withColumn("parts", parts)
     return out.selectExpr(
         "*",
@@ -131,11 +131,23 @@ def path_features(df: DataFrame, path: str = "path") -> DataFrame:
         "coalesce(lower(regexp_extract(get(parts, size(parts) - 1), '^.+([.][^.]+)$', 1)), '') AS suffix",
         "coalesce(regexp_replace(get(parts, size(parts) - 1), '^(.+)[.][^.]+$', '$1'), '') AS stem",
         "CASE WHEN size(parts) > 1 THEN array_join(slice(parts, 1, size(parts) - 1), '/') ELSE '.' END AS parent",
-        "flatten(transform(parts, p -> filter(split(lower(p), '[^a-z0-9]+'), w -> w <> ''))) AS tokens",
-        "filter(transform(parts, p -> trim(BOTH '_' FROM regexp_replace(lower(p), '[^a-z0-9]+', '_'))), w -> w <> '') AS labels",
+        # One pattern per path and none per part: words of all parts, and one label of joined words per part.
+        "array_remove(split(regexp_replace(lower(array_join(parts, '/')), '[^a-z0-9]+', ' '), ' '), '') AS tokens",
+        "array_remove(split(trim(BOTH '_' FROM replace(replace("
+        "regexp_replace(lower(array_join(parts, '/')), '[^a-z0-9/]+', '_'), '_/', '/'), '/_', '/')), '/'), '') AS labels",
     )
 
 
+def featured(files: DataFrame) -> DataFrame:
+    """``repo, path`` and features of all files; ``files`` itself when it is a table of them."""
+    return files if "parts" in files.columns else path_features(files.select("repo", "path"))
+
+
+def file_paths(files: DataFrame) -> DataFrame:
+    """What the paths of all files say, written once: the steps of a profile read it by column."""
+    return staged(path_features(files.select("repo", "path")).select("repo", "path", "parts", "n_parts", "name", "suffix", "parent"))
+
+
 def orientation_score(prefer_runtime: bool) -> Column:
     """How much a path says about the program's structure, from its words and depth."""
     runtime, boundary = (4, 2) if prefer_runtime else (3, 3)
@@ -149,11 +161,7 @@ def orientation_score(prefer_runtime: bool) -> Column:
 
 def is_noise() -> Column:
     """A noise or support label, or a compound label made of such words only."""
-    words = _in([*NOISE, *SUPPORT])
-    return F.expr(
-        f"exists(labels, w -> w IN {words} OR (size(filter(split(w, '_'), t -> t <> '')) >= 2"
-        f" AND forall(filter(split(w, '_'), t -> t <> ''), t -> t IN {words})))"
-    )
+    return F.expr(f"exists(labels, w -> forall(split(w, '_'), t -> t IN {_in([*NOISE, *SUPPORT])}))")
 
 
 def has_noise_label() -> Column:
@@ -181,7 +189,7 @@ def manifest_signals(files: DataFrame) -> DataFrame:
         _lookup(MANIFEST_KINDS, F.col("name")),
         F.when(F.startswith("name", F.lit("requirements")) & (F.col("suffix") == ".txt"), F.lit("python_requirements")),
     )
-    rows = path_features(files.select("repo", "path")).withColumn("kind", kind).filter("kind IS NOT NULL")
+    rows = featured(files).withColumn("kind", kind).filter("kind IS NOT NULL")
     return rows.select("repo", "path", "kind", walk_key().alias("walk"))
 
 
@@ -194,14 +202,14 @@ def config_signals(files: DataFrame) -> DataFrame:
         F.when(F.startswith(path, F.lit(".github/workflows/")), F.lit("ci_workflow")),
         F.when(F.endswith(path, F.lit(".env.example")) | F.endswith(path, F.lit(".env.sample")), F.lit("env_example")),
     )
-    rows = path_features(files.select("repo", "path")).withColumn("kind", kind).filter("kind IS NOT NULL")
+    rows = featured(files).withColumn("kind", kind).filter("kind IS NOT NULL")
     return rows.select("repo", "path", "kind", walk_key().alias("walk"))
 
 
 def languages(files: DataFrame, manifests: DataFrame) -> DataFrame:
     """Languages by number of files, a manifest counting as one more; ``rank`` orders them."""
     counted = (
-        path_features(files.select("repo", "path"))
+        featured(files)
         .select("repo", _lookup(LANGUAGES, F.col("suffix")).alias("language"))
         .filter("language IS NOT NULL")
         .groupBy("repo", "language")
@@ -224,7 +232,7 @@ def languages(files: DataFrame, manifests: DataFrame) -> DataFrame:
 
 
 def source_files(files: DataFrame) -> DataFrame:
-    return path_features(files.select("repo", "path")).filter(is_source())
+    return featured(files).filter(is_source())
 
 
 def source_dir_counts(files: DataFrame) -> DataFrame:
@@ -241,8 +249,10 @@ def group_dir_counts(files: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Signals:
-    """What several steps of a profile read: small tables next to the files, checkpointed once."""
+    """What several steps of a profile read: the paths of all files with their features, and small
+    tables next to them, each made once."""
 
+    paths: DataFrame
     manifests: DataFrame
     configs: DataFrame
     dir_counts: DataFrame
@@ -250,9 +260,10 @@ class Signals:
 
 
 def tree_signals(files: DataFrame) -> Signals:
-    manifests, configs = cut_lineage(manifest_signals(files)), cut_lineage(config_signals(files))
-    counts = cut_lineage(source_dir_counts(files))
-    return Signals(manifests, configs, counts, cut_lineage(frontend_facts(files, manifests, configs)))
+    paths = file_paths(files)
+    manifests, configs = staged(manifest_signals(paths)), staged(config_signals(paths))
+    counts = staged(source_dir_counts(paths))
+    return Signals(paths, manifests, configs, counts, staged(frontend_facts(paths, manifests, configs)))
 
 
 # --- frontend boost ---------------------------------------------------------------
@@ -268,7 +279,7 @@ def frontend_facts(files: DataFrame, manifests: DataFrame, configs: DataFrame) -
         F.expr("explode(transform(sequence(1, greatest(n_parts - 1, 1)), i -> array_join(slice(parts, 1, i), '/')))").alias("dir"),
         F.lit("framework").alias("fact"),
     )
-    routes = path_features(files.select("repo", "path")).filter(
+    routes = featured(files).filter(
         "n_parts >= 3 AND suffix IN ('.js', '.jsx', '.ts', '.tsx', '.vue', '.svelte')"
     )
     route_dirs = F.expr(
@@ -286,9 +297,9 @@ def frontend_facts(files: DataFrame, manifests: DataFrame, configs: DataFrame) -
 
 def with_frontend_boost(dirs: DataFrame, facts: DataFrame, counts: DataFrame) -> DataFrame:
     """Add ``boost`` to ``dirs(repo, path, features)``: only sizeable frontend directories get one."""
-    rows = dirs.join(
-        facts.withColumnRenamed("dir", "path"), ["repo", "path"], "left"
-    ).join(counts.select("repo", F.col("dir").alias("path"), F.col("files").alias("below")), ["repo", "path"], "left")
+    sizeable = counts.filter("files >= 8").select("repo", "dir", F.col("files").alias("below"))
+    known = facts.join(sizeable, ["repo", "dir"]).withColumnRenamed("dir", "path")
+    rows = dirs.join(known, ["repo", "path"], "left")
     rows = rows.na.fill(False, ["has_manifest", "has_framework", "has_routes"]).na.fill(0, ["below"])
     wanted = F.expr(f"exists(labels, w -> w IN {_in(FRONTEND)})") & ~is_noise() & F.expr(
         "below >= 8 AND (has_manifest OR has_framework OR has_routes)"
@@ -349,17 +360,20 @@ def package_root_candidates(files: DataFrame, manifests: DataFrame) -> DataFrame
     manifest_dirs = by_manifest.select("repo", F.col("root").alias("above")).distinct()
     none = F.lit(None).cast("string")
 
-    # One pass over the files gives package directories, first directories and children.
-    every = path_features(files.select("repo", "path"))
-    hints = F.expr(
-        "array_compact(array("
-        " CASE WHEN name = '__init__.py' THEN named_struct('root', parent, 'source', 'init') END,"
-        " CASE WHEN get(parts, 0) IN ('src', 'app', 'server', 'cmd', 'pkg', 'internal', 'packages', 'libs')"
-        "   THEN named_struct('root', get(parts, 0), 'source', 'structural') END,"
-        " CASE WHEN n_parts >= 2 AND get(parts, 0) IN ('packages', 'libs') AND NOT get(parts, 1) RLIKE '^.+[.][^.]+$'"
-        "   THEN named_struct('root', concat(get(parts, 0), '/', get(parts, 1)), 'source', 'workspace_child') END))"
-    )
-    hinted = every.select("repo", F.explode(hints).alias("h")).select("repo", "h.*").distinct()
+    # Package directories, first directories and children; each choice reads its own columns.
+    every = featured(files)
+    first, second = F.get("parts", F.lit(0)), F.get("parts", F.lit(1))
+    child = (F.col("n_parts") >= 2) & first.isin("packages", "libs") & ~second.rlike("^.+[.][^.]+$")
+    hints = {
+        "init": (F.col("name") == "__init__.py", F.col("parent")),
+        "structural": (first.isin("src", "app", "server", "cmd", "pkg", "internal", "packages", "libs"), first),
+        "workspace_child": (child, F.concat(first, F.lit("/"), second)),
+    }
+    found_in = [
+        every.filter(c).select("repo", root.alias("root")).distinct().withColumn("source", F.lit(source))
+        for source, (c, root) in hints.items()
+    ]
+    hinted = staged(reduce(DataFrame.unionByName, found_in))
     dirs = path_features(hinted, "root").filter(~is_noise())
     inits = dirs.filter("source = 'init'").withColumn(
         "above", F.when(F.col("n_parts") == 0, F.lit(".")).otherwise(F.col("parent"))
@@ -380,15 +394,12 @@ def package_root_candidates(files: DataFrame, manifests: DataFrame) -> DataFrame
 
 def package_roots(files: DataFrame, signals: Signals) -> Roots:
     """Best roots per repository; at least eight, and eight more than it has workspace children."""
-    candidates = cut_lineage(package_root_candidates(files, signals.manifests))
-    dirs = path_features(candidates.select("repo", "path").distinct())
-    scored = with_frontend_boost(dirs, signals.frontend, signals.dir_counts)
-    base = orientation_score(False) + F.col("boost") - F.when(is_noise(), 8).otherwise(0)
-    scored = scored.select("repo", "path", base.alias("base"))
+    candidates = staged(package_root_candidates(signals.paths, signals.manifests))
     bonus = F.max(F.element_at(F.create_map(*[F.lit(x) for p in ROOT_BONUS.items() for x in p]), F.col("source")))
     best = candidates.groupBy("repo", "path").agg(bonus.alias("bonus"))
-    score = F.when(F.col("path") == ".", F.lit(18)).otherwise(F.col("base") + F.col("bonus"))
-    roots = best.join(scored, ["repo", "path"]).select("repo", "path", score.alias("score"))
+    scored = with_frontend_boost(path_features(best), signals.frontend, signals.dir_counts)
+    base = orientation_score(False) + F.col("boost") - F.when(is_noise(), 8).otherwise(0)
+    roots = scored.select("repo", "path", F.when(F.col("path") == ".", F.lit(18)).otherwise(base + F.col("bonus")).alias("score"))
     children = (
         candidates.filter("source = 'workspace_child'").select("repo", "path").distinct()
         .groupBy("repo").agg(F.count("*").alias("n"))
@@ -397,8 +408,8 @@ def package_roots(files: DataFrame, signals: Signals) -> Roots:
     caps = repos.join(children, "repo", "left").select(
         "repo", F.greatest(F.lit(MIN_LIST), F.coalesce("n", F.lit(0)) + 8).alias("cap")
     )
-    roots = cut_lineage(roots)
-    chosen = cut_lineage(top_by_score(roots, caps, "path"))
+    roots = staged(roots)
+    chosen = staged(top_by_score(roots, caps, "path"))
     bare = repos.join(roots.select("repo").distinct(), "repo", "left_anti").select(
         "repo", F.lit(".").alias("path"), F.lit(0).alias("score"), F.lit(1).alias("rank")
     )
@@ -562,13 +573,13 @@ def manifest_entry_scores(files: DataFrame) -> DataFrame:
 
 def entrypoints(files: DataFrame, signals: Signals) -> DataFrame:
     """Eight best entrypoints per repository: ``repo, rank, path, kind, note, confidence``."""
-    by_path = cut_lineage(entrypoint_scores(files, signals.dir_counts))
+    by_path = staged(entrypoint_scores(files, signals.dir_counts))
     by_path = secondary_module_penalty(by_path, signals.manifests).filter("score >= 4")
     confidence = F.when(F.col("score") >= 6, "high").otherwise("medium")
     by_path = by_path.withColumn("confidence", confidence).withColumn("origin", F.lit(""))
     by_manifest = manifest_entry_scores(files).withColumn("confidence", F.lit("medium"))
     best = first_row(by_path.unionByName(by_manifest), ["repo", "path"], [F.desc("score"), "origin"])
-    return cut_lineage(first_n(best, ["repo"], [F.desc("score"), "path"], ENTRYPOINTS, "rank").drop("origin"))
+    return staged(first_n(best, ["repo"], [F.desc("score"), "path"], ENTRYPOINTS, "rank").drop("origin"))
 
 
 # --- module groups ----------------------------------------------------------------
@@ -589,7 +600,7 @@ MERGED = "merged related package roots with the same module label"
 def module_groups(files: DataFrame, roots: Roots, signals: Signals) -> Groups:
     """Roots and repeated source directories merged by label."""
     name = F.translate(F.col("name"), "-.", "__")
-    counts = cut_lineage(group_dir_counts(files))
+    counts = staged(group_dir_counts(signals.paths))
     helm = roots.evidence.filter("detail = 'helm_chart_manifest'").select("repo", "path").distinct().withColumn("helm", F.lit(True))
     dirs = path_features(roots.roots.filter("path <> '.'").select("repo", "path")).filter(~is_noise())
     boosted = with_frontend_boost(dirs, signals.frontend, counts).join(helm, ["repo", "path"], "left")
@@ -605,13 +616,13 @@ def module_groups(files: DataFrame, roots: Roots, signals: Signals) -> Groups:
         F.lit("directory grouping with repeated source files").alias("rationale"),
         (F.col("files") + orientation_score(False)).alias("score"),
     )
-    members = cut_lineage(from_roots.unionByName(from_dirs))
-    distinct_paths = members.select("repo", "name", "path").distinct()
-    shape = distinct_paths.groupBy("repo", "name").agg(F.count("*").alias("path_count"), F.min("path").alias("first_path"))
+    members = staged(from_roots.unionByName(from_dirs))
+    reason = F.min(F.struct("origin", "rationale"))
+    by_path = members.groupBy("repo", "name", "path").agg(F.max("score").alias("score"), reason.alias("r"))
     several = F.col("path_count") > 1
     merged = (
-        members.groupBy("repo", "name").agg(F.max("score").cast("int").alias("score"), F.min(F.struct("origin", "rationale")).alias("r"))
-        .join(shape, ["repo", "name"])
+        by_path.groupBy("repo", "name")
+        .agg(F.max("score").cast("int").alias("score"), F.min("r").alias("r"), F.count("*").alias("path_count"), F.min("path").alias("first_path"))
         .select(
             "repo", "name", "score", "first_path", "path_count",
             F.when(several, MERGED).otherwise(F.col("r.rationale")).alias("rationale"),
@@ -619,8 +630,8 @@ def module_groups(files: DataFrame, roots: Roots, signals: Signals) -> Groups:
         )
     )
     caps = roots.roots.groupBy("repo").agg(F.greatest(F.lit(MIN_LIST), F.count("*")).alias("cap"))
-    merged = cut_lineage(merged)
-    chosen = cut_lineage(top_by_score(merged, caps, "name"))
+    merged = staged(merged)
+    chosen = staged(top_by_score(merged, caps, "name"))
     top_root = roots.roots.groupBy("repo").agg(F.min_by("path", "rank").alias("first_path"))
     bare = path_features(top_root.join(merged.select("repo").distinct(), "repo", "left_anti"), "first_path").select(
         "repo", F.when(F.col("name") == "", "repo_root").otherwise(F.col("name")).alias("name"), F.lit(0).alias("score"),
@@ -628,7 +639,7 @@ def module_groups(files: DataFrame, roots: Roots, signals: Signals) -> Groups:
         F.lit("fallback structural grouping from package root").alias("rationale"), F.lit("medium").alias("confidence"),
         F.lit(1).alias("rank"),
     )
-    paths = distinct_paths.join(chosen.select("repo", "name"), ["repo", "name"], "left_semi")
+    paths = members.select("repo", "name", "path").distinct().join(chosen.select("repo", "name"), ["repo", "name"], "left_semi")
     return Groups(chosen.unionByName(bare), paths.unionByName(bare.select("repo", "name", F.col("first_path").alias("path"))))
 
 
@@ -806,7 +817,7 @@ def first_reads(
     members = _first_paths(groups, most).join(broad, "repo").join(leading, ["repo", "name"], "left")
     turn = F.when(F.col("broad"), F.col("broad_turn")).otherwise(F.when(F.col("g") <= 3, F.col("g")))
     by_group = members.select("repo", "path", "broad", F.lit(2).alias("stage"), turn.alias("turn"), "sub").filter("turn IS NOT NULL")
-    rows = cut_lineage(by_entry.filter("stage IS NOT NULL").unionByName(by_chart).unionByName(by_group))
+    rows = staged(by_entry.filter("stage IS NOT NULL").unionByName(by_chart).unionByName(by_group))
     # The groups of a broad repository stop one path early.
     early = _take(rows.filter("broad AND stage < 3"), most - 1).join(broad.filter("broad"), "repo").select("repo", "path", F.lit(0).alias("stage"), F.col("rank").alias("turn"), F.lit(0).alias("sub"))
     late = rows.filter("broad AND stage = 3").select("repo", "path", "stage", "turn", "sub")
@@ -899,7 +910,7 @@ class Profile:
 
     @cached_property
     def languages(self) -> DataFrame:
-        return cut_lineage(languages(self.files, self.manifests))
+        return staged(languages(self.files, self.manifests))
 
     @cached_property
     def roots(self) -> Roots:
@@ -915,11 +926,11 @@ class Profile:
 
     @cached_property
     def external(self) -> DataFrame:
-        return cut_lineage(external_packages(self.files, self.manifests, self.entrypoints, self.groups))
+        return staged(external_packages(self.files, self.manifests, self.entrypoints, self.groups))
 
     @cached_property
     def internal(self) -> DataFrame:
-        return cut_lineage(internal_modules(internal_imports(self.files, self.roots.roots, self.max_files)))
+        return staged(internal_modules(internal_imports(self.files, self.roots.roots, self.max_files)))
 
     @cached_property
     def first_reads(self) -> DataFrame:
@@ -942,7 +953,7 @@ def profile_trees(files: DataFrame, max_files: int | None = None) -> Profile:
 
 def batch_summary(files: DataFrame, roots: DataFrame, groups: DataFrame) -> DataFrame:
     """Per repository: files, source files, and whether roots and groups were found."""
-    seen = path_features(files.select("repo", "path")).groupBy("repo").agg(
+    seen = featured(files).groupBy("repo").agg(
         F.count("*").alias("total_files_seen"), F.count_if(is_source()).alias("source_files_seen")
     )
     r = roots.groupBy("repo").agg(F.count("*").alias("roots"))

@@ -450,7 +450,7 @@ def tree_summary(spark, sf):
     signals = profile.tree_signals(files)
     roots = profile.package_roots(files, signals)
     groups = profile.module_groups(files, roots, signals)
-    return profile.batch_summary(files, roots.roots, groups.groups).select("repo", "total_files_seen", "source_files_seen")
+    return profile.batch_summary(signals.paths, roots.roots, groups.groups).select("repo", "total_files_seen", "source_files_seen")
 
 
 @query(
@@ -467,7 +467,7 @@ def profile_summary(spark, sf):
     signals = profile.tree_signals(files)
     roots = profile.package_roots(files, signals)
     groups = profile.module_groups(files, roots, signals)
-    return profile.batch_summary(files, roots.roots, groups.groups)
+    return profile.batch_summary(signals.paths, roots.roots, groups.groups)
 
 
 # --- references -------------------------------------------------------------------
