@@ -92,6 +92,7 @@ class Vocabulary:
                 self.text[i] = bytes([int(names[i][3:-1], 16)])
             elif not model.is_control(i) and not model.is_unknown(i):
                 self.text[i] = names[i].replace("▁", " ").encode()
+        self.bytes_of = pa.array(self.text, pa.large_binary())
         ranks = scores[plain]
         if len(ranks) and (ranks <= 0).all() and (ranks == np.floor(ranks)).all():
             weights = -np.log1p(-ranks)
@@ -113,7 +114,7 @@ class Vocabulary:
                 raise ValueError("a piece crosses a cut; this model needs other cuts")
             h = 0
             for c in names[i]:
-                h = (h * BASE + ord(c)) & MASK
+                h = (h + ord(c)) * BASE & MASK
                 begins[h >> 64 - TABLE] = True
             hashes[h] = i
             self.longest = max(self.longest, len(names[i]))
@@ -163,11 +164,14 @@ class Lattices:
                     own.resize(max(need, len(own) * 3 // 2), refcheck=False)
 
     def occurrences(self, chunks: list[str]) -> np.ndarray:
-        try:
-            return np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
-        except KeyError:
-            self.learn(chunks)
-            return np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
+        found = list(map(self.index.get, chunks))
+        missing = [i for i, at in enumerate(found) if at is None]
+        if missing:
+            new = [chunks[i] for i in missing]
+            self.learn(new)
+            for i, at in zip(missing, map(self.index.__getitem__, new), strict=True):
+                found[i] = at
+        return np.array(found, np.int64)
 
     def learn(self, chunks: list[str]) -> None:
         new = [c for c in dict.fromkeys(chunks) if c not in self.index]
@@ -193,7 +197,7 @@ class Lattices:
             live, h = live[fits], h[fits]
             if not len(live):
                 break
-            h = h * U(BASE) + cp[live + (size - 1)]
+            h = (h + cp[live + (size - 1)]) * U(BASE)
             more = np.flatnonzero(v.begins[(h >> U(64 - TABLE)).astype(np.int64)])
             live, h = live[more], h[more]
             hit, ids = v.find(h)
@@ -493,11 +497,28 @@ def _inclusion(logp: float, kappa: float) -> float:
     return float(np.log(-np.expm1(-np.exp(x)))) if x > -30 else float(x)
 
 
-def decode(text_of: list[bytes], pieces) -> str:
-    data = b"".join(map(text_of.__getitem__, pieces.tolist() if hasattr(pieces, "tolist") else pieces))
+def _text(data: bytes) -> str:
     return data[1:].decode("utf-8", "replace") if data[:1] == b" " else data.decode("utf-8", "replace")
 
 
+def decode(text_of: list[bytes], pieces) -> str:
+    return _text(b"".join(map(text_of.__getitem__, pieces.tolist() if hasattr(pieces, "tolist") else pieces)))
+
+
+def decode_all(bytes_of: pa.LargeBinaryArray, flat: np.ndarray, ends: np.ndarray) -> Iterator[str]:
+    """``decode`` of many rows, whose pieces stand in ``flat`` one after the other."""
+    if not len(flat):
+        yield from [""] * len(ends)
+        return
+    taken = bytes_of.take(pa.array(flat))
+    places = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1, taken.offset * 8)
+    data, start = taken.buffers()[2], 0
+    for end in ends.tolist():
+        a, b = int(places[start]), int(places[end])
+        yield _text(data[a:b].to_pybytes() if b > a else b"")
+        start = end
+
+
 def segmentations(
     docs: DataFrame, samples: int = SAMPLES, path: str | None = None, alpha: float = ALPHA, seed: int = 0, with_ids: bool = True,
     remembered: int = REMEMBERED, limit: int = SLICE,
@@ -524,9 +545,10 @@ def segmentations(
                 texts = batch.column("text").to_pylist()
                 found = sampler.sample(batch.column("doc_id").to_pylist(), texts)
                 rows = [(i, s, *f) for i, own in enumerate(found) for s, f in enumerate(own)]
+                flat = np.concatenate([r[5] for r in rows]) if rows else np.zeros(0, np.int32)
+                ends = np.cumsum([len(r[5]) for r in rows], dtype=np.int64)
                 sums, equal = [], []
-                for r in rows:
-                    back = decode(sampler.lattices.vocabulary.text, r[5])
+                for r, back in zip(rows, decode_all(sampler.lattices.vocabulary.bytes_of, flat, ends), strict=True):
                     sums.append(crc32(back.encode("utf-8", "surrogatepass")))
                     equal.append(back == (texts[r[0]] or "").replace("▁", " "))
                 columns = {
@@ -541,8 +563,7 @@ def segmentations(
                     "decodes": pa.array(equal, pa.bool_()),
                 }
                 if with_ids:
-                    offsets = np.concatenate([[0], np.cumsum([len(r[5]) for r in rows])]).astype(np.int32)
-                    flat = np.concatenate([r[5] for r in rows]) if rows else np.zeros(0, np.int32)
+                    offsets = np.concatenate([[0], ends]).astype(np.int32)
                     columns["ids"] = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
                 if rows:
                     yield record(**columns)
