@@ -497,28 +497,15 @@ def _inclusion(logp: float, kappa: float) -> float:
     return float(np.log(-np.expm1(-np.exp(x)))) if x > -30 else float(x)
 
 
-def _text(data: bytes) -> str:
+def decode(text_of: list[bytes] | pa.LargeBinaryArray, pieces) -> str:
+    if isinstance(text_of, pa.LargeBinaryArray):
+        data = (text_of.take(pa.array(pieces)).buffers()[2] if len(pieces) else None) or b""
+        data = data if isinstance(data, bytes) else data.to_pybytes()
+    else:
+        data = b"".join(map(text_of.__getitem__, pieces.tolist() if hasattr(pieces, "tolist") else pieces))
     return data[1:].decode("utf-8", "replace") if data[:1] == b" " else data.decode("utf-8", "replace")
 
 
-def decode(text_of: list[bytes], pieces) -> str:
-    return _text(b"".join(map(text_of.__getitem__, pieces.tolist() if hasattr(pieces, "tolist") else pieces)))
-
-
-def decode_all(bytes_of: pa.LargeBinaryArray, flat: np.ndarray, ends: np.ndarray) -> Iterator[str]:
-    """``decode`` of many rows, whose pieces stand in ``flat`` one after the other."""
-    if not len(flat):
-        yield from [""] * len(ends)
-        return
-    taken = bytes_of.take(pa.array(flat))
-    places = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1, taken.offset * 8)
-    data, start = taken.buffers()[2], 0
-    for end in ends.tolist():
-        a, b = int(places[start]), int(places[end])
-        yield _text(data[a:b].to_pybytes() if b > a else b"")
-        start = end
-
-
 def segmentations(
     docs: DataFrame, samples: int = SAMPLES, path: str | None = None, alpha: float = ALPHA, seed: int = 0, with_ids: bool = True,
     remembered: int = REMEMBERED, limit: int = SLICE,
@@ -545,10 +532,9 @@ def segmentations(
                 texts = batch.column("text").to_pylist()
                 found = sampler.sample(batch.column("doc_id").to_pylist(), texts)
                 rows = [(i, s, *f) for i, own in enumerate(found) for s, f in enumerate(own)]
-                flat = np.concatenate([r[5] for r in rows]) if rows else np.zeros(0, np.int32)
-                ends = np.cumsum([len(r[5]) for r in rows], dtype=np.int64)
                 sums, equal = [], []
-                for r, back in zip(rows, decode_all(sampler.lattices.vocabulary.bytes_of, flat, ends), strict=True):
+                for r in rows:
+                    back = decode(sampler.lattices.vocabulary.bytes_of, r[5])
                     sums.append(crc32(back.encode("utf-8", "surrogatepass")))
                     equal.append(back == (texts[r[0]] or "").replace("▁", " "))
                 columns = {
@@ -563,7 +549,8 @@ def segmentations(
                     "decodes": pa.array(equal, pa.bool_()),
                 }
                 if with_ids:
-                    offsets = np.concatenate([[0], ends]).astype(np.int32)
+                    offsets = np.concatenate([[0], np.cumsum([len(r[5]) for r in rows])]).astype(np.int32)
+                    flat = np.concatenate([r[5] for r in rows]) if rows else np.zeros(0, np.int32)
                     columns["ids"] = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))
                 if rows:
                     yield record(**columns)

@@ -304,18 +304,15 @@ def test_memory_of_a_worker_changes_no_segmentation(spark, docs):
     assert len(plain) and sorted(map(str, plain)) == sorted(map(str, little))
 
 
-def test_decoding_many_rows_at_once():
-    """Rows of pieces were joined one by one, and the hashes of all single characters met in one slot."""
+def test_decoding_in_arrow():
+    """Pieces of a row were joined in Python, and the hashes of all single characters met in one slot."""
     import numpy as np
-    import pyarrow as pa
 
     vocabulary = sampled_encoding.Vocabulary(sampled_encoding.model_path(sampled_encoding.MODEL))
     rng = np.random.default_rng(3)
     rows = [rng.integers(0, len(vocabulary.text), n).astype(np.int32) for n in (0, 5, 0, 1, 400, 0)]
-    ends = np.cumsum([len(r) for r in rows])
-    got = list(sampled_encoding.decode_all(vocabulary.bytes_of, np.concatenate(rows), ends))
+    got = [sampled_encoding.decode(vocabulary.bytes_of, r) for r in rows]
     assert got == [sampled_encoding.decode(vocabulary.text, r) for r in rows]
-    assert list(sampled_encoding.decode_all(pa.array([b"a"], pa.large_binary()), rows[0], np.array([0, 0]))) == ["", ""]
     singles = [i for i, t in enumerate(vocabulary.text) if len(t) == 1 and t.isalpha() and not vocabulary.bytes[t[0]] == i]
     assert len(singles) > 40 and len({int(np.flatnonzero(vocabulary.ids == i)[0]) for i in singles}) == len(singles)
     assert len({int(vocabulary.hashes[vocabulary.ids == i][0]) >> 64 - sampled_encoding.TABLE for i in singles}) > 40
