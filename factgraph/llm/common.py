@@ -141,6 +141,14 @@ class Memory:
         else:
             self.held += len(key) + size + self.EACH
 
+    def keep_all(self, keys: Sequence, values: Sequence) -> None:
+        """``keep`` for many results that have a length."""
+        self.known.update(zip(keys, values, strict=True))
+        long = [k for k in keys if len(k) > self.longest]
+        self.long += long
+        sizes = sum(map(len, keys)) + sum(map(len, values)) + self.EACH * (len(keys) - len(long))
+        self.held += sizes - sum(len(k) + len(self.known[k]) for k in long)
+
     def forget_long(self) -> None:
         for key in self.long:
             self.known.pop(key, None)

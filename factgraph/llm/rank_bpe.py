@@ -164,8 +164,7 @@ class RankBpe:
         short.sort(key=lambda w: len(w[1]))
         for at in range(0, len(short), TOGETHER):
             some = short[at : at + TOGETHER]
-            for (word, _), ids in zip(some, self._scanned_together([raw for _, raw in some]), strict=True):
-                self.words.keep(word, ids, len(ids))
+            self.words.keep_all([word for word, _ in some], self._scanned_together([raw for _, raw in some]))
 
     def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left * self.width + right

@@ -1,11 +1,12 @@
 """Tokens of two tokenizers over the same bytes: overlaps, groups, links and their counts.
 
 Side A is a byte-level BPE file over a space and the text, side B a sentencepiece model over
-the text, before which it puts the space itself. Both spell the same bytes. Per Arrow slice,
-``pandas.merge_asof`` keyed by document finds for each token start the token of the other
-side that covers it; both directions together are all overlapping pairs. Places where a
-token of either side ends cut both sequences into groups, and pairs that end together are
-links.
+the text, before which it puts the space itself. Both spell the same bytes. A text is cut
+where no token of either side crosses, and each distinct run between such cuts is encoded
+once for both. Per Arrow slice, ``pandas.merge_asof`` finds for each token start the token of
+the other side that covers it, its key the byte in the slice, which names the document too;
+both directions together are all overlapping pairs. Places where a token of either side ends
+cut both sequences into groups, and pairs that end together are links.
 
 Counts of id pairs cover the corpus. Links are counted within a slice first, so a pair costs
 one row per slice, however often it occurs: these rows are summed by pair, joined back by
@@ -35,22 +36,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from factgraph.llm.common import Memory, frugal, key_type, map_slices, record, slices, staged
-from factgraph.llm.rank_bpe import coder_of, model_path
+from factgraph.llm.rank_bpe import LATIN, SPACE, RankBpe, model_path
 
 MODEL_A, MODEL_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-# Bytes of chunks that a task remembers on side B.
-REMEMBERED = 80 << 20
+# Bytes of runs that a worker remembers for both sides, of words on side A, of chunks on side B.
+REMEMBERED, WORDS_REMEMBERED, CHUNKS_REMEMBERED = 80 << 20, 24 << 20, 16 << 20
 # Bytes of text aligned at once.
 SLICE_BYTES = 512 << 10
 # Runs that no piece of the model crosses: its pieces hold a space at their start only.
 CHUNK = re.compile(r" *[^ \n]+|\n| +")
+# Runs that no token of either side crosses: side A joins a space to what follows, and white
+# space to white space, but nothing to the white space behind it.
+RUN = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+# Behind white space that is not in ``CUT`` there is no cut for side A.
+WHITE, CUT = frozenset(re.findall(f"[{SPACE}]", "".join(map(chr, range(0x3001))))), frozenset(" \n")
+# Set in the ids of side B where both sides stand together.
+SIDE_B = 1 << 31
 BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
 class PieceIds:
     """Ids of whole texts under one sentencepiece model, each distinct chunk encoded once."""
 
-    def __init__(self, path: str, remembered: int = REMEMBERED):
+    def __init__(self, path: str, remembered: int = CHUNKS_REMEMBERED):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -68,7 +76,7 @@ class PieceIds:
         something else than a space and the text."""
         if not self.cuts:
             found = self.model.encode(texts, num_threads=1)
-            return [self._packed(i) if self._spelled(i) == (" " + t).encode("utf-8", "surrogatepass") else None for t, i in zip(texts, found, strict=True)]
+            return [self.packed(i) if self.spelled(i) == (" " + t).encode("utf-8", "surrogatepass") else None for t, i in zip(texts, found, strict=True)]
         lists = [CHUNK.findall(" " + t) for t in texts]
         known = self.chunks.make_room()
         new = set(filterfalse(known.__contains__, chain.from_iterable(lists)))
@@ -76,9 +84,9 @@ class PieceIds:
         odd = set()
         # The model puts a space before a text; the line break keeps it away from the chunk.
         for chunk, ids in zip(missing, self.model.encode(["\n" + c for c in missing], num_threads=1), strict=True):
-            packed = self._packed(ids[2:])
+            packed = self.packed(ids[2:])
             self.chunks.keep(chunk, packed, len(packed))
-            if self._spelled(ids[2:]) != chunk.encode("utf-8", "surrogatepass"):
+            if self.spelled(ids[2:]) != chunk.encode("utf-8", "surrogatepass"):
                 odd.add(chunk)
         get = known.__getitem__
         out = [None if odd and not odd.isdisjoint(chunks) else b"".join(map(get, chunks)) for chunks in lists]
@@ -88,67 +96,141 @@ class PieceIds:
         return out
 
     @staticmethod
-    def _packed(ids: list[int]) -> bytes:
+    def packed(ids: list[int]) -> bytes:
         return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
 
-    def _spelled(self, ids: list[int]) -> bytes:
+    def spelled(self, ids: list[int]) -> bytes:
         return b"".join([self.bytes[i] for i in ids])
 
 
-@lru_cache(maxsize=2)
-def pieces_of(path: str) -> PieceIds:
-    """One per Python worker, which Spark keeps for later tasks, with what it remembers."""
-    return PieceIds(path)
-
-
 class Sides:
     """Both tokenizers, and the tokens of a slice of texts as one table per side."""
 
-    def __init__(self, path_a: str, path_b: str):
-        self.a, self.b = coder_of(path_a, plain_specials=True), pieces_of(path_b)
+    def __init__(self, path_a: str, path_b: str, remembered: int = REMEMBERED):
+        self.a, self.b = RankBpe(path_a, plain_specials=True, remembered=WORDS_REMEMBERED), PieceIds(path_b)
         self.size_a, self.size_b = (np.array([len(t) for t in side.bytes], np.int64) for side in (self.a, self.b))
+        self.runs = Memory(remembered)
+        # Decimal digits of every id, zeros before them.
+        ids = np.arange(max(len(self.size_a), len(self.size_b)))
+        places = 10 ** np.arange(len(str(len(ids))))[::-1]
+        self.digits = np.where((ids[:, None] >= places) | (places == 1), 48 + ids[:, None] // places % 10, 0).astype(np.uint8)
+
+    def _ids(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers, those of side B marked;
+        each side's are in order. None of a text that either side spells differently."""
+        if not self.b.cuts:
+            return self._whole(texts)
+        lists = [RUN.findall(" " + t) if t else [] for t in texts]
+        runs = list(chain.from_iterable(lists))
+        known = self.runs.make_room()
+        found = list(map(known.get, runs))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if missing:
+            recall = self.runs.recall
+            self._learn([r for r in {runs[i] for i in missing} if recall(r) is None])
+            for i in missing:
+                found[i] = known[runs[i]]
+            self.runs.forget_long()
+        ends = np.cumsum([len(x) for x in lists]).tolist()
+        own = [found[s:e] for s, e in zip([0, *ends], ends, strict=False)]
+        out = [b"".join(x) for x in own]
+        alone = [i for i, x in enumerate(own) if not all(x)]
+        for i, ids in zip(alone, self._whole([texts[i] for i in alone]), strict=True):
+            out[i] = ids
+        return out
+
+    def _learn(self, runs: list[str]) -> None:
+        """Remember the ids of runs; nothing for a run whose texts are to be encoded whole."""
+        joined, alone = [], []
+        for r in runs:
+            (joined if r[-1] not in WHITE and (r.isascii() or LATIN.fullmatch(r)) else alone).append(r)
+        runs = joined + alone
+        raws = [r.encode("utf-8", "surrogatepass") for r in runs]
+        ends = np.cumsum([len(r) for r in raws])
+        # A run begins with a space or a line break, so behind another it stays what it is.
+        ids_a = np.frombuffer(b"".join(self.a.encode_all(["".join(joined), *alone])), "<u4")
+        n_a = np.diff(np.searchsorted(np.cumsum(self.size_a[ids_a]), ends, side="right"), prepend=0)
+        # The model puts a space before a text; the line break keeps it away from the run.
+        found_b = self.b.model.encode(["\n" + r for r in runs], num_threads=1)
+        n_b = np.fromiter(map(len, found_b), np.int64, len(runs))
+        ids_b = np.fromiter(chain.from_iterable(found_b), np.int64, int(n_b.sum()))
+        first = np.cumsum(n_b) - n_b
+        ids_b, n_b = np.delete(ids_b, np.concatenate([first, first + 1])), n_b - 2
+        # Both sides of a run one after the other.
+        n = n_a + n_b
+        both = np.empty(int(n.sum()), "<u4")
+        both[np.arange(len(ids_a)) + np.repeat(np.cumsum(n_b) - n_b, n_a)] = ids_a
+        both[np.arange(len(ids_b)) + np.repeat(np.cumsum(n_a), n_b)] = ids_b | SIDE_B
+        cuts, whole = np.cumsum(4 * n).tolist(), both.tobytes()
+        ids = [whole[s:e] for s, e in zip([0, *cuts], cuts, strict=False)]
+        spelled = b"".join(map(self.b.bytes.__getitem__, ids_b.tolist()))
+        ends_b = np.concatenate([[0], np.cumsum(self.size_b[ids_b])])[np.cumsum(n_b)]
+        if spelled != b"".join(raws) or (ends_b != ends).any():
+            cuts = ends_b.tolist()
+            ids = [i if spelled[s:e] == r else b"" for i, s, e, r in zip(ids, [0, *cuts], cuts, raws, strict=False)]
+        for i in range(len(joined), len(runs)):
+            if runs[i][-1] in WHITE - CUT:
+                ids[i] = b""
+        self.runs.keep_all(runs, ids)
 
-    def _ids(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
+    @staticmethod
+    def _marked(ids: list[int]) -> bytes:
+        return PieceIds.packed([i | SIDE_B for i in ids])
+
+    def _whole(self, texts: list[str | None]) -> list[bytes]:
         filled = [t or "" for t in texts]
         found_b = self.b.encode_all(filled)
         # The words of side A are cut out of the text's bytes and so spell it.
         found_a = self.a.encode_all([" " + t if t and b is not None else None for t, b in zip(filled, found_b, strict=True)])
-        return [(a, b) if t and b is not None else (b"", b"") for t, a, b in zip(filled, found_a, found_b, strict=True)]
+        return [a + self._marked(np.frombuffer(b, "<u4").tolist()) if t and b is not None else b"" for t, a, b in zip(filled, found_a, found_b, strict=True)]
 
     def tokens(self, texts: list[str | None]) -> tuple[pd.DataFrame, pd.DataFrame]:
         """``doc, id, start, end`` per token; ``doc`` is the place in the slice, and bytes are
         counted over the whole slice, so that starts ascend."""
         found = self._ids(texts)
+        ids = np.frombuffer(b"".join(found), "<u4")
+        doc = np.repeat(np.arange(len(texts)), [len(f) // 4 for f in found])
         frames = []
-        for side, sizes in enumerate((self.size_a, self.size_b)):
-            ids = np.frombuffer(b"".join([f[side] for f in found]), "<u4").astype(np.int64)
-            doc = np.repeat(np.arange(len(texts)), [len(f[side]) // 4 for f in found])
-            end = np.cumsum(sizes[ids])
-            frames.append(pd.DataFrame({"doc": doc, "id": ids, "start": end - sizes[ids], "end": end}))
+        for own, sizes in ((np.flatnonzero(ids < SIDE_B), self.size_a), (np.flatnonzero(ids >= SIDE_B), self.size_b)):
+            of_side = (ids[own] & (SIDE_B - 1)).astype(np.int64)
+            size = sizes[of_side]
+            end = np.cumsum(size)
+            frames.append(pd.DataFrame({"doc": doc[own], "id": of_side, "start": end - size, "end": end}))
         return frames[0], frames[1]
 
 
+@lru_cache(maxsize=1)
+def sides_of(path_a: str, path_b: str) -> Sides:
+    """One per Python worker, which Spark keeps for later tasks, with what it remembers."""
+    return Sides(path_a, path_b)
+
+
 def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
     """``doc, a, b``: rows of ``a`` and ``b`` whose byte ranges overlap, in order.
 
     Of an overlapping pair, one token covers the start of the other; a pair that starts
-    together is found from both sides and kept once.
+    together is found from both sides and kept once. Both sides spell the same bytes of a
+    document, so the token that covers a start stands in the same document.
     """
-    a, b = a[["doc", "start"]].assign(a=np.arange(len(a))), b[["doc", "start"]].assign(b=np.arange(len(b)))
-    from_a = pd.merge_asof(a, b, on="start", by="doc")
-    from_b = pd.merge_asof(b, a, on="start", by="doc")
-    new = b["start"].to_numpy() != a["start"].to_numpy()[from_b["a"].to_numpy(np.int64)] if len(b) else np.zeros(0, bool)
-    # Both parts are in order already, so a stable sort merges them.
-    doc, in_a, in_b = (np.concatenate([from_a[c].to_numpy(np.int64), from_b[c].to_numpy(np.int64)[new]]) for c in ("doc", "a", "b"))
-    order = np.argsort(in_a << 32 | in_b, kind="stable")
-    return pd.DataFrame({"doc": doc[order], "a": in_a[order], "b": in_b[order]})
+    starts_a, starts_b = a["start"].to_numpy(), b["start"].to_numpy()
+    from_a = pd.merge_asof(a[["start"]], pd.DataFrame({"start": starts_b, "b": np.arange(len(b))}), on="start")["b"].to_numpy(np.int64)
+    from_b = pd.merge_asof(b[["start"]], pd.DataFrame({"start": starts_a, "a": np.arange(len(a))}), on="start")["a"].to_numpy(np.int64)
+    new = np.flatnonzero(starts_b != starts_a[from_b])
+    # Both parts are in order already: a new pair stands behind those that start before it.
+    at = from_b[new] + 1 + np.arange(len(new))
+    in_a, in_b = np.empty(len(a) + len(new), np.int64), np.empty(len(a) + len(new), np.int64)
+    old = np.ones(len(in_a), bool)
+    old[at] = False
+    in_a[at], in_b[at] = from_b[new], new
+    in_a[old], in_b[old] = np.arange(len(a)), from_a
+    return pd.DataFrame({"doc": a["doc"].to_numpy()[in_a], "a": in_a, "b": in_b})
 
 
 class Aligned:
     """A slice of texts aligned: tokens, overlaps, links (pairs that end together)."""
 
     def __init__(self, sides: Sides, texts: list[str | None]):
-        self.n = len(texts)
+        self.n, self.digits = len(texts), sides.digits
         self.a, self.b = sides.tokens(texts)
         self.pairs = overlaps(self.a, self.b)
         a, b = self.pairs["a"].to_numpy(), self.pairs["b"].to_numpy()
@@ -176,18 +258,10 @@ class Aligned:
         ids, marks = np.empty(n_a + n_b, np.int64), np.full(n_a + n_b, ord(","), np.uint8)
         ids[at_a], ids[at_b] = self.a["id"].to_numpy(), self.b["id"].to_numpy()
         marks[at_a[self.link_a]], marks[at_b[self.link_b]] = ord("|"), ord(";")
-        # Decimal digits and the mark behind them, written place by place.
-        digits = 1 + sum((ids >= 10**k).astype(np.int64) for k in range(1, len(str(int(ids.max())))))
-        ends = np.cumsum(digits + 1)
-        spelled = np.empty(int(ends[-1]), np.uint8)
-        spelled[ends - 1] = marks
-        for k in range(int(digits.max())):
-            has = digits > k
-            spelled[ends[has] - 2 - k] = 48 + ids[has] // 10**k % 10
-        last = np.cumsum(self.counts(self.a["doc"]) + self.counts(self.b["doc"]))
-        cuts = np.concatenate([[0], ends])[last].tolist()
-        whole = spelled.tobytes()
-        return [whole[s : max(s, e - 1)] for s, e in zip([0, *cuts], cuts, strict=False)]
+        # Decimal digits and the mark behind them; the zeros before them go.
+        spelled = np.concatenate([self.digits[ids], marks[:, None]], axis=1)
+        last = np.cumsum(self.counts(self.a["doc"]) + self.counts(self.b["doc"])).tolist()
+        return [spelled[s:e].tobytes().translate(None, b"\0")[:-1] for s, e in zip([0, *last], last, strict=False)]
 
 
 def alignments(docs: DataFrame, path_a: str | None = None, path_b: str | None = None) -> DataFrame:
@@ -200,7 +274,7 @@ def alignments(docs: DataFrame, path_a: str | None = None, path_b: str | None =
     pairs = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 
     def setup():
-        sides = Sides(path_a, path_b)
+        sides = sides_of(path_a, path_b)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = Aligned(sides, batch.column("text").to_pylist())
@@ -249,7 +323,7 @@ def _blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        sides, part, number = Sides(path_a, path_b), TaskContext.get().partitionId(), 0
+        sides, part, number = sides_of(path_a, path_b), TaskContext.get().partitionId(), 0
         for batch in batches:
             for rows in slices(batch, limit=SLICE_BYTES):
                 yield block(sides, rows, f"{part}-{number}")

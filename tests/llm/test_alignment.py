@@ -243,3 +243,20 @@ def test_overlaps_and_groups_equal_brute_force(docs, libraries):
 def test_slices_do_not_change_the_counts(docs, libraries):
     many = docs.repartition(3)
     check_report(token_alignment.link_report(many).collect(), [(r.doc_id, r.text) for r in docs.collect()], libraries)
+
+
+def test_a_run_is_encoded_once_for_both_sides(libraries, monkeypatch):
+    """Also of a text whose white space side A takes together across a cut of side B."""
+    sides = token_alignment.Sides(rank_bpe.model_path(), rank_bpe.model_path(token_alignment.MODEL_B))
+    asked = []
+    encode = sides.a.encode_all
+    monkeypatch.setattr(sides.a, "encode_all", lambda texts: asked.extend(texts) or encode(texts))
+    texts = ["the words, once.\n\n  é and the ends \n ", "the words, once. and the ends \n ", " the  words", None, "a\t\n x\t y\u3000 z", "▁ the", "the ▁a"] * 2
+    for again in range(2):
+        a, b = sides.tokens(texts)
+        for i, text in enumerate(texts):
+            want = brute_tokens(text, *libraries)
+            assert ([x[0] for x in want[0]], [x[0] for x in want[1]]) == (a["id"][a["doc"] == i].tolist(), b["id"][b["doc"] == i].tolist())
+        again_asked, asked = asked, []
+        assert not again or not any("words" in t for t in again_asked if t)
+    sides._learn([])
