@@ -133,6 +133,15 @@ class Memory:
             self.keep(key, value, len(value))
         return value
 
+    def recall_all(self, keys: Sequence) -> list:
+        """``recall`` for many keys; returns those that are not there."""
+        older = self.older
+        back = [k for k in keys if k in older]
+        if not back:
+            return list(keys)
+        self.keep_all(back, list(map(older.__getitem__, back)))
+        return [k for k in keys if k not in older]
+
     def keep(self, key, value, size: int) -> None:
         """``size``: bytes of the result."""
         self.known[key] = value

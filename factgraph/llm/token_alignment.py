@@ -126,8 +126,7 @@ class Sides:
         found = list(map(known.get, runs))
         missing = [i for i, ids in enumerate(found) if ids is None]
         if missing:
-            recall = self.runs.recall
-            self._learn([r for r in {runs[i] for i in missing} if recall(r) is None])
+            self._learn(self.runs.recall_all({runs[i] for i in missing}))
             for i in missing:
                 found[i] = known[runs[i]]
             self.runs.forget_long()

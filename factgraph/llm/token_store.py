@@ -19,10 +19,12 @@ import json
 import re
 import sys
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,11 +37,13 @@ SAMPLE_DOCUMENTS, SAMPLE_IDS, DICTIONARY_BYTES = 2000, 2048, 64 << 10
 LEVEL = 3
 # A block closes at so many documents or payload bytes.
 BLOCK_DOCUMENTS, BLOCK_BYTES = 1000, 4 << 20
-# Bytes of chunks, and as many of words, that a task remembers; beyond, the memory is emptied.
+# Half of the bytes of words and of chunks beyond Latin letters that a worker remembers.
 REMEMBERED = 80 << 20
 
-# Single marks that a chunk may end with.
-MARKS = b".,;:!?"
+# Bytes of text encoded at once.
+SLICE_BYTES = 2 << 20
+# Stands between the ids of chunks that are encoded together.
+BREAK = b"\xff" * 4
 
 # The split of the tokenizer file whose parts may be encoded one by one.
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -52,12 +56,13 @@ def model_path(name: str) -> str:
 
 
 class WordEncoder:
-    """Ids of whole texts as little-endian bytes, each distinct word encoded once.
+    """Ids of whole texts as little-endian bytes, each distinct word encoded once while remembered.
 
     Where the tokenizer file normalises and splits as expected, no token crosses ASCII
     white space, so the ids of a text are those of its chunks. Chunks of plain Latin
-    letters are split by the same pattern and their parts go to the library's model; all
-    others go to the library whole. Any other file is used on whole texts.
+    letters are split by the same pattern, all those of a slice together, and their parts go
+    to the library's model; all others go to the library whole. Any other file is used on
+    whole texts.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
@@ -82,64 +87,70 @@ class WordEncoder:
         # Letters of Latin-1 whose lower case stays there; the rest goes to the library.
         letters = "".join(c for c in map(chr, range(256)) if c.isalpha() and c not in "ªµº")
         small = "".join(c for c in letters if c == c.lower())
-        self.plain = re.compile(f"[!-~{letters}]+")
-        self.parts = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{small}]+|[0-9]|[^0-9{small}]+")
+        self.plain = re.compile(f"[\n!-~{letters}]*")
+        # A line break stands between chunks.
+        self.parts = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{small}]+|[0-9]|\n|[^\n0-9{small}]+")
         self.model = self.tokenizer.model
-        self.chunks, self.words = Memory(remembered), Memory(remembered)
+        self.chunks, self.words = Memory(remembered // 2), Memory(remembered * 3 // 2)
         kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
         extra = iter(range(256, 512))
         # The byte-level alphabet: printable bytes stand for themselves, others follow from 256.
-        self.alphabet = {b: chr(b) if b in kept else chr(next(extra)) for b in range(256)}
+        alphabet = {b: chr(b) if b in kept else chr(next(extra)) for b in range(256)}
+        self.alphabet = {c: "".join([alphabet[b] for b in chr(c).encode()]) for c in range(256)}
 
     def encode(self, text: str | None) -> bytes:
-        import numpy as np
+        return self.encode_all([text])[0]
 
-        if not text:
-            return b""
+    def encode_all(self, texts: Sequence[str | None] | pa.Array) -> list[bytes]:
+        """The ids of each text. Arrow cuts the texts and tells their chunks apart, so what is
+        done in Python is done once for each distinct chunk of a slice, for all of them together."""
         if not self.by_word:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        chunks = text.encode("utf-8", "surrogatepass").split()
-        known = self.chunks.known
-        try:
-            return b"".join(map(known.__getitem__, chunks))
-        except KeyError:
-            known, words = self.chunks.make_room(), self.words.make_room()
-            keep, recall = self.chunks.keep, self.chunks.recall
-            for c in set(chunks).difference(known):
-                if recall(c) is not None:
-                    continue
-                # Most chunks are ASCII letters, perhaps with one mark behind.
-                if c.isalpha():
-                    w = c.lower()
-                    ids = words.get(w) or self._word(w)
-                elif c[:-1].isalpha() and c[-1] in MARKS:
-                    w = c[:-1].lower()
-                    ids = (words.get(w) or self._word(w)) + (words.get(c[-1:]) or self._word(c[-1:]))
-                else:
-                    ids = self._chunk(c)
-                keep(c, ids, len(ids))
-            found = b"".join(map(known.__getitem__, chunks))
-            self.chunks.forget_long()
-            self.words.forget_long()
-            return found
-
-    def _chunk(self, chunk: bytes) -> bytes:
-        text = chunk.decode("utf-8", "surrogatepass")
-        if self.plain.fullmatch(text) and not any(s in text for s in self.special):
-            words = self.words.known
-            parts = [w.encode() for w in self.parts.findall(text.lower())]
-            return b"".join([words.get(w) or self._word(w) for w in parts])
-        return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _word(self, word: bytes) -> bytes:
-        ids = self.words.recall(word)
-        if ids is not None:
-            return ids
-        mapped = word.decode() if word.isascii() else "".join([self.alphabet[b] for b in word])
-        ids = self._bytes([t.id for t in self.model.tokenize(mapped)])
-        self.words.keep(word, ids, len(ids))
+            texts = texts.to_pylist() if isinstance(texts, pa.Array) else texts
+            return [self._bytes(self.tokenizer.encode(t, add_special_tokens=False).ids) if t else b"" for t in texts]
+        if not isinstance(texts, pa.Array):
+            texts = pa.array([(t or "").encode("utf-8", "surrogatepass") for t in texts], pa.large_binary()).view(pa.large_string())
+        lists = pc.ascii_split_whitespace(texts.fill_null(""))
+        ends = lists.offsets.to_numpy()
+        # Arrow gives an empty chunk beside white space at either end.
+        cut = lists.values.slice(ends[0], ends[-1] - ends[0]).dictionary_encode()
+        if not len(cut):
+            return [b""] * len(texts)
+        chunks = pa.ListArray.from_arrays([0, len(cut.dictionary)], cut.dictionary.cast(pa.large_binary()))
+        text = pc.binary_join(chunks, pa.scalar(b"\n", pa.large_binary()))[0].as_py().decode("utf-8", "surrogatepass")
+        _, bounds, data = pa.array(self._chunk_ids(text), pa.large_binary()).take(cut.indices).buffers()
+        whole = data.to_pybytes() if data else b""
+        at = np.frombuffer(bounds, np.int64)[ends - ends[0]].tolist()
+        return [whole[s:e] for s, e in zip(at, at[1:], strict=False)]
+
+    def _chunk_ids(self, text: str) -> list[bytes]:
+        """The ids of chunks, which line breaks part."""
+        if self._all_plain(text):
+            return self._plain_ids(text)
+        chunks = text.split("\n")
+        plain = {c: None for c in chunks if self._all_plain(c)}
+        found = dict(zip(plain, self._plain_ids("\n".join(plain)), strict=False))
+        known = self.chunks.make_room()
+        for c in self.chunks.recall_all([c for c in chunks if c not in found and c not in known]):
+            ids = self._bytes(self.tokenizer.encode(c, add_special_tokens=False).ids)
+            self.chunks.keep(c, ids, len(ids))
+        ids = [found[c] if c in found else known[c] for c in chunks]
+        self.chunks.forget_long()
         return ids
 
+    def _plain_ids(self, text: str) -> list[bytes]:
+        words = self.parts.findall(text.lower())
+        known, tokenize = self.words.make_room(), self.model.tokenize
+        known["\n"] = BREAK
+        new = self.words.recall_all(set(words).difference(known))
+        self.words.keep_all(new, [self._bytes([t.id for t in tokenize(w if w.isascii() else w.translate(self.alphabet))]) for w in new])
+        # No id has a byte of 255 at its end, so the breaks are found where they stand.
+        ids = b"".join(map(known.__getitem__, words)).split(BREAK)
+        self.words.forget_long()
+        return ids
+
+    def _all_plain(self, text: str) -> bool:
+        return self.plain.fullmatch(text) is not None and not any(s in text for s in self.special)
+
     @staticmethod
     def _bytes(ids: list[int]) -> bytes:
         found = array("I", ids)
@@ -162,7 +173,6 @@ def _id_type(path: str) -> str:
 
 def train_dictionary(docs: DataFrame, path: str, kind: str) -> bytes:
     """A dictionary from the serialized ids of a bounded sample of documents."""
-    import numpy as np
     import zstandard
 
     filled = docs.filter(F.length("text") > 0)
@@ -173,12 +183,12 @@ def train_dictionary(docs: DataFrame, path: str, kind: str) -> bytes:
         encoder = encoder_of(path)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ids = [encoder.encode(t)[: 4 * SAMPLE_IDS] for t in batch.column("text").to_pylist()]
+            ids = [i[: 4 * SAMPLE_IDS] for i in encoder.encode_all(batch.column("text"))]
             return record(ids=pa.array(ids, pa.binary()))
 
         return work
 
-    rows = [bytes(r.ids) for r in map_slices(sample, None, "ids binary", setup).collect()]
+    rows = [bytes(r.ids) for r in map_slices(sample, None, "ids binary", setup, SLICE_BYTES).collect()]
     serial = [np.frombuffer(r, "<u4").astype(kind).tobytes() for r in rows]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, [s for s in serial if len(s) >= 8]).as_bytes()
@@ -197,7 +207,6 @@ def frames(docs: DataFrame, path: str, data: bytes, kind: str, end_id: int) -> D
     key = docs.schema["doc_id"].dataType.simpleString()
 
     def setup():
-        import numpy as np
         import zstandard
 
         encoder = encoder_of(path)
@@ -205,7 +214,7 @@ def frames(docs: DataFrame, path: str, data: bytes, kind: str, end_id: int) -> D
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(data), write_checksum=False)
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ids = [np.frombuffer(encoder.encode(t) + end, "<u4") for t in batch.column("text").to_pylist()]
+            ids = [np.frombuffer(i + end, "<u4") for i in encoder.encode_all(batch.column("text"))]
             return record(
                 doc_id=batch.column("doc_id"),
                 n_tokens=pa.array([len(i) for i in ids], pa.int64()),
@@ -214,7 +223,7 @@ def frames(docs: DataFrame, path: str, data: bytes, kind: str, end_id: int) -> D
 
         return work
 
-    return map_slices(docs.select("doc_id", "text"), None, f"doc_id {key}, n_tokens long, frame binary", setup)
+    return map_slices(docs.select("doc_id", "text"), None, f"doc_id {key}, n_tokens long, frame binary", setup, SLICE_BYTES)
 
 
 def write_store(docs: DataFrame, folder: str, path: str | None = None, end_id: int = END_ID) -> str:
@@ -305,7 +314,6 @@ def read_store(spark: SparkSession, folder: str, doc_ids: DataFrame | None = Non
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
-        import numpy as np
         import zstandard
 
         press = zstandard.ZstdDecompressor(dict_data=_dictionary(data))

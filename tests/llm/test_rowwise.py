@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from factgraph.llm import host_rules, token_counts, token_store
 from factgraph.llm.token_counts import PrefixCounter
@@ -83,6 +84,21 @@ def test_word_encoder_equals_the_library(remembered):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want
 
 
+def test_chunks_of_a_slice_are_encoded_together(monkeypatch):
+    """From lists and from a slice of an Arrow array, with white space at both ends and other letters."""
+    encoder = WordEncoder(token_store.model_path(token_store.MODEL))
+    calls = []
+    encode = encoder._plain_ids
+    monkeypatch.setattr(encoder, "_plain_ids", lambda text: calls.append(text) or encode(text))
+    texts = [*TEXTS, " \tto and fro\n", "to", "Größe, größe; GRÖSSE's 12 fro", "слово to 語 to", "\x1c", None]
+    want = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    column = pa.array(["before", *texts, "after"]).slice(1, len(texts))
+    for given in (texts, column, column.cast(pa.large_string())):
+        assert [np.frombuffer(i, "<u4").tolist() for i in encoder.encode_all(given)] == want
+    assert len(calls) == 3 and all(c.split("\n").count("to") == 1 for c in calls)
+    assert encoder.encode_all([]) == [] and encoder.encode_all([None, ""]) == [b"", b""]
+
+
 def test_words_of_all_latin_letters_equal_the_library():
     encoder = WordEncoder(token_store.model_path(token_store.MODEL))
     marks = [chr(c) for c in range(256)]
