@@ -33,6 +33,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,7 @@ MODEL = "piece_bpe_32k.model"
 SAMPLES = 2
 ALPHA = 0.5
 # Chunks whose lattices a worker keeps; beyond, it starts anew.
-REMEMBERED = 240_000
+REMEMBERED = 480_000
 # Chunks whose lattices are built at once.
 BUILT = 4096
 SLICE = 1 << 19
@@ -54,6 +55,8 @@ SLICE = 1 << 19
 NEAR = 1e-6
 SPACE = 0x2581
 OWNER = "sampled_encoding"
+# What a step along an edge reads stands together.
+EDGE = np.dtype([("logp", np.float64), ("cum", np.float32), ("next", np.int32)])
 
 U = np.uint64
 BASE, MASK = 0x9E3779B97F4A7C15, 2**64 - 1
@@ -72,6 +75,14 @@ def uniform(x):
     return ((mix(x) >> U(12)).astype(np.float64) + 0.5) * 2.0**-52
 
 
+def uniform_of(x: int) -> float:
+    """``uniform`` of one number."""
+    x &= MASK
+    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & MASK
+    x = (x ^ (x >> 27)) * 0x94D049BB133111EB & MASK
+    return ((x ^ (x >> 31)) // 4096 + 0.5) * 2.0**-52
+
+
 class Vocabulary:
     """Pieces of one model: weights, and hashes of the pieces by length."""
 
@@ -145,33 +156,37 @@ class Lattices:
 
     def __init__(self, vocabulary: Vocabulary, remembered: int = REMEMBERED):
         self.vocabulary, self.remembered = vocabulary, remembered
+        self.start, self.degree = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int16)
+        self.edge, self.piece = np.zeros(1 << 17, EDGE), np.zeros(1 << 17, np.int32)
+        self._views()
         self.clear()
 
+    def _views(self) -> None:
+        self.logp, self.cum, self.next = (self.edge[name] for name in EDGE.names)
+
     def clear(self) -> None:
+        """Forget all chunks; the arrays stay, to be filled again."""
         self.index: dict[str, int] = {}
         self.near: dict[int, float] = {}
         self.first = np.zeros(0, np.int64)  # by chunk
         self.nodes = self.edges = 0
-        self.start, self.degree = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int16)
-        self.cum, self.logp = np.zeros(1 << 17, np.float32), np.zeros(1 << 17, np.float64)
-        self.next, self.piece = np.zeros(1 << 17, np.int32), np.zeros(1 << 17, np.int32)
 
     def _room(self, nodes: int, edges: int) -> None:
-        for names, need in ((("start", "degree"), self.nodes + nodes), (("cum", "logp", "next", "piece"), self.edges + edges)):
+        for names, need in ((("start", "degree"), self.nodes + nodes), (("edge", "piece"), self.edges + edges)):
             for name in names:
                 own = getattr(self, name)
                 if need > len(own):  # in place: no second copy while it grows
-                    own.resize(max(need, len(own) * 3 // 2), refcheck=False)
+                    own.resize(need + len(own) // 8, refcheck=False)
+        self._views()
 
     def occurrences(self, chunks: list[str]) -> np.ndarray:
-        found = list(map(self.index.get, chunks))
-        missing = [i for i, at in enumerate(found) if at is None]
-        if missing:
-            new = [chunks[i] for i in missing]
+        found = np.fromiter(map(self.index.get, chunks, repeat(-1)), np.int64, len(chunks))
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            new = [chunks[i] for i in missing.tolist()]
             self.learn(new)
-            for i, at in zip(missing, map(self.index.__getitem__, new), strict=True):
-                found[i] = at
-        return np.array(found, np.int64)
+            found[missing] = np.fromiter(map(self.index.__getitem__, new), np.int64, len(new))
+        return found
 
     def learn(self, chunks: list[str]) -> None:
         new = [c for c in dict.fromkeys(chunks) if c not in self.index]
@@ -226,7 +241,8 @@ class Lattices:
         left = np.repeat(last, sizes + 1) - np.arange(n_nodes)  # code points from a node to its chunk's end
         beta = np.full(n_nodes, -np.inf)
         beta[last] = 0.0
-        order = np.argsort((left[src] * n_nodes + src) * (v.longest + 1) + (v.longest - width))
+        rank = (left[src] * n_nodes + src) * (v.longest + 1) + (v.longest - width)  # no two alike
+        order = np.argsort(rank.astype(np.int32) if len(rank) and rank.max() < 1 << 31 else rank)
         src, width, pid, weight, mark = src[order], width[order], pid[order], weight[order], mark[order]
         dst, level = src + width, left[src]
         heads = np.flatnonzero(np.concatenate([[True], src[1:] != src[:-1]])) if len(src) else np.zeros(0, np.int64)
@@ -273,22 +289,25 @@ class Lattices:
         others beside it, edges``."""
         count, logp, forked = np.zeros(len(chunk), np.int64), np.zeros(len(chunk)), np.zeros(len(chunk), bool)
         live, node, steps, step = np.arange(len(chunk)), self.first[chunk], [], 0
+        total, others = np.zeros(len(chunk)), np.zeros(len(chunk), bool)  # of those not at their end
         while True:
             degree = self.degree[node]
             open_ = np.flatnonzero(degree)
             if len(open_) < len(node):
-                live, node, key, degree = live[open_], node[open_], key[open_], degree[open_]
+                ended = np.flatnonzero(degree == 0)
+                at = live[ended]
+                count[at], logp[at], forked[at] = step, total[ended], others[ended]
+                live, node, key, degree, total, others = (x[open_] for x in (live, node, key, degree, total, others))
             if not len(live):
                 break
-            forked[live[degree > 1]] = True
+            others |= degree > 1
             at = self.start[node].astype(np.int64)
             u = uniform(key + U(step * BASE & MASK))
             over = np.flatnonzero(u >= self.cum[at])
             while len(over):
                 at[over] += 1
                 over = over[u[over] >= self.cum[at[over]]]
-            logp[live] += self.logp[at]
-            count[live] += 1
+            total += self.logp[at]
             steps.append((live, at))
             node = self.next[at]
             step += 1
@@ -347,7 +366,7 @@ class Lattices:
             steps = self._steps(node, trie, rest)
             top = max(steps)
             mass = [exp(x - top) for x in steps]
-            u = float(uniform(np.array([(key + (step + 1) * BASE) & MASK], U))[0]) * sum(mass)
+            u = uniform_of(key + (step + 1) * BASE) * sum(mass)
             i = 0
             while i < len(mass) - 1 and u >= mass[i]:
                 u -= mass[i]
@@ -389,8 +408,8 @@ class Sampler:
         lo = np.cumsum(sizes) - sizes
         hi = lo + sizes
         row = np.array([xxhash.xxh3_64_intdigest(str(x), self.seed) for x in keys], U)
-        place = (np.arange(len(chunk)) - np.repeat(lo, sizes)).astype(U)
-        key = mix(np.repeat(row, sizes) + place * U(0xD6E8FEB86659FD93))
+        place = np.arange(len(chunk)) - np.repeat(lo, sizes)
+        key = mix(np.repeat(row, sizes) + place.astype(U) * U(0xD6E8FEB86659FD93))
         out: list[list[tuple]] = [[] for _ in texts]
         queues: list[list] = [[] for _ in texts]
         paths: list[list] = [[] for _ in texts]
@@ -398,7 +417,12 @@ class Sampler:
         # What each text draws next: value, place, base sample, excluded paths there.
         turn = [(float(g), -1, -1, []) for g in root]
         for r in range(k):
-            count, logp, forked, edges = lattices.draw(chunk, key + U(r * 0xC2B2AE3D27D4EB4F & MASK))
+            # A path that leaves another at a place is that path before it, so only what stands
+            # behind is drawn; a text without further paths draws nothing.
+            leaves = [now[1] if now else n for now, n in zip(turn, sizes.tolist(), strict=True)]
+            at = np.flatnonzero(place > np.repeat(np.array(leaves, np.int64), sizes))
+            count, logp, forked = np.zeros(len(chunk), np.int64), np.zeros(len(chunk)), np.zeros(len(chunk), bool)
+            count[at], logp[at], forked[at], edges = lattices.draw(chunk[at], key[at] + U(r * 0xC2B2AE3D27D4EB4F & MASK))
             tail = np.cumsum(count) - count
             value = np.empty(len(texts))
             for d, now in enumerate(turn):
@@ -427,16 +451,18 @@ class Sampler:
             # Masses of the parts that leave the new paths at each place, and their values.
             ahead = np.cumsum(logp)
             ahead = ahead - logp - np.repeat(np.where(sizes > 0, (ahead - logp)[np.minimum(lo, max(len(logp) - 1, 0))] if len(logp) else 0.0, 0.0), sizes)
+            bound = np.full(len(chunk), -np.inf)
             with np.errstate(divide="ignore", over="ignore", invalid="ignore"):
-                mass = ahead + np.log(-np.expm1(np.minimum(logp, 0.0)))
+                mass = ahead[at] + np.log(-np.expm1(np.minimum(logp[at], 0.0)))
                 # So near 1 the rest cannot be taken from it; it is summed up instead.
-                near = np.flatnonzero(forked & (logp > -NEAR))
+                near = np.flatnonzero(forked[at] & (logp[at] > -NEAR))
                 if len(near):
-                    mass[near] = ahead[near] + lattices.rests_near(chunk[near], lambda i, near=near: edges[tail[near[i]] : tail[near[i]] + count[near[i]]].tolist())
-                cap = np.repeat(value, sizes)
-                noise = uniform(key + U((r + 1) * 0x165667B19E3779F9 & MASK))
-                bound = mass - np.log(np.exp(np.minimum(mass - cap, 700.0)) - np.log(noise))
-            bound[~(forked & np.isfinite(mass))] = -np.inf
+                    there = at[near]
+                    mass[near] = ahead[there] + lattices.rests_near(chunk[there], lambda i, there=there: edges[tail[there[i]] : tail[there[i]] + count[there[i]]].tolist())
+                cap = np.repeat(value, sizes)[at]
+                noise = uniform(key[at] + U((r + 1) * 0x165667B19E3779F9 & MASK))
+                free = mass - np.log(np.exp(np.minimum(mass - cap, 700.0)) - np.log(noise))
+            bound[at] = np.where(forked[at] & np.isfinite(mass), free, -np.inf)
             for d, now in enumerate(turn):
                 if now is None:
                     continue
@@ -448,7 +474,7 @@ class Sampler:
                     drawn = self._path(own, c)
                     excluded = [*now[3], drawn]
                     m = float(ahead[a + c]) + lattices.remaining(int(chunk[a + c]), excluded)
-                    u = float(uniform(np.array([(int(row[d]) + (r + 7) * 0xD6E8FEB86659FD93) & (2**64 - 1)], U))[0])
+                    u = uniform_of(int(row[d]) + (r + 7) * 0xD6E8FEB86659FD93)
                     own_bound[c] = _cut_off(m, now[0], u)
                 most = k - r
                 best = np.argpartition(-own_bound, most - 1)[:most] if len(own_bound) > most else np.arange(len(own_bound))

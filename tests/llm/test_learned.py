@@ -209,3 +209,21 @@ def test_sampled_encoding_query_gives_the_ids(spark, sf):
     rows = queries.op4_sampled_encoding(spark, sf).limit(50).collect()
     assert rows and all(len(r.ids) == r.n_pieces for r in rows)
     assert all(crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 for r in rows)
+
+
+def test_only_what_follows_a_leaving_place_is_drawn(monkeypatch):
+    """A text of one segmentation draws once, a second path nothing before the place where it leaves."""
+    sampler = sampled_encoding.Sampler(sampled_encoding.model_path(sampled_encoding.MODEL), samples=3)
+    sizes = []
+    draw = sampler.lattices.draw
+    monkeypatch.setattr(sampler.lattices, "draw", lambda chunk, key: sizes.append(len(chunk)) or draw(chunk, key))
+    found = sampler.sample([1, 2], ["\n", "the " * 9])
+    chunks = [len(sampler.chunks(t)) for t in ("\n", "the " * 9)]
+    assert sizes[0] == sum(chunks) and max(sizes[1:]) < chunks[1] and len(found[1]) == 3
+    held = len(sampler.lattices.cum)
+    sampler.lattices.clear()
+    assert len(sampler.lattices.cum) == held and not sampler.lattices.index
+    again = sampler.sample([1, 2], ["\n", "the " * 9])
+    assert [[(*f[:3], f[3].tolist()) for f in own] for own in again] == [[(*f[:3], f[3].tolist()) for f in own] for own in found]
+    x = np.array([0, 1, 2**64 - 1, 0x9E3779B97F4A7C15], np.uint64)
+    assert [sampled_encoding.uniform_of(int(i)) for i in x] == sampled_encoding.uniform(x).tolist()
