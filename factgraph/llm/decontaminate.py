@@ -9,7 +9,8 @@ The place of the shingle in the window bounds where the window could start and e
 the document; what remains is compared word by word.
 
 All steps are DataFrame operations. Sets of the benchmark are broadcast when a count
-shows them to be small; larger ones are joined by shuffle.
+shows them to be small; larger ones are joined by shuffle. No row of a place carries the
+words of its whole text, in an exchange or before it.
 
 Defined cases: a null or empty text has no words and is clean; documents that repeat with
 the same id and text give one row each; rows without ``doc_id`` are judged alike; an item
@@ -30,6 +31,10 @@ WINDOW = 10
 SHINGLE = 3
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# Places that share one copy of the words around them.
+BLOCK = 64
+# Distinct shingles of one size that are broadcast, a hash each.
+BROADCAST_KEYS = 1_000_000
 
 
 def words(text: Column | str) -> Column:
@@ -67,21 +72,61 @@ def window_shingles(found: DataFrame, longest: int = SHINGLE) -> DataFrame:
     return places.withColumn("key", key)
 
 
+def blocks(own: DataFrame, width: int) -> DataFrame:
+    """``doc_id, text_hash, n_words, s, part``: runs of ``BLOCK`` places and the words around them.
+
+    What is made of a place carries the words of its block, not those of the whole text,
+    so memory follows the length of a text and not its square.
+    """
+    n = F.size("w")
+    cut = F.transform(
+        F.sequence(F.lit(0), n, F.lit(BLOCK)),
+        lambda s: F.struct(
+            n.cast("long").alias("n_words"), s.alias("s"),
+            F.slice("w", F.greatest(s - (width - 1), F.lit(0)) + 1, F.lit(BLOCK + 2 * width)).alias("part"),
+        ),
+    )
+    # Never empty; the outer form keeps Spark from cutting texts once more to test that.
+    return own.select("doc_id", "text_hash", F.explode_outer(cut).alias("b")).select("doc_id", "text_hash", "b.*")
+
+
 def places(docs: DataFrame, keys: DataFrame, k: int, width: int) -> DataFrame:
     """One row per place whose ``k`` words are a key, with the words around it, and one
     closing row per document (``key`` null) with its number of words."""
     own = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words("text").alias("w"))
-    n = F.size("w")
-    each = own.select("doc_id", "text_hash", "w", F.explode(F.sequence(F.lit(0), n)).alias("p"))
-    each = each.withColumn("probe", F.when(F.col("p") + k <= n, shingle(F.col("w"), F.col("p"), k)))
-    known = broadcast_if_small(keys.filter(F.col("k") == k).select(F.col("key")).distinct())
-    hit = each.join(known, F.col("probe") == F.col("key"), "left").filter(F.col("key").isNotNull() | (F.col("p") == n))
+    run = blocks(own, width)
+    last = F.least(F.col("s") + (BLOCK - 1), F.col("n_words").cast("int"))
+    each = run.select("doc_id", "text_hash", "n_words", "s", "part", F.explode(F.sequence("s", last)).alias("p"))
+    ahead = F.greatest(F.col("s") - (width - 1), F.lit(0))
+    each = each.withColumn("probe", F.when(F.col("p") + k <= F.col("n_words"), shingle(F.col("part"), F.col("p") - ahead, k)))
     first = F.greatest(F.col("p") - (width - 1), F.lit(0))
-    around = folded(F.slice("w", first + 1, F.lit(2 * width)))
-    return hit.select(
-        "doc_id", "text_hash", n.cast("long").alias("n_words"), "key", F.lit(k).alias("k"), "p",
-        F.when(F.col("key").isNotNull(), around).alias("around"), first.alias("first"),
+    known = keys.filter(F.col("k") == k).select("key").distinct()
+    shown = ["doc_id", "text_hash", "n_words", "key", F.lit(k).alias("k"), "p", "around", first.alias("first")]
+    if known.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        hit = each.join(F.broadcast(known), F.col("probe") == F.col("key"), "left")
+        hit = hit.filter(F.col("key").isNotNull() | (F.col("p") == F.col("n_words")))
+        around = folded(F.slice("part", first - ahead + 1, F.lit(2 * width)))
+        return hit.withColumn("around", F.when(F.col("key").isNotNull(), around)).select(*shown)
+    # Too many keys to broadcast: places move without words, which are read again for the hits.
+    found = each.select("doc_id", "text_hash", "p", "probe").join(known, F.col("probe") == F.col("key"))
+    # The hits of one text: as many as it has words.
+    per_text = found.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.collect_set(F.struct("p", "key")).alias("hits"))
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    again = texts.join(per_text, texts["doc_id"].eqNullSafe(per_text["_id"]) & (texts["text_hash"] == per_text["_hash"]))
+    again = again.select("doc_id", "text_hash", "hits", words("text").alias("w"))
+
+    def with_words(h: Column) -> Column:
+        start = F.greatest(h["p"] - (width - 1), F.lit(0)) + 1
+        near = folded(F.slice("w", start, F.lit(2 * width)))
+        return F.struct(F.size("w").cast("long").alias("n_words"), h["p"].alias("p"), h["key"].alias("key"), near.alias("around"))
+
+    hit = again.select("doc_id", "text_hash", F.explode_outer(F.transform("hits", with_words)).alias("h"))
+    none = F.lit(None)
+    closing = own.select(
+        "doc_id", "text_hash", F.size("w").cast("long").alias("n_words"), F.size("w").alias("p"),
+        none.cast("long").alias("key"), none.cast("array<string>").alias("around"),
     )
+    return hit.select("doc_id", "text_hash", "h.*").unionByName(closing).select(*shown)
 
 
 def occurrences(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) -> tuple[DataFrame, DataFrame]:

@@ -234,6 +234,32 @@ def test_contamination_equals_brute_force(spark, docs, rows, items):
     assert kept.count() == sum(not w[5] for w in want)
 
 
+def test_contamination_with_many_keys_equals_brute_force(spark, docs, rows, items, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_KEYS", 0, raising=False)
+    monkeypatch.setattr(decontaminate, "broadcast_if_small", lambda df: df)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contamination(docs, bench)
+    found = sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got.collect())
+    assert found == sorted(brute_hits(rows, items))
+
+
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_places_leave_the_whole_text(spark, docs, items, monkeypatch, most):
+    monkeypatch.setattr(decontaminate, "BROADCAST_KEYS", most, raising=False)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    keys = decontaminate.window_shingles(decontaminate.windows(bench))
+    todo = [decontaminate.places(docs, keys, 3, 10)._jdf.queryExecution().optimizedPlan()]
+    seen = 0
+    while todo:  # what is made per place by a join or an explode holds no words of a whole text
+        node = todo.pop()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+        names = [node.output().apply(i).name() for i in range(node.output().size())]
+        if node.nodeName() in ("Generate", "Join") and "text_hash" in names:
+            seen += 1
+            assert "w" not in names
+    assert seen > 1
+
+
 def test_contamination_plan_is_native(spark, docs, items):
     bench = spark.createDataFrame(items, "item_id long, text string")
     plan = decontaminate.contamination(docs, bench)._jdf.queryExecution().executedPlan().toString()
