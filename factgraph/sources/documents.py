@@ -66,6 +66,81 @@ def plain_value(value, above: tuple = ()):
     return value if value is None or isinstance(value, (bool, int, float, str)) else str(value)
 
 
+class Plain:
+    """Parsed YAML as ``plain_value`` gives it, without building PyYAML's values first.
+
+    Mappings with text keys, lists and scalars are read off the composed nodes; what a scalar
+    stands for is remembered. Anything else (merge keys, other keys or tags, anchors that hold
+    themselves, faults) goes the whole way, so values and errors are those of PyYAML.
+    """
+
+    # Short scalars remembered, and the longest of them.
+    MOST, LONGEST = 100_000, 64
+
+    class Other(Exception):
+        """A document that goes the whole way."""
+
+    def __init__(self):
+        import yaml
+
+        self.yaml, self.base = yaml, getattr(yaml, "CSafeLoader", yaml.SafeLoader)
+        self.scalars, resolved = {}, {}
+        most, longest = self.MOST, self.LONGEST
+
+        class Loader(self.base):
+            def resolve(self, kind, value, implicit):
+                if kind is not yaml.ScalarNode or len(value) > longest:
+                    return super().resolve(kind, value, implicit)
+                key = (value, implicit)
+                tag = resolved.get(key)
+                if tag is None:
+                    if len(resolved) >= most:
+                        resolved.clear()
+                    tag = resolved[key] = super().resolve(kind, value, implicit)
+                return tag
+
+        self.loader = Loader
+
+    def load(self, text: str):
+        loader = self.loader(text)
+        try:
+            node = loader.get_single_node()
+            return None if node is None else self.of(node, loader, ())
+        except Exception:  # also faults of the text, for PyYAML's own words
+            value = self.yaml.load(text, Loader=self.base)  # noqa: S506 (a safe loader)
+            return plain_value(value) if isinstance(value, dict) else value
+        finally:
+            loader.dispose()
+
+    def of(self, node, loader, above: tuple):
+        tag, kind = node.tag, type(node)
+        if kind is self.yaml.ScalarNode:
+            if tag == "tag:yaml.org,2002:str":
+                return node.value
+            key = (tag, node.value)
+            if key not in self.scalars:
+                if len(self.scalars) >= self.MOST:
+                    self.scalars.clear()
+                value = plain_value(loader.construct_object(node, deep=True))
+                if len(node.value) > self.LONGEST:
+                    return value
+                self.scalars[key] = value
+            return self.scalars[key]
+        if any(node is a for a in above):
+            raise self.Other
+        inner = (*above, node)
+        if kind is self.yaml.SequenceNode and tag == "tag:yaml.org,2002:seq":
+            return [self.of(v, loader, inner) for v in node.value]
+        if kind is self.yaml.MappingNode and tag == "tag:yaml.org,2002:map":
+            out = {}
+            for k, v in node.value:
+                if k.tag != "tag:yaml.org,2002:str" or type(k) is not self.yaml.ScalarNode:
+                    raise self.Other
+                out[k.value] = self.of(v, loader, inner)
+            return out
+        raise self.Other
+
+
 def yaml_documents(spark: SparkSession, folder: str, kind: str = "document", pattern: str = "*.yaml") -> DataFrame:
     """One row per file: ``kind, path, file, body VARIANT, error, sha256``.
 
@@ -80,18 +155,17 @@ def yaml_documents(spark: SparkSession, folder: str, kind: str = "document", pat
         import json
 
         import pandas
-        import yaml
 
-        loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
+        plain = Plain()
 
         def one(content):
             try:
-                value = yaml.load(bytes(content).decode("utf-8"), Loader=loader)  # noqa: S506 (a safe loader)
+                value = plain.load(bytes(content).decode("utf-8"))
                 if value is None:
                     return "{}", None
                 if not isinstance(value, dict):
                     return None, "invalid_payload_shape"
-                return json.dumps(plain_value(value), ensure_ascii=False, allow_nan=False), None
+                return json.dumps(value, ensure_ascii=False, allow_nan=False), None
             except Exception as exc:
                 return None, f"parse_error: {exc}"
 
