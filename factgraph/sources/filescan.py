@@ -10,9 +10,11 @@ does not, and bytes of any kind come as they are.
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -24,9 +26,13 @@ from factgraph.session import shared_dir, staged
 FORMAT = "factgraph_files"
 # Bytes of one partition, what opening a file counts for, and the most partitions of a scan,
 # beyond which partitions grow.
-TARGET_BYTES, OPEN_BYTES, MOST_PARTS = 64 << 20, 256 << 10, 50_000
+TARGET_BYTES, OPEN_BYTES, MOST_PARTS = 64 << 20, 32 << 10, 50_000
+# A scan of fewer bytes is still dealt over the cores, in parts of so many files at least.
+LEAST_FILES = 64
 # Entries that a task lists before it hands the rest on; the first round only fans out.
 FIRST_ENTRIES, ENTRIES = 1000, 100_000
+# Entries of a local folder that a task holds at once.
+LISTED = 10_000
 # Bytes and files of one Arrow batch.
 BATCH_BYTES, BATCH_FILES = 4 << 20, 2000
 # Stores that tasks open themselves.
@@ -68,6 +74,30 @@ def name_test(pattern: str):
     return lambda name: any(t(name) for t in tests)
 
 
+def entries(store, at: str) -> Iterator[list[tuple[str, str, bool, bool, int | None]]]:
+    """Path, name, whether folder, whether file, and size of what a folder holds, so many at a time.
+
+    A local folder is read as it is gone through, so a flat one of any width takes no memory.
+    """
+    from pyarrow import fs
+
+    if not isinstance(store, fs.LocalFileSystem):
+        here = store.get_file_info(fs.FileSelector(at, allow_not_found=True))
+        yield [(f.path, f.base_name, f.type == fs.FileType.Directory, f.type == fs.FileType.File, f.size) for f in here]
+        return
+    try:
+        found = os.scandir(at)
+    except FileNotFoundError:
+        return
+    with found:
+        while some := list(islice(found, LISTED)):
+            rows = []
+            for e in some:
+                file = e.is_file()
+                rows.append((f"{at.rstrip('/')}/{e.name}", e.name, not file and e.is_dir(), file, e.stat().st_size if file else None))
+            yield rows
+
+
 def list_files(
     spark: SparkSession, base: str, below: Sequence[str] = (), names: str = "*", deep: bool = True,
     ignored: Sequence[str] = (), hidden: bool = True,
@@ -85,8 +115,6 @@ def list_files(
 
     def walk(limit: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            from pyarrow import fs
-
             store, _ = open_store(base)
             tests, keep = [name_test(p) for p in below], name_test(names)
             shown = (lambda n: True) if hidden else (lambda n: n[:1] not in ("_", "."))
@@ -94,19 +122,21 @@ def list_files(
             seen = 0
             while todo and seen < limit:
                 at, level = todo.pop()
-                here = [f for f in store.get_file_info(fs.FileSelector(at, allow_not_found=True)) if shown(f.base_name)]
-                seen += len(here) + 1
-                folders = [f for f in here if f.type == fs.FileType.Directory]
-                if level < len(tests):
-                    todo += [(f.path, level + 1) for f in folders if tests[level](f.base_name)]
-                    continue
-                if deep:
-                    todo += [(f.path, level) for f in folders if f.base_name not in ignored]
-                files = [f for f in here if f.type == fs.FileType.File and keep(f.base_name)]
-                if files:
-                    yield pa.RecordBatch.from_pydict(
-                        {"path": [f.path for f in files], "size": [f.size for f in files], "level": pa.nulls(len(files), pa.int32())}
-                    )
+                seen += 1
+                for here in entries(store, at):
+                    here = [f for f in here if shown(f[1])]
+                    seen += len(here)
+                    folders = [(path, name) for path, name, folder, _, _ in here if folder]
+                    if level < len(tests):
+                        todo += [(path, level + 1) for path, name in folders if tests[level](name)]
+                        continue
+                    if deep:
+                        todo += [(path, level) for path, name in folders if name not in ignored]
+                    files = [(path, size) for path, name, _, file, size in here if file and keep(name)]
+                    if files:
+                        yield pa.RecordBatch.from_pydict(
+                            {"path": [f[0] for f in files], "size": pa.array([f[1] for f in files], pa.int64()), "level": pa.nulls(len(files), pa.int32())}
+                        )
             if todo:
                 yield pa.RecordBatch.from_pydict(
                     {"path": [p for p, _ in todo], "size": pa.nulls(len(todo), pa.int64()), "level": pa.array([x for _, x in todo], pa.int32())}
@@ -153,7 +183,8 @@ def plan_scan(files: DataFrame, target: int = TARGET_BYTES, opening: int = OPEN_
     ahead = Window.partitionBy("one").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     starts = staged(totals.select("shard", "total", F.coalesce(F.sum("total").over(ahead), F.lit(0)).alias("start")))
     whole = starts.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("n")).head()["n"]
-    width = max(target, -(-whole // most))
+    cores = spark.sparkContext.defaultParallelism
+    width = max(min(target, max(-(-whole // (4 * cores)), LEAST_FILES * opening)), -(-whole // most), 1)
     place = F.floor((F.col("start") + F.col("before")) / width).cast("long")
     folder = f"{shared_dir(spark).rstrip('/')}/factgraph-scans/{uuid.uuid4().hex}"
     planned = summed.join(F.broadcast(starts.select("shard", "start")), "shard").select("path", "size", place.alias("part"))
@@ -232,26 +263,30 @@ def read_files(spark: SparkSession, base: str, files: DataFrame, **sizes: int) -
 def write_files(files: DataFrame, folder: str) -> DataFrame:
     """Write ``files(path, content)`` below ``folder``; ``path, size`` of what was written.
 
-    Tasks write a file under a name of their own and then put it in place, so a task that
-    runs again replaces its files by equal ones.
+    Tasks write a file in a folder of their own and then put it in place, so a task that
+    runs again replaces its files by equal ones, and tasks meet in a folder only to do that.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, top = open_store(folder)
-        made = set()
+        made, own = set(), ""
         for batch in batches:
             sizes = []
+            if not own:
+                own = f"{top}/.{uuid.uuid4().hex}"
+                store.create_dir(own)
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
                 at = f"{top}/{path}"
-                above, _, name = at.rpartition("/")
+                above = at.rpartition("/")[0]
                 if above not in made:
                     store.create_dir(above)
                     made.add(above)
-                mine = f"{above}/.{name}.{uuid.uuid4().hex}"
-                with store.open_output_stream(mine) as out:
+                with store.open_output_stream(f"{own}/file") as out:
                     out.write(content or b"")
-                store.move(mine, at)
+                store.move(f"{own}/file", at)
                 sizes.append(len(content or b""))
             yield pa.RecordBatch.from_pydict({"path": batch.column("path"), "size": pa.array(sizes, pa.int64())})
+        if own:
+            store.delete_dir(own)
 
     return staged(files.select("path", "content").mapInArrow(run, "path string, size long"))

@@ -140,3 +140,61 @@ def test_files_of_a_small_table_are_written_by_many_tasks(spark, tmp_path):
         files = made(spark, str(tmp_path))
         sizes = files.groupBy(F.spark_partition_id().alias("p")).count().collect()
         assert len(sizes) >= 8 * copies and files.select("path").distinct().count() == 9000 * copies
+
+
+def test_many_small_files_take_few_tasks(spark):
+    files = spark.range(100_000).select(F.concat(F.lit("/t/f"), "id").alias("path"), F.lit(900).cast("long").alias("size"))
+    _, parts = filescan.plan_scan(files)
+    assert spark.sparkContext.defaultParallelism <= parts < 100
+    _, few = filescan.plan_scan(files.limit(300))
+    assert 1 < few <= 5  # a small scan is dealt over the cores as well
+
+
+def test_flat_folder_is_listed_in_parts_and_left_clean(spark, tmp_path, monkeypatch):
+    content = F.encode(F.concat(F.lit("a: "), "id"), "UTF-8")
+    filescan.write_files(spark.range(40).repartition(3).select(F.concat(F.lit("d/f"), "id").alias("path"), content.alias("content")), str(tmp_path / "t"))
+    assert sorted(p.name for p in (tmp_path / "t").rglob("*")) == sorted(["d", *(f"f{i}" for i in range(40))])
+    (tmp_path / "t" / "d" / "below").mkdir()
+    (tmp_path / "t" / "d" / "gone").symlink_to(tmp_path / "nowhere")
+    monkeypatch.setattr(filescan, "LISTED", 7)
+    store, at = filescan.open_store(str(tmp_path / "t" / "d"))
+    parts = list(filescan.entries(store, at))
+    assert len(parts) == 6 and all(len(p) <= 7 for p in parts)
+    rows = [e for p in parts for e in p]
+    assert sorted(e[0] for e in rows if e[3]) == sorted(f"{at}/f{i}" for i in range(40))
+    assert {e[1]: e[4] for e in rows if e[3]}["f12"] == 5 and [e[1] for e in rows if e[2]] == ["below"]
+    assert list(filescan.entries(store, f"{at}/none")) == []
+
+
+def test_yaml_read_off_nodes_equals_yaml_built(monkeypatch):
+    import yaml
+
+    texts = [
+        "", "~", "a", "[1, a]", "a: 1\na: 2\nb: 0x1F", "a: yes\nb: 'yes'\nc: 1_0\nd: 1e3\ne: 1.5e+3\nf: null", "1: a\n'1': b", "? [a]\n: b", "<<: {a: 1}\nb: 2",
+        "x: &b {k: 1}\ny:\n  <<: *b\n  z: 3", "a: &a [*a]", "&a [*a]", "a: !!set {x, y}", "a: !!binary aGk=", "a: !odd b", "a: =", "a: 2024-01-05\nb: 2024-01-05 10:00:00",
+        "a: .nan\nb: -.inf", "a: [1", "a: 1\n---\nb: 2", "a: *none", "a: !!str 5\nb: !!int '7'", "a: |\n  two\n  lines\n" + "l" * 90 + ": " + "9" * 90, "a: &x [1]\nb: [*x, *x]",
+        "true: 1\nnull: 2", "a: !!map [1]", "a: !!seq b", "a: \"\\u00e9 \U0001d400\"",
+    ]
+    plain = documents.Plain()
+
+    def told(read):
+        try:
+            return read()
+        except Exception as exc:
+            return f"{type(exc).__name__}: {exc}"
+
+    def whole(text):
+        value = yaml.load(text, Loader=yaml.CSafeLoader)  # noqa: S506 (a safe loader)
+        return documents.plain_value(value) if isinstance(value, dict) else value
+
+    for text in texts * 2:  # the second time scalars are remembered
+        got, want = told(lambda t=text: plain.load(t)), told(lambda t=text: whole(t))
+        if isinstance(want, (dict, str, type(None))):
+            assert repr(got) == repr(want), text
+        else:
+            assert type(got) is type(want) or not isinstance(got, dict), text
+    # Documents of plain mappings, lists and scalars never build PyYAML's own values.
+    monkeypatch.setattr(yaml, "load", None)
+    assert documents.Plain().load("edges:\n- {src_id: 'a', n: 5}\n- see 3\n- d: 2024-01-05\n") == {
+        "edges": [{"src_id": "a", "n": 5}, "see 3", {"d": {"date": "2024-01-05"}}]
+    }
