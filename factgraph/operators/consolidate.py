@@ -82,11 +82,13 @@ def fact_id() -> Column:
 
 @dataclass(frozen=True)
 class Consolidated:
-    """``facts`` with ids, their ``evidence(fact_id, ...)`` and the ``ledger`` of dropped rows."""
+    """``facts`` with ids, their ``evidence(fact_id, ...)``, the ``ledger`` of dropped rows, and the
+    ``fates(node_id, is_fact, reason)`` of all candidates for those who only count."""
 
     facts: DataFrame
     evidence: DataFrame
     ledger: DataFrame
+    fates: DataFrame
 
 
 # Keys are counted in so many buckets first; those of full buckets are counted one by one.
@@ -145,15 +147,22 @@ def consolidated_together(candidates: DataFrame) -> Consolidated:
     """Consolidation of candidates whose collision keys each fit a task.
 
     One exchange on the collision key; a merge key and its evidence lie within one collision key, so
-    everything else is windows over that. Each of the three tables is planned by itself and moves
-    its own columns only; merge keys are made after the exchange.
+    everything else is windows over that. Each of the tables is planned by itself and moves its own
+    columns only; merge keys are made after the exchange, but for fates, which need nothing else of
+    the content and move the key instead.
     """
     same = Window.partitionBy("collision_key", "draft", "merge_key")
     key = Window.partitionBy("collision_key")
-    counted = with_merge_key(candidates.repartition("collision_key")).select(
-        "*", F.min("pos").over(same).alias("first"), F.max("pos").over(same).alias("last"), F.count("*").over(same).alias("copies")
-    )
-    rows = judged(counted.select("*", *[c.over(key).alias(n) for n, c in of_key().items()]))
+
+    def fated(keyed: DataFrame) -> DataFrame:
+        counted = keyed.select(
+            "*", F.min("pos").over(same).alias("first"), F.max("pos").over(same).alias("last"), F.count("*").over(same).alias("copies")
+        )
+        return judged(counted.select("*", *[c.over(key).alias(n) for n, c in of_key().items()]))
+
+    rows = fated(with_merge_key(candidates.repartition("collision_key")))
+    narrow = with_merge_key(candidates).select("collision_key", "draft", "merge_key", "pos", "node_id")
+    fates = fated(narrow.repartition("collision_key")).select("node_id", "is_fact", "reason")
     items = rows.filter("alive").select("collision_key", "merge_key", "pos", *CONTENT, "copies", "is_fact", F.posexplode_outer("evidence").alias("at", "e"))
     item = Window.partitionBy("collision_key", "merge_key", *[F.col(f"e.{f}") for f in EVIDENCE_FIELDS]).orderBy("pos", "at")
     merged = Window.partitionBy("collision_key", "merge_key")
@@ -165,7 +174,7 @@ def consolidated_together(candidates: DataFrame) -> Consolidated:
     stands = F.col("is_fact") & (F.coalesce("at", F.lit(0)) == 0)
     facts = items.filter(stands).withColumn("fact_id", fact_id())
     evidence = items.withColumn("fact_id", F.max(F.when(stands, fact_id())).over(merged)).filter("new").select("fact_id", "e.*")
-    return Consolidated(facts.select("fact_id", *CONTENT, "copies", "evidence_count", "evidence_digest"), evidence, ledger_rows(rows))
+    return Consolidated(facts.select("fact_id", *CONTENT, "copies", "evidence_count", "evidence_digest"), evidence, ledger_rows(rows), fates)
 
 
 def consolidated_apart(candidates: DataFrame, hot_rows: int) -> Consolidated:
@@ -192,7 +201,8 @@ def consolidated_apart(candidates: DataFrame, hot_rows: int) -> Consolidated:
     evidence = join_hot_apart(
         items, facts.select("merge_key", "fact_id", "evidence_count"), ["merge_key"], "evidence_count", hot_rows
     ).drop("merge_key", "evidence_count")
-    return Consolidated(facts.select("fact_id", *CONTENT, "copies", "evidence_count", "evidence_digest"), evidence, ledger_rows(rows))
+    fates = rows.select("node_id", "is_fact", "reason")
+    return Consolidated(facts.select("fact_id", *CONTENT, "copies", "evidence_count", "evidence_digest"), evidence, ledger_rows(rows), fates)
 
 
 def consolidate(candidates: DataFrame, hot_rows: int = HOT_ROWS) -> Consolidated:
@@ -211,22 +221,17 @@ def consolidate(candidates: DataFrame, hot_rows: int = HOT_ROWS) -> Consolidated
     busy = F.broadcast(busy)
     cold = consolidated_together(keyed.join(busy, "collision_key", "left_anti"))
     hot = consolidated_apart(keyed.join(busy, "collision_key", "left_semi"), hot_rows)
-    return Consolidated(*(getattr(cold, n).unionByName(getattr(hot, n)) for n in ("facts", "evidence", "ledger")))
+    return Consolidated(*(getattr(cold, n).unionByName(getattr(hot, n)) for n in ("facts", "evidence", "ledger", "fates")))
 
 
 def consolidation_summary(result: Consolidated) -> DataFrame:
-    """Facts out, records with facts, merges and overrides, in one row."""
-    merges = F.count_if(F.col("reason") == "duplicate_derived_merged")
-    overrides = F.count_if(F.col("reason") == "draft_precedence_override")
-    counts = result.ledger.agg(merges.alias("m"), overrides.alias("o"))
-    return result.facts.agg(
-        F.count("*").alias("total_facts"),
-        F.countDistinct("node_id").alias("repos_with_facts"),
-    ).select(
-        "total_facts",
-        "repos_with_facts",
-        counts.select("o").scalar().alias("draft_overrides"),
-        counts.select("m").scalar().alias("derived_dedupe_merges"),
+    """Facts out, records with facts, merges and overrides, in one row and one pass over the fates."""
+    reason = F.col("reason")
+    return result.fates.agg(
+        F.count_if("is_fact").alias("total_facts"),
+        F.countDistinct(F.when(F.col("is_fact"), F.col("node_id"))).alias("repos_with_facts"),
+        F.count_if(reason == "draft_precedence_override").alias("draft_overrides"),
+        F.count_if(reason == "duplicate_derived_merged").alias("derived_dedupe_merges"),
     )
 
 

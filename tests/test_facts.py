@@ -230,6 +230,12 @@ def test_cold_facts_move_once_and_evidence_without_fields_counts(spark):
     assert sorted((r.note, r.copies, r.evidence_count) for r in result.facts.collect()) == [("n", 2, 2), ("other", 1, 0)]
     assert sorted(str(r.ref) for r in result.evidence.collect()) == ["None", "line 1"]
     assert [(r.reason, r.pos) for r in result.ledger.collect()] == [("duplicate_derived_merged", "2")]
+    # The summary reads the candidates once, without their evidence.
+    summary = consolidate.consolidation_summary(result)
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "evidence" not in plan and plan.count("Exchange hashpartitioning(collision_key") == 1
+    busy = consolidate.consolidate(spark.createDataFrame(rows + [(*content[:-1], "draft", [item], "4")], schema), hot_rows=1)
+    assert [tuple(x.head()) for x in (summary, consolidate.consolidation_summary(busy))] == [(2, 1, 0, 1), (2, 1, 1, 1)]
 
 
 
