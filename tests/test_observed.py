@@ -101,3 +101,12 @@ def test_small_files_need_no_range_each(spark, tmp_path, monkeypatch):
     assert 40 <= len(files) <= 44 and max(f.n for f in files) <= 100
     spans = sorted((f.low, f.high) for f in files)
     assert all(b[0] >= a[1] for a, b in zip(spans, spans[1:]))
+
+
+def test_master_facts_are_read_from_the_files_by_record(spark, sf, monkeypatch):
+    from factgraph.plans import publish_queries
+
+    given, write = [], snapshots.write_master_facts
+    monkeypatch.setattr(snapshots, "write_master_facts", lambda facts, *rest: given.append(facts) or write(facts, *rest))
+    assert {r.sink for r in publish_queries.fact_files(spark, sf).collect()} == {"by record", "master"}
+    assert given and all("/by-record/" in f for f in given[0].inputFiles())
